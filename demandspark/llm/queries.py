@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import pieces, quality, rules
+from demandspark.llm import html, pieces, quality, rules, toxicity
 
 #: Folder of the public tokenizers' files; a parameter, as the files are never part of this repository.
 TOKENIZERS = "TOKENIZER_DIR"
@@ -37,8 +37,16 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_quality, op5_sentencepiece, op9_rules]
+    found = [op2_quality, op4_html, op5_sentencepiece, op9_rules, op10_toxicity]
     return {f.__name__: f for f in found}
 
 

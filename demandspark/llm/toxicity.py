@@ -4,8 +4,8 @@ Only documents carry labels, so words are labelled first: parts of words (the wo
 are found in significantly more toxic than clean documents of the learning folds are markers, and a word of a toxic
 document that has a marker is labelled toxic. On lines of such labelled words a two-state chain is trained: weights
 of hashed word parts plus transition scores, by gradients from forward-backward. Every line of every document is
-then tagged with forward-backward marginals; a logistic curve over the document's largest marginal and the sum of
-its marginals gives the score, and words over one half give the offending offsets.
+then tagged with forward-backward marginals; a logistic curve over the document's largest marginals and their sum
+gives the score, and words over one half give the offending offsets.
 
 Learning uses at most ``max_docs`` toxic and twice as many clean labelled documents and ``max_lines`` lines of them,
 chosen by hash; scoring reads whole texts.
@@ -35,6 +35,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BITS = 16
 CACHE_WORDS = 300_000
 FLUSH_PARTS = 200_000
+N_INPUTS = 5
 
 
 def parts(word: str) -> list[str]:
@@ -101,7 +102,7 @@ def marginals(e: np.ndarray, length: np.ndarray, chain: Chain) -> tuple[np.ndarr
 
 def train(lines: list[tuple[list[list[int]], list[int]]], epochs: int = 4, batch: int = 128, rate: float = 0.3, decay: float = 1e-3, seed: int = 0) -> Chain:
     """Maximise the conditional likelihood of labelled lines by adaptive gradient steps."""
-    chain = Chain(np.zeros(1 << BITS), 0.0, np.zeros((2, 2)), np.zeros(3))
+    chain = Chain(np.zeros(1 << BITS), 0.0, np.zeros((2, 2)), np.zeros(N_INPUTS))
     seen_w, seen_t, seen_s = np.full(1 << BITS, 1e-3), np.full((2, 2), 1e-3), 1e-3
     r = np.random.default_rng(seed)
     lines = [x for x in lines if x[0]]
@@ -169,18 +170,20 @@ class Tagger:
         return out
 
     def sums(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: log-odds of the largest marginal, log of 1 + the sum of marginals, and 1."""
+        """Per text: log-odds of the two largest marginals, log of 1 + the sum of marginals, log of 1 + words, and 1."""
         rows, owner = [], []
         for i, t in enumerate(texts):
             found = [x for x in map(WORD.findall, (t or "").split("\n")) if x]
             rows += found
             owner += [i] * len(found)
-        most, total = np.zeros(len(texts)), np.zeros(len(texts))
+        most, second, total, n = (np.zeros(len(texts)) for _ in range(4))
         for i, p in zip(owner, self.lines(rows), strict=True):
-            most[i] = max(most[i], p.max())
+            top = np.sort(np.r_[p, most[i], second[i]])[-2:] if len(p) < 4 else np.sort(np.r_[np.partition(p, -2)[-2:], most[i], second[i]])[-2:]
+            second[i], most[i] = top
             total[i] += p.sum()
-        most = np.clip(most, 1e-6, 1 - 1e-6)
-        return np.column_stack([np.log(most / (1 - most)), np.log1p(total), np.ones(len(texts))])
+            n[i] += len(p)
+        odds = lambda p: np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4)))
+        return np.column_stack([odds(most), odds(second), np.log1p(total), np.log1p(n), np.ones(len(texts))])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.sums(texts) @ self.chain.curve, -40, 40)))
@@ -208,7 +211,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1e-2
     return c
 
 
-def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, chance: float = 1e-7) -> Chain | None:
+def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, chance: float = 1e-7, max_rate: float = 0.2) -> Chain | None:
     """Markers, labelled lines and the chain, from labelled documents outside the held-out fold."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("lo"), F.max("toxic").alias("hi")).where(~held_out & (F.col("lo") == F.col("hi")))
     first = lambda which, n: known.where(F.col("lo") == which).select("doc_id", F.col("lo").alias("toxic"), F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(n).drop("_at")
@@ -243,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
     if not n_toxic or not n_clean:
         return None
     share = n_toxic / (n_toxic + n_clean)
-    marks = frozenset(r.part for r in rows if r.part and r.clean * n_toxic <= 0.02 * r.toxic * n_clean + 0 and tail(r.toxic, r.toxic + r.clean, share) < chance)
+    marks = frozenset(r.part for r in rows if r.part and r.clean * n_toxic <= max_rate * r.toxic * n_clean and tail(r.toxic, r.toxic + r.clean, share) < chance)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -270,10 +273,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
             for at in range(0, b.num_rows, 200):
                 s = b.slice(at, 200)
                 x = tagger.sums(s.column("text").to_pylist())
-                yield pa.record_batch([pa.array(x[:, 0]), pa.array(x[:, 1]), s.column("toxic")], ["most", "total", "toxic"])
+                yield pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), s.column("toxic")], ["x", "toxic"])
 
-    got = sample.mapInArrow(sums, "most double, total double, toxic int").toArrow()
-    x = np.column_stack([got.column("most").to_numpy(), got.column("total").to_numpy(), np.ones(got.num_rows)])
+    got = sample.mapInArrow(sums, "x array<double>, toxic int").toArrow()
+    x = np.array(got.column("x").to_pylist())
     chain.curve = fit_curve(x, got.column("toxic").to_numpy().astype(float))
     return chain
 
