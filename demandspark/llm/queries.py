@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import html, pieces, quality, rules, toxicity
+from demandspark.llm import html, neardup, pieces, quality, rules, toxicity
 
 #: Folder of the public tokenizers' files; a parameter, as the files are never part of this repository.
 TOKENIZERS = "TOKENIZER_DIR"
@@ -45,8 +45,12 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_quality, op4_html, op5_sentencepiece, op9_rules, op10_toxicity]
+    found = [op2_quality, op4_html, op5_sentencepiece, op6_minhash, op9_rules, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
