@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import html, neardup, pieces, quality, rules, toxicity
+from demandspark.llm import html, mixing, neardup, pieces, quality, rules, sharding, substring, toxicity
 
 #: Folder of the public tokenizers' files; a parameter, as the files are never part of this repository.
 TOKENIZERS = "TOKENIZER_DIR"
@@ -49,10 +49,22 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_quality, op4_html, op5_sentencepiece, op6_minhash, op9_rules, op10_toxicity]
+    found = [op1_sharding, op2_quality, op3_substring, op4_html, op5_sentencepiece, op6_minhash, op7_mixing, op9_rules, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_rules": rules.oracle()}
+    return {"op3_substring": substring.oracle(), "op9_rules": rules.oracle()}
