@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import html, mixing, neardup, pieces, quality, rules, sharding, substring, toxicity
+from demandspark.llm import html, mixing, neardup, neighbours, pieces, quality, rules, sharding, substring, toxicity
 
 #: Folder of the public tokenizers' files; a parameter, as the files are never part of this repository.
 TOKENIZERS = "TOKENIZER_DIR"
@@ -33,6 +33,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,7 +66,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_sharding, op2_quality, op3_substring, op4_html, op5_sentencepiece, op6_minhash, op7_mixing, op9_rules, op10_toxicity]
+    found = [op1_sharding, op2_quality, op3_substring, op4_html, op5_sentencepiece, op6_minhash, op7_mixing, op8_neighbours, op9_rules, op10_toxicity]
     return {f.__name__: f for f in found}
 
 
