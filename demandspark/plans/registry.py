@@ -1,11 +1,403 @@
-"""Names of all queries of the demand library, with their DuckDB twins."""
+"""Every operator of the demand library as a query over the driver's tables."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from demandspark.functions import scalars as S
+from demandspark.operators import cluster, enrich, features, hierarchy, model, panel, reconcile, rules, stockout
+from demandspark.plans import jobs, oracle
+from demandspark.schema import Params
+from demandspark.sources import sales as src
+
+PART = Params(platforms=("A", "N"), excluded_suppliers=("Brand#2",), min_sku_units=oracle.LEAST, license_rules=oracle.LICENSES, labels=oracle.LABELS, synonyms=oracle.SYNONYMS, cutoff=oracle.CUTOFF)
+DENSE = Params(platforms=("F", "O"), excluded_suppliers=(), min_sku_units=0, clusters=20, cutoff=oracle.CUTOFF, tree_depth=4, tree_rounds=8, important_licenses=("ASIA",), labels=("supplier",), synonyms={})
+KEYS = ["sku", "description", "supplier", "license", "platform"]
+
+
+def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    return df.withColumns({f.name: F.round(f.name, digits) + 0.0 for f in df.schema if isinstance(f.dataType, T.DoubleType)})
+
+
+def _rolled(spark: SparkSession, d: str, p: Params = PART) -> DataFrame:
+    lines = src.sales_by_part(spark, d) if p is PART else src.sales_by_supplier(spark, d)
+    return panel.trim_strings(panel.dated(panel.monthly(panel.keep_listed(lines, p.platforms, p.excluded_suppliers))))
+
+
+def _filled(spark: SparkSession, d: str, p: Params = PART) -> DataFrame:
+    return panel.fill(panel.complete(_rolled(spark, d, p)))
+
+
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    """The dense panel with a stand-in for the cluster: pairs of license and supplier."""
+    base = _filled(spark, d, DENSE).withColumn("product", F.col("description").substr(1, 8)).withColumn("raw", F.lit(0))
+    return cluster.split_clusters(base, "raw", ["license", "supplier"]).drop("raw")
+
+
+def _predicted(spark: SparkSession, d: str) -> DataFrame:
+    """The dense panel with a stand-in for the model: the mean of the series."""
+    base = _filled(spark, d, DENSE)
+    return base.join(base.groupBy("sku_platform").agg(F.avg("units").alias("pred")), "sku_platform")
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    return stockout.label(_predicted(spark, d))
+
+
+def _stacked(spark: SparkSession, d: str) -> DataFrame:
+    return hierarchy.stack(_clustered(spark, d), kept={"cluster": ["supplier", "license", "product"], "license": ["product"]})
+
+
+def _timed(spark: SparkSession, d: str) -> DataFrame:
+    """Runs with gaps: the rolled-up months of the sparse panel, without the calendar."""
+    rows = panel.trim_strings(_rolled(spark, d)).withColumn("level", F.lit("bottom")).withColumn("series_id", S.series_key(F.col("sku"), F.col("platform")))
+    return features.time_features(features.runs(features.date_parts(rows)))
+
+
+def _lagged(spark: SparkSession, d: str) -> DataFrame:
+    return features.lag_features(_timed(spark, d), lags=[1, 2, 3], trends=[("lag_1", "lag_2"), ("lag_1", "lag_3")])
+
+
+def _forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Stand-in forecasts of all levels from the cutoff on: halves of units at the bottom, and 1.1 times the totals above."""
+    late = _clustered(spark, d).where(F.col("date") >= F.lit(oracle.CUTOFF)).where("units > 0")
+    bottom = late.select(F.lit("bottom").alias("level"), F.col("sku_platform").alias("series_id"), "date", (F.col("units") / 2).alias("units"), F.lit(1).cast("long").alias("count"), "cluster", "license")
+    up = lambda c: bottom.groupBy(c, "date").agg((F.sum("units") * 1.1).alias("units"), F.count(F.lit(1)).alias("count"))
+    none = lambda t: F.lit(None).cast(t)
+    mid = up("cluster").select(F.lit("cluster").alias("level"), F.col("cluster").cast("string").alias("series_id"), "date", "units", "count", "cluster", none("string").alias("license"))
+    top = up("license").select(F.lit("license").alias("level"), F.col("license").alias("series_id"), "date", "units", "count", none("int").alias("cluster"), "license")
+    return hierarchy.drop_single_child(bottom.unionByName(mid).unionByName(top))
+
+
+def _bottom_tree(fcst: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    bottom = fcst.where("level = 'bottom'")
+    return bottom, bottom.select("series_id", "cluster", "license").distinct(), reconcile.densify(reconcile.restore(fcst, ["cluster", "license"]))
+
+
+def level_rollup_license(spark, d):
+    return rounded(hierarchy.rollup(_filled(spark, d), "license"))
+
+
+def sales_lines(spark, d):
+    return rounded(src.sales_by_supplier(spark, d))
+
+
+def platform_filter(spark, d):
+    return rounded(panel.keep_listed(src.sales_by_part(spark, d), PART.platforms, PART.excluded_suppliers))
+
+
+def monthly_rollup(spark, d):
+    return rounded(_rolled(spark, d))
+
+
+def product_ranges(spark, d):
+    return panel.ranges(_rolled(spark, d), KEYS[:4])
+
+
+def product_platform_pairs(spark, d):
+    return panel.all_pairs(_rolled(spark, d))
+
+
+def calendar_spine(spark, d):
+    return panel.spine(_rolled(spark, d))
+
+
+def calendar_spine_by_key(spark, d):
+    return panel.spine(_rolled(spark, d, DENSE), with_platform=False)
+
+
+def panel_completed(spark, d):
+    return rounded(panel.complete(_rolled(spark, d)))
+
+
+def panel_filled(spark, d):
+    return rounded(_filled(spark, d))
+
+
+def null_counts(spark, d):
+    return panel.nulls(panel.complete(_rolled(spark, d)), ["sku", "units", "sales", "cost"])
+
+
+def license_rules(spark, d):
+    return rules.relabel_license(_rolled(spark, d), PART.license_rules).groupBy("license").agg(F.count(F.lit(1)).alias("n"))
+
+
+def product_labels(spark, d):
+    parts = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("sku"), F.col("p_name").alias("description"))
+    return rules.with_product(parts, PART.labels, PART.synonyms)
+
+
+def ascii_fold(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", F.md5(S.fold_ascii("text")).alias("folded"))
+
+
+def sku_dimension(spark, d):
+    return rounded(cluster.sku_dimension(_filled(spark, d)))
+
+
+def repeated_skus(spark, d):
+    return cluster.repeated_skus(src.sales_by_supplier(spark, d).select("license", F.col("supplier").alias("sku"), "platform").distinct())
+
+
+def significant_above(spark, d):
+    return rounded(panel.significant(_rolled(spark, d), PART.min_sku_units))
+
+
+def significant_exact(spark, d):
+    return rounded(panel.significant(_rolled(spark, d), PART.min_sku_units, "exact"))
+
+
+def pareto_report(spark, d):
+    return rounded(panel.pareto(_rolled(spark, d), PART.min_sku_units), 6)
+
+
+def running_unit_share(spark, d):
+    return rounded(panel.running_share(_rolled(spark, d)), 6)
+
+
+def price_range(spark, d):
+    return cluster.price_range(cluster.sku_dimension(_filled(spark, d)))
+
+
+def price_vectors(spark, d):
+    v = cluster.with_price_vector(cluster.sku_dimension(_filled(spark, d)))
+    return v.select("sku", F.posexplode("price_vector").alias("cell", "weight")).where("weight > 0").withColumn("weight", F.round("weight", 6))
+
+
+def cluster_split(spark, d):
+    parts = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("sku"), (F.col("p_size") % 5).alias("raw_cluster"), F.col("p_type").alias("license"), F.col("p_brand").alias("product"))
+    return cluster.split_clusters(parts)
+
+
+def weighted_cost(spark, d):
+    return rounded(_rolled(spark, d).groupBy("sku").agg(S.weighted_mean(F.col("cost"), F.col("units")).alias("cost")))
+
+
+def stockout_price(spark, d):
+    return rounded(stockout.with_price(_filled(spark, d, DENSE)).select("sku_platform", "date", "price"))
+
+
+def platform_months(spark, d):
+    return rounded(stockout.with_platform_months(_filled(spark, d, DENSE)).select("sku_platform", "date", "platform_monthly_sales"))
+
+
+def stockout_seeds(spark, d):
+    return stockout.seeds(stockout.residuals(_predicted(spark, d))).select("sku_platform", "date", F.round("residuals", 4).alias("residuals"), "surge", "slump", "is_first", "seed")
+
+
+def stockout_labels(spark, d):
+    return _labelled(spark, d).select("sku_platform", "date", "stockout")
+
+
+def stockout_counts(spark, d):
+    return stockout.counts(_labelled(spark, d))
+
+
+def fit_report(spark, d):
+    return rounded(stockout.fit_report(_predicted(spark, d)))
+
+
+def in_stock_rows(spark, d):
+    return rounded(stockout.drop_stockouts(_labelled(spark, d)).select("sku_platform", "date", "units", "sales"))
+
+
+def hierarchy_edges(spark, d):
+    return hierarchy.edges(_clustered(spark, d), ["cluster", "license"])
+
+
+def rollup_cluster(spark, d):
+    return rounded(hierarchy.rollup(_clustered(spark, d), "cluster"))
+
+
+def rollup_by_edges(spark, d):
+    return rounded(hierarchy.rollup_by_edges(_clustered(spark, d), "license"))
+
+
+def mean_cost_by_parent(spark, d):
+    return rounded(hierarchy.mean_by_parent(_clustered(spark, d), "license"))
+
+
+def single_valued_attributes(spark, d):
+    return hierarchy.single_valued(_clustered(spark, d), "cluster", ["supplier", "license", "product", "sku"])
+
+
+def stacked_levels(spark, d):
+    return rounded(_stacked(spark, d).select("level", "series_id", "date", "units", "sales", "cost", "count", "supplier", "license", "product"))
+
+
+def without_single_children(spark, d):
+    return rounded(hierarchy.drop_single_child(_stacked(spark, d)).select("level", "series_id", "date", "units", "count"))
+
+
+def one_level(spark, d):
+    return rounded(_stacked(spark, d).where("level = 'cluster'").select("series_id", "date", "units", "count"))
+
+
+def month_runs(spark, d):
+    return _timed(spark, d).select("series_id", "date", F.col("cont_sales_id").cast("long").alias("cont_sales_id"), "year", "month_num")
+
+
+def time_features(spark, d):
+    return rounded(_timed(spark, d).select("series_id", "date", "month_sin", "month_cos", F.col("months_on_shelf").cast("long").alias("months_on_shelf")))
+
+
+def valid_lags(spark, d):
+    return features.valid_lags(_timed(spark, d), 6)
+
+
+def lag_features(spark, d):
+    return rounded(_lagged(spark, d).select("series_id", "date", "lag_1", "lag_2", "lag_3", "sales_roll_3", "lag_1_over_lag_2", "lag_1_over_lag_3"))
+
+
+def lag_correlations(spark, d):
+    return rounded(features.lag_correlations(_lagged(spark, d), [1, 2, 3]))
+
+
+def chosen_lag_features(spark, d):
+    rows = _timed(spark, d)
+    return rounded(features.lag_features(rows, 6, 0.02))
+
+
+def interest_index(spark, d):
+    return rounded(enrich.interest(src.interest_by_type(spark, d)), 6)
+
+
+def interest_index_months_only(spark, d):
+    return rounded(enrich.interest(src.interest_by_type(spark, d), include_derived=False), 6)
+
+
+def title_companies(spark, d):
+    return enrich.companies(src.titles_by_type(spark, d))
+
+
+def title_attributes(spark, d):
+    return rounded(enrich.title_features(src.titles_by_type(spark, d), names=["North Co.", "South Co."]))
+
+
+def enriched_series(spark, d):
+    dims = [enrich.interest(src.interest_by_type(spark, d)), enrich.title_features(src.titles_by_type(spark, d), names=["North Co.", "South Co."])]
+    got = enrich.release_age(enrich.enrich(_rolled(spark, d), dims), ["PROMO", "SMALL"])
+    return rounded(got.select("sku", "platform", "date", "moviemeter_average", "run_time", "production_company_north_co", "months_from_release", "months_from_release_promo", "months_from_release_small"))
+
+
+def train_rows(spark, d):
+    got = model.prepare(_stacked(spark, d), oracle.CUTOFF, ["sku", "supplier", "cluster"], "train")
+    return rounded(got.select("level", "series_id", "date", "units", "sku", "supplier", "cluster", "price"))
+
+
+def inference_rows(spark, d):
+    got = model.prepare(_stacked(spark, d), oracle.CUTOFF, ["sku", "supplier", "cluster"], "inference", mask_sales=True)
+    return rounded(got.select("level", "series_id", "date", "units", "price"))
+
+
+def fixed_prices(spark, d):
+    return rounded(model.fixed_price(_stacked(spark, d)))
+
+
+def forecast_features(spark, d):
+    rows = features.lag_features(features.runs(_stacked(spark, d)), lags=[1, 2], trends=[("lag_1", "lag_2")])
+    masked = model.prepare(rows, oracle.CUTOFF, [], "inference")
+    return rounded(model.rebuild_lags(masked).where(F.col("date") >= F.lit(oracle.CUTOFF)).select("level", "series_id", "date", "lag_1", "lag_2", "lag_1_over_lag_2", "sales_roll_3"))
+
+
+def child_counts(spark, d):
+    return reconcile.child_counts(_forecast(spark, d).where("level = 'bottom'"), "cluster")
+
+
+def single_children(spark, d):
+    return rounded(reconcile.single_children(_forecast(spark, d).where("level = 'bottom'"), "cluster").select("series_id", "date", "units"))
+
+
+def restored_forecast(spark, d):
+    return rounded(reconcile.restore(_forecast(spark, d), ["cluster", "license"]).select("level", "series_id", "date", "units"))
+
+
+def densified_forecast(spark, d):
+    return rounded(_bottom_tree(_forecast(spark, d))[2])
+
+
+def bottom_up_totals(spark, d):
+    bottom, _, dense = _bottom_tree(_forecast(spark, d))
+    return reconcile.bottom_up(dense, reconcile.forecast_edges(bottom, ["cluster", "license"]))
+
+
+def reconciled_unconstrained(spark, d):
+    _, tree, dense = _bottom_tree(_forecast(spark, d))
+    return rounded(reconcile.reconciled_bottom(dense, tree).select("series_id", "date", "units", "reconciled"))
+
+
+def reconciled_forecast(spark, d):
+    return reconcile.reconcile(_forecast(spark, d), nonnegative=True)
+
+
+def reconciled_bottom_up(spark, d):
+    return reconcile.reconcile(_forecast(spark, d), method="bottom_up")
+
+
+def monthly_units_wide(spark, d):
+    months = list(range(1, 13))
+    return rounded(_rolled(spark, d).groupBy("license").pivot(F.month("date"), months).agg(F.sum("units")).select("license", *(F.col(str(m)).alias(f"m{m}") for m in months)))
+
+
+def monthly_units_long(spark, d):
+    wide = monthly_units_wide(spark, d)
+    return wide.unpivot("license", [f"m{m}" for m in range(1, 13)], "month", "units")
+
+
+def key_suffix(spark, d):
+    return spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", S.last_token(F.col("n_name")).alias("suffix"))
+
+
+def poisson_fit(spark, d):
+    rows = stockout.with_platform_months(stockout.with_price(_filled(spark, d, DENSE)))
+    return stockout.poisson_effects(rows)[0].select("sku_platform", "date", "units", F.round("pred", 4).alias("pred"))
+
+
+def product_clusters(spark, d):
+    return cluster.categorize(_filled(spark, d, DENSE), 20, labels=DENSE.labels, synonyms=DENSE.synonyms).select("sku", "product", "cluster").distinct()
+
+
+def preprocess_job(spark, d):
+    return jobs.preprocess(src.sales_by_supplier(spark, d), DENSE)
+
+
+def feature_job(spark, d):
+    return jobs.build_features(_stacked(spark, d), src.interest_by_type(spark, d), src.titles_by_type(spark, d), DENSE, lags=[1, 2], trends=[("lag_1", "lag_2")], companies=["North Co."])
+
+
+def modelling_job(spark, d):
+    table = feature_job(spark, d)
+    return jobs.reconcile_forecasts(jobs.forecast(table, jobs.train(table, DENSE), DENSE), DENSE)
+
+
+QUERIES = [
+    level_rollup_license, sales_lines, platform_filter, monthly_rollup, product_ranges, product_platform_pairs, calendar_spine, calendar_spine_by_key, panel_completed, panel_filled,
+    null_counts, license_rules, product_labels, ascii_fold, sku_dimension, repeated_skus, significant_above, significant_exact, pareto_report, running_unit_share, price_range, price_vectors,
+    cluster_split, weighted_cost, stockout_price, platform_months, stockout_seeds, stockout_labels, stockout_counts, fit_report, in_stock_rows, hierarchy_edges, rollup_cluster, rollup_by_edges,
+    mean_cost_by_parent, single_valued_attributes, stacked_levels, without_single_children, one_level, month_runs, time_features, valid_lags, lag_features, lag_correlations, chosen_lag_features,
+    interest_index, interest_index_months_only, title_companies, title_attributes, enriched_series, train_rows, inference_rows, fixed_prices, forecast_features, child_counts, single_children,
+    restored_forecast, densified_forecast, bottom_up_totals, reconciled_unconstrained, reconciled_forecast, reconciled_bottom_up, monthly_units_wide, monthly_units_long, key_suffix,
+    poisson_fit, product_clusters, preprocess_job, feature_job, modelling_job,
+]
+
 
 def queries() -> dict:
-    return {}
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = oracle.statements()
+    if unknown := set(found) - {q.__name__ for q in QUERIES}:
+        raise KeyError(f"oracles without a query: {sorted(unknown)}")
+    return found
+
+
+def names(pattern: str) -> Iterable[str]:
+    """Query names that a pattern matches."""
+    return [q.__name__ for q in QUERIES if re.search(pattern, q.__name__)]
