@@ -180,24 +180,24 @@ def search_points(points: DataFrame, asked: DataFrame, top: int, recall: float)
 
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
-            return pd.DataFrame({"point": pd.Series(dtype="int64"), "near": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+            return pd.DataFrame({"point": pd.Series(dtype="int64"), "scores": pd.Series(dtype="object"), "points": pd.Series(dtype="object")})
         a, ids = np.vstack(q["embedding"].to_numpy()).astype(np.float64), p["point"].to_numpy()
         b = np.vstack(p["embedding"].to_numpy()).astype(np.float64)
-        out = []
+        scores, points = [], []
         for at in range(0, len(a), 256):
             s = a[at : at + 256] @ b.T
             hit = best(s, ids, min(top + 1, len(ids)))
-            row = np.repeat(np.arange(len(s)), hit.shape[1])
-            out.append(pd.DataFrame({"point": q["point"].to_numpy()[at + row], "near": ids[hit.ravel()], "score": s[row, hit.ravel()]}))
-        return pd.concat(out)
+            scores += list(np.take_along_axis(s, hit, axis=1))
+            points += list(ids[hit])
+        return pd.DataFrame({"point": q["point"], "scores": scores, "points": points})
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_curves * blocks * chunks // 4)
     keys = ["curve", "block", "chunk"]
-    found = queries.repartition(parts, *keys).groupBy(*keys).cogroup(items.repartition(parts, *keys).groupBy(*keys)).applyInPandas(compare, "point long, near long, score double")
-    w = W.partitionBy("point").orderBy(F.col("score").desc(), "near")
-    if n_curves > 1:
-        found = found.dropDuplicates(["point", "near"])
-    return found.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top + 1).drop("_rn")
+    found = queries.repartition(parts, *keys).groupBy(*keys).cogroup(items.repartition(parts, *keys).groupBy(*keys)).applyInPandas(compare, "point long, scores array<double>, points array<long>")
+    # a list of top + 1 from each window of a point: as many lists as the windows that it was compared in
+    pair = F.arrays_zip(F.transform("scores", lambda x: -x).alias("minus"), F.col("points").alias("near"))
+    merged = found.select("point", pair.alias("list")).groupBy("point").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("list")))), 1, top + 1).alias("list"))
+    return merged.select("point", F.inline("list")).select("point", "near", (-F.col("minus")).alias("score"))
 
 
 def search(embeddings: DataFrame, every: int = 20, top: int = 20, recall: float = 0.97) -> DataFrame:
