@@ -7,7 +7,7 @@ difference of two members of the cover, so two equal windows, wherever they star
 offset. The steps, all Spark jobs:
 
 1. Anchors (64-bit, a filter only) are aggregated to the smallest and largest doc_id; those of one document go.
-2. Back in the texts, each shared anchor is extended to all windows that hold it. These windows, hashed to 128 bits,
+2. Back in the texts, each shared anchor is extended to all windows that hold it. These windows, hashed to 96 bits,
    are aggregated to the smallest doc_id that they start in; windows seen in one document only go.
 3. Windows that start in an earlier document mark their words, and the texts are rewritten.
 
@@ -91,7 +91,8 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = first[held[first]]
             if len(first):
                 doc = s.column("doc_id").to_numpy(zero_copy_only=False)
-                a, c = (rolling(v, first, first + WINDOW, lane).view(np.int64) for lane, v in enumerate((h, g)))
+                a = rolling(h, first, first + WINDOW, 0).view(np.int64)
+                c = (rolling(g, first, first + WINDOW, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 pos = first - w.first[owner[first]]
                 yield pa.record_batch([pa.array(a), pa.array(c), pa.array(doc[owner[first]], pa.int64()), pa.array(pos, pa.int32())], ["h1", "h2", "doc_id", "pos"])
 
@@ -102,7 +103,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     found = texts.mapInArrow(anchors, "anchor long, doc_id long")
     shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     mine = store.keep(found.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "sd-anchors")
-    seen = store.keep(texts.join(mine, "doc_id").mapInArrow(windows, "h1 long, h2 long, doc_id long, pos int"), "sd-windows")
+    seen = store.keep(texts.join(mine, "doc_id").mapInArrow(windows, "h1 long, h2 int, doc_id long, pos int"), "sd-windows")
     earliest = seen.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
     late = seen.join(earliest, ["h1", "h2"]).where("doc_id > lo")
     return late.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
