@@ -10,10 +10,13 @@ Words are lower-cased (A-Z only); a document's set is its distinct shingles of `
    of the threshold (over 5 standard deviations), which spares the exact check for hopeless pairs.
 4. Proposed pairs are checked exactly on full sets; confirmed links are joined into components by propagating
    the smallest id, with pointer jumping.
-5. A hub has then been compared with all its bucket, so it leaves. While a bucket still has members in different
-   components, the rest goes on: small buckets propose all remaining pairs across components at once, larger ones
-   their next hub. So every pair of a bucket is compared or already connected, and no bucket is ever expanded
-   into all its pairs. There is no cap on buckets or partners.
+5. A hub has then been compared with all its bucket. The members of buckets that still hold several components meet
+   in tasks with their full sets, oversized buckets cut into pairs of chunks of ``CHUNK`` members. Pairs that are not
+   connected yet, and share no earlier band, are screened by their packed signatures and then checked exactly, one
+   member against many at a time; only links that join two components come out.
+
+So every pair of a bucket is compared or already connected, and no bucket is expanded into all its pairs. There is
+no cap on buckets or partners.
 
 A pair at the threshold shares a band with probability ``1 - (1 - 0.75**ROWS)**BANDS``, over 0.999995.
 
@@ -37,7 +40,8 @@ from demandspark.llm.text import Words, mix, rolling, slices
 WIDTH, BANDS, ROWS, BITS = 5, 32, 4, 4
 PERCENT = 75
 SLACK = 0.2
-SMALL = 12  # members of a bucket whose remaining pairs are proposed at once
+CHUNK = 512
+HEAVY_ROWS = 256  # rows with texts or sets that Python gets at once
 _U = np.uint64
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 
@@ -123,6 +127,91 @@ def hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition, cut where the keys change."""
+    rest: list[pa.RecordBatch] = []
+    last: tuple = ()
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.column_stack([b.column(c).to_numpy() for c in keys])
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1), len(k)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            if rest and (x or tuple(k[0]) != last):
+                yield whole(rest)
+                rest = []
+            rest.append(b.slice(x, y - x))
+            last = tuple(k[x])
+    if rest:
+        yield whole(rest)
+
+
+def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for s in slices(b):
+            sets, edges = shingles(s.column("text"))
+            yield pa.record_batch([s.column("doc_id"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(sets.view(np.int64)))], ["doc_id", "set"])
+
+
+def join_group(g: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Links between components of one group of members of a bucket, enough to connect what is connected."""
+    ids, n, c = (g.column(x).to_numpy() for x in ("doc_id", "n", "c"))
+    band, one_chunk = int(g.column("band")[0].as_py()), g.column("i")[0] == g.column("j")[0]
+    root = np.unique(g.column("comp").to_numpy(), return_inverse=True)[1]
+    keys = g.column("bands").flatten().to_numpy().reshape(len(ids), -1)[:, :band]
+    sig = np.frombuffer(b"".join(g.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+    sets = g.column("set")
+    edges = sets.offsets.to_numpy() - sets.offsets[0].as_py()
+    words, code = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    mark = np.zeros(len(words), dtype=bool)
+    out = []
+    for k in range(len(ids) - 1):
+        ok = root[k + 1 :] != root[k]
+        if not ok.any():
+            continue
+        other = k + 1 + np.flatnonzero(ok)
+        small, big = np.minimum(n[other], n[k]), np.maximum(n[other], n[k])
+        other = other[(100 * small >= PERCENT * big) & (one_chunk | (c[other] != c[k]))]
+        other = other[~(keys[other] == keys[k]).any(1)]
+        if len(other):
+            other = other[similarity(sig[other], sig[k : k + 1]) >= PERCENT / 100 - SLACK]
+        if not len(other):
+            continue
+        mine = code[edges[k] : edges[k + 1]]
+        mark[mine] = True
+        common = np.array([np.count_nonzero(mark[code[edges[m] : edges[m + 1]]]) for m in other])
+        mark[mine] = False
+        for m in other[100 * common >= PERCENT * (n[k] + n[other] - common)]:
+            if root[m] != root[k]:
+                out.append((int(ids[k]), int(ids[m])))
+                root[root == root[m]] = root[k]
+    return out
+
+
+def across(open_rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between components of a bucket; rows are (band, bucket, doc_id, comp, size)."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), chunks).cast("int")
+    rows = open_rows.select("band", "bucket", "doc_id", "comp", own.alias("c"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o"))
+    rows = rows.select("band", "bucket", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "doc_id", "comp")
+    keys = ["band", "bucket", "i", "j"]
+    wanted = open_rows.select("doc_id").distinct()
+    full = store.keep(texts.join(wanted, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, set array<long>").join(nodes.select("doc_id", "n", "sig", "bands"), "doc_id"), "nd-sets", HEAVY_ROWS)
+    rows = rows.join(full, "doc_id").select(*keys, "c", "doc_id", "comp", "n", "sig", "bands", "set")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in groups(batches, keys):
+            if g.num_rows > 1 and (found := join_group(g)):
+                a, b = zip(*found, strict=True)
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose full shingle sets meet the threshold."""
     t = texts.select("doc_id", "text")
@@ -169,33 +258,20 @@ def link(docs: DataFrame) -> DataFrame:
     copies = rows.where("n > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("node"))
     member = store.keep(rows.where("n > 0 and doc_id is not null").select("doc_id", *sets).join(copies, sets).select("doc_id", "node").distinct(), "nd-member")
     nodes = store.keep(rows.where("n > 0 and doc_id is not null").join(copies.select(F.col("node").alias("doc_id"), *sets), ["doc_id", *sets]).dropDuplicates(["doc_id", *sets]), "nd-nodes")
-    banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key")).select(F.col("key").bitwiseXOR(F.col("band").cast("long")).alias("bucket"), "doc_id")
-    sizes = banded.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    full = store.keep(banded.join(sizes, "bucket").select("bucket", "doc_id", "hub", "size"), "nd-buckets")
+    banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key")).select("band", F.col("key").alias("bucket"), "doc_id")
+    sizes = banded.groupBy("band", "bucket").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    full = store.keep(banded.join(sizes, ["band", "bucket"]).select("band", "bucket", "doc_id", "hub", "size"), "nd-buckets")
     # repeated doc_ids with different texts are tied together through the id itself
     links = member.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     proposed = full.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    texts, found = None, None
-    left = full.where("doc_id <> hub and size > 2").select("bucket", "doc_id")
-    while True:
-        likely = store.keep(hopeful(proposed, nodes), "nd-likely")
-        if texts is None:
-            # every later pair is among members of these buckets; their texts move once
-            wanted = full.select("doc_id").distinct()
-            texts = store.keep(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "nd-texts")
-        sure = store.keep(confirm(likely, texts), "nd-sure")
-        found = sure if found is None else found.unionByName(sure)
-        comps = components(found)
-        of = left.join(comps, "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-        open_ = of.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct("doc_id", "comp")).alias("hub"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-        now = store.keep(of.join(open_.select("bucket", F.col("hub.doc_id").alias("hub"), F.col("hub.comp").alias("hub_comp"), "size"), "bucket"), "nd-open")
-        small = now.where(f"size <= {SMALL}").select("bucket", "doc_id", "comp")
-        pairs = small.join(small.toDF("bucket", "other", "other_comp"), "bucket").where("doc_id < other and comp <> other_comp").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
-        large = now.where(f"size > {SMALL} and doc_id <> hub")
-        proposed = pairs.unionByName(large.where("comp <> hub_comp").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))).distinct()
-        left = large.select("bucket", "doc_id")
-        if not now.limit(1).count():
-            break
+    # every later pair is among members of these buckets; their texts move once
+    texts = store.keep(docs.join(full.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "nd-texts")
+    found = store.keep(confirm(store.keep(hopeful(proposed, nodes), "nd-likely"), texts), "nd-sure", HEAVY_ROWS)
+    comps = components(found)
+    of = full.where("doc_id <> hub and size > 2").select("band", "bucket", "doc_id").join(comps, "doc_id", "left").select("band", "bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+    open_ = of.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("band", "bucket", "size")
+    rest = store.keep(of.join(open_, ["band", "bucket"]), "nd-rest")
+    found = found.unionByName(store.keep(across(rest, nodes, texts), "nd-across", HEAVY_ROWS))
     comps = components(found.unionByName(links))
     return rows.select("doc_id", "n").join(comps, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a temporary folder only where that is unset (local tests)."""
@@ -17,9 +19,18 @@ def folder(spark: SparkSession) -> str:
     return got.rstrip("/")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write a table and read it again: cuts the lineage, and a lost executor costs nothing that is already written."""
+def keep(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write a table and read it again: cuts the lineage, and a lost executor costs nothing that is already written.
+
+    ``batch_rows`` bounds the rows handed to Python at once while it is made, for steps with heavy rows.
+    """
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, was)
     return spark.read.schema(df.schema).parquet(path)
