@@ -16,8 +16,9 @@ def _fold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.lower()).encode("ascii", "ignore").decode())
 
 
-fold_ascii = F.pandas_udf(_fold, "string")
-fold_ascii.__doc__ = "Lower case, compatibility-decomposed, without anything that is not ASCII."
+def fold_ascii(text: Column | str) -> Column:
+    """Lower case, compatibility-decomposed, without anything that is not ASCII."""
+    return F.pandas_udf(_fold, "string")(text)
 
 
 def month_start(month_name: Column, year: Column) -> Column:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import scalars as S
 
-SERIES = W.partitionBy("sku_platform").orderBy("date")
+
+def series_window():
+    return W.partitionBy("sku_platform").orderBy("date")
 
 
 def with_price(panel: DataFrame) -> DataFrame:
@@ -100,8 +102,8 @@ def seeds(df: DataFrame, surge: float = 1.25, at_zero: float = 1.0, second_point
     slope = -(at_second - at_zero) / math.log(1 + second_point)
     r = F.coalesce("residuals", F.lit(0.0))
     flags = df.withColumn("surge", (r > surge).cast("int")).withColumn("slump", (r < slope * F.log1p("units") - at_zero).cast("int"))
-    near = (F.lag("surge", 1, 0).over(SERIES) == 1) | (F.lead("surge", 1, 0).over(SERIES) == 1)
-    return flags.withColumn("is_first", F.row_number().over(SERIES) == 1).withColumn("seed", ((F.col("slump") == 1) & (near | F.col("is_first"))).cast("int"))
+    near = (F.lag("surge", 1, 0).over(series_window()) == 1) | (F.lead("surge", 1, 0).over(series_window()) == 1)
+    return flags.withColumn("is_first", F.row_number().over(series_window()) == 1).withColumn("seed", ((F.col("slump") == 1) & (near | F.col("is_first"))).cast("int"))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -109,8 +111,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     Stretches are numbered by a running count of changes, so no pass per month is needed; all windows share one sort.
     """
-    change = (F.col("slump") != F.lag("slump").over(SERIES)).cast("int")
-    numbered = df.withColumn("_c", F.coalesce(change, F.lit(0))).withColumn("_island", F.sum("_c").over(SERIES.rowsBetween(W.unboundedPreceding, 0)))
+    change = (F.col("slump") != F.lag("slump").over(series_window())).cast("int")
+    numbered = df.withColumn("_c", F.coalesce(change, F.lit(0))).withColumn("_island", F.sum("_c").over(series_window().rowsBetween(W.unboundedPreceding, 0)))
     island = W.partitionBy("sku_platform", "_island")
     hit = (F.col("slump") == 1) & (F.max("seed").over(island) == 1) & ((F.count(F.lit(1)).over(island) >= 2) | F.col("is_first"))
     return numbered.withColumn("stockout", hit.cast("int")).drop("_c", "_island")

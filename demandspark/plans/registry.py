@@ -14,6 +14,7 @@ from demandspark.operators import cluster, enrich, features, hierarchy, model, p
 from demandspark.plans import jobs, oracle
 from demandspark.schema import Params
 from demandspark.sources import sales as src
+from demandspark.sources.scratch import keep
 
 PART = Params(platforms=("A", "N"), excluded_suppliers=("Brand#2",), min_sku_units=oracle.LEAST, license_rules=oracle.LICENSES, labels=oracle.LABELS, synonyms=oracle.SYNONYMS, cutoff=oracle.CUTOFF)
 DENSE = Params(platforms=("F", "O"), excluded_suppliers=(), min_sku_units=0, clusters=20, cutoff=oracle.CUTOFF, tree_depth=4, tree_rounds=8, important_licenses=("ASIA",), labels=("supplier",), synonyms={})
@@ -50,7 +51,7 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stacked(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.stack(_clustered(spark, d), kept={"cluster": ["supplier", "license", "product"], "license": ["product"]})
+    return hierarchy.stack(keep(_clustered(spark, d), "clustered"), kept={"cluster": ["supplier", "license", "product"], "license": ["product"]})
 
 
 def _timed(spark: SparkSession, d: str) -> DataFrame:
@@ -65,18 +66,18 @@ def _lagged(spark: SparkSession, d: str) -> DataFrame:
 
 def _forecast(spark: SparkSession, d: str) -> DataFrame:
     """Stand-in forecasts of all levels from the cutoff on: halves of units at the bottom, and 1.1 times the totals above."""
-    late = _clustered(spark, d).where(F.col("date") >= F.lit(oracle.CUTOFF)).where("units > 0")
+    late = keep(_clustered(spark, d), "clustered").where(F.col("date") >= F.lit(oracle.CUTOFF)).where("units > 0")
     bottom = late.select(F.lit("bottom").alias("level"), F.col("sku_platform").alias("series_id"), "date", (F.col("units") / 2).alias("units"), F.lit(1).cast("long").alias("count"), "cluster", "license")
     up = lambda c: bottom.groupBy(c, "date").agg((F.sum("units") * 1.1).alias("units"), F.count(F.lit(1)).alias("count"))
     none = lambda t: F.lit(None).cast(t)
     mid = up("cluster").select(F.lit("cluster").alias("level"), F.col("cluster").cast("string").alias("series_id"), "date", "units", "count", "cluster", none("string").alias("license"))
     top = up("license").select(F.lit("license").alias("level"), F.col("license").alias("series_id"), "date", "units", "count", none("int").alias("cluster"), "license")
-    return hierarchy.drop_single_child(bottom.unionByName(mid).unionByName(top))
+    return keep(hierarchy.drop_single_child(bottom.unionByName(mid).unionByName(top)), "forecast")
 
 
 def _bottom_tree(fcst: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bottom = fcst.where("level = 'bottom'")
-    return bottom, bottom.select("series_id", "cluster", "license").distinct(), reconcile.densify(reconcile.restore(fcst, ["cluster", "license"]))
+    return bottom, bottom.select("series_id", "cluster", "license").distinct(), keep(reconcile.densify(reconcile.restore(fcst, ["cluster", "license"])), "dense")
 
 
 def level_rollup_license(spark, d):
@@ -372,7 +373,7 @@ def feature_job(spark, d):
 
 
 def modelling_job(spark, d):
-    table = feature_job(spark, d)
+    table = keep(feature_job(spark, d), "features")
     return jobs.reconcile_forecasts(jobs.forecast(table, jobs.train(table, DENSE), DENSE), DENSE)
 
 
