@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandspark.llm import store
 from demandspark.llm.text import Words, rolling, slices
@@ -171,7 +172,7 @@ def remove(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([*columns, n], [*names, "_n"]).filter(pa.array((gone == 0) | (gone < w.count)))
 
     joined = docs.join(marks, "doc_id", "left").select(*names, "_starts")
-    schema = docs.schema.add("_n", "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField("_n", T.LongType())])
     got = joined.mapInArrow(run, schema)
     if "n_chars" in names:
         got = got.withColumn("n_chars", F.coalesce(F.col("_n"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
