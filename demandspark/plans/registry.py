@@ -343,7 +343,7 @@ def reconciled_bottom_up(spark, d):
 
 def monthly_units_wide(spark, d):
     months = list(range(1, 13))
-    return rounded(_rolled(spark, d).groupBy("license").pivot(F.month("date"), months).agg(F.sum("units")).select("license", *(F.col(str(m)).alias(f"m{m}") for m in months)))
+    return rounded(_rolled(spark, d).withColumn("_m", F.month("date")).groupBy("license").pivot("_m", months).agg(F.sum("units")).select("license", *(F.col(str(m)).alias(f"m{m}") for m in months)))
 
 
 def monthly_units_long(spark, d):
