@@ -84,12 +84,12 @@ def statements() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
     first_label = "case " + " ".join(f"when contains(lower(p_name), '{x}') then '{x}'" for x in LABELS) + " else 'unknown' end"
     licenses = "case " + " ".join(f"when license = '{a}' and contains(lower(description), '{b}') then '{n}'" for a, b, n in LICENSES) + " else license end"
-    r4 = lambda *cs: ", ".join(f"round({c}, 4) as {c}" for c in cs)
+    r4 = lambda *cs: ", ".join(f"round({c} + 1e-9, 4) as {c}" for c in cs)
     measures = r4("units", "sales", "cost")
     title_cols = "case when license < 'M' then 'North Co.' when license < 'S' then 'South Co.' end"
     released = "make_date(cast(case when n % 100 >= 69 then 1900 + n % 100 else 2000 + n % 100 end as integer), cast(n % 12 + 1 as integer), 15)"
     age = f"cast((year(date) * 12 + month(date)) - (year({released}) * 12 + month({released})) as integer)"
-    interest = "select license, round(av, 6) as moviemeter_average, round(t3, 6) as moviemeter_trend_3, round((m09 + m10 + m11 + m12 + av + t3) / nullif(f6, 0), 6) as moviemeter_trend_6 from inter3"
+    interest = "select license, round(av + 1e-9, 6) as moviemeter_average, round(t3 + 1e-9, 6) as moviemeter_trend_3, round((m09 + m10 + m11 + m12 + av + t3) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter3"
     return {k: _CTES + v for k, v in {
         "level_rollup_license": f"select license, date, {r4('units', 'sales')}, count from (select license, date, sum(units) as units, coalesce(sum(sales), 0) as sales, count(*) as count from a_filled group by all)",
         "sales_lines": f"select {_KEYS}, month_name, year, {measures} from b_lines",
@@ -109,57 +109,57 @@ def statements() -> dict[str, str]:
         "repeated_skus": "select supplier as sku, count(*) as n from (select distinct license, supplier, platform from b_lines) group by supplier having count(*) > 1",
         "significant_above": f"select {_KEYS}, date, {r4('r.units', 'sales', 'cost').replace('as r.units', 'as units')} from a_rolled r join sku_units u using (sku) where u.units > {LEAST}",
         "significant_exact": f"select {_KEYS}, date, {r4('r.units', 'sales', 'cost').replace('as r.units', 'as units')} from a_rolled r join sku_units u using (sku) where u.units > {LEAST} and exists (select 1 from sku_units where units = {LEAST})",
-        "pareto_report": f"""select round(case when hit then above + 1 else 1 end / skus, 6) as sku_share, round(case when hit then (select count(*) from a_rolled join sku_units u using (sku) where u.units > {LEAST}) else 0 end / (select count(*) from a_rolled), 6) as row_share,
-  round(case when hit then u_above + {LEAST} else best end / total, 6) as unit_share from (select bool_or(units = {LEAST}) as hit, max(units) as best, count(*)::double as skus, sum(units) as total, count(*) filter (where units > {LEAST}) as above, coalesce(sum(units) filter (where units > {LEAST}), 0) as u_above from sku_units)""",
-        "running_unit_share": "select sku, round(units, 6) as units, row_number() over w as rank, round(sum(units) over (order by units desc, sku rows unbounded preceding) / sum(units) over (), 6) as share from sku_units window w as (order by units desc, sku)",
+        "pareto_report": f"""select round(case when hit then above + 1 else 1 end / skus + 1e-9, 6) as sku_share, round(case when hit then (select count(*) from a_rolled join sku_units u using (sku) where u.units > {LEAST}) else 0 end / (select count(*) from a_rolled) + 1e-9, 6) as row_share,
+  round(case when hit then u_above + {LEAST} else best end / total + 1e-9, 6) as unit_share from (select bool_or(units = {LEAST}) as hit, max(units) as best, count(*)::double as skus, sum(units) as total, count(*) filter (where units > {LEAST}) as above, coalesce(sum(units) filter (where units > {LEAST}), 0) as u_above from sku_units)""",
+        "running_unit_share": "select sku, round(units + 1e-9, 6) as units, row_number() over w as rank, round(sum(units) over (order by units desc, sku rows unbounded preceding) / sum(units) over () + 1e-9, 6) as share from sku_units window w as (order by units desc, sku)",
         "price_range": "select cast((floor(min(price) / 50) - 2) * 50 as bigint) as low, cast(floor(max(price) / 50) - floor(min(price) / 50) + 5 as bigint) as cells from dim",
-        "price_vectors": """select sku, cell, round(w / (sqrt(sum(w * w) over (partition by sku)) + 1e-9), 6) as weight from (
+        "price_vectors": """select sku, cell, round(w / (sqrt(sum(w * w) over (partition by sku)) + 1e-9) + 1e-9, 6) as weight from (
   select sku, cast(floor((price - low) / 50) + k as integer) as cell, [1.0, 0.5, 0.25][abs(k) + 1]::double as w from dim, (select (floor(min(price) / 50) - 2) * 50 as low from dim), (select unnest([-2, -1, 0, 1, 2]) as k) where price is not null)""",
         "cluster_split": "select p_partkey as sku, p_size % 5 as raw_cluster, p_type as license, p_brand as product, cast(dense_rank() over (order by p_size % 5, p_type, p_brand) - 1 as integer) as cluster from part",
-        "weighted_cost": "select sku, round(sum(cost * units) / nullif(sum(case when cost is not null then units end), 0), 4) as cost from a_rolled group by sku",
-        "stockout_price": "select sku_platform, date, round(coalesce(sales / nullif(units, 0), sum(sales / nullif(units, 0) * units) over (partition by sku_platform) / sum(case when sales / nullif(units, 0) is not null then units end) over (partition by sku_platform)), 4) as price from b_filled",
-        "platform_months": "select sku_platform, date, round(sum(units) over (partition by date, platform), 4) as platform_monthly_sales from b_filled",
-        "stockout_seeds": "select sku_platform, date, round(residuals, 4) as residuals, surge, slump, is_first, seed from seeds",
+        "weighted_cost": "select sku, round(sum(cost * units) / nullif(sum(case when cost is not null then units end), 0) + 1e-9, 4) as cost from a_rolled group by sku",
+        "stockout_price": "select sku_platform, date, round(coalesce(sales / nullif(units, 0), sum(sales / nullif(units, 0) * units) over (partition by sku_platform) / sum(case when sales / nullif(units, 0) is not null then units end) over (partition by sku_platform)) + 1e-9, 4) as price from b_filled",
+        "platform_months": "select sku_platform, date, round(sum(units) over (partition by date, platform) + 1e-9, 4) as platform_monthly_sales from b_filled",
+        "stockout_seeds": "select sku_platform, date, round(residuals + 1e-9, 4) as residuals, surge, slump, is_first, seed from seeds",
         "stockout_labels": "select sku_platform, date, stockout from labelled",
         "stockout_counts": "select count(*) as n_rows, cast(sum(seed) as bigint) as seeds, cast(sum(stockout) as bigint) as stockouts from labelled",
-        "fit_report": "select count(*) as n_rows, round(sqrt(avg((units - pred) * (units - pred))), 4) as rmse from pred",
+        "fit_report": "select count(*) as n_rows, round(sqrt(avg((units - pred) * (units - pred))) + 1e-9, 4) as rmse from pred",
         "in_stock_rows": f"select sku_platform, date, {r4('units', 'sales')} from labelled where stockout = 0",
         "hierarchy_edges": "select 'bottom' as level, sku_platform as parent_id, sku_platform as child_id from c union select 'cluster', cast(cluster as varchar), sku_platform from c union select 'license', license, sku_platform from c",
         "rollup_cluster": f"select cluster, date, {r4('units', 'sales')}, count from (select cluster, date, sum(units) as units, coalesce(sum(sales), 0) as sales, count(*) as count from c group by all)",
         "rollup_by_edges": f"select license, date, {r4('units', 'sales')}, count from (select license, date, sum(units) as units, coalesce(sum(sales), 0) as sales, count(*) as count from c group by all)",
-        "mean_cost_by_parent": "select license, round(sum(cost * units) / sum(case when cost is not null then units end), 4) as cost from c group by license",
+        "mean_cost_by_parent": "select license, round(sum(cost * units) / sum(case when cost is not null then units end) + 1e-9, 4) as cost from c group by license",
         "single_valued_attributes": "select bool_and(a = 1) as supplier, bool_and(b = 1) as license, bool_and(p = 1) as product, bool_and(s = 1) as sku from (select count(distinct supplier) as a, count(distinct license) as b, count(distinct product) as p, count(distinct sku) as s from c group by cluster)",
         "stacked_levels": f"select level, series_id, date, {measures}, count, supplier, license, product from stacked",
-        "without_single_children": "select level, series_id, date, round(units, 4) as units, count from stacked where level = 'bottom' or count <> 1",
-        "one_level": "select series_id, date, round(units, 4) as units, count from stacked where level = 'cluster'",
+        "without_single_children": "select level, series_id, date, round(units + 1e-9, 4) as units, count from stacked where level = 'bottom' or count <> 1",
+        "one_level": "select series_id, date, round(units + 1e-9, 4) as units, count from stacked where level = 'cluster'",
         "month_runs": "select series_id, date, cont_sales_id, cast(year(date) as integer) as year, cast(month(date) as integer) as month_num from runs",
-        "time_features": "select series_id, date, round(sin(2 * pi() * month(date) / 12), 4) + 0.0 as month_sin, round(cos(2 * pi() * month(date) / 12), 4) + 0.0 as month_cos, months_on_shelf from lags",
+        "time_features": "select series_id, date, round(sin(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_sin, round(cos(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_cos, months_on_shelf from lags",
         "valid_lags": "select " + ", ".join(f"cast(sum(greatest(n - {k}, 0)) as bigint) as lag_{k}" for k in range(1, 7)) + ", cast(sum(n) as bigint) as n_rows from (select count(units) as n from runs group by series_id, cont_sales_id)",
-        "lag_features": f"select series_id, date, {r4('lag_1', 'lag_2', 'lag_3', 'sales_roll_3')}, round(lag_1 / nullif(lag_2, 0), 4) as lag_1_over_lag_2, round(lag_1 / nullif(lag_3, 0), 4) as lag_1_over_lag_3 from lags",
-        "lag_correlations": "select round(corr(lag_1, units), 4) as lag_1, round(corr(lag_2, units), 4) as lag_2, round(corr(lag_3, units), 4) as lag_3 from lags",
+        "lag_features": f"select series_id, date, {r4('lag_1', 'lag_2', 'lag_3', 'sales_roll_3')}, round(lag_1 / nullif(lag_2, 0) + 1e-9, 4) as lag_1_over_lag_2, round(lag_1 / nullif(lag_3, 0) + 1e-9, 4) as lag_1_over_lag_3 from lags",
+        "lag_correlations": "select round(corr(lag_1, units) + 1e-9, 4) as lag_1, round(corr(lag_2, units) + 1e-9, 4) as lag_2, round(corr(lag_3, units) + 1e-9, 4) as lag_3 from lags",
         "interest_index": interest,
-        "interest_index_months_only": "select license, round(av, 6) as moviemeter_average, round((m10 + m11 + m12) / nullif(f3, 0), 6) as moviemeter_trend_3, round((m07 + m08 + m09 + m10 + m11 + m12) / nullif(f6, 0), 6) as moviemeter_trend_6 from inter",
+        "interest_index_months_only": "select license, round(av + 1e-9, 6) as moviemeter_average, round((m10 + m11 + m12) / nullif(f3, 0) + 1e-9, 6) as moviemeter_trend_3, round((m07 + m08 + m09 + m10 + m11 + m12) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter",
         "title_companies": f"select production_company, count(*) as n from (select {title_cols} as production_company from titles) where production_company is not null group by production_company having count(*) >= 2",
-        "title_attributes": f"""select license, cast(n as double) as run_time, round(size / 10, 4) as imdb_rating, cast(n % 2 = 0 as integer) as has_next_release, (n % 12 + 1) || '/15/' || lpad(cast(n % 100 as varchar), 2, '0') as release_date, budget, cast(n as double) as news_articles, budget * 2 as opening_weekend,
+        "title_attributes": f"""select license, cast(n as double) as run_time, round(size / 10 + 1e-9, 4) as imdb_rating, cast(n % 2 = 0 as integer) as has_next_release, (n % 12 + 1) || '/15/' || lpad(cast(n % 100 as varchar), 2, '0') as release_date, budget, cast(n as double) as news_articles, budget * 2 as opening_weekend,
   'released' as title_tatus, 'movie' as title_type, {title_cols} as production_company, cast(license < 'M' as integer) as production_company_north_co, cast(license >= 'M' and license < 'S' as integer) as production_company_south_co from titles""",
-        "enriched_series": f"""select sku, platform, date, round(av, 4) as moviemeter_average, cast(n as double) as run_time, cast(license < 'M' as integer) as production_company_north_co, {age} as months_from_release,
+        "enriched_series": f"""select sku, platform, date, round(av + 1e-9, 4) as moviemeter_average, cast(n as double) as run_time, cast(license < 'M' as integer) as production_company_north_co, {age} as months_from_release,
   case when license = 'PROMO' then {age} else 0 end as months_from_release_promo, case when license = 'SMALL' then {age} else 0 end as months_from_release_small from a_rolled left join inter using (license) left join titles using (license)""",
-        "train_rows": "select level, series_id, date, round(units, 4) as units, coalesce(sku, 'nan') as sku, coalesce(supplier, 'nan') as supplier, coalesce(cast(cluster as varchar), 'nan') as cluster, round(coalesce(sum(sales) over w, 0) / nullif(sum(units) over w, 0), 4) as price from prep where early window w as (partition by level, series_id)",
-        "inference_rows": "select level, series_id, date, round(case when early then units end, 4) as units, round(coalesce(sum(case when early then sales end) over w, 0) / nullif(sum(case when early then units end) over w, 0), 4) as price from prep window w as (partition by level, series_id)",
-        "fixed_prices": "select level, series_id, round(coalesce(sum(sales), 0) / nullif(sum(units), 0), 4) as price from stacked group by all",
-        "forecast_features": f"""select level, series_id, date, round(lag_1, 4) as lag_1, round(lag_2, 4) as lag_2, round(lag_1 / nullif(lag_2, 0), 4) as lag_1_over_lag_2, round(roll, 4) as sales_roll_3 from (
+        "train_rows": "select level, series_id, date, round(units + 1e-9, 4) as units, coalesce(sku, 'nan') as sku, coalesce(supplier, 'nan') as supplier, coalesce(cast(cluster as varchar), 'nan') as cluster, round(coalesce(sum(sales) over w, 0) / nullif(sum(units) over w, 0) + 1e-9, 4) as price from prep where early window w as (partition by level, series_id)",
+        "inference_rows": "select level, series_id, date, round(case when early then units end + 1e-9, 4) as units, round(coalesce(sum(case when early then sales end) over w, 0) / nullif(sum(case when early then units end) over w, 0) + 1e-9, 4) as price from prep window w as (partition by level, series_id)",
+        "fixed_prices": "select level, series_id, round(coalesce(sum(sales), 0) / nullif(sum(units), 0) + 1e-9, 4) as price from stacked group by all",
+        "forecast_features": f"""select level, series_id, date, round(lag_1 + 1e-9, 4) as lag_1, round(lag_2 + 1e-9, 4) as lag_2, round(lag_1 / nullif(lag_2, 0) + 1e-9, 4) as lag_1_over_lag_2, round(roll + 1e-9, 4) as sales_roll_3 from (
   select level, series_id, date, lag(u, 1) over w as lag_1, lag(u, 2) over w as lag_2, avg(u) over (partition by level, series_id, run order by date rows between 3 preceding and 1 preceding) as roll from (
     select *, case when early then units end as u, sum(fresh) over (partition by level, series_id order by date rows unbounded preceding) as run from (
       select *, case when (year(date) * 12 + month(date)) - lag(year(date) * 12 + month(date)) over (partition by level, series_id order by date) = 1 then 0 else 1 end as fresh from prep))
   window w as (partition by level, series_id, run order by date)) where date >= date '{CUTOFF}'""",
         "child_counts": "select * from kids",
-        "single_children": "select cast(cluster as varchar) as series_id, date, round(units, 4) as units from fbottom join kids using (cluster, date) where n_children = 1",
-        "restored_forecast": "select level, series_id, date, round(units, 4) as units from restored",
-        "densified_forecast": "select level, series_id, date, round(units, 4) as units from dense",
+        "single_children": "select cast(cluster as varchar) as series_id, date, round(units + 1e-9, 4) as units from fbottom join kids using (cluster, date) where n_children = 1",
+        "restored_forecast": "select level, series_id, date, round(units + 1e-9, 4) as units from restored",
+        "densified_forecast": "select level, series_id, date, round(units + 1e-9, 4) as units from dense",
         "bottom_up_totals": "select e.level, parent_id as series_id, date, sum(round_even(units, 0)) as units from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",
         "reconciled_unconstrained": f"select series_id, date, {r4('units', 'reconciled')} from rec",
         "reconciled_bottom_up": "select parent_id as series_id, strftime(date, '%Y-%m-%d') as date, sum(round_even(units, 0)) as base, sum(round_even(units, 0)) as reconciled, e.level from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",
-        "monthly_units_wide": "select license, " + ", ".join(f"round(sum(units) filter (where month(date) = {m}), 4) as m{m}" for m in range(1, 13)) + " from a_rolled group by license",
-        "monthly_units_long": "select license, 'm' || m as month, round(sum(units) filter (where month(date) = m), 4) as units from a_rolled, (select unnest(range(1, 13)) as m) group by license, m",
+        "monthly_units_wide": "select license, " + ", ".join(f"round(sum(units) filter (where month(date) = {m}) + 1e-9, 4) as m{m}" for m in range(1, 13)) + " from a_rolled group by license",
+        "monthly_units_long": "select license, 'm' || m as month, round(sum(units) filter (where month(date) = m) + 1e-9, 4) as units from a_rolled, (select unnest(range(1, 13)) as m) group by license, m",
         "key_suffix": "select n_nationkey, string_split(n_name, '_')[-1] as suffix from nation",
     }.items()}

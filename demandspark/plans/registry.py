@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,13 @@ DENSE = Params(platforms=("F", "O"), excluded_suppliers=(), min_sku_units=0, clu
 KEYS = ["sku", "description", "supplier", "license", "platform"]
 
 
+def near(name: str, digits: int = 4) -> Column:
+    """Rounded column; halves go up even where the order of a sum leaves them a bit short, as the twins do it."""
+    return F.round(F.col(name) + 1e-9, digits) + 0.0
+
+
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    return df.withColumns({f.name: F.round(f.name, digits) + 0.0 for f in df.schema if isinstance(f.dataType, T.DoubleType)})
+    return df.withColumns({f.name: near(f.name, digits) for f in df.schema if isinstance(f.dataType, T.DoubleType)})
 
 
 def _rolled(spark: SparkSession, d: str, p: Params = PART) -> DataFrame:
@@ -168,7 +173,7 @@ def price_range(spark, d):
 
 def price_vectors(spark, d):
     v = cluster.with_price_vector(cluster.sku_dimension(_filled(spark, d)))
-    return v.select("sku", F.posexplode("price_vector").alias("cell", "weight")).where("weight > 0").withColumn("weight", F.round("weight", 6))
+    return v.select("sku", F.posexplode("price_vector").alias("cell", "weight")).where("weight > 0").withColumn("weight", near("weight", 6))
 
 
 def cluster_split(spark, d):
@@ -189,7 +194,7 @@ def platform_months(spark, d):
 
 
 def stockout_seeds(spark, d):
-    return stockout.seeds(stockout.residuals(_predicted(spark, d))).select("sku_platform", "date", F.round("residuals", 4).alias("residuals"), "surge", "slump", "is_first", "seed")
+    return stockout.seeds(stockout.residuals(_predicted(spark, d))).select("sku_platform", "date", near("residuals").alias("residuals"), "surge", "slump", "is_first", "seed")
 
 
 def stockout_labels(spark, d):
@@ -357,7 +362,7 @@ def key_suffix(spark, d):
 
 def poisson_fit(spark, d):
     rows = stockout.with_platform_months(stockout.with_price(_filled(spark, d, DENSE)))
-    return stockout.poisson_effects(rows)[0].select("sku_platform", "date", "units", F.round("pred", 4).alias("pred"))
+    return stockout.poisson_effects(rows)[0].select("sku_platform", "date", "units", near("pred").alias("pred"))
 
 
 def product_clusters(spark, d):
