@@ -8,7 +8,8 @@ period then repeats, and only that one is worked out, by a fold over its slots.
 block that its first byte falls in.
 
 The mix ends where the first source runs out; sources with under ``least_share`` of all bytes do not end it: they
-give what they have. Documents after the end are not in the mix (``in_mix`` false).
+give what they have. Documents after the end are not in the mix (``in_mix`` false), but have slots like all others;
+``blend`` writes them too, after the mix.
 
 Only DataFrame functions run. Running byte counts are made in two levels, so a source with a third of all rows is
 dealt out like any other.
@@ -108,8 +109,12 @@ def mix(docs: DataFrame, weights: dict | None = None, period: int = PERIOD, bloc
 
 
 def blend(docs: DataFrame, **options) -> DataFrame:
-    """The documents in the mix with all their columns, in the order of their slots over the output files."""
-    kept = mix(docs, **options).where("in_mix").groupBy("doc_id").agg(F.min("slot").alias("_slot"))
+    """Every document with all its columns, in the order of the slots over the output files.
+
+    Nothing is dropped: where a source has run out, the other sources' remaining blocks go on in the order of their
+    slots.
+    """
+    kept = mix(docs, **options).groupBy("doc_id").agg(F.min("slot").alias("_slot"))
     got = docs.join(kept, "doc_id").select(*docs.columns, "_slot")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return got.repartitionByRange(n, "_slot", "doc_id").sortWithinPartitions("_slot", "doc_id").drop("_slot")

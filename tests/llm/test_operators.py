@@ -129,6 +129,16 @@ def test_mixing(spark, docs, rows):
         mixing.shares([1.0] * 11, 10)
 
 
+def test_blend_keeps_every_document_in_slot_order(spark, docs, rows):
+    mixed = mixing.mix(docs, block_bytes=256).collect()
+    assert not all(r.in_mix for r in mixed)  # some source runs out before the others
+    got = [r.doc_id for r in mixing.blend(docs, block_bytes=256).collect()]
+    assert sorted(got) == sorted(r[0] for r in rows)
+    slot = {r.doc_id: r.slot for r in mixed}
+    assert [slot[i] for i in got] == sorted(slot.values())
+    assert mixing.blend(docs.limit(0)).count() == 0
+
+
 def test_rules_counts(spark, docs, rows):
     labels = spark.createDataFrame([(i, 1) for i in range(10)] + [(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
     got = {r.doc_id: r for r in rules.judge(docs, labels).collect()}
