@@ -14,13 +14,13 @@ give what they have. Documents after the end are not in the mix (``in_mix`` fals
 Only DataFrame functions run. Running byte counts are made in two levels, so a source with a third of all rows is
 dealt out like any other.
 
-Edge cases: null source is a source; null and empty texts count 16 bytes like the header of any other row; repeated
-doc_ids are mixed row by row; an empty table gives an empty result; more sources than ``period`` raise ValueError.
+Edge cases: null source is a source; null and empty texts count 16 bytes like the header of any other row; null and
+repeated doc_ids are mixed row by row; an empty table gives an empty result; more sources than ``period`` raise ValueError.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm import store
@@ -71,13 +71,24 @@ def schedule(spark: SparkSession, slots: list[int]) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict | None = None, period: int = PERIOD, block_bytes: int = BLOCK_BYTES, power: float = POWER, least_share: float = LEAST_SHARE) -> DataFrame:
     """(doc_id, source, size, block, release, due, slot, in_mix) of every row; ``weights`` by source, else tempered sizes."""
-    spark = docs.sparkSession
+    rows = store.keep(sized(docs), "mx-rows")
+    return place(rows, rows, weights, period, block_bytes, power, least_share)
+
+
+def sized(docs: DataFrame, *others: Column) -> DataFrame:
+    """(doc_id, source, size, print) of every row: bytes with a header, and a hash that tells texts of one doc_id apart."""
     size = (F.octet_length(F.coalesce("text", F.lit(""))) + 16).cast("long")
-    rows = store.keep(docs.select("doc_id", "source", size.alias("size")), "mx-rows")
+    return docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("print"), *others)
+
+
+def place(rows: DataFrame, whole: DataFrame, weights: dict | None = None, period: int = PERIOD, block_bytes: int = BLOCK_BYTES, power: float = POWER, least_share: float = LEAST_SHARE) -> DataFrame:
+    """The columns of ``mix`` for the rows of ``whole``, and its columns beyond those of ``rows``; ``rows`` are the same rows as ``sized`` gives them."""
+    spark = rows.sparkSession
+    others = [c for c in whole.columns if c not in rows.columns]
     # a row per source, no more than fit the period
     stats = rows.groupBy("source").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).orderBy("source").limit(period + 1).collect()
     if not stats:
-        return rows.select("doc_id", "source", "size", *(F.lit(None).cast("long").alias(c) for c in ("block", "release", "due", "slot")), F.lit(False).alias("in_mix"))
+        return whole.select("doc_id", "source", "size", *(F.lit(None).cast("long").alias(c) for c in ("block", "release", "due", "slot")), F.lit(False).alias("in_mix"), *others)
     sizes = [r.bytes for r in stats]
     goal = [float(weights.get(r.source, 0.0)) for r in stats] if weights else tempered(sizes, power)
     slots = shares(goal, period)
@@ -89,8 +100,9 @@ def mix(docs: DataFrame, weights: dict | None = None, period: int = PERIOD, bloc
     for i, r in enumerate(stats):
         number = F.when(F.col("source").eqNullSafe(F.lit(r.source)), F.lit(i)).otherwise(number)
         share = F.when(F.col("src") == i, F.lit(slots[i]).cast("long")).otherwise(share)
-    placed = rows.withColumn("src", number).withColumn("_b", F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(buckets)).cast("int"))
-    placed = running(placed, ["src"], "_b", ["doc_id", "size"], "size", "start").withColumn("_share", share)
+    # null and repeated doc_ids are dealt out by their texts
+    placed = whole.withColumn("src", number).withColumn("_b", F.pmod(F.xxhash64("doc_id", "print", F.lit("mix")), F.lit(buckets)).cast("int"))
+    placed = running(placed, ["src"], "_b", ["doc_id", "size", "print"], "size", "start").withColumn("_share", share)
     block = F.floor(F.col("start") / block_bytes).cast("long")
     placed = placed.withColumn("block", block).withColumn("k", F.pmod(F.col("block"), F.col("_share")).cast("int")).withColumn("_turn", F.floor(F.col("block") / F.col("_share")).cast("long"))
     # the plan has ``period`` rows
@@ -104,7 +116,7 @@ def mix(docs: DataFrame, weights: dict | None = None, period: int = PERIOD, bloc
         "doc_id", "source", "size", "block",
         F.floor(F.col("block") * period / F.col("_share")).cast("long").alias("release"),
         F.floor(((F.col("block") + 1) * period + F.col("_share") - 1) / F.col("_share")).cast("long").alias("due"),
-        "slot", (F.col("slot") < end).alias("in_mix"),
+        "slot", (F.col("slot") < end).alias("in_mix"), *others,
     )
 
 
@@ -112,9 +124,10 @@ def blend(docs: DataFrame, **options) -> DataFrame:
     """Every document with all its columns, in the order of the slots over the output files.
 
     Nothing is dropped: where a source has run out, the other sources' remaining blocks go on in the order of their
-    slots.
+    slots. The columns travel with their row, so rows of null or repeated doc_ids are written like any other. ``docs`` is
+    read several times: a table, not a sample drawn anew each time.
     """
-    kept = mix(docs, **options).groupBy("doc_id").agg(F.min("slot").alias("_slot"))
-    got = docs.join(kept, "doc_id").select(*docs.columns, "_slot")
+    rows = store.keep(sized(docs), "mx-rows")
+    got = place(rows, sized(docs, F.struct("*").alias("_row")), **options)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return got.repartitionByRange(n, "_slot", "doc_id").sortWithinPartitions("_slot", "doc_id").drop("_slot")
+    return got.repartitionByRange(n, "slot", "doc_id").sortWithinPartitions("slot", "doc_id").select("_row.*")

@@ -139,6 +139,19 @@ def test_blend_keeps_every_document_in_slot_order(spark, docs, rows):
     assert mixing.blend(docs.limit(0)).count() == 0
 
 
+def test_blend_keeps_rows_of_null_and_repeated_ids(spark):
+    form = "doc_id long, text string, lang string, source string, n_chars long, size string"
+    # id 1 has a short text of one source and a long tail of another; two rows are alike in everything but lang
+    rows = [(None, "a" * 900, "x", "s", 1, "z"), (None, "b" * 900, "y", "s", 2, "z"), (None, None, "n", None, 3, "z")]
+    rows += [(1, f"{k} " * 300, f"l{k}", "s" if k % 3 else "t", k, None) for k in range(40)] + [(2, "same", "p", "t", 5, "z"), (2, "same", "q", "t", 5, "z")]
+    got = [tuple(r) for r in mixing.blend(spark.createDataFrame(rows, form), block_bytes=256).collect()]
+    key = lambda r: tuple((x is None, x or 0) for x in (r[0], r[4])) + (r[2],)
+    assert sorted(got, key=key) == sorted(rows, key=key)
+    # rows of one id keep slots of their own: sources take turns among the rows of id 1 instead of standing together by id
+    own = [r[3] for r in got if r[0] == 1]
+    assert any(a != b for a, b in zip(own[: len(own) // 2], own[1:], strict=False)) and sum(a != b for a, b in zip(own, own[1:], strict=False)) > 5
+
+
 def test_rules_counts(spark, docs, rows):
     labels = spark.createDataFrame([(i, 1) for i in range(10)] + [(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
     got = {r.doc_id: r for r in rules.judge(docs, labels).collect()}
