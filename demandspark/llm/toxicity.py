@@ -8,7 +8,8 @@ then tagged with forward-backward marginals; a logistic curve over the document'
 gives the score, and words over one half give the offending offsets.
 
 Learning uses at most ``max_docs`` toxic and twice as many clean labelled documents and ``max_lines`` lines of them,
-chosen by hash; scoring reads whole texts.
+chosen by hash, up to ``max_words`` words; lines of over ``SPAN`` words are learned in overlapping parts, each a line of
+its own here. Scoring reads whole texts and whole lines.
 
 Edge cases: null text counts as empty and is scored; without toxic or clean labels every score is 0; null labels
 teach nothing; repeated rows are scored alike; tables may be empty; other columns are ignored.
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandspark.llm.quality import fold
@@ -36,6 +38,7 @@ BITS = 16
 CACHE_WORDS = 300_000
 FLUSH_PARTS = 200_000
 N_INPUTS = 5
+SPAN, OVERLAP = 400, 40
 
 
 def parts(word: str) -> list[str]:
@@ -58,6 +61,11 @@ def tail(k: int, n: int, p: float) -> float:
     return math.fsum(map(math.exp, logs))
 
 
+def cuts(n: int) -> list[tuple[int, int]]:
+    """Parts of a line of ``n`` words, ``SPAN`` words at most and ``OVERLAP`` of them in the next part too: no word is left out."""
+    return [(k, min(n, k + SPAN)) for k in range(0, max(1, n - OVERLAP), SPAN - OVERLAP)]
+
+
 @dataclass
 class Chain:
     """Weights by slot, start score and transition scores of two states (0 clean, 1 toxic), and the curve for documents."""
@@ -211,7 +219,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1e-2
     return c
 
 
-def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, chance: float = 1e-7, max_rate: float = 0.2) -> Chain | None:
+def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, max_words: int = 1_000_000, chance: float = 1e-7, max_rate: float = 0.2) -> Chain | None:
     """Markers, labelled lines and the chain, from labelled documents outside the held-out fold."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("lo"), F.max("toxic").alias("hi")).where(~held_out & (F.col("lo") == F.col("hi")))
     first = lambda which, n: known.where(F.col("lo") == which).select("doc_id", F.col("lo").alias("toxic"), F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(n).drop("_at")
@@ -256,15 +264,20 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
                     own = [parts(w) for w in WORD.findall(line)]
                     if not own:
                         continue
-                    y = [int(toxic and not marks.isdisjoint(x)) for x in own]
-                    at = zlib.crc32(line.encode("utf-8", "surrogatepass")) >> (0 if any(y) else 1)
-                    out.append((at if any(y) else at + (1 << 31), [[slot(x) for x in w] for w in own], y))
+                    code = zlib.crc32(line.encode("utf-8", "surrogatepass"))
+                    for lo, hi in cuts(len(own)):
+                        part = own[lo:hi]
+                        y = [int(toxic and not marks.isdisjoint(x)) for x in part]
+                        at = (zlib.crc32(str(lo).encode(), code) if lo else code) >> (0 if any(y) else 1)
+                        out.append((at if any(y) else at + (1 << 31), [[slot(x) for x in w] for w in part], y))
             a, x, y = zip(*out, strict=True) if out else ((), (), ())
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(x, pa.list_(pa.list_(pa.int32()))), pa.array(y, pa.list_(pa.int32()))], ["at", "x", "y"])
 
-    lines = sample.mapInArrow(label, "at long, x array<array<int>>, y array<int>").where(F.size("x") <= 400)
-    bad = lines.where("at < 2147483648").orderBy("at").limit(max_lines // 2).toArrow()
-    good = lines.where("at >= 2147483648").orderBy("at").limit(max_lines // 2).toArrow()
+    lines = sample.mapInArrow(label, "at long, x array<array<int>>, y array<int>")
+    before = F.sum(F.size("x")).over(W.orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.size("x")
+    # a window over max_lines // 2 rows
+    pick = lambda which: lines.where(which).orderBy("at").limit(max_lines // 2).withColumn("_n", before).where(F.col("_n") < max_words // 2).toArrow()
+    bad, good = pick("at < 2147483648"), pick("at >= 2147483648")
     chain = train([*zip(bad.column("x").to_pylist(), bad.column("y").to_pylist(), strict=True), *zip(good.column("x").to_pylist(), good.column("y").to_pylist(), strict=True)])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

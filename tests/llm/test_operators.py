@@ -196,6 +196,22 @@ def test_marginals_equal_enumeration():
     assert np.allclose(p[0], one / total) and np.allclose(pairs, both / total)
 
 
+def test_toxicity_learns_from_lines_of_any_length(spark):
+    assert [toxicity.cuts(n) for n in (1, 400, 401)] == [[(0, 1)], [(0, 400)], [(0, 400), (360, 401)]]
+    assert all(set().union(*(range(*c) for c in toxicity.cuts(n))) == set(range(n)) for n in (399, 760, 761, 5000))
+    r = random.Random(2)
+    words = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    texts = [[r.choice(words) for _ in range(450)] for _ in range(120)]
+    for t in texts[:60]:
+        t[r.randrange(405, 450)] = "vilezz"
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, toxic int")
+    chain = toxicity.learn(docs, labels, toxicity.F.lit(False))
+    assert chain.weights.any()
+    got = toxicity.Tagger(chain).scores([" ".join(t) for t in texts])
+    assert ((got >= 0.3) == (np.arange(120) < 60)).all()
+
+
 def test_html():
     page = "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='ad'>buy it now</div><article><h1>A &amp; B</h1><p>one  two<br>three <b>fo</b>ur</p><aside>no</aside><p>caf&eacute; a b c d e f g h i j k l m n o p q</article><footer>foot</footer>"
     assert html.main_text(page, {".p": 5.0, ".h1": 5.0}) == "A & B one two three four café a b c d e f g h i j k l m n o p q"
