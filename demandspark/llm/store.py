@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only where that is unset (local tests)."""
+    """spark.checkpoint.dir of the session; where it is unset, a temporary folder, which only a local master can share."""
     got = spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         got = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
@@ -33,4 +37,22 @@ def keep(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(BATCH, was)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(got)] = got, path
+    return got
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``keep`` gave and that no later step reads any more."""
+    for df in tables:
+        _, path = _PATHS.pop(id(df))
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """A column name that none of ``taken`` equals, whatever its case."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name += "_"
+    return name

@@ -7,16 +7,17 @@ difference of two members of the cover, so two equal windows, wherever they star
 offset. The steps, all Spark jobs:
 
 1. Anchors (64-bit, a filter only) are aggregated to the smallest and largest doc_id; those of one document go.
-2. Back in the texts, each shared anchor is extended to all windows that hold it. These windows, hashed to 96 bits,
-   are aggregated to the smallest doc_id that they start in; windows seen in one document only go.
+2. Back in the texts, each shared anchor is extended to all windows that hold it. These windows, hashed to 93 bits (61
+   of them modulo a prime), are aggregated to the smallest doc_id that they start in; windows seen in one document only go.
 3. Windows that start in an earlier document mark their words, and the texts are rewritten.
 
-Every join is on a hash or a doc_id and every aggregation has a map side, so passages that many documents share, or
-groups of copies, put no group into one task and no pairs are made.
+Every aggregation has a map side. Anchors and windows that very many rows share are joined by broadcast (``skew``), all
+others by shuffle, so no passage, and no group of copies, puts its rows into one task, and no pairs are made.
 
 Edge cases: null text has no words; texts under ``WINDOW`` words lose nothing; rows that share a doc_id are treated as
-parts of one document when smaller ids are sought, and each loses its own words; null doc_ids lose nothing and
-make no others lose; tables may be empty; other columns are ignored (op3) or carried along (``remove``).
+parts of one document when smaller ids are sought, and each loses its own words (a row is known by its doc_id and a hash
+of its text); null doc_ids lose nothing and make no others lose; tables may be empty; other columns are ignored (op3) or
+carried along, whatever their names (``remove``).
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandspark.llm import store
-from demandspark.llm.text import Words, rolling, slices
+from demandspark.llm import skew, store
+from demandspark.llm.text import FAST, SOUND, Words, rolling, slices
 
 WINDOW = 50
 PERIOD = 31
@@ -49,29 +50,33 @@ def anchor_starts(w: Words) -> np.ndarray:
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors of each row, every one once."""
     for b in batches:
         for s in slices(b):
             w = Words(s.column("text"))
-            h = w.hashes()
             at = anchor_starts(w)
-            at = at[w.count[w.text_of()[at]] >= WINDOW]
+            owner = w.text_of()
+            at = at[w.count[owner[at]] >= WINDOW]
             if len(at):
-                doc = s.column("doc_id").to_numpy(zero_copy_only=False)
-                yield pa.record_batch([pa.array(rolling(h, at, at + ANCHOR, 0).view(np.int64)), pa.array(doc[w.text_of()[at]], pa.int64())], ["anchor", "doc_id"])
+                got, who = rolling(w.hashes(FAST), at, at + ANCHOR, FAST).view(np.int64), owner[at]
+                order = np.lexsort((got, who))
+                got, who = got[order], who[order]
+                new = np.ones(len(got), dtype=bool)
+                new[1:] = (got[1:] != got[:-1]) | (who[1:] != who[:-1])
+                yield pa.record_batch([pa.array(got[new]), *(s.column(c).take(pa.array(who[new])) for c in ("doc_id", "print"))], ["anchor", "doc_id", "print"])
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of each text that hold one of its shared anchors."""
+    """Windows of each text that hold one of its shared anchors; ``h2`` has 32 more bits of the hash and the position."""
     for b in batches:
         for s in slices(b):
             w = Words(s.column("text"))
-            h, g = w.hashes(0), w.hashes(1)
+            h, g = w.hashes(FAST), w.hashes(SOUND)
             at = anchor_starts(w)
             owner = w.text_of()
-            got = rolling(h, at, at + ANCHOR, 0).view(np.int64)
-            shared = s.column("shared").combine_chunks() if isinstance(s.column("shared"), pa.ChunkedArray) else s.column("shared")
-            lists = shared.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.array([len(x) if x is not None else 0 for x in shared.to_pylist()]) if shared.null_count else np.diff(shared.offsets.to_numpy())
+            got = rolling(h, at, at + ANCHOR, FAST).view(np.int64)
+            shared = s.column("shared")
+            lists, sizes = shared.flatten().to_numpy(zero_copy_only=False), np.diff(shared.offsets.to_numpy())
             whose = np.repeat(np.arange(len(sizes)), sizes)
             # membership of (text, anchor) pairs, by rank of the pair
             both_text, both_hash = np.concatenate([owner[at], whose]), np.concatenate([got, lists.astype(np.int64)])
@@ -91,23 +96,35 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = w.windows(WINDOW)
             first = first[held[first]]
             if len(first):
-                doc = s.column("doc_id").to_numpy(zero_copy_only=False)
-                a = rolling(h, first, first + WINDOW, 0).view(np.int64)
-                c = (rolling(g, first, first + WINDOW, 1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                pos = first - w.first[owner[first]]
-                yield pa.record_batch([pa.array(a), pa.array(c), pa.array(doc[owner[first]], pa.int64()), pa.array(pos, pa.int32())], ["h1", "h2", "doc_id", "pos"])
+                a = rolling(g, first, first + WINDOW, SOUND).view(np.int64)
+                c = rolling(h, first, first + WINDOW, FAST) >> np.uint64(32) << np.uint64(32)
+                c = (c | (first - w.first[owner[first]]).astype(np.uint64)).view(np.int64)
+                rows = pa.array(owner[first])
+                yield pa.record_batch([pa.array(a), pa.array(c), s.column("doc_id").take(rows), s.column("print").take(rows)], ["h1", "h2", "doc_id", "print"])
+
+
+def printed(docs: DataFrame, name: str = "print") -> DataFrame:
+    """The documents with a hash of the text, which tells rows of one doc_id apart."""
+    return docs.withColumn(name, F.xxhash64("text"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, starts): first words, from 0, of the windows that also start in an earlier document."""
-    texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    found = texts.mapInArrow(anchors, "anchor long, doc_id long")
-    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
-    mine = store.keep(found.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "sd-anchors")
-    seen = store.keep(texts.join(mine, "doc_id").mapInArrow(windows, "h1 long, h2 int, doc_id long, pos int"), "sd-windows")
-    earliest = seen.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
-    late = seen.join(earliest, ["h1", "h2"]).where("doc_id > lo")
-    return late.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
+    """(doc_id, print, starts): first words, from 0, of the windows that also start in an earlier document; a written table."""
+    texts = printed(docs.where("doc_id is not null and text is not null").select("doc_id", "text"))
+    found = texts.mapInArrow(anchors, "anchor long, doc_id long, print long")
+    ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")]
+    shared = store.keep(found.groupBy("anchor").agg(*ends).where("lo < hi").select("anchor", "rows"), "sd-shared")
+    mine = skew.look_up(found, shared.select("anchor"), ["anchor"], skew.hot_of(shared, ["anchor"]), "left_semi")
+    mine = store.keep(mine.groupBy("doc_id", "print").agg(F.collect_set("anchor").alias("shared")), "sd-anchors")
+    seen = store.keep(texts.join(mine, ["doc_id", "print"]).mapInArrow(windows, "h1 long, h2 long, doc_id long, print long"), "sd-windows")
+    store.drop(shared, mine)
+    keys = ["h1", "more"]
+    more = F.shiftright("h2", 32).alias("more")
+    early = store.keep(seen.groupBy("h1", more).agg(*ends).where("lo < hi").select(*keys, "lo", "rows"), "sd-early")
+    late = skew.look_up(seen.select("h1", more, "doc_id", "print", "h2"), early.drop("rows"), keys, skew.hot_of(early, keys)).where("doc_id > lo")
+    marks = store.keep(late.groupBy("doc_id", "print").agg(F.sort_array(F.collect_set(F.col("h2").bitwiseAND(0xFFFFFFFF).cast("int"))).alias("starts")), "sd-marks")
+    store.drop(seen, early)
+    return marks
 
 
 def kept_words(w: Words, starts: list) -> np.ndarray:
@@ -147,8 +164,8 @@ def digest(docs: DataFrame) -> DataFrame:
                 texts, gone = rewrite(w, kept_words(w, s.column("starts").to_pylist()))
                 yield pa.record_batch([s.column("doc_id"), pa.array(w.count, pa.int64()), pa.array(gone), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    marks = store.keep(repeated(docs), "sd-marks")
-    return docs.select("doc_id", "text").join(marks, "doc_id", "left").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = printed(docs.select("doc_id", "text")).join(repeated(docs), ["doc_id", "print"], "left")
+    return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove(docs: DataFrame) -> DataFrame:
@@ -157,25 +174,26 @@ def remove(docs: DataFrame) -> DataFrame:
     Only a text that loses words is rewritten (its words joined by one space); a document that loses all goes.
     A column n_chars, if there is one, is counted again.
     """
-    marks = store.keep(repeated(docs), "sd-marks").withColumnRenamed("starts", "_starts")
     names = docs.columns
+    key, starts, length = (store.fresh(c, names) for c in ("print", "starts", "length"))
+    marks = repeated(docs).withColumnsRenamed({"print": key, "starts": starts})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in slices(b):
                 w = Words(s.column("text"))
-                texts, gone = rewrite(w, kept_words(w, s.column("_starts").to_pylist()))
+                texts, gone = rewrite(w, kept_words(w, s.column(starts).to_pylist()))
                 old = s.column("text").to_pylist()
                 new = [t.decode() if g else o for t, g, o in zip(texts, gone, old, strict=True)]
                 n = pa.array([len(x) if g else None for x, g in zip(new, gone, strict=True)], pa.int64())
                 columns = [pa.array(new, pa.string()) if c == "text" else s.column(c) for c in names]
-                yield pa.record_batch([*columns, n], [*names, "_n"]).filter(pa.array((gone == 0) | (gone < w.count)))
+                yield pa.record_batch([*columns, n], [*names, length]).filter(pa.array((gone == 0) | (gone < w.count)))
 
-    joined = docs.join(marks, "doc_id", "left").select(*names, "_starts")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_n", T.LongType())])
+    joined = printed(docs, key).join(marks, ["doc_id", key], "left").select(*names, starts)
+    schema = T.StructType([*docs.schema.fields, T.StructField(length, T.LongType())])
     got = joined.mapInArrow(run, schema)
     if "n_chars" in names:
-        got = got.withColumn("n_chars", F.coalesce(F.col("_n"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        got = got.withColumn("n_chars", F.coalesce(F.col(length), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return got.select(names)
 
 

@@ -2,6 +2,10 @@
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D of the UTF-8 text, which is the pattern
 ``[^\\x20\\x09-\\x0D]+``. Everything here works on slices of a batch, so memory follows the slice, not the partition.
+
+Hashes are polynomials over bytes or over word hashes, by prefix sums. ``FAST`` ones are modulo 2**64: cheap, but there
+are texts (Thue-Morse words) that collide whatever the base, so they only filter. Where a hash decides that texts are equal,
+it is a ``SOUND`` one, modulo the prime 2**61 - 1.
 """
 
 from __future__ import annotations
@@ -11,10 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+FAST, SOUND = 0, 1
 
 _U = np.uint64
-_BASES = (0x9E3779B97F4A7C17, 0xC2B2AE3D27D4EB53)
+_BASE = 0x9E3779B97F4A7C17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,10 +31,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _tables(lane: int) -> tuple[np.ndarray, int, int]:
-    base = _BASES[lane] | 3
-    return mix(np.arange(256, dtype=_U) + _U(base)) | _U(1), base, pow(base, -1, 1 << 64)
-
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTES = mix(np.arange(256, dtype=_U) + _U(_BASE)) | _U(1)
 
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -48,12 +51,69 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
-    """64-bit hashes of values[start:end] for many ranges at once, by prefix sums of a polynomial modulo 2**64."""
-    _, base, inverse = _tables(lane)
+    """64-bit hashes of values[start:end] for many ranges at once."""
+    return prime_rolling(values, start, end) if lane == SOUND else fast_rolling(values, start, end)
+
+
+def fast_rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(values)
     prefix = np.zeros(n + 1, dtype=_U)
-    np.cumsum(values * powers(base, n), out=prefix[1:])
-    return mix((prefix[end] - prefix[start]) * powers(inverse, n + 1)[start] + (end - start).astype(_U))
+    np.cumsum(values * powers(_BASE, n), out=prefix[1:])
+    return mix((prefix[end] - prefix[start]) * powers(_INVERSE, n + 1)[start] + (end - start).astype(_U))
+
+
+PRIME = (1 << 61) - 1
+_P, _LOW30, _LOW31 = _U(PRIME), _U((1 << 30) - 1), _U((1 << 31) - 1)
+_BASE61 = 0x1B2E5C4F39A7D613 % PRIME
+_STEP = 1 << 15
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1, of numbers below it, by halves of 31 bits."""
+    a1, a0, b1, b0 = a >> _U(31), a & _LOW31, b >> _U(31), b & _LOW31
+    mid = a1 * b0 + a0 * b1
+    r = (a1 * b1 << _U(1)) + (mid >> _U(30)) + ((mid & _LOW30) << _U(31)) + a0 * b0
+    return reduced(r)
+
+
+def reduced(r: np.ndarray) -> np.ndarray:
+    r = (r & _P) + (r >> _U(61))
+    return np.where(r >= _P, r - _P, r)
+
+
+_PRIME_POWERS: dict[int, np.ndarray] = {}
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo the prime, by doubling; kept like ``powers``."""
+    have = _PRIME_POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.ones(1, dtype=_U)
+        while len(have) < max(n, 4096):
+            have = np.concatenate([have, times(have, _U(pow(base, len(have), PRIME)))])
+        if len(have) <= 1 << 21:
+            _PRIME_POWERS[base] = have
+    return have[:n]
+
+
+def prime_rolling(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """As ``fast_rolling`` modulo the prime; products are made in steps that stay in the processor's cache."""
+    n = len(values)
+    p = prime_powers(_BASE61, n)
+    low, high = np.zeros(n + 1, dtype=_U), np.zeros(n + 1, dtype=_U)
+    for at in range(0, n, _STEP):
+        x = times(reduced(values[at : at + _STEP].astype(_U)), p[at : at + _STEP])
+        low[at + 1 : at + 1 + len(x)], high[at + 1 : at + 1 + len(x)] = x & _LOW31, x >> _U(31)
+    # sums of halves of 31 bits: no overflow below 2**33 values
+    np.cumsum(low, out=low)
+    np.cumsum(high, out=high)
+    out = np.empty(len(start), dtype=_U)
+    inverse = prime_powers(pow(_BASE61, -1, PRIME), n + 1)
+    for at in range(0, len(start), _STEP):
+        s, e = start[at : at + _STEP], end[at : at + _STEP]
+        total = reduced(times(reduced(high[e] - high[s]), _U(1 << 31)) + reduced(low[e] - low[s]))
+        out[at : at + _STEP] = mix(times(total, inverse[s]) + ((e - s).astype(_U) << _U(61)))
+    return out
 
 
 class Words:
@@ -86,9 +146,9 @@ class Words:
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.count)), self.count)
 
-    def hashes(self, lane: int = 0) -> np.ndarray:
-        table, _, _ = _tables(lane)
-        return rolling(table[self.data], self.start, self.end, lane)
+    def hashes(self, lane: int = SOUND) -> np.ndarray:
+        """Hashes of all words; under one lane, unlike words of a corpus differ but for a chance of about 2**-61."""
+        return rolling(_BYTES[self.data], self.start, self.end, lane)
 
     def windows(self, size: int) -> np.ndarray:
         """First words of all runs of ``size`` words inside one text."""
