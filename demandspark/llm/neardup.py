@@ -2,27 +2,30 @@
 
 Words are lower-cased (A-Z only); a document's set is its distinct shingles of ``WIDTH`` words. Steps, all Spark jobs:
 
-1. One pass over the texts gives each document its set size, a 128-bit fingerprint of the set, ``BANDS * ROWS``
-   minima as band keys, and a packed signature of the lowest ``BITS`` bits of every minimum.
-2. Documents with the same set form one node (its smallest doc_id), so groups of copies weigh no more than one.
+1. One pass over the texts gives each row its set size, a 128-bit fingerprint of the set, ``BANDS * ROWS`` minima as
+   band keys, and a packed signature of the lowest ``BITS`` bits of every minimum.
+2. Rows with the same set form one node, so groups of copies weigh no more than one.
 3. Every band bucket proposes its hub (smallest node) to each other member. The packed signatures of a pair are
    compared by counting equal bit fields; the similarity corrected for chance collisions must come within ``SLACK``
    of the threshold (over 5 standard deviations), which spares the exact check for hopeless pairs.
 4. Proposed pairs are checked exactly on full sets; confirmed links are joined into components by propagating
-   the smallest id, with pointer jumping.
-5. A hub has then been compared with all its bucket. The members of buckets that still hold several components meet
-   in tasks with their full sets, oversized buckets cut into pairs of chunks of ``CHUNK`` members. Pairs that are not
-   connected yet, and share no earlier band, are screened by their packed signatures and then checked exactly, one
-   member against many at a time; only links that join two components come out.
-
-So every pair of a bucket is compared or already connected, and no bucket is expanded into all its pairs. There is
-no cap on buckets or partners.
-
-A pair at the threshold shares a band with probability ``1 - (1 - 0.75**ROWS)**BANDS``, over 0.999995.
-
-Edge cases: null, empty and blank texts have the empty set, size 0, and are linked with nothing; fewer words than
-``WIDTH`` make one shingle of the whole sequence; repeated texts share a class; rows with one doc_id
-share its class, and only one of their different texts is compared; null doc_ids have class null; other columns are ignored.
+   the smallest node, with pointer jumping.
+5. A hub has then been compared with all its bucket. In buckets that still hold several components, the members outside
+   the largest one (the probes, ``CHUNK`` to a task) meet all others (``PARTNERS`` to a task): first with their signatures
+   alone, which tells the nodes that have a hopeful partner in another component, then these nodes with their full
+   sets, a few partners at a time. Only links that join two components come out, never pairs.
+
+So every pair of a bucket is compared or already connected. There is no cap on buckets or partners; a bucket of s members
+with m outside its largest component costs s * m / CHUNK rows of signatures. Buckets, hubs, nodes and labels that very
+many rows share are joined by broadcast or by salts (``skew``).
+
+A pair at the threshold shares a band with probability ``1 - (1 - 0.75**ROWS)**BANDS``, over 0.999995. Shingles are hashed
+modulo a prime (``text.SOUND``).
+
+Edge cases: null, empty and blank texts have the empty set, size 0, and are linked with nothing (each such row stands
+under its own doc_id); fewer words than ``WIDTH`` make one shingle of the whole sequence; repeated texts share a class;
+rows with one doc_id and different texts are all compared, and tied together through the id; null doc_ids have class null
+and link nothing; tables may be empty; other columns are ignored (``classes``) or carried along (``keep_one``).
 """
 
 from __future__ import annotations
@@ -34,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm import store
-from demandspark.llm.text import Words, mix, rolling, slices
+from demandspark.llm import skew, store
+from demandspark.llm.text import SOUND, Words, mix, rolling, slices
 
 WIDTH, BANDS, ROWS, BITS = 5, 32, 4, 4
 PERCENT = 75
 SLACK = 0.2
-CHUNK = 512
+CHUNK, PARTNERS = 512, 65_536
 HEAVY_ROWS = 256  # rows with texts or sets that Python gets at once
 _U = np.uint64
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -55,7 +58,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     start = np.concatenate([first, w.first[short]])
     end = np.concatenate([first + WIDTH, w.first[short + 1]])
     owner = np.concatenate([w.text_of()[first], short])
-    got = rolling(h, start, end, 1)
+    got = rolling(h, start, end, SOUND)
     order = np.lexsort((got, owner))
     got, owner = got[order], owner[order]
     new = np.ones(len(got), dtype=bool)
@@ -99,10 +102,10 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys[:, k] = x
             signature = pack(low)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, len(n) * BANDS + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-            yield pa.record_batch([s.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), bands, pa.array([x.tobytes() for x in signature], pa.binary())], ["doc_id", "n", "p1", "p2", "bands", "sig"])
+            yield pa.record_batch([s.column("doc_id"), s.column("print"), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), bands, pa.array([x.tobytes() for x in signature], pa.binary())], ["doc_id", "print", "n", "p1", "p2", "bands", "sig"])
 
 
-SKETCH = "doc_id long, n long, p1 long, p2 long, bands array<long>, sig binary"
+SKETCH = "doc_id long, print long, n long, p1 long, p2 long, bands array<long>, sig binary"
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,109 +116,37 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal / (2 * a.shape[1]) - chance) / (1 - chance)
 
 
-def hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose estimated similarity comes within the slack of the threshold, and whose sizes allow it."""
-    sig = nodes.select("doc_id", "n", "sig")
-    both = pairs.join(sig.toDF("a", "na", "sa"), "a").join(sig.toDF("b", "nb", "sb"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            if x.num_rows:
-                sa, sb = (np.frombuffer(b"".join(x.column(c).to_pylist()), dtype=np.uint8).reshape(x.num_rows, -1) for c in ("sa", "sb"))
-                yield x.select(["a", "b"]).filter(pa.array(similarity(sa, sb) >= PERCENT / 100 - SLACK))
+def likely(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether packed signatures come within the slack of the threshold."""
+    return similarity(a, b) >= PERCENT / 100 - SLACK
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
+def signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
 
-def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
+def hot_ends(pairs: DataFrame, key: str, name: str) -> DataFrame:
+    return skew.hot_of(store.keep(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("rows")), name), [key])
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition, cut where the keys change."""
-    rest: list[pa.RecordBatch] = []
-    last: tuple = ()
-    for b in batches:
-        if not b.num_rows:
-            continue
-        k = np.column_stack([b.column(c).to_numpy() for c in keys])
-        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1), len(k)]
-        for x, y in zip(cuts, cuts[1:], strict=False):
-            if rest and (x or tuple(k[0]) != last):
-                yield whole(rest)
-                rest = []
-            rest.append(b.slice(x, y - x))
-            last = tuple(k[x])
-    if rest:
-        yield whole(rest)
-
-
-def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for s in slices(b):
-            sets, edges = shingles(s.column("text"))
-            yield pa.record_batch([s.column("doc_id"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(sets.view(np.int64)))], ["doc_id", "set"])
-
-
-def join_group(g: pa.RecordBatch) -> list[tuple[int, int]]:
-    """Links between components of one group of members of a bucket, enough to connect what is connected."""
-    ids, n, c = (g.column(x).to_numpy() for x in ("doc_id", "n", "c"))
-    band, one_chunk = int(g.column("band")[0].as_py()), g.column("i")[0] == g.column("j")[0]
-    root = np.unique(g.column("comp").to_numpy(), return_inverse=True)[1]
-    keys = g.column("bands").flatten().to_numpy().reshape(len(ids), -1)[:, :band]
-    sig = np.frombuffer(b"".join(g.column("sig").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-    sets = g.column("set")
-    edges = sets.offsets.to_numpy() - sets.offsets[0].as_py()
-    words, code = np.unique(sets.flatten().to_numpy(), return_inverse=True)
-    mark = np.zeros(len(words), dtype=bool)
-    out = []
-    for k in range(len(ids) - 1):
-        ok = root[k + 1 :] != root[k]
-        if not ok.any():
-            continue
-        other = k + 1 + np.flatnonzero(ok)
-        small, big = np.minimum(n[other], n[k]), np.maximum(n[other], n[k])
-        other = other[(100 * small >= PERCENT * big) & (one_chunk | (c[other] != c[k]))]
-        other = other[~(keys[other] == keys[k]).any(1)]
-        if len(other):
-            other = other[similarity(sig[other], sig[k : k + 1]) >= PERCENT / 100 - SLACK]
-        if not len(other):
-            continue
-        mine = code[edges[k] : edges[k + 1]]
-        mark[mine] = True
-        common = np.array([np.count_nonzero(mark[code[edges[m] : edges[m + 1]]]) for m in other])
-        mark[mine] = False
-        for m in other[100 * common >= PERCENT * (n[k] + n[other] - common)]:
-            if root[m] != root[k]:
-                out.append((int(ids[k]), int(ids[m])))
-                root[root == root[m]] = root[k]
-    return out
 
-
-def across(open_rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) between components of a bucket; rows are (band, bucket, doc_id, comp, size)."""
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), chunks).cast("int")
-    rows = open_rows.select("band", "bucket", "doc_id", "comp", own.alias("c"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o"))
-    rows = rows.select("band", "bucket", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "doc_id", "comp")
-    keys = ["band", "bucket", "i", "j"]
-    wanted = open_rows.select("doc_id").distinct()
-    full = store.keep(texts.join(wanted, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, set array<long>").join(nodes.select("doc_id", "n", "sig", "bands"), "doc_id"), "nd-sets", HEAVY_ROWS)
-    rows = rows.join(full, "doc_id").select(*keys, "c", "doc_id", "comp", "n", "sig", "bands", "set")
+def hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose estimated similarity comes within the slack of the threshold, and whose sizes allow it."""
+    sig = nodes.select("node", "n", "sig")
+    both = skew.look_up(pairs, sig.toDF("a", "na", "sa"), ["a"], hot_ends(pairs, "a", "nd-hubs")).join(sig.toDF("b", "nb", "sb"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches, keys):
-            if g.num_rows > 1 and (found := join_group(g)):
-                a, b = zip(*found, strict=True)
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for x in batches:
+            if x.num_rows:
+                yield x.select(["a", "b"]).filter(pa.array(likely(signatures(x.column("sa")), signatures(x.column("sb")))))
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets meet the threshold."""
-    t = texts.select("doc_id", "text")
-    both = pairs.join(t.toDF("a", "text"), "a").join(t.toDF("b", "text_b"), "b")
+    """Pairs whose full shingle sets meet the threshold; the text of a hub of very many pairs is dealt out in copies by salts."""
+    hot = hot_ends(pairs, "a", "nd-hubs")
+    mine = skew.for_salts(texts.toDF("a", "text"), hot, "a", "salt")
+    both = skew.salted(pairs, hot, "a", "b", "salt").join(mine, ["a", "salt"]).join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -233,47 +164,210 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text", "text_b").mapInArrow(run, "a long, b long")
 
 
+def whole(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = HEAVY_ROWS) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Rows of a sorted partition cut where the keys change, and after ``most`` rows."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.column_stack([b.column(c).to_numpy() for c in keys])
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1), len(k)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            for at in range(x, y, most):
+                yield tuple(k[x]), b.slice(at, min(most, y - at))
+
+
+def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for s in slices(b):
+            sets, edges = shingles(s.column("text"))
+            yield pa.record_batch([s.column("node"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(sets.view(np.int64)))], ["node", "set"])
+
+
+class Members:
+    """Rows of one bucket as arrays."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.node, self.n, self.comp, self.minor = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("node", "n", "comp", "minor"))
+        self.keys = rows.column("bands").flatten().to_numpy().reshape(len(self.node), -1)
+        self.sig = signatures(rows.column("sig"))
+        if "set" in rows.schema.names:
+            s = rows.column("set")
+            self.edges, self.values = s.offsets.to_numpy() - s.offsets[0].as_py(), s.flatten().to_numpy().view(np.uint64)  # sorted as such
+
+
+def candidates(probes: Members, others: Members, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (probe, other) of different components, allowed by size and signature, and met in no earlier band.
+
+    Of two members outside the largest component, the smaller node is the probe.
+    """
+    small, big = np.minimum(probes.n[:, None], others.n), np.maximum(probes.n[:, None], others.n)
+    ok = (100 * small >= PERCENT * big) & (probes.comp[:, None] != others.comp) & (~others.minor | (probes.node[:, None] < others.node))
+    p, o = np.nonzero(ok)
+    if len(p):
+        band = int(np.flatnonzero(probes.keys[0] == bucket)[0])
+        keep = likely(probes.sig[p], others.sig[o])
+        p, o = p[keep], o[keep]
+        keep = ~(probes.keys[p, :band] == others.keys[o, :band]).any(1)
+        p, o = p[keep], o[keep]
+    return p, o
+
+
+def meet(batches: Iterator[pa.RecordBatch], each) -> Iterator[pa.RecordBatch]:
+    """For every group of probes: the rows that ``each(probes, bucket)`` makes of the others, a few at a time (a generator's send)."""
+    now, held, going = None, [], None
+    for key, piece in runs(batches, ["bucket", "i", "j"]):
+        if key != now:
+            now, held, going = key, [], None
+        first = int(np.count_nonzero(piece.column("role").to_numpy() == 0))
+        if first:
+            held.append(piece.slice(0, first))
+        if first < piece.num_rows and held:
+            going = going or each(Members(whole(held)), key)
+            if (got := going(Members(piece.slice(first)))) is not None:
+                yield got
+
+
+def screen(probes: Members, key: tuple):
+    """Nodes with a hopeful partner, each with its role in the group; a probe once."""
+    told = np.zeros(len(probes.node), dtype=bool)
+
+    def one(others: Members) -> pa.RecordBatch | None:
+        p, o = candidates(probes, others, key[0])
+        if not len(p):
+            return None
+        p, o = np.unique(p), np.unique(o)
+        p = p[~told[p]]
+        told[p] = True
+        n = len(p) + len(o)
+        nodes, role = np.r_[probes.node[p], others.node[o]], np.r_[np.zeros(len(p)), np.ones(len(o))]
+        comp, minor = np.r_[probes.comp[p], others.comp[o]], np.r_[probes.minor[p], others.minor[o]]
+        return pa.record_batch([*(pa.array(np.full(n, k), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)), pa.array(role, pa.int32()), pa.array(nodes), pa.array(comp), pa.array(minor)], ["bucket", "i", "j", "role", "node", "comp", "minor"])
+
+    return one
+
+
+def join_group(probes: Members, key: tuple):
+    """Links between components found with full sets, no more than connect what is connected in the group."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in root:
+            x = root[x]
+        return x
+
+    def one(others: Members) -> pa.RecordBatch | None:
+        out = []
+        p, o = candidates(probes, others, key[0])
+        for k in np.unique(p):
+            mine = probes.values[probes.edges[k] : probes.edges[k + 1]]
+            at = np.minimum(np.searchsorted(mine, others.values), len(mine) - 1)
+            hit = np.r_[0, np.cumsum(mine[at] == others.values)]
+            common = hit[others.edges[1:]] - hit[others.edges[:-1]]
+            for m in o[p == k]:
+                a, b = find(int(probes.comp[k])), find(int(others.comp[m]))
+                if a != b and 100 * common[m] >= PERCENT * (probes.n[k] + others.n[m] - common[m]):
+                    root[max(a, b)] = min(a, b)
+                    out.append((int(probes.node[k]), int(others.node[m])))
+        return pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"]) if out else None
+
+    return one
+
+
+def across(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between components of a bucket; members are (bucket, node, comp, minor, size, outside)."""
+    keys = ["bucket", "i", "j"]
+    chunks, parts = F.ceil(F.col("outside") / CHUNK).cast("int"), F.ceil(F.col("size") / PARTNERS).cast("int")
+    mine, all_of = lambda n: F.pmod(F.xxhash64("node"), n).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    cut = members.withColumns({"_c": chunks, "_p": parts})
+    who = ["node", "comp", "minor"]
+    probes = cut.where("minor").select("bucket", mine(F.col("_c")).alias("i"), all_of(F.col("_p")).alias("j"), F.lit(0).alias("role"), *who)
+    others = cut.select("bucket", all_of(F.col("_c")).alias("i"), mine(F.col("_p")).alias("j"), F.lit(1).alias("role"), *who)
+    meeting = lambda rows, each, form: rows.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(lambda batches: meet(batches, each), form)
+    known = nodes.select("node", "n", "sig", "bands")
+    open_ = store.keep(meeting(probes.unionByName(others).join(known, "node"), screen, "bucket long, i int, j int, role int, node long, comp long, minor boolean"), "nd-open")
+    wanted = open_.select("node").distinct()
+    full = store.keep(texts.join(wanted, "node", "left_semi").mapInArrow(sets_of, "node long, set array<long>").join(known, "node"), "nd-sets", HEAVY_ROWS)
+    got = store.keep(meeting(open_.join(full, "node"), join_group, "a long, b long").distinct(), "nd-across", HEAVY_ROWS)
+    store.drop(open_, full)
+    return got
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(doc_id, comp) of all ends of edges: the smallest id reachable. Rounds of smallest-neighbour steps with pointer jumping."""
+    """(node, comp) of all ends of edges: the smallest node reachable. Rounds of smallest-neighbour steps with pointer jumping."""
     both = store.keep(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "nd-edges")
+    hubs = hot_ends(both, "y", "nd-degrees")
     labels = store.keep(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("comp")), "nd-labels")
     while True:
-        near = both.join(labels.select(F.col("x").alias("y"), "comp"), "y").groupBy("x").agg(F.min("comp").alias("near"))
-        step = labels.join(near, "x").select("x", F.least("comp", "near").alias("best"), F.col("comp").alias("was"))
+        near = skew.look_up(both, labels.select(F.col("x").alias("y"), "comp"), ["y"], hubs).groupBy("x").agg(F.min("comp").alias("near"))
+        step = store.keep(labels.join(near, "x").select("x", F.least("comp", "near").alias("best"), F.col("comp").alias("was")), "nd-step")
         # the label of one's label is at least as small
-        jump = labels.select(F.col("x").alias("best"), F.col("comp").alias("up"))
-        after = store.keep(step.join(jump, "best", "left").select("x", F.coalesce(F.least("best", "up"), "best").alias("comp"), "was"), "nd-labels")
-        changed = after.where("comp <> was").limit(1).count()
-        labels = after.select("x", "comp")
+        up = labels.select(F.col("x").alias("best"), F.col("comp").alias("up"))
+        after = skew.look_up(step, up, ["best"], hot_ends(step, "best", "nd-popular")).select("x", F.least("best", "up").alias("comp"), "was")
+        after = store.keep(after, "nd-labels")
+        changed = not after.where("comp <> was").isEmpty()
+        store.drop(labels, step)
+        labels = after
         if not changed:
-            return labels.select(F.col("x").alias("doc_id"), "comp")
+            store.drop(both)
+            return labels.select(F.col("x").alias("node"), "comp")
+
+
+def ties(rows: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Edges (a, b) between the nodes of each doc_id that has several; None if there is no such doc_id."""
+    several = rows.groupBy("doc_id").agg(F.min("p1").alias("lo"), F.max("p1").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo <> hi")
+    several = store.keep(several.select("doc_id", "rows"), "nd-several")
+    if several.isEmpty():
+        return None
+    hot = skew.hot_of(several, ["doc_id"])
+    own = skew.look_up(rows, several.select("doc_id"), ["doc_id"], hot, "left_semi").select("doc_id", "p1", "p2").distinct()
+    own = store.keep(own.join(nodes.select("p1", "p2", "node"), ["p1", "p2"]).select("doc_id", "node"), "nd-ties")
+    first = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return skew.look_up(own, first, ["doc_id"], hot).where("a <> node").select("a", F.col("node").alias("b"))
 
 
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document row."""
-    docs = docs.select("doc_id", "text")
-    rows = store.keep(docs.mapInArrow(sketch, SKETCH), "nd-sketch")
-    # one node per distinct set; the empty set is no node
-    sets = ["n", "p1", "p2"]
-    copies = rows.where("n > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("node"))
-    member = store.keep(rows.where("n > 0 and doc_id is not null").select("doc_id", *sets).join(copies, sets).select("doc_id", "node").distinct(), "nd-member")
-    nodes = store.keep(rows.where("n > 0 and doc_id is not null").join(copies.select(F.col("node").alias("doc_id"), *sets), ["doc_id", *sets]).dropDuplicates(["doc_id", *sets]), "nd-nodes")
-    banded = nodes.select("doc_id", F.posexplode("bands").alias("band", "key")).select("band", F.col("key").alias("bucket"), "doc_id")
-    sizes = banded.groupBy("band", "bucket").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    full = store.keep(banded.join(sizes, ["band", "bucket"]).select("band", "bucket", "doc_id", "hub", "size"), "nd-buckets")
-    # repeated doc_ids with different texts are tied together through the id itself
-    links = member.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    proposed = full.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
+    rows = store.keep(docs.mapInArrow(sketch, SKETCH).withColumn("row", F.monotonically_increasing_id()), "nd-sketch")
+    some = rows.where("n > 0 and doc_id is not null")
+    # one node per distinct set, known by the row that stands for it; the empty set is no node
+    sets = ["p1", "p2"]
+    copies = store.keep(some.groupBy(*sets).agg(F.min("doc_id").alias("lead"), F.min_by("row", "doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "nd-copies")
+    nodes = some.withColumnRenamed("row", "node").join(copies.select("node", "lead"), "node").select("node", "lead", "print", "n", *sets, "bands", "sig")
+    nodes = store.keep(nodes, "nd-nodes")
+    # a band's keys have its number in them
+    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    sizes = store.keep(banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "nd-sizes")
+    hot = skew.hot_of(sizes, ["bucket"])
+    full = store.keep(skew.look_up(banded, sizes.withColumnRenamed("rows", "size"), ["bucket"], hot), "nd-buckets")
+    proposed = store.keep(full.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "nd-proposed")
     # every later pair is among members of these buckets; their texts move once
-    texts = store.keep(docs.join(full.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "nd-texts")
-    found = store.keep(confirm(store.keep(hopeful(proposed, nodes), "nd-likely"), texts), "nd-sure", HEAVY_ROWS)
+    wanted = nodes.join(full.select("node").distinct(), "node", "left_semi").select(F.col("lead").alias("doc_id"), "print", "node")
+    texts = store.keep(docs.join(wanted, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).select("node", "text"), "nd-texts")
+    maybe = store.keep(hopeful(proposed, nodes), "nd-likely")
+    found = store.keep(confirm(maybe, texts), "nd-sure", HEAVY_ROWS)
+    store.drop(proposed, maybe)
     comps = components(found)
-    of = full.where("doc_id <> hub and size > 2").select("band", "bucket", "doc_id").join(comps, "doc_id", "left").select("band", "bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-    open_ = of.groupBy("band", "bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("band", "bucket", "size")
-    rest = store.keep(of.join(open_, ["band", "bucket"]), "nd-rest")
-    found = found.unionByName(store.keep(across(rest, nodes, texts), "nd-across", HEAVY_ROWS))
-    comps = components(found.unionByName(links))
-    return rows.select("doc_id", "n").join(comps, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
+    of = full.where("node <> hub and size > 2").select("bucket", "node").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    of = store.keep(of, "nd-of")
+    shares = of.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    open_ = shares.groupBy("bucket").agg(F.max_by("comp", "n").alias("main"), F.sum("n").alias("size"), F.max("n").alias("most")).where("size > most")
+    open_ = store.keep(open_.select("bucket", "main", "size", (F.col("size") - F.col("most")).alias("outside")), "nd-mixed")
+    members = skew.look_up(of, open_, ["bucket"], hot).withColumn("minor", F.col("comp") != F.col("main"))
+    found = found.unionByName(across(store.keep(members, "nd-members"), nodes, texts))
+    tied = ties(some, nodes)
+    comps = store.keep(components(found if tied is None else found.unionByName(tied)), "nd-comps")
+    store.drop(sizes, full, of, texts)
+    # a class is named by its smallest doc_id
+    named = store.keep(comps.join(nodes.select("node", "lead"), "node").groupBy("comp").agg(F.min("lead").alias("name"), F.count(F.lit(1)).alias("rows")), "nd-named")
+    names = skew.look_up(comps, named.select("comp", "name"), ["comp"], skew.hot_of(named, ["comp"])).select("node", "name")
+    by_set = store.keep(nodes.select("node", "lead", *sets).join(names, "node", "left").select(*sets, F.coalesce("name", "lead").alias("component_id")), "nd-classes")
+    linked = skew.look_up(some.select("doc_id", "n", *sets), by_set, sets, skew.hot_of(copies, sets)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return linked.unionByName(rows.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -284,4 +378,4 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Documents with one of each class kept: the one of smallest doc_id."""
     out = link(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(docs.columns)
+    return docs.where("doc_id is not null").join(out, "doc_id", "left_anti").select(docs.columns).unionByName(docs.where("doc_id is null"))

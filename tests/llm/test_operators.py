@@ -74,13 +74,53 @@ def test_group_links_connect_through_a_middle():
     sets = [np.sort(np.r_[np.delete(middle, r.choice(100, 12, replace=False)), 10**9 + 100 * k + np.arange(12)]) for k in range(12)] + [middle]
     n = len(sets)
     low = neardup.minima(np.concatenate(sets).astype(np.uint64), np.cumsum([0, *map(len, sets)]))
-    g = pa.record_batch([pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([x.tobytes() for x in neardup.pack(low)], pa.binary()), pa.array([[k] for k in range(n)], pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))], ["band", "i", "j", "c", "doc_id", "comp", "n", "sig", "bands", "set"])
+    form = {"bucket": pa.array([7] * n, pa.int64()), "i": pa.array([0] * n, pa.int32()), "j": pa.array([0] * n, pa.int32()), "node": pa.array(range(n), pa.int64()), "comp": pa.array(range(n), pa.int64()), "minor": pa.array([True] * n), "n": pa.array(map(len, sets), pa.int64()), "sig": pa.array([x.tobytes() for x in neardup.pack(low)], pa.binary()), "bands": pa.array([[7]] * n, pa.list_(pa.int64())), "set": pa.array(sets, pa.list_(pa.int64()))}
+    both = [pa.record_batch([*form.values(), pa.array([role] * n, pa.int32())], [*form, "role"]) for role in (0, 1)]
+    seen = {(x["role"], x["node"]) for b in neardup.meet(iter(both), neardup.screen) for x in b.to_pylist()}
+    assert {i for _, i in seen} == set(range(n))
     root = list(range(n))
-    for a, b in neardup.join_group(g):
-        root = [min(root[a], root[b]) if x in (root[a], root[b]) else x for x in root]
+    for b in neardup.meet(iter(both), neardup.join_group):
+        for x in b.to_pylist():
+            a, b_ = root[x["a"]], root[x["b"]]
+            root = [min(a, b_) if y in (a, b_) else y for y in root]
     assert set(root) == {0}
 
 
+def complement(n):
+    """A Thue-Morse word of 2**n letters and its complement: equal under any polynomial hash modulo 2**64."""
+    w = "a"
+    for _ in range(n):
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+def test_unlike_words_with_equal_fast_hashes_stay_unlike(spark):
+    a, b = complement(10)
+    rest = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, a), (4, b), (5, f"{a} {a} {a} {b} {b}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in neardup.classes(docs).collect()}
+    assert got[3].component_id == 3 and got[4].component_id == 4
+    # the 12 windows of row 2 with the first word differ from those of row 1 only in it
+    cut = {r.doc_id: r.n_removed for r in substring.digest(docs).collect()}
+    assert cut == {1: 0, 2: 60, 3: 0, 4: 0, 5: 0}
+
+
+def test_rows_that_share_an_id_keep_to_their_own_texts(spark):
+    r = random.Random(9)
+    say = lambda n: [r.choice("abcdefghij") + str(r.randrange(300)) for _ in range(n)]
+    one, two, other = say(90), say(90), say(60)
+    near = lambda w: " ".join([*w[:-2], "x", "y"])
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (9, near(one)), (9, near(two)), (9, None), (None, " ".join(one)), (12, " ".join(other)), (12, " ".join(other))]
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == [(0, 86, 0), (1, 86, 1), (2, 86, 1), (9, 0, 9), (9, 86, 1), (9, 86, 1), (12, 56, 12), (12, 56, 12)]
+    docs = spark.createDataFrame([(1, " ".join(one[:60]), 1, 2), (2, " ".join(one[:60]), 3, 4), (2, " ".join(two[:60]), 5, 6), (None, " ".join(one[:60]), 7, 8)], "doc_id long, text string, print int, starts int")
+    assert sorted((r.doc_id or 0, r.n_removed) for r in substring.digest(docs).collect()) == [(0, 0), (1, 0), (2, 0), (2, 60)]
+    left = substring.remove(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text, r["print"], r.starts) for r in left.collect()) == sorted([(0, " ".join(one[:60]), 7, 8), (1, " ".join(one[:60]), 1, 2), (2, " ".join(two[:60]), 5, 6)])
+
+
 def test_substring_equals_brute_force(docs, rows):
     seen, want = {}, {}
     for i, t, *_ in rows:
