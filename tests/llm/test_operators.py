@@ -258,18 +258,51 @@ def test_html():
     assert [html.main_text(x, {}) for x in (None, "", "<", "<p>")] == ["", "", "<", ""]
 
 
+def near_lists(spark, rows, kind="float", **options):
+    got = {}
+    for g in neighbours.search(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, rank string"), **options).collect():
+        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, g.score))
+    assert all([r for r, *_ in sorted(x)] == list(range(1, len(x) + 1)) for x in got.values())
+    return {q: [(v, s) for _, v, s in sorted(x)] for q, x in got.items()}
+
+
 def test_neighbours_equal_brute_force(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(300, 6)).astype(np.float32)
     x[50:90] = x[7]
     rows = [(i, v.tolist(), "a") for i, v in enumerate(x)] + [(1000, None, "a"), (1020, [], "a"), (1040, [0.0] * 6, "a"), (1060, [float("nan")] * 6, "a"), (1080, [1.0, None] * 3, "a")]
-    got = {}
-    for g in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")).collect():
-        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id))
+    rows += rows[:3] + [(1100, [1.0, 2.0], "a"), (1101, [2.0, 1.0], "a")]
+    got = near_lists(spark, rows)
     x = x.astype(np.float64)
     for q in range(0, 300, 20):
         s = x @ x[q]
         s[q] = -np.inf
         want = np.lexsort((np.arange(300), -s.round(12)))[:20]
-        assert [v for _, v in sorted(got[q])] == want.tolist()
-    assert set(got) == set(range(0, 300, 20))
+        assert [v for v, _ in got[q]] == want.tolist()
+        assert np.allclose([s for _, s in got[q]], s[want], rtol=1e-14)
+    assert set(got) == {*range(0, 300, 20), 1100} and got[1100] == [(1101, 4.0)]
+
+
+def test_neighbours_over_many_blocks(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    centers = r.normal(size=(60, 16))
+    x = np.repeat(centers, 60, axis=0) + 0.15 * r.normal(size=(3600, 16))
+    taken = []
+    real = neighbours.calibrate
+    monkeypatch.setattr(neighbours, "calibrate", lambda *a: taken.append((a[3], real(*a))) or taken[-1][1])
+    got = near_lists(spark, [(i, v.tolist(), "a") for i, v in enumerate(x)], "double", block=64)
+    (blocks, (curves, reach)) = taken[0]
+    assert blocks == 57 and curves * (2 * reach + 1) < blocks / 2  # windows are narrow here
+    hits = 0
+    for q in range(0, 3600, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len({v for v, _ in got[q]} & set(np.argsort(-s)[:20].tolist()))
+        assert all(abs(score - s[v]) <= 1e-12 * abs(score) for v, score in got[q])
+    assert hits >= 0.9 * 20 * 180
+
+
+def test_neighbours_keep_double_precision(spark):
+    rows = [(20, [1.0, 0.0], "a"), (1, [1.0, 1e39], "a"), (2, [1e-50, 0.0], "a"), (3, [0.05, 0.0], "a"), (4, [0.0, 1.0], "a"), (3, [0.01, 0.0], "b")]
+    assert near_lists(spark, rows, "double") == {20: [(1, 1.0), (3, 0.05), (3, 0.01), (2, 1e-50), (4, 0.0)]}
+    assert near_lists(spark, [], "double") == {}
