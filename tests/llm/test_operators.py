@@ -155,18 +155,72 @@ def test_sharding(docs, rows):
     assert sharding.shard(docs.limit(0), 7).count() == 0
 
 
+def deviation(rows, streams):
+    """Largest distance, over all prefixes of slots, between units of a stream and its target."""
+    at, worst = dict.fromkeys(streams, 0), 0.0
+    for t, s in enumerate(rows, 1):
+        at[s] += 1
+        worst = max(worst, *(abs(at[i] - w * t) for i, w in streams.items()))
+    return worst
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_schedule_stays_within_a_block_of_real_weights(spark, seed):
+    r = random.Random(seed)
+    w = sorted((r.random() ** 3 + 0.02 for _ in range(7)), reverse=True)
+    w = [x / sum(w) for x in w]
+    parts = mixing.parts_of(w)
+    got = mixing.schedule(spark, parts, 40, 128).orderBy("slot").collect()
+    assert [x.slot for x in got] == list(range(40 * 128)) and all(x.release <= x.slot < x.due for x in got)
+    for s in range(7):
+        assert [x.unit for x in got if x.stream == s] == list(range(sum(x.stream == s for x in got)))
+    assert deviation([x.stream for x in got], dict(enumerate(w))) < 2  # units, of half a block
+    assert mixing.had(parts, 40, 128) == [sum(x.stream == s for x in got) for s in range(7)]
+
+
 def test_mixing(spark, docs, rows):
-    plan = mixing.schedule(spark, [5, 3, 1, 1]).orderBy("slot").collect()
-    had = [0] * 4
-    for t, r in enumerate(plan, 1):
-        had[r.src] += 1
-        assert all(abs(had[i] - t * q / 10) < 1 for i, q in enumerate([5, 3, 1, 1]))
     got = mixing.mix(docs, block_bytes=256).collect()
-    assert len(got) == len(rows) and all(r.release <= r.slot < r.due for r in got) and any(r.in_mix for r in got)
+    assert len(got) == len(rows) and any(r.in_mix for r in got)
+    assert all(r.release <= r.slot < r.due for r in got if r.in_mix) and sum({r.source: r.target for r in got}.values()) == pytest.approx(1)
     assert mixing.blend(docs).columns == docs.columns
     assert mixing.mix(docs.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        mixing.shares([1.0] * 11, 10)
+    for bad in ({"s1": -1.0}, {"s1": float("nan")}, {"nobody": 1.0}):
+        with pytest.raises(ValueError):
+            mixing.mix(docs, bad)
+
+
+def test_mixing_follows_given_weights_by_bytes(spark):
+    r = random.Random(4)
+    rows = [(i, "x" * r.randrange(100), r.choice("aaabbc") if i % 40 else None) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {"a": 0.55, "b": 0.3123, "c": 0.1377, None: 0.0}
+    got = mixing.mix(docs, {"a": 5.5, "b": 3.123, "c": 1.377, None: 0}, block_bytes=512).collect()
+    assert {x.slot for x in got if x.source is None} == {None} and len(got) == 6000
+    mixed = sorted((x for x in got if x.in_mix), key=lambda x: (x.slot, x.block))
+    end = max(x.slot for x in mixed)
+    assert len({x.source for x in got if not x.in_mix and x.source}) >= 1 and {x.slot for x in mixed} == set(range(end + 1))
+    done, at, n = {"a": 0, "b": 0, "c": 0}, 0, len(mixed)
+    for t in range(end + 1):
+        while at < n and mixed[at].slot == t:
+            done[mixed[at].source] += mixed[at].size
+            at += 1
+        # a block, and the document that reaches over the end of a unit
+        assert all(abs(done[s] - want[s] * 256 * (t + 1)) < 512 + 116 for s in done)
+
+
+def test_small_sources_share_a_stream(spark):
+    r = random.Random(6)
+    rows = [(i, "y" * r.randrange(200), "big" if i % 2 else f"host{r.randrange(1500)}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"big": 0.5} | {f"host{k}": 0.5 / 1500 * (1 + k % 2) for k in range(1500)}
+    got = mixing.mix(docs, weights, block_bytes=1024).collect()
+    assert len(got) == 9000 and all(x.slot is not None for x in got)
+    first = [x for x in got if x.slot < 300]
+    size = lambda of: sum(x.size for x in first if of(x))
+    assert abs(size(lambda x: x.source == "big") / size(lambda x: True) - 0.4) < 0.02
+    odd, even = (size(lambda x, o=o: x.source != "big" and int(x.source[4:]) % 2 == o) for o in (1, 0))
+    assert 1.6 < odd / even < 2.4
+    assert sorted(x.doc_id for x in mixing.blend(docs, weights=weights).collect()) == list(range(9000))
 
 
 def test_blend_keeps_every_document_in_slot_order(spark, docs, rows):
@@ -175,7 +229,7 @@ def test_blend_keeps_every_document_in_slot_order(spark, docs, rows):
     got = [r.doc_id for r in mixing.blend(docs, block_bytes=256).collect()]
     assert sorted(got) == sorted(r[0] for r in rows)
     slot = {r.doc_id: r.slot for r in mixed}
-    assert [slot[i] for i in got] == sorted(slot.values())
+    assert [slot[i] for i in got] == sorted(slot.values()) and not any(x is None for x in slot.values())
     assert mixing.blend(docs.limit(0)).count() == 0
 
 
