@@ -1,14 +1,17 @@
 """Main text of HTML pages by the maximum-scoring subsequence.
 
-A page is a sequence of tokens: words and tags. Each has a weight, the log-odds of being inside against outside the
-main text, learnt from labelled pages: those whose markup says where the article is (one ``<article>`` or ``<main>``
-element). The weight of a tag is that of its name with the sign of its class and id words; a word counts for the
-innermost element that it stands in. Kadane's linear scan finds the contiguous region of largest total weight, whose
-text is the main text, without the elements inside it that are themselves boilerplate (scripts, forms, adverts,
-comments and the like).
+A page is a sequence of tokens: words and tags. A tag weighs against the main text; a word weighs by the innermost block
+element that it stands in, and by the class and id names of the elements around it. Weights are log-odds of being inside
+against outside the main text, learnt from labelled pages: those whose markup says where the article is (one
+``<article>`` or ``<main>`` element). Kadane's linear scan finds the contiguous region of largest total weight, whose
+text is the main text. Elements inside the region whose own name or class name weighs clearly against it (under ``OUT``)
+are left out.
 
-Weights are fitted on a bounded sample of pages (``max_pages``, chosen by hash) and smoothed towards fixed prior
-weights, so that pages without such markup, and tables without any such page, are handled too.
+Weights are fitted on a bounded sample of pages (``max_pages``, chosen by hash) and smoothed towards prior weights: by
+element names, and for class names all of whose parts are usual names of page furniture (``ad-slot`` is one,
+``related-work`` is not). So pages without such markup, and tables without any such page, are handled too.
+
+The scan over the markup is linear in the page: a tag ends at its ``>``, quotes are heeded until one stays open.
 
 Edge cases: null or empty html gives an empty text; unclosed, stray and malformed tags are tolerated; character
 references are decoded; repeated rows are extracted alike; texts are never cut; other columns are ignored.
@@ -26,123 +29,179 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Names of elements and of class or id words, as HTML authors use them.
+# Names of elements and parts of class or id names, as HTML authors use them.
 RAW = "script style noscript template iframe svg textarea title"
-CUT = "nav header footer aside form button select menu dialog head"
-BOXES = "ad ads advert advertisement advertising banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments respond reply replies cookie cookies consent notice gdpr popup modal newsletter subscribe signup login share sharing social related recommended widget toolbar pagination pager disclaimer copyright"
+APART = "nav header footer aside form button select menu dialog head"
+FURNITURE = "ad ads advert advertisement advertising banner sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments respond reply replies cookie cookies consent notice gdpr popup modal newsletter subscribe signup login share sharing social related recommended widget toolbar pagination pager disclaimer copyright"
+NEUTRAL = "area bar block body bottom box btn button container content field form group holder inner item items left link links list main module outer page panel right row section site slot space thread title top unit wrap wrapper"
 BLOCK = "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 TEXTUAL = "p h1 h2 h3 h4 h5 h6 blockquote pre article main section"
 
-RAW_SET, CUT_SET, BOX_SET, BLOCK_SET, VOID_SET, TEXT_SET = (frozenset(x.split()) for x in (RAW, CUT, BOXES, BLOCK, VOID, TEXTUAL))
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-PIECE = re.compile(r"[a-z]+")
-PRIOR = 20.0
+RAW_SET, APART_SET, FURNITURE_SET, NEUTRAL_SET, BLOCK_SET, VOID_SET, TEXT_SET = (frozenset(x.split()) for x in (RAW, APART, FURNITURE, NEUTRAL, BLOCK, VOID, TEXTUAL))
+START = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+NAMED = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
+PART = re.compile(r"[a-z]+")
+PRIOR, OUT = 20.0, -1.5
+NAMES_READ = 16  # names of one element; the rest of a longer list says no more
+
+
+def is_furniture(name: str) -> bool:
+    """Whether all parts of a class or id name are usual for page furniture, one of them for certain."""
+    found = PART.findall(name.lower())
+    return not FURNITURE_SET.isdisjoint(found) and all(p in FURNITURE_SET or p in NEUTRAL_SET for p in found)
+
+
+def prior(key: str) -> float:
+    """Weight of a key before any page is seen. Keys are ``<name`` of tags, ``.name`` of words by block, ``#name`` of classes and elements."""
+    kind, name = key[:1], key[1:]
+    if kind == "#":
+        return -3.0 if name in APART_SET or is_furniture(name) else 0.0
+    if kind == ".":
+        return -2.0 if name in APART_SET or name in ("li", "option") else 1.0 if name in TEXT_SET else 0.3
+    return -6.0 if name in APART_SET else -0.5 if name in TEXT_SET or name == "br" else -1.5
 
 
 class Page:
-    """Tokens of a page in order: words are (text, element key), tags are (None, key)."""
+    """Tokens of a page in order.
+
+    ``items`` are (word or None, key, sign, depth in an article, glue): ``sign`` is the number of the innermost element
+    with names, an index into ``signs``; ``glue`` tells a word that follows the one before without a break.
+    """
 
     def __init__(self, html: str | None):
-        self.items: list[tuple[str | None, str]] = []
-        self.inside: list[int] = []  # depth within an article or main element
-        self.off: list[bool] = []  # whether in an element that is boilerplate by name
-        self.glue: list[bool] = []  # whether the token follows the one before without a break
+        self.items: list[tuple[str | None, str, int, int, bool]] = []
+        self.signs: list[tuple[int, tuple[str, ...]]] = [(0, ())]  # (sign of the element around, own names)
         self.articles = 0
-        html, at = html or "", 0
-        stack: list[tuple[str, str, bool, bool]] = []  # name, key, boilerplate, article
-        self._stack, self._depth, self._off = stack, 0, 0
-        self._space = True
-        while at < len(html):
-            m = TOKEN.search(html, at)
+        # open elements: name, block name for words, sign
+        self._stack: list[tuple[str, str, int]] = []
+        self._open: Counter = Counter()
+        self._depth, self._space = 0, True
+        self._read(html or "")
+
+    def _read(self, html: str) -> None:
+        at = text = 0  # where to look for a tag, and where text not yet read begins
+        quotes, end = True, len(html)
+        while True:
+            m = START.search(html, at)
             if m is None:
-                self._words(html[at:])
                 break
-            self._words(html[at : m.start()])
-            at = m.end()
-            if m["cdata"] is not None:
-                self._words(m["cdata"])
-            if not m["name"]:
+            if m.start() > text:
+                self._words(html[text : m.start()])
+            kind = m[0]
+            if kind == "<!--" or kind == "<![CDATA[":
+                close = html.find("-->" if kind == "<!--" else "]]>", m.end())
+                if kind != "<!--":
+                    self._words(html[m.end() : close if close >= 0 else end])
+                at = text = close + 3 if close >= 0 else end
                 continue
-            name = m["name"].lower()
+            got = QUOTED.match(html, m.end()) if quotes else None
+            if got is None:
+                # an open quote, or no end at all: from here on a tag ends at the next ">", so this is tried once
+                quotes = False
+                close = html.find(">", m.end())
+                if close < 0:
+                    text = m.start()
+                    break
+                stop = close + 1
+            else:
+                stop = got.end()
+            at = text = stop
+            if m[2] is None:
+                continue
+            name, rest = m[2].lower(), html[m.end() : stop - 1]
             if name in BLOCK_SET:
                 self._space = True
-            if m["close"]:
+            if m[1]:
                 self._close(name)
                 continue
-            signs = {p for q in NAMED.findall(m["rest"]) for p in PIECE.findall("".join(q).lower())} & BOX_SET
-            if name in ("html", "body", "article", "main"):
-                signs = set()
-            key = f"{name}.{min(signs)}" if signs else name
-            self._tag("<" + key)
-            if name in RAW_SET and not m["rest"].endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            self._tag(name)
+            if name in RAW_SET and not rest.endswith("/"):
+                skip = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+                at = text = skip.end() if skip else end
                 self._space |= name == "title"
-                continue
-            if name in VOID_SET or m["rest"].endswith("/"):
-                continue
-            if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-                self._close(name)
-            entry = (name, key, bool(signs) or (name in CUT_SET and not (name == "header" and self._depth)), name in ("article", "main"))
-            stack.append(entry)
-            self._depth += entry[3]
-            self.articles += entry[3] and self._depth == 1
-            self._off += entry[2]
+            elif name not in VOID_SET and not rest.endswith("/"):
+                self._enter(name, rest)
+        if text < end:
+            self._words(html[text:])
+
+    def _enter(self, name: str, rest: str) -> None:
+        stack = self._stack
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
+            self._close(name)
+        article = name in ("article", "main")
+        names = [] if article or name in ("html", "body") else [w for q in NAMED.findall(rest) for w in "".join(q).lower().split()[:NAMES_READ]]
+        # the header of an article is part of it
+        if name in APART_SET and not (name == "header" and self._depth):
+            names.append(name)
+        around = stack[-1][2] if stack else 0
+        if names:
+            self.signs.append((around, tuple(dict.fromkeys(names))))
+            around = len(self.signs) - 1
+        block = name if name in BLOCK_SET else stack[-1][1] if stack else ""
+        stack.append((name, block, around))
+        self._open[name] += 1
+        self._depth += article
+        self.articles += article and self._depth == 1
 
     def _close(self, name: str) -> None:
-        if all(x[0] != name for x in self._stack):
+        if not self._open[name]:
             return
         while True:
-            got, key, off, article = self._stack.pop()
-            self._depth -= article
-            self._off -= off
-            self._tag("</" + key)
+            got = self._stack.pop()[0]
+            self._open[got] -= 1
+            self._depth -= got in ("article", "main")
+            self._tag(got)
             if got == name:
                 return
 
-    def _tag(self, key: str) -> None:
-        self.items.append((None, key))
-        self.inside.append(self._depth)
-        self.off.append(self._off > 0)
-        self.glue.append(False)
+    def _tag(self, name: str) -> None:
+        self.items.append((None, "<" + name, self._stack[-1][2] if self._stack else 0, self._depth, False))
 
     def _words(self, raw: str) -> None:
-        if not raw:
-            return
         text = unescape(raw) if "&" in raw else raw
-        key = next((k for n, k, _, _ in reversed(self._stack) if n in BLOCK_SET), "")
+        _, block, sign = self._stack[-1] if self._stack else ("", "", 0)
         self._space |= text[:1].isspace()
+        key = "." + block
         for w in text.split():
-            self.items.append((w, "." + key))
-            self.inside.append(self._depth)
-            self.off.append(self._off > 0)
-            self.glue.append(not self._space)
+            self.items.append((w, key, sign, self._depth, not self._space))
             self._space = True
         if text.strip():
             self._space = text[-1:].isspace()
 
 
-def prior(key: str) -> float:
-    """Weight of a token before any page is seen: words of text elements are for, tags are against."""
-    name, _, sign = key.lstrip("</.").partition(".")
-    bad = bool(sign) or name in CUT_SET
-    if key.startswith("."):
-        return -2.0 if bad or name in ("li", "option") else 1.0 if name in TEXT_SET else 0.3
-    return -6.0 if bad else -0.5 if name in TEXT_SET or name == "br" else -1.5
+def furniture(page: Page) -> list[bool]:
+    """By sign: whether the element, or one around it, is furniture by its names alone."""
+    out: list[bool] = []
+    for around, names in page.signs:
+        out.append((bool(out) and out[around]) or any(prior("#" + n) < 0 for n in names))
+    return out
 
 
 def count(page: Page) -> tuple[Counter, Counter]:
-    """Tokens by key, inside and outside the article of a labelled page."""
+    """Tokens by key, inside and outside the article of a labelled page; furniture in it counts as outside."""
     good, bad = Counter(), Counter()
-    for (_, key), depth, off in zip(page.items, page.inside, page.off, strict=True):
-        (good if depth and not off else bad)[key] += 1
+    off = furniture(page)
+    words: Counter = Counter()
+    for word, key, sign, depth, _ in page.items:
+        inside = depth > 0 and not off[sign]
+        (good if inside else bad)[key] += 1
+        if word is not None:
+            words[sign, inside] += 1
+    # a name gets all words in its element, so those of inner elements are handed outwards
+    for inside, counter in ((True, good), (False, bad)):
+        total = [words[s, inside] for s in range(len(page.signs))]
+        for s in range(len(page.signs) - 1, 0, -1):
+            around, names = page.signs[s]
+            for n in names:
+                counter["#" + n] += total[s]
+            total[around] += total[s]
     return good, bad
 
 
 def learn(pages: DataFrame, max_pages: int = 5_000) -> dict[str, float]:
-    """Weight of every key, from pages with exactly one article element."""
+    """Weight of every key met in the sampled pages with exactly one article element."""
     chosen = pages.select("page_id", F.xxhash64("page_id").alias("_at")).orderBy("_at", "page_id").limit(max_pages).select("page_id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,28 +216,38 @@ def learn(pages: DataFrame, max_pages: int = 5_000) -> dict[str, float]:
         keys = sorted({*good, *bad})
         yield pa.record_batch([pa.array(keys, pa.string()), pa.array([good[k] for k in keys], pa.int64()), pa.array([bad[k] for k in keys], pa.int64())], ["key", "good", "bad"])
 
-    # at most max_pages ids: bounded, so broadcast
+    # at most max_pages ids: bounded, so broadcast; the keys are those of so many pages
     counted = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").mapInArrow(run, "key string, good long, bad long")
-    # a key is a tag name with a sign of a fixed list; the 4,096 most frequent are enough for any page author's own tags
-    rows = counted.groupBy("key").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy((F.col("good") + F.col("bad")).desc(), "key").limit(4_096).collect()
+    rows = counted.groupBy("key").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
+    return weights_of({r.key: (r.good, r.bad) for r in rows})
+
+
+def weights_of(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
+    """Smoothed log-odds; a tag never counts for the main text, as the method has it."""
     out = {}
-    for r in rows:
-        p = 1 / (1 + np.exp(-prior(r.key)))
-        w = float(np.log((r.good + PRIOR * p) / (r.bad + PRIOR * (1 - p))))
-        # words never count against a text element, and tags never for it: the sign carries the method, the size is learnt
-        out[r.key] = max(w, 0.05) if r.key.startswith(".") and prior(r.key) > 0.5 else min(w, -0.05) if not r.key.startswith(".") else w
+    for key, (good, bad) in counts.items():
+        p = 1 / (1 + np.exp(-prior(key)))
+        w = float(np.log((good + PRIOR * p) / (bad + PRIOR * (1 - p))))
+        out[key] = min(w, -0.05) if key[0] == "<" else w
     return out
 
 
-def region(page: Page, weights: dict[str, float]) -> tuple[int, int]:
+def scored(page: Page, weights: dict[str, float]) -> tuple[list[float], list[float]]:
+    """Weight of every token, and by sign the lowest weight of the names around (0 if none counts against)."""
+    known = lambda key: weights[key] if key in weights else prior(key)
+    low: list[float] = []
+    for around, names in page.signs:
+        low.append(min([low[around] if low else 0.0, *(known("#" + n) for n in names)]))
+    return [known(key) + (low[sign] if word is not None else 0.0) for word, key, sign, _, _ in page.items], low
+
+
+def region(scores: list[float]) -> tuple[int, int]:
     """First and last+1 token of the contiguous region of largest weight; the earliest and shortest on ties."""
-    best = (0.0, 0, 0)
-    total, start = 0.0, 0
-    for i, (_, key) in enumerate(page.items):
+    best, total, start = (0.0, 0, 0), 0.0, 0
+    for i, w in enumerate(scores):
         if total <= 0:
             total, start = 0.0, i
-        w = weights.get(key)
-        total += prior(key) if w is None else w
+        total += w
         if total > best[0]:
             best = (total, start, i + 1)
     return best[1], best[2]
@@ -186,10 +255,11 @@ def region(page: Page, weights: dict[str, float]) -> tuple[int, int]:
 
 def main_text(html: str | None, weights: dict[str, float]) -> str:
     page = Page(html)
-    a, b = region(page, weights)
+    scores, low = scored(page, weights)
+    a, b = region(scores)
     out: list[str] = []
-    for (word, _), off, glue in zip(page.items[a:b], page.off[a:b], page.glue[a:b], strict=True):
-        if word is None or off:
+    for word, _, sign, _, glue in page.items[a:b]:
+        if word is None or low[sign] < OUT:
             continue
         if glue and out:
             out[-1] += word
