@@ -6,7 +6,8 @@ the tightest, a cutoff is allowed while the exact binomial test still shows, at
 number of strata and rules, that less than ``alpha / number of rules`` of the stratum's good documents reach it; the
 first one that fails ends the walk (fixed-sequence testing), and the last allowed one holds. So with probability
 1 - ``delta`` no stratum loses more than ``alpha`` of its good documents. A stratum with too few labels to show
-that has no cutoff, and its documents are judged by the base rule alone.
+that has no cutoff, and its documents are judged by the base rule alone. Cutoffs are a table with a row per stratum, made
+in tasks and joined to the documents, so there may be any number of strata.
 
 Edge cases: null text counts as empty (all counts 0, base_failed); null language is a stratum of its own; null labels
 and documents with contradicting labels teach nothing; repeated documents are counted each; tables may be empty;
@@ -102,30 +103,44 @@ def at_most(k: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(map(math.exp, logs)))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> dict[tuple[str | None, str], float]:
-    """Cutoff by (stratum, rule); needs one row of counts per stratum on the driver, however many documents there are."""
+def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """(lang, cut_<rule>): a row per stratum with its cutoffs, null where a rule has none; a written table."""
     good = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("lo")).where("lo = 1").select("doc_id")
     held = measured.where(~base_failed()).join(good, "doc_id")
     reach = [F.sum((ratio(r) >= c).cast("long")).alias(f"{r}_{k}") for r, (_, _, grid) in RULES.items() for k, c in enumerate(grid)]
-    strata = held.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *reach).collect()
-    level, share, out = delta / max(1, len(strata) * len(RULES)), alpha / len(RULES), {}
-    for s in strata:
-        for r, (_, _, grid) in RULES.items():
-            for k, c in enumerate(grid):
-                hits = s[f"{r}_{k}"]
-                if hits > share * s.n or at_most(hits, s.n, share) > level:
-                    break
-                out[s.lang, r] = c
-    return out
+    strata = store.keep(held.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *reach), "rule-strata")
+    level, share = delta / max(1, strata.count() * len(RULES)), alpha / len(RULES)
+
+    def walk(hits: list[int], n: int, grid: tuple[float, ...]) -> float | None:
+        cut = None
+        for k, c in zip(hits, grid, strict=True):
+            if k > share * n or at_most(k, n, share) > level:
+                break
+            cut = c
+        return cut
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column("n").to_pylist()
+            cuts = []
+            for r, (_, _, grid) in RULES.items():
+                hits = zip(*(b.column(f"{r}_{k}").to_pylist() for k in range(len(grid))), strict=True)
+                cuts.append(pa.array([walk(h, m, grid) for h, m in zip(hits, n, strict=True)], pa.float64()))
+            yield pa.record_batch([b.column("lang"), *cuts], ["lang", *(f"cut_{r}" for r in RULES)])
+
+    return store.keep(strata.mapInArrow(run, "lang string, " + ", ".join(f"cut_{r} double" for r in RULES)), "rule-cuts")
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """Counts, base_failed and the verdict ``kept`` of every document."""
     measured = store.keep(measure(docs), "rule-counts")
+    cuts = cutoffs(measured, labels, alpha, delta).withColumnRenamed("lang", "stratum")
     reject = F.lit(False)
-    for (lang, rule), c in cutoffs(measured, labels, alpha, delta).items():
-        reject = reject | (F.col("lang").eqNullSafe(F.lit(lang)) & (ratio(rule) >= c))
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~reject).drop("lang")
+    for r in RULES:
+        reject = reject | F.coalesce(ratio(r) >= F.col(f"cut_{r}"), F.lit(False))
+    # few strata are broadcast by the optimizer's own check of the written table's size
+    known = measured.join(cuts, F.col("lang").eqNullSafe(F.col("stratum")), "left")
+    return known.select(*(c for c in measured.columns if c != "lang"), base_failed().alias("base_failed"), (~base_failed() & ~reject).alias("kept"))
 
 
 def oracle(alpha: float = 0.02, delta: float = 0.05) -> str:
