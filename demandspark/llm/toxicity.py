@@ -7,12 +7,14 @@ of hashed word parts plus transition scores, by gradients from forward-backward.
 then tagged with forward-backward marginals; a logistic curve over the document's largest marginals and their sum
 gives the score, and words over one half give the offending offsets.
 
-Learning uses at most ``max_docs`` toxic and twice as many clean labelled documents and ``max_lines`` lines of them,
-chosen by hash, up to ``max_words`` words; lines of over ``SPAN`` words are learned in overlapping parts, each a line of
-its own here. Scoring reads whole texts and whole lines.
-
-Edge cases: null text counts as empty and is scored; without toxic or clean labels every score is 0; null labels
-teach nothing; repeated rows are scored alike; tables may be empty; other columns are ignored.
+Learning uses a bounded sample of labelled rows, by parameters: at most ``max_docs`` toxic and twice as many clean
+documents, the ``max_parts`` parts of words that most toxic ones have as possible markers, and ``max_lines`` lines, chosen
+by hash, up to ``max_words`` words; lines of over ``SPAN`` words are learned in overlapping parts, each a line of its own
+here. The sample is written once and read by all steps of learning. Scoring reads whole texts and whole lines.
+
+Edge cases: null text counts as empty and is scored; without toxic or clean labels every score is 0 and nothing
+offends; null labels, and documents with contradicting ones, teach nothing; repeated rows are scored alike; tables may
+be empty; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandspark.llm import store
 from demandspark.llm.quality import fold
 from demandspark.llm.text import slices
 
@@ -196,15 +199,19 @@ class Tagger:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.sums(texts) @ self.chain.curve, -40, 40)))
 
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+        """Score of every text, and its offending words."""
+        x = self.sums(texts)
+        return 1 / (1 + np.exp(-np.clip(x @ self.chain.curve, -40, 40))), [self.spans(t) if top >= 0 else [] for t, top in zip(texts, x[:, 0], strict=True)]
+
     def spans(self, text: str | None, least: float = 0.5) -> list[tuple[int, int, float]]:
         """(start, end, P(toxic)) of offending words, in code points."""
-        out, base = [], 0
+        found, base = [], 0
         for line in (text or "").split("\n"):
-            found = list(WORD.finditer(line))
-            p = self.lines([[m[0] for m in found]])[0]
-            out += [(base + m.start(), base + m.end(), float(q)) for m, q in zip(found, p, strict=True) if q >= least]
+            found.append([(base + m.start(), base + m.end(), m[0]) for m in WORD.finditer(line)])
             base += len(line) + 1
-        return out
+        tagged = self.lines([[w for _, _, w in line] for line in found])
+        return [(a, z, float(q)) for line, p in zip(found, tagged, strict=True) for (a, z, _), q in zip(line, p, strict=True) if q >= least]
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1e-2) -> np.ndarray:
@@ -219,13 +226,13 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1e-2
     return c
 
 
-def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, max_words: int = 1_000_000, chance: float = 1e-7, max_rate: float = 0.2) -> Chain | None:
+def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int = 2_500, max_lines: int = 12_000, max_words: int = 1_000_000, max_parts: int = 20_000, chance: float = 1e-7, max_rate: float = 0.2) -> Chain | None:
     """Markers, labelled lines and the chain, from labelled documents outside the held-out fold."""
     known = labels.where("toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("lo"), F.max("toxic").alias("hi")).where(~held_out & (F.col("lo") == F.col("hi")))
     first = lambda which, n: known.where(F.col("lo") == which).select("doc_id", F.col("lo").alias("toxic"), F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(n).drop("_at")
     chosen = first(1, max_docs).unionAll(first(0, 2 * max_docs))
     # at most 3 * max_docs ids: bounded, so broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    sample = store.keep(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "tx-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
@@ -248,10 +255,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
         yield flush()
 
     counted = sample.mapInArrow(count, "part string, toxic long, clean long").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic >= 4 or part = ''")
-    # only parts that toxic documents have at twice the rate of clean ones, 20,000 at most
-    rows = counted.where("part = '' or toxic > clean").orderBy((F.col("part") == "").desc(), F.col("toxic").desc(), "part").limit(20_000).collect()
+    # only parts that toxic documents have at twice the rate of clean ones
+    rows = counted.where("part = '' or toxic > clean").orderBy((F.col("part") == "").desc(), F.col("toxic").desc(), "part").limit(max_parts + 1).collect()
     n_toxic, n_clean = next(((r.toxic, r.clean) for r in rows if r.part == ""), (0, 0))
     if not n_toxic or not n_clean:
+        store.drop(sample)
         return None
     share = n_toxic / (n_toxic + n_clean)
     marks = frozenset(r.part for r in rows if r.part and r.clean * n_toxic <= max_rate * r.toxic * n_clean and tail(r.toxic, r.toxic + r.clean, share) < chance)
@@ -291,6 +299,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
     got = sample.mapInArrow(sums, "x array<double>, toxic int").toArrow()
     x = np.array(got.column("x").to_pylist())
     chain.curve = fit_curve(x, got.column("toxic").to_numpy().astype(float))
+    store.drop(sample)
     return chain
 
 
@@ -306,36 +315,26 @@ def tagger_of(chain: Chain) -> Tagger:
     return _TAGGERS[key]
 
 
-def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
-    """(doc_id, score, n_spans) of every whole text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = tagger_of(chain) if chain else None
-        for b in batches:
-            for s in slices(b):
-                got = tagger.scores(s.column("text").to_pylist()) if tagger else np.zeros(s.num_rows)
-                yield pa.record_batch([s.column("doc_id"), pa.array(got, pa.float64())], ["doc_id", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+OFFENCES = "offences array<struct<start:int,end:int,p:double>>"
 
 
-def spans(docs: DataFrame, chain: Chain | None) -> DataFrame:
-    """One row per offending word: (doc_id, start, end, p), offsets in code points."""
+def score(docs: DataFrame, chain: Chain | None) -> DataFrame:
+    """(doc_id, score, offences) of every whole text; offences are words by offsets in code points, with their marginals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = tagger_of(chain) if chain else None
+        form = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for b in batches:
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                found = tagger.spans(t) if tagger else []
-                if found:
-                    a, z, p = zip(*found, strict=True)
-                    yield pa.record_batch([pa.array([d] * len(a), pa.int64()), pa.array(a, pa.int32()), pa.array(z, pa.int32()), pa.array(p, pa.float64())], ["doc_id", "start", "end", "p"])
+            for s in slices(b):
+                got, found = tagger.judge(s.column("text").to_pylist()) if tagger else (np.zeros(s.num_rows), [[]] * s.num_rows)
+                told = [[{"start": a, "end": z, "p": p} for a, z, p in x] for x in found]
+                yield pa.record_batch([s.column("doc_id"), pa.array(got, pa.float64()), pa.array(told, form)], ["doc_id", "score", "offences"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, start int, end int, p double")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, score double, {OFFENCES}")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document."""
+    """(doc_id, held_out, score, predicted, offences) of every document."""
     held_out = fold(4, 2)
     got = score(docs, learn(docs, labels, held_out))
-    return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "offences")

@@ -3,11 +3,16 @@
 import hashlib
 import random
 import re
+import time
 import zlib
+from fractions import Fraction
+from html import unescape
+from math import comb
 
 import numpy as np
 import pytest
 from demandspark.llm import html, mixing, neardup, neighbours, quality, rules, sharding, substring, toxicity
+from pyspark.sql import functions as F
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 FORM = "doc_id long, text string, lang string, source string, n_chars long, size string"
@@ -257,9 +262,39 @@ def test_rules_counts(spark, docs, rows):
         assert (got[i].n_words, got[i].word_chars, got[i].n_dup_lines) == (len(w), sum(map(len, w)), len(real) - len(set(real)))
         assert again is None or got[i].n_repeat_words == len(again)
         assert got[i].base_failed == (len(w) < 50 or 100 * got[i].n_repeat_words > 50 * len(w))
+    assert rules.judge(docs.limit(0), labels).count() == 0
     assert rules.at_most(0, 10, 0.1) == pytest.approx(0.9**10) and rules.at_most(10, 10, 0.1) == 1
 
 
+def test_rules_control_false_rejection(spark):
+    r = random.Random(8)
+    say = lambda share: " ".join("#a" if r.random() < share else "word" + str(r.randrange(10**6)) for _ in range(80))
+    rows = [(i, say(0.0), "en", None) for i in range(3000)] + [(3000 + i, say(0.3), "en", None) for i in range(200)] + [(4000 + i, say(0.3), f"rare{i}", None) for i in range(300)]
+    rows += [(5000 + i, say(0.3), None, None) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, extra string")
+    labels = spark.createDataFrame([(i, 1) for i in (*range(3000), *range(4000, 4300), *range(5000, 8000))], "doc_id long, quality int")
+    measured = rules.measure(docs)
+    counts = measured.collect()
+    cuts = {r.lang: r for r in rules.cutoffs(measured, labels).collect()}
+    assert len(cuts) == 302 and cuts["en"].cut_symbols is not None and cuts[None].cut_symbols is not None
+    assert all(x[f"cut_{c}"] is None for lang, x in cuts.items() if lang and lang.startswith("rare") for c in rules.RULES)
+    share, level = 0.02 / len(rules.RULES), 0.05 / (302 * len(rules.RULES))
+    for lang in ("en", None):
+        n = 3000
+        for rule, (up, down, grid) in rules.RULES.items():
+            own = [m for m in counts if m.lang == lang and (m.doc_id < 3000 or m.doc_id >= 5000)]
+            want = None
+            for c in grid:
+                hits = sum(m[up] >= c * m[down] > 0 for m in own)
+                if hits > share * n or sum(comb(n, k) * Fraction(share) ** k * Fraction(1 - share) ** (n - k) for k in range(hits + 1)) > level:
+                    break
+                want = c
+            assert cuts[lang][f"cut_{rule}"] == want
+    kept = {r.doc_id: r.kept for r in rules.judge(docs, labels).collect()}
+    assert sum(kept[i] for i in range(3000)) >= 0.98 * 3000 and sum(kept[i] for i in range(3000, 3200)) < 20
+    assert all(kept[i] for i in range(4000, 4300)) and sum(kept[i] for i in range(5000, 8000)) >= 0.98 * 3000
+
+
 def test_classifiers_without_labels(spark, docs, rows):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality.classify(docs, none).collect()} == {0.5}
@@ -267,6 +302,67 @@ def test_classifiers_without_labels(spark, docs, rows):
     assert quality.keep_good(docs, none).count() == len(rows)
 
 
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return [spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels")]
+
+
+def held(got, labels, column):
+    truth = {r.doc_id: r[column] for r in labels.collect() if r[column] is not None}
+    return [(r, truth[r.doc_id]) for r in got if r.held_out and r.doc_id in truth]
+
+
+def test_quality_on_held_out_labels(spark, labelled):
+    docs, labels = labelled
+    odd = docs.limit(3).unionByName(spark.createDataFrame([(None, None, "en", "s", 0), (10**9, "", None, None, None), (10**9, "word " * 30_000, "en", "s", 1)], docs.schema)).withColumn("score", F.lit("x"))
+    got = quality.classify(docs.withColumn("score", F.lit("x")).unionByName(odd), labels).collect()
+    assert len(got) == docs.count() + 6 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got if r.doc_id is not None)
+    rows = held(got, labels, "quality")
+    assert len(rows) > 80 and sum(r.predicted == y for r, y in rows) >= 0.93 * len(rows)
+    again = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    # labels of the held-out fold do not matter
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    flipped = labels.withColumn("quality", F.when(third, 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert {r.doc_id: r.score for r in quality.classify(docs, flipped).collect()} == again
+    assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_toxicity_on_held_out_labels(spark, labelled):
+    docs, labels = labelled
+    odd = spark.createDataFrame([(None, None, "en", "s", 0), (10**9, "", None, None, None)], docs.schema)
+    got = toxicity.classify(docs.unionByName(odd).withColumn("toxic", F.lit("x")), labels).collect()
+    assert len(got) == docs.count() + 2 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got if r.doc_id is not None)
+    rows = held(got, labels, "toxic")
+    clean, bad = [r for r, y in rows if not y], [r for r, y in rows if y]
+    assert sum(r.predicted for r in clean) <= 0.06 * len(clean) and sum(r.predicted for r in bad) >= 0.5 * len(bad)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in got:
+        assert r.doc_id in text or not r.offences
+        assert all(0.5 <= x.p <= 1 and WORD.fullmatch(text[r.doc_id][x.start : x.end]) for x in r.offences)
+    assert any(len(r.offences) > 0 for r in bad)
+    assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_offences_equal_tagging_word_by_word():
+    chain = toxicity.Chain(np.zeros(1 << toxicity.BITS), -1.0, np.array([[0.5, -1.0], [-0.2, 0.9]]), np.zeros(5))
+    chain.weights[toxicity.slot("=vile")] = 4.0
+    text = "a fine line\n\n so vile, and vile again\u00e9\nVILE"
+    got = toxicity.Tagger(chain).judge([text, None, ""])[1]
+    want, base = [], 0
+    for line in text.split("\n"):
+        found = list(WORD.finditer(line))
+        e = [4.0 if m[0].lower().strip(",") == "vile" else 0.0 for m in found]
+        total, one = 0.0, np.zeros(len(e))
+        for y in np.ndindex(*[2] * len(e)):
+            w = np.exp((-1.0 * y[0] if y else 0) + sum(a * b for a, b in zip(e, y, strict=True)) + sum(chain.steps[a, b] for a, b in zip(y, y[1:], strict=False)))
+            total, one = total + w, one + w * np.array(y)
+        want += [(base + m.start(), base + m.end(), p) for m, p in zip(found, one / total, strict=True) if p >= 0.5]
+        base += len(line) + 1
+    assert [x[:2] for x in got[0]] == [x[:2] for x in want] and np.allclose([x[2] for x in got[0]], [x[2] for x in want]) and got[1:] == [[], []]
+
+
 def test_positive_unlabelled_risk():
     r = np.random.default_rng(0)
     p, u = r.normal(1, 0.4, (800, 3)), np.vstack([r.normal(1, 0.4, (1500, 3)), r.normal(-1, 0.4, (500, 3))])
@@ -306,10 +402,54 @@ def test_toxicity_learns_from_lines_of_any_length(spark):
     assert ((got >= 0.3) == (np.arange(120) < 60)).all()
 
 
-def test_html():
-    page = "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='ad'>buy it now</div><article><h1>A &amp; B</h1><p>one  two<br>three <b>fo</b>ur</p><aside>no</aside><p>caf&eacute; a b c d e f g h i j k l m n o p q</article><footer>foot</footer>"
-    assert html.main_text(page, {".p": 5.0, ".h1": 5.0}) == "A & B one two three four café a b c d e f g h i j k l m n o p q"
-    assert [html.main_text(x, {}) for x in (None, "", "<", "<p>")] == ["", "", "<", ""]
+def article_of(page):
+    inside = re.search("<article>(.*?)</article>", page, re.S)[1]
+    return " ".join(unescape(re.sub("<[^>]*>", "", re.sub("</?(?:p|h1|br)[^>]*>", " ", inside))).split())
+
+
+def test_html_against_known_articles(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    want = {r.page_id: article_of(r.html) for r in pages.collect()}
+    got = {r.page_id: r for r in html.extract_pages(pages).collect()}
+    assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+    # the markup that taught the weights is gone: the scan alone must find the article
+    weights = html.learn(pages)
+    for r in pages.collect():
+        assert html.main_text(r.html.replace("<article>", "<div class=story>").replace("</article>", "</div>"), weights) == want[r.page_id]
+
+
+def test_html_edge_cases_through_spark(spark):
+    page = "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='ad'>buy it now</div><article><h1>A &amp; B</h1><p>one  two<br>three <b>fo</b>ur</p><aside>no</aside><div class='ad-slot'>no</div><p class='related-work'>caf&eacute; <i class=copyright-law>a b</i> c d e f g h i j k l m n o p q</p></article><div id=comments><p>me too</p></div><footer>foot</footer>"
+    long = "<body><article>" + "<p>word word</p>" * 60_000 + "</article>"
+    rows = [(1, "u", page, "x", 7), (2, None, None, "x", 7), (3, "u", "", None, 7), (4, "u", "<", "x", 7), (5, "u", long, "x", 7), (None, "u", "<p>", "x", 7), (1, "u", page, "x", 7)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = [(r.page_id, r.text) for r in html.extract_pages(docs).collect()]
+    plain = "A & B one two three four café a b c d e f g h i j k l m n o p q"
+    assert sorted(got, key=str) == sorted([(1, plain), (2, ""), (3, ""), (4, "<"), (5, " ".join(["word"] * 120_000)), (None, ""), (1, plain)], key=str)
+    assert html.extract_pages(docs.limit(0)).count() == 0 and html.learn(docs.limit(0)) == {}
+    # without any labelled page
+    bare = page.replace("article>", "section>")
+    assert html.main_text(bare, {}) == plain
+
+
+def test_html_scan_is_linear():
+    for piece in ("<a ", "<i>x ", '<a ">', "<a '\"> ", "<!--", '<div class="', "</p>", "<", "&", "<script>"):
+        took = []
+        for n in (40_000, 160_000):
+            began = time.perf_counter()
+            html.main_text(piece * n, {})
+            took.append(time.perf_counter() - began)
+        assert took[1] < 10 * took[0] + 0.3, piece
+
+
+def test_region_equals_brute_force():
+    r = random.Random(3)
+    for _ in range(300):
+        x = [r.choice((-2.0, -1.0, 0.5, 1.0)) for _ in range(r.randrange(0, 25))]
+        sums = {(a, b): sum(x[a:b]) for a in range(len(x)) for b in range(a + 1, len(x) + 1)}
+        best = max([0.0, *sums.values()])
+        a, b = html.region(x)
+        assert sum(x[a:b]) == best and (a, b) == min([k for k, v in sums.items() if v == best and best > 0] or [(0, 0)], key=lambda k: (k[1], -k[0])) or best == 0
 
 
 def near_lists(spark, rows, kind="float", **options):
