@@ -43,7 +43,7 @@ from demandspark.llm.text import SOUND, Words, mix, rolling, slices
 WIDTH, BANDS, ROWS, BITS = 5, 32, 4, 4
 PERCENT = 75
 SLACK = 0.2
-CHUNK, PARTNERS = 512, 65_536
+CHUNK, PARTNERS = 512, 1_024
 HEAVY_ROWS = 256  # rows with texts or sets that Python gets at once
 _U = np.uint64
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
