@@ -34,10 +34,15 @@ def one_row_per_sku(dimension: DataFrame) -> DataFrame:
     return dimension
 
 
+def extent(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row: smallest and largest value of every column, as min_<column> and max_<column>."""
+    return df.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)))
+
+
 def price_range(dimension: DataFrame, cell: int = 50, neighbours: int = 2) -> DataFrame:
     """One row: lower end of the price cells and their number, with ``neighbours`` spare cells at both ends."""
-    at = lambda f: F.floor(f("price") / cell).cast("long")
-    row = dimension.agg(at(F.min).alias("_lo"), at(F.max).alias("_hi"))
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+    row = extent(dimension, ["price"]).select(at("min_price").alias("_lo"), at("max_price").alias("_hi"))
     return row.select(((F.col("_lo") - neighbours) * cell).alias("low"), (F.col("_hi") - F.col("_lo") + 2 * neighbours + 1).alias("cells"))
 
 
@@ -62,11 +67,14 @@ def vectors(dimension: DataFrame, cell: int = 50, neighbours: int = 2, weights:
 def split_clusters(df: DataFrame, column: str = "raw_cluster", by: Iterable[str] = ("license", "product"), name: str = "cluster") -> DataFrame:
     """Clusters split by other columns, numbered from 0 in order of (cluster, columns); null where one of them is null.
 
-    The rank is over the distinct keys only, which are few next to the products.
+    The rank is over the distinct keys only and in two levels: within a cluster, and over the clusters' numbers of keys.
     """
     keys = [column, *by]
     distinct = df.select(*keys).dropna().distinct()
-    numbered = distinct.withColumn(name, F.dense_rank().over(W.partitionBy(F.lit(0)).orderBy(*keys)) - 1)
+    own = distinct.withColumn("_rank", F.row_number().over(W.partitionBy(column).orderBy(*by)))
+    # a row per cluster: as many as k-means was asked for
+    before = distinct.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy(column).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    numbered = own.join(before.drop("_n"), column).select(*keys, (F.col("_rank") + F.col("_before") - 1).cast("int").alias(name))
     return df.join(numbered, keys, "left")
 
 

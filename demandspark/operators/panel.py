@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,37 +39,56 @@ def ranges(panel: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def all_pairs(panel: DataFrame) -> DataFrame:
-    """Every product range with every platform. The platforms are few distinct values; the fused ``spine`` does without."""
-    return ranges(panel, PRODUCT_KEYS).crossJoin(panel.select("platform").distinct())
+    """Every product range with every platform."""
+    # one row per platform: a handful of shops
+    platforms = [r.platform for r in panel.select("platform").where("platform is not null").distinct().collect()]
+    return ranges(panel, PRODUCT_KEYS).withColumn("platform", F.explode(F.array(*map(F.lit, platforms)).cast("array<string>")))
 
 
-def spine(panel: DataFrame, with_platform: bool = True) -> DataFrame:
-    """Every month from a product's first to its last, for each platform that it was seen on.
+def month_steps(start: Column, stop: Column) -> Column:
+    """Months from start to stop as an array; none if stop is earlier or null."""
+    return F.when(start <= stop, F.sequence(start, stop, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
+
+
+def complete(panel: DataFrame, with_platform: bool = True) -> DataFrame:
+    """The panel with its missing months as rows of null measures.
 
-    Only pairs that have units somewhere are made, so nothing has to be thrown away afterwards.
+    A product, on every platform that it has units on, gets all months from its first to its last (without
+    ``with_platform``: from the first to the last on that platform). The panel moves once, by sku; the months
+    missing before the first row of a series, and behind each row, are then made in place, so the exploded rows are never
+    shuffled or joined. Rows with a null key vanish.
     """
+    series, whole = W.partitionBy(*PANEL_KEYS), W.partitionBy(*(PRODUCT_KEYS if with_platform else PANEL_KEYS))
+    in_time = series.orderBy("date")
+    measures = [c for c in panel.columns if c not in (*PANEL_KEYS, "date")]
+    one = F.expr("interval 1 month")
+    # a sku has a few rows per month, so none is too large for a task
+    rows = panel.dropna(subset=PANEL_KEYS).repartition("sku").withColumns({"_sold": F.count("units").over(series), "_prev": F.lag("date").over(in_time), "_next": F.lead("date").over(in_time)})
+    rows = rows.withColumns({"_first": F.min("date").over(whole), "_last": F.max("date").over(whole)})
     if with_platform:
-        seen = panel.where("units is not null").select(*PANEL_KEYS).distinct()
-        spans = seen.join(ranges(panel, PRODUCT_KEYS), PRODUCT_KEYS)
-        keys = PANEL_KEYS
-    else:
-        spans, keys = ranges(panel, PANEL_KEYS), PANEL_KEYS
-    return spans.select(*keys, F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("date"))
+        rows = rows.where("_sold > 0")
+    earlier = F.when(F.col("_prev").isNull(), month_steps(F.col("_first"), (F.col("date") - one).cast("date"))).otherwise(F.array().cast("array<date>"))
+    after = (F.col("date") + one).cast("date")
+    later = month_steps(after, F.coalesce((F.col("_next") - one).cast("date"), F.col("_last")))
+    each = rows.withColumn("_month", F.explode(F.concat(F.array("date"), earlier, later)))
+    own = F.col("_month") == F.col("date")
+    return each.select(*PANEL_KEYS, F.col("_month").alias("date"), *(F.when(own, F.col(c)).alias(c) for c in measures))
 
 
-def complete(panel: DataFrame, with_platform: bool = True) -> DataFrame:
-    """The panel with its missing months as rows of null measures."""
-    return spine(panel, with_platform).join(panel, [*PANEL_KEYS, "date"], "left")
+def spine(panel: DataFrame, with_platform: bool = True) -> DataFrame:
+    """Every month from a product's first to its last, for each platform that it has units on."""
+    return complete(panel.groupBy(*PANEL_KEYS, "date").agg(F.max("units").alias("units")), with_platform).drop("units")
 
 
 def fill(panel: DataFrame) -> DataFrame:
     """Null units become 0, null costs the sku's unit-weighted mean; sales stay as they are. Adds the series key.
 
-    The mean is an aggregation (with a map side) joined back, so a sku with very many rows needs no single task.
+    The mean is a window by sku, by which ``complete`` has dealt the rows already; a sku has a few rows per month.
     """
     filled = panel.withColumn("units", F.coalesce("units", F.lit(0.0))).withColumn("sku_platform", S.series_key(F.col("sku"), F.col("platform")))
-    mean = filled.groupBy("sku").agg(S.weighted_mean(F.col("cost"), F.col("units")).alias("_cost"))
-    return filled.join(mean, "sku", "left").withColumn("cost", F.coalesce("cost", "_cost")).drop("_cost")
+    of_sku = W.partitionBy("sku")
+    mean = F.try_divide(F.sum(F.col("cost") * F.col("units")).over(of_sku), F.sum(F.when(F.col("cost").isNotNull(), F.col("units"))).over(of_sku))
+    return filled.withColumn("cost", F.coalesce("cost", mean))
 
 
 def nulls(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -112,11 +131,12 @@ def pareto(panel: DataFrame, least: float) -> DataFrame:
     best = F.max("units")
     above = F.col("units") > least
     s = totals.agg(hit.alias("hit"), best.alias("best"), F.count(F.lit(1)).alias("skus"), F.sum("units").alias("units"), F.count_if(above).alias("n_above"), F.coalesce(F.sum(F.when(above, F.col("units"))), F.lit(0.0)).alias("u_above"))
-    kept = significant(panel, least, "exact").agg(F.count(F.lit(1)).alias("kept"))
-    rows = panel.agg(F.count(F.lit(1)).alias("n_rows"))
-    return s.crossJoin(kept).crossJoin(rows).select(  # three single rows
+    # rows kept: those of skus above, if some total hits
+    per_row = panel.groupBy("sku").agg(S.total(F.col("units")).alias("units"), F.count(F.lit(1)).alias("n"))
+    rows = per_row.agg(F.sum("n").alias("n_rows"), F.sum(F.when(above, F.col("n")).otherwise(0)).alias("kept"))
+    return s.join(F.broadcast(rows)).select(  # two single rows
         (F.when(F.col("hit"), F.col("n_above") + 1).otherwise(1) / F.col("skus")).alias("sku_share"),
-        (F.col("kept") / F.col("n_rows")).alias("row_share"),
+        (F.when(F.col("hit"), F.col("kept")).otherwise(0) / F.col("n_rows")).alias("row_share"),
         (F.when(F.col("hit"), F.col("u_above") + least).otherwise(F.col("best")) / F.col("units")).alias("unit_share"),
     )
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandspark.functions import reshape
 from demandspark.functions import scalars as S
 from demandspark.operators import cluster, enrich, features, hierarchy, model, panel, reconcile, rules, stockout
 from demandspark.plans import jobs, oracle
@@ -347,13 +345,11 @@ def reconciled_bottom_up(spark, d):
 
 
 def monthly_units_wide(spark, d):
-    months = list(range(1, 13))
-    return rounded(_rolled(spark, d).withColumn("_m", F.month("date")).groupBy("license").pivot("_m", months).agg(F.sum("units")).select("license", *(F.col(str(m)).alias(f"m{m}") for m in months)))
+    return rounded(reshape.widen(_rolled(spark, d), ["license"], F.month("date"), range(1, 13), "units", "m"))
 
 
 def monthly_units_long(spark, d):
-    wide = monthly_units_wide(spark, d)
-    return wide.unpivot("license", [f"m{m}" for m in range(1, 13)], "month", "units")
+    return reshape.lengthen(monthly_units_wide(spark, d), ["license"], [f"m{m}" for m in range(1, 13)], "month", "units")
 
 
 def key_suffix(spark, d):
@@ -402,8 +398,3 @@ def oracle_sql() -> dict[str, str]:
     if unknown := set(found) - {q.__name__ for q in QUERIES}:
         raise KeyError(f"oracles without a query: {sorted(unknown)}")
     return found
-
-
-def names(pattern: str) -> Iterable[str]:
-    """Query names that a pattern matches."""
-    return [q.__name__ for q in QUERIES if re.search(pattern, q.__name__)]

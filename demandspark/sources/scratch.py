@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to spark.checkpoint.dir (a temporary folder only where that is unset) and read it again.
+    """Write a table to spark.checkpoint.dir and read it again; where that is unset, a temporary folder, which only a local master can share.
 
     What is used several times is then computed once, and a lost executor costs nothing that is already written.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -28,6 +28,26 @@ def test_filter_rollup_and_spine(spark):
         panel.require(panel.complete(rolled), ["units"])
 
 
+def test_calendar_without_shuffling_it(spark):
+    """Rows with equal keys and dates, a product first seen on one platform and last on another, series without units."""
+    form = "sku string, description string, supplier string, license string, platform string, units double, sales double, cost double, date date"
+    day = lambda m: dt.date(2020 + (m - 1) // 12, (m - 1) % 12 + 1, 1)
+    rows = [("1", "d", "s", "L", "X", 1.0, 1.0, 2.0, day(2)), ("1", "d", "s", "L", "X", 2.0, 1.0, 4.0, day(2)), ("1", "d", "s", "L", "X", 5.0, 1.0, None, day(11)), ("1", "d", "s", "L", "Y", 3.0, 1.0, 1.0, day(14)), ("1", "d", "s", "L", "Z", None, 1.0, 1.0, day(16)), ("1", "e", "s", "L", "X", 1.0, 1.0, 1.0, day(5)), (None, "d", "s", "L", "X", 1.0, 1.0, 1.0, day(1))]
+    df = spark.createDataFrame(rows, form)
+    got = panel.complete(df)
+    months = {}
+    for r in got.collect():
+        months.setdefault((r.description, r.platform), []).append(((r.date.year - 2020) * 12 + r.date.month, r.units))
+    whole = list(range(2, 17))
+    assert sorted(months["d", "X"]) == sorted([(2, 1.0), (2, 2.0), (11, 5.0), *((m, None) for m in whole if m not in (2, 11))], key=lambda x: (x[0], x[1] or 0))
+    assert sorted(m for m, _ in months["d", "Y"]) == whole and months["e", "X"] == [(5, 1.0)] and set(months) == {("d", "X"), ("d", "Y"), ("e", "X")}
+    assert {(r.description, r.platform, r.date) for r in panel.spine(df).collect()} == {(r.description, r.platform, r.date) for r in got.collect()}
+    own = panel.complete(df, with_platform=False)
+    assert own.where("platform = 'X' and description = 'd'").count() == 11 and own.where("platform = 'Z'").count() == 1
+    plan = panel.fill(got)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_significance_modes(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", 3.0), ("c", 3.0), ("d", 1.0)], "sku string, units double")
     names = lambda x: {r.sku for r in x.collect()}
@@ -112,15 +132,36 @@ def test_reconciliation_equals_least_squares(spark):
     assert np.allclose([got[k] for k in "abcde"], want)
 
 
-def test_nonnegative_solution_meets_its_conditions():
-    import pandas as pd
-
-    base, code = np.array([1.0, -6.0, 3.0, 2.0]), np.array([0, 0, 1, 1])
-    pdf = pd.DataFrame({"series_id": list("abcd"), "cluster": code, "license": "L", "date": dt.date(2021, 1, 1), "units": base, "f_c": [2.0, 2.0, 1.0, 1.0], "f_l": 4.0})
-    b = reconcile.solve_nonnegative(pdf).reconciled.to_numpy()
-    total = np.bincount(code, b)
-    slope = (b - base) - ((np.array([2.0, 1.0]) - total) / 2)[code] - (4.0 - b.sum()) / 4
-    assert (b >= 0).all() and np.allclose(slope[b > 0], 0, atol=1e-8) and (slope[b == 0] >= -1e-8).all()
+def conditions(rows, f_c, f_l):
+    """Largest breach of the optimality conditions of one license and month; rows are (cluster, base, reconciled)."""
+    code, base, b = (np.array(x, dtype=float) for x in zip(*rows, strict=True))
+    code = code.astype(int)
+    n = np.bincount(code)
+    slope = (b - base) - ((f_c - np.bincount(code, b)) / n)[code] - (f_l - b.sum()) / len(b)
+    return max(-b.min(), np.abs(slope[b > 0]).max(initial=0), -slope[b == 0].min(initial=0))
+
+
+def test_nonnegative_solution_meets_its_conditions(spark):
+    r, rows = np.random.default_rng(5), []
+    for k in range(12):
+        day, lic = dt.date(2021, 1 + k % 3, 1), f"L{k // 3}"
+        code = r.integers(0, 4, 30) if k else np.array([0, 0, 1, 1])
+        base = r.normal(2, 6, 30) if k else np.array([1.0, -6.0, 3.0, 2.0])
+        rows += [("bottom", f"{lic}-{i}-{c}", day, float(x), 1, int(c), lic) for i, (c, x) in enumerate(zip(code, base, strict=True))]
+        rows += [("cluster", f"{lic}{c}", day, float(r.normal(10, 9)), 2, None, None) for c in np.unique(code)] + [("license", lic, day, float(r.normal(30, 30)), 2, None, None)]
+    # every series stands in one cluster of its license over all months
+    f = spark.createDataFrame([(a, b, d, x, n, f"{l}{c}" if l else None, l) for a, b, d, x, n, c, l in rows], "level string, series_id string, date date, units double, count long, cluster string, license string")
+    tree = f.where("level = 'bottom'").select("series_id", "cluster", "license").distinct()
+    dense = reconcile.densify(f)
+    top = {(x.level, x.series_id, x.date): x.units for x in dense.collect()}
+    groups = {}
+    for x in reconcile.nonnegative_bottom(dense, tree).collect():
+        groups.setdefault((x.license, x.date), []).append((x.cluster, x.units, x.reconciled))
+    assert any(v == 0 for g in groups.values() for *_, v in g)
+    for (lic, day), g in groups.items():
+        names = sorted({c for c, *_ in g})
+        f_c = np.array([top["cluster", c, day] for c in names])
+        assert conditions([(names.index(c), b, v) for c, b, v in g], f_c, top["license", lic, day]) < 1e-7
 
 
 def test_hierarchy_and_clusters(spark):
