@@ -96,7 +96,7 @@ def short_date(c: Column) -> Column:
 
 
 def column_name(prefix: str, value: str) -> str:
-    return f"{prefix}_{value}".replace(" ", "_").replace(".", "").lower()
+    return (f"{prefix}_{value}" if prefix else value).replace(" ", "_").replace(".", "").lower()
 
 
 def dummies(c: Column, prefix: str, values: Iterable[str]) -> list[Column]:

@@ -47,13 +47,18 @@ stacked as (
   select 'bottom' as level, sku_platform as series_id, date, units, sales, cost, 1::bigint as count, supplier, license, product, sku, cluster from c
   union all select 'cluster', cast(cluster as varchar), date, sum(units), coalesce(sum(sales), 0), (select sum(cost * units) / nullif(sum(case when cost is not null then units end), 0) from c k where k.cluster = c.cluster), count(*), max(supplier), max(license), max(product), null, cluster from c group by cluster, date
   union all select 'license', license, date, sum(units), coalesce(sum(sales), 0), (select sum(cost * units) / nullif(sum(case when cost is not null then units end), 0) from c k where k.license = c.license), count(*), null, license, max(product), null, null from c group by license, date),
+stacked_steps as (select *, (year(date) * 12 + month(date)) - lag(year(date) * 12 + month(date)) over (partition by level, series_id order by date) as gap from stacked),
+stacked_runs as (select *, cast(sum(case when gap = 1 then 0 else 1 end) over (partition by level, series_id order by date rows unbounded preceding) as bigint) as cont_sales_id from stacked_steps),
+priced as (select sku_platform, units, coalesce(sales / nullif(units, 0), sum(sales / nullif(units, 0) * units) over w / nullif(sum(case when sales / nullif(units, 0) is not null then units end) over w, 0)) as price from b_filled window w as (partition by sku_platform)),
 steps as (select *, sku || '_' || platform as series_id, (year(date) * 12 + month(date)) - lag(year(date) * 12 + month(date)) over (partition by sku, platform order by date) as gap from a_rolled),
 runs as (select *, cast(sum(case when gap = 1 then 0 else 1 end) over (partition by series_id order by date rows unbounded preceding) as bigint) as cont_sales_id from steps),
 lags as (select *, lag(units, 1) over w as lag_1, lag(units, 2) over w as lag_2, lag(units, 3) over w as lag_3, avg(units) over (partition by series_id, cont_sales_id order by date rows between 3 preceding and 1 preceding) as sales_roll_3, row_number() over w - 1 as months_on_shelf
   from runs window w as (partition by series_id, cont_sales_id order by date)),
-wide as (select p_type as license, {", ".join(f"count(*) filter (where month(l_shipdate) = {m}) as m{m:02d}" for m in range(1, 13))} from lineitem join part on l_partkey = p_partkey where l_shipdate >= timestamp '2000-01-01' and l_shipdate < timestamp '2001-01-01' group by p_type),
-inter as (select license, ({" + ".join(f"m{m:02d}" for m in range(1, 13))}) / 12.0 as av, m01 + m02 + m03 as f3, m01 + m02 + m03 + m04 + m05 + m06 as f6, m10, m11, m12, m09, m08, m07 from wide),
-inter3 as (select *, (m11 + m12 + av) / nullif(f3, 0) as t3 from inter),
+months as (select year(d) * 12 + month(d) as m from (select unnest(generate_series(date_trunc('month', min(l_shipdate)), max(l_shipdate), interval 1 month)) as d from lineitem)),
+seen as (select p_type as license, year(l_shipdate) * 12 + month(l_shipdate) as m, count(*) as n from lineitem join part on l_partkey = p_partkey group by all),
+wide as (select license, list(coalesce(n, 0)::double order by m) as v from (select distinct license from seen) cross join months left join seen using (license, m) group by license),
+inter as (select license, v, list_sum(v) / len(v) as av, list_sum(v[1:3]) as f3, list_sum(v[1:6]) as f6 from wide),
+inter3 as (select *, (list_sum(v[-2:]) + av) / nullif(f3, 0) as t3 from inter),
 titles as (select p_type as license, count(*) as n, max(p_size) as size, round(avg(p_retailprice), 2) as budget from part group by p_type),
 prep as (select s.*, date < date '{CUTOFF}' as early from stacked s),
 fbottom as (select 'bottom' as level, sku_platform as series_id, date, units / 2 as units, 1::bigint as count, cluster, license from c where date >= date '{CUTOFF}' and units > 0),
@@ -76,6 +81,22 @@ rec as (select series_id, date, units, units + delta as reconciled from dense jo
 """
 
 
+def _lags(rows: str, most: int, share: float, keys: str) -> str:
+    """Lags that enough rows have, the trends chosen of them and the rolling mean, as rows of name and value."""
+    lags = ", ".join(f"lag(units, {k}) over w as lag_{k}" for k in range(1, most + 1))
+    long = " union all ".join(f"select {keys}, {k} as k, units, lag_{k} as value from lagged" for k in range(1, most + 1))
+    return f""", lagged as (select *, {lags}, avg(units) over (partition by level, series_id, cont_sales_id order by date rows between 3 preceding and 1 preceding) as roll from ({rows}) window w as (partition by level, series_id, cont_sales_id order by date)),
+each as ({long}),
+kept as (select k, corr(value, units) as r from each group by k having count(value) >= {share} * count(*)),
+best as (select k from kept order by coalesce(r, -2) desc, k limit 1),
+pairs as (select (select k from kept order by k limit 1) as a, (select k from kept order by k limit 1 offset 1) as b where (select count(*) from kept) > 2
+  union select (select k from best), (select k from kept where k > (select k from best) order by coalesce(r, -2) desc, k limit 1)),
+named as (select {keys}, 'lag_' || k as name, value from each join kept using (k)
+  union all select {keys}, 'sales_roll_3', roll from lagged
+  union all select x.{keys.replace(", ", ", x.")}, 'lag_' || a || '_over_lag_' || b, x.value / nullif(y.value, 0) from pairs join each x on x.k = a join each y on y.k = b and {" and ".join(f"x.{c} = y.{c}" for c in keys.split(", "))})
+select {keys}, name, round(value + 1e-9, 4) + 0.0 as value from named where value is not null"""
+
+
 def _cased(column: str, pairs) -> str:
     return " ".join(f"when {column} = '{a}' then '{b}'" for a, b in pairs)
 
@@ -89,8 +110,11 @@ def statements() -> dict[str, str]:
     title_cols = "case when license < 'M' then 'North Co.' when license < 'S' then 'South Co.' end"
     released = "make_date(cast(case when n % 100 >= 69 then 1900 + n % 100 else 2000 + n % 100 end as integer), cast(n % 12 + 1 as integer), 15)"
     age = f"cast((year(date) * 12 + month(date)) - (year({released}) * 12 + month({released})) as integer)"
-    interest = "select license, round(av + 1e-9, 6) as moviemeter_average, round(t3 + 1e-9, 6) as moviemeter_trend_3, round((m09 + m10 + m11 + m12 + av + t3) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter3"
-    return {k: _CTES + v for k, v in {
+    interest = "select license, round(av + 1e-9, 6) as moviemeter_average, round(t3 + 1e-9, 6) as moviemeter_trend_3, round((list_sum(v[-4:]) + av + t3) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter3"
+    exact = lambda least: f"select {_KEYS}, date, {r4('r.units', 'sales', 'cost').replace('as r.units', 'as units')} from a_rolled r join sku_units u using (sku) where u.units > {least} and exists (select 1 from sku_units where units = {least})"
+    pareto = lambda least: f"""select round(case when hit then above + 1 else 1 end / skus + 1e-9, 6) as sku_share, round(case when hit then (select count(*) from a_rolled join sku_units u using (sku) where u.units > {least}) else 0 end / (select count(*) from a_rolled) + 1e-9, 6) as row_share,
+  round(case when hit then u_above + {least} else best end / total + 1e-9, 6) as unit_share from (select bool_or(units = {least}) as hit, max(units) as best, count(*)::double as skus, sum(units) as total, count(*) filter (where units > {least}) as above, coalesce(sum(units) filter (where units > {least}), 0) as u_above from sku_units)"""
+    return {k: (_CTES.rstrip() if v.startswith(",") else _CTES) + v for k, v in {
         "level_rollup_license": f"select license, date, {r4('units', 'sales')}, count from (select license, date, sum(units) as units, coalesce(sum(sales), 0) as sales, count(*) as count from a_filled group by all)",
         "sales_lines": f"select {_KEYS}, month_name, year, {measures} from b_lines",
         "platform_filter": f"select {_KEYS}, month_name, year, {measures} from a_lines where platform in ('A', 'N') and coalesce(supplier <> 'Brand#2', true)",
@@ -108,9 +132,11 @@ def statements() -> dict[str, str]:
         "sku_dimension": f"select sku, description, supplier, license, {r4('sales', 'units', 'price')} from dim",
         "repeated_skus": "select supplier as sku, count(*) as n from (select distinct license, supplier, platform from b_lines) group by supplier having count(*) > 1",
         "significant_above": f"select {_KEYS}, date, {r4('r.units', 'sales', 'cost').replace('as r.units', 'as units')} from a_rolled r join sku_units u using (sku) where u.units > {LEAST}",
-        "significant_exact": f"select {_KEYS}, date, {r4('r.units', 'sales', 'cost').replace('as r.units', 'as units')} from a_rolled r join sku_units u using (sku) where u.units > {LEAST} and exists (select 1 from sku_units where units = {LEAST})",
-        "pareto_report": f"""select round(case when hit then above + 1 else 1 end / skus + 1e-9, 6) as sku_share, round(case when hit then (select count(*) from a_rolled join sku_units u using (sku) where u.units > {LEAST}) else 0 end / (select count(*) from a_rolled) + 1e-9, 6) as row_share,
-  round(case when hit then u_above + {LEAST} else best end / total + 1e-9, 6) as unit_share from (select bool_or(units = {LEAST}) as hit, max(units) as best, count(*)::double as skus, sum(units) as total, count(*) filter (where units > {LEAST}) as above, coalesce(sum(units) filter (where units > {LEAST}), 0) as u_above from sku_units)""",
+        "significant_exact": exact("(select quantile_disc(units, 0.5) from sku_units)"),
+        "significant_exact_no_hit": exact(LEAST + 0.5),
+        "pareto_report": pareto("(select quantile_disc(units, 0.5) from sku_units)"),
+        "pareto_report_no_hit": pareto(LEAST + 0.5),
+        "price_and_date_extent": "select round(min(price) + 1e-9, 4) as min_price, round(max(price) + 1e-9, 4) as max_price, min(date) as min_date, max(date) as max_date from (select date, coalesce(sales / nullif(units, 0), sum(sales / nullif(units, 0) * units) over w / sum(case when sales / nullif(units, 0) is not null then units end) over w) as price from b_filled window w as (partition by sku_platform))",
         "running_unit_share": "select sku, round(units + 1e-9, 6) as units, row_number() over w as rank, round(sum(units) over (order by units desc, sku rows unbounded preceding) / sum(units) over () + 1e-9, 6) as share from sku_units window w as (order by units desc, sku)",
         "price_range": "select cast((floor(min(price) / 50) - 2) * 50 as bigint) as low, cast(floor(max(price) / 50) - floor(min(price) / 50) + 5 as bigint) as cells from dim",
         "price_vectors": """select sku, cell, round(w / (sqrt(sum(w * w) over (partition by sku)) + 1e-9) + 1e-9, 6) as weight from (
@@ -130,22 +156,32 @@ def statements() -> dict[str, str]:
         "mean_cost_by_parent": "select license, round(sum(cost * units) / sum(case when cost is not null then units end) + 1e-9, 4) as cost from c group by license",
         "single_valued_attributes": "select bool_and(a = 1) as supplier, bool_and(b = 1) as license, bool_and(p = 1) as product, bool_and(s = 1) as sku from (select count(distinct supplier) as a, count(distinct license) as b, count(distinct product) as p, count(distinct sku) as s from c group by cluster)",
         "stacked_levels": f"select level, series_id, date, {measures}, count, supplier, license, product from stacked",
-        "without_single_children": "select level, series_id, date, round(units + 1e-9, 4) as units, count from stacked where level = 'bottom' or count <> 1",
+        "without_single_children": """select level, series_id, date, round(units + 1e-9, 4) as units, count from (
+  select 'bottom' as level, sku_platform as series_id, date, units, 1::bigint as count from c where units > 0
+  union all select 'cluster', cast(cluster as varchar), date, sum(units), count(*) from c where units > 0 group by cluster, date having count(*) <> 1
+  union all select 'license', license, date, sum(units), count(*) from c where units > 0 group by license, date having count(*) <> 1)""",
         "one_level": "select series_id, date, round(units + 1e-9, 4) as units, count from stacked where level = 'cluster'",
         "month_runs": "select series_id, date, cont_sales_id, cast(year(date) as integer) as year, cast(month(date) as integer) as month_num from runs",
         "time_features": "select series_id, date, round(sin(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_sin, round(cos(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_cos, months_on_shelf from lags",
         "valid_lags": "select " + ", ".join(f"cast(sum(greatest(n - {k}, 0)) as bigint) as lag_{k}" for k in range(1, 7)) + ", cast(sum(n) as bigint) as n_rows from (select count(units) as n from runs group by series_id, cont_sales_id)",
         "lag_features": f"select series_id, date, {r4('lag_1', 'lag_2', 'lag_3', 'sales_roll_3')}, round(lag_1 / nullif(lag_2, 0) + 1e-9, 4) as lag_1_over_lag_2, round(lag_1 / nullif(lag_3, 0) + 1e-9, 4) as lag_1_over_lag_3 from lags",
         "lag_correlations": "select round(corr(lag_1, units) + 1e-9, 4) as lag_1, round(corr(lag_2, units) + 1e-9, 4) as lag_2, round(corr(lag_3, units) + 1e-9, 4) as lag_3 from lags",
+        "chosen_lag_features": _lags("select series_id as level, series_id, cont_sales_id, date, units from runs", 6, 0.02, "series_id, date"),
+        "feature_job_lags": _lags("select level, series_id, cont_sales_id, date, units from stacked_runs", 15, 0.5, "level, series_id, date"),
+        "feature_job": f"""select level, series_id, date, cont_sales_id, round(sin(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_sin, cast(row_number() over w - 1 as integer) as months_on_shelf, round(avg(units) over (partition by level, series_id, cont_sales_id order by date rows between 3 preceding and 1 preceding) + 1e-9, 4) as sales_roll_3,
+  round(av + 1e-9, 4) as moviemeter_average, cast(n as double) as run_time, case when license = 'ASIA' and n is not null then {age} else 0 end as months_from_release_asia
+  from stacked_runs left join inter using (license) left join titles using (license) window w as (partition by level, series_id, cont_sales_id order by date)""",
         "interest_index": interest,
-        "interest_index_months_only": "select license, round(av + 1e-9, 6) as moviemeter_average, round((m10 + m11 + m12) / nullif(f3, 0) + 1e-9, 6) as moviemeter_trend_3, round((m07 + m08 + m09 + m10 + m11 + m12) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter",
+        "interest_index_months_only": "select license, round(av + 1e-9, 6) as moviemeter_average, round(list_sum(v[-3:]) / nullif(f3, 0) + 1e-9, 6) as moviemeter_trend_3, round(list_sum(v[-6:]) / nullif(f6, 0) + 1e-9, 6) as moviemeter_trend_6 from inter",
         "title_companies": f"select production_company, count(*) as n from (select {title_cols} as production_company from titles) where production_company is not null group by production_company having count(*) >= 2",
-        "title_attributes": f"""select license, cast(n as double) as run_time, round(size / 10 + 1e-9, 4) as imdb_rating, cast(n % 2 = 0 as integer) as has_next_release, (n % 12 + 1) || '/15/' || lpad(cast(n % 100 as varchar), 2, '0') as release_date, budget, cast(n as double) as news_articles, budget * 2 as opening_weekend,
-  'released' as title_tatus, 'movie' as title_type, {title_cols} as production_company, cast(license < 'M' as integer) as production_company_north_co, cast(license >= 'M' and license < 'S' as integer) as production_company_south_co from titles""",
-        "enriched_series": f"""select sku, platform, date, round(av + 1e-9, 4) as moviemeter_average, cast(n as double) as run_time, cast(license < 'M' as integer) as production_company_north_co, {age} as months_from_release,
+        "title_attributes": f"""select license, cast(n as double) as run_time, round(size / 10 + 1e-9, 4) as imdb_rating, cast(n % 2 = 0 as integer) as next_release_dummy, (n % 12 + 1) || '/15/' || lpad(cast(n % 100 as varchar), 2, '0') as release_date, budget, cast(n as double) as news_articles, budget * 2 as opening_weekend,
+  'released' as title_tatus, 'movie' as title_type, {title_cols} as production_company, cast(license < 'M' as integer) as north_co, cast(license >= 'M' and license < 'S' as integer) as south_co from titles""",
+        "enriched_series": f"""select sku, platform, date, round(av + 1e-9, 4) as moviemeter_average, cast(n as double) as run_time, cast(license < 'M' as integer) as north_co, {age} as months_from_release,
   case when license = 'PROMO' then {age} else 0 end as months_from_release_promo, case when license = 'SMALL' then {age} else 0 end as months_from_release_small from a_rolled left join inter using (license) left join titles using (license)""",
         "train_rows": "select level, series_id, date, round(units + 1e-9, 4) as units, coalesce(sku, 'nan') as sku, coalesce(supplier, 'nan') as supplier, coalesce(cast(cluster as varchar), 'nan') as cluster, round(coalesce(sum(sales) over w, 0) / nullif(sum(units) over w, 0) + 1e-9, 4) as price from prep where early window w as (partition by level, series_id)",
         "inference_rows": "select level, series_id, date, round(case when early then units end + 1e-9, 4) as units, round(coalesce(sum(case when early then sales end) over w, 0) / nullif(sum(case when early then units end) over w, 0) + 1e-9, 4) as price from prep window w as (partition by level, series_id)",
+        "inference_rows_default": "select level, series_id, date, round(case when early then units end + 1e-9, 4) as units, coalesce(sku, 'nan') as sku, coalesce(cast(cluster as varchar), 'nan') as cluster, round(coalesce(sum(sales) over w, 0) / nullif(sum(case when early then units end) over w, 0) + 1e-9, 4) as price from prep window w as (partition by level, series_id)",
+        "finite_ratios": "select l_orderkey, l_linenumber, case when l_discount = 0 or l_tax = 0 then null else round(l_tax / l_discount + 1e-9, 4) end as ratio from lineitem",
         "fixed_prices": "select level, series_id, round(coalesce(sum(sales), 0) / nullif(sum(units), 0) + 1e-9, 4) as price from stacked group by all",
         "forecast_features": f"""select level, series_id, date, round(lag_1 + 1e-9, 4) as lag_1, round(lag_2 + 1e-9, 4) as lag_2, round(lag_1 / nullif(lag_2, 0) + 1e-9, 4) as lag_1_over_lag_2, round(roll + 1e-9, 4) as sales_roll_3 from (
   select level, series_id, date, lag(u, 1) over w as lag_1, lag(u, 2) over w as lag_2, avg(u) over (partition by level, series_id, run order by date rows between 3 preceding and 1 preceding) as roll from (
@@ -158,6 +194,9 @@ def statements() -> dict[str, str]:
         "densified_forecast": "select level, series_id, date, round(units + 1e-9, 4) as units from dense",
         "bottom_up_totals": "select e.level, parent_id as series_id, date, sum(round_even(units, 0)) as units from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",
         "reconciled_unconstrained": f"select series_id, date, {r4('units', 'reconciled')} from rec",
+        "reconciled_conditions": "select license, date, count(*) as n_series, true as holds from dense join tree using (series_id) where level = 'bottom' group by all",
+        "poisson_series_totals": "select sku_platform, round(sum(units) + 1e-9, 3) as units, count(*) as n from priced where price is not null group by sku_platform",
+        "poisson_slope_scores": "select unnest(['price', 'platform_monthly_sales']) as covariate, count(*) as n, true as holds from priced where price is not null",
         "reconciled_bottom_up": "select parent_id as series_id, strftime(date, '%Y-%m-%d') as date, sum(round_even(units, 0)) as base, sum(round_even(units, 0)) as reconciled, e.level from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",
         "monthly_units_wide": "select license, " + ", ".join(f"round(sum(units) filter (where month(date) = {m}) + 1e-9, 4) as m{m}" for m in range(1, 13)) + " from a_rolled group by license",
         "monthly_units_long": "select license, 'm' || m as month, round(sum(units) filter (where month(date) = m) + 1e-9, 4) as units from a_rolled, (select unnest(range(1, 13)) as m) group by license, m",

@@ -15,7 +15,8 @@ from demandspark.sources import sales as src
 from demandspark.sources.scratch import keep
 
 PART = Params(platforms=("A", "N"), excluded_suppliers=("Brand#2",), min_sku_units=oracle.LEAST, license_rules=oracle.LICENSES, labels=oracle.LABELS, synonyms=oracle.SYNONYMS, cutoff=oracle.CUTOFF)
-DENSE = Params(platforms=("F", "O"), excluded_suppliers=(), min_sku_units=0, clusters=20, cutoff=oracle.CUTOFF, tree_depth=4, tree_rounds=8, important_licenses=("ASIA",), labels=("supplier",), synonyms={})
+#: The jobs run with the parameters of a usual run; only names and dates are those of the driver's tables.
+DENSE = Params(platforms=("F", "O"), excluded_suppliers=(), cutoff=oracle.CUTOFF, important_licenses=("ASIA",), title_companies=None, labels=("supplier",), synonyms={})
 KEYS = ["sku", "description", "supplier", "license", "platform"]
 
 
@@ -153,12 +154,27 @@ def significant_above(spark, d):
     return rounded(panel.significant(_rolled(spark, d), PART.min_sku_units))
 
 
+def _hit(rows: DataFrame) -> float:
+    """A threshold that the total of some sku equals: the median one."""
+    return panel.sku_units(rows).agg(F.expr("percentile_disc(0.5) within group (order by units)")).first()[0]
+
+
 def significant_exact(spark, d):
-    return rounded(panel.significant(_rolled(spark, d), PART.min_sku_units, "exact"))
+    rows = _rolled(spark, d)
+    return rounded(panel.significant(rows, _hit(rows), "exact"))
+
+
+def significant_exact_no_hit(spark, d):
+    return rounded(panel.significant(_rolled(spark, d), PART.min_sku_units + 0.5, "exact"))
 
 
 def pareto_report(spark, d):
-    return rounded(panel.pareto(_rolled(spark, d), PART.min_sku_units), 6)
+    rows = _rolled(spark, d)
+    return rounded(panel.pareto(rows, _hit(rows)), 6)
+
+
+def pareto_report_no_hit(spark, d):
+    return rounded(panel.pareto(_rolled(spark, d), PART.min_sku_units + 0.5), 6)
 
 
 def running_unit_share(spark, d):
@@ -169,6 +185,11 @@ def price_range(spark, d):
     return cluster.price_range(cluster.sku_dimension(_filled(spark, d)))
 
 
+def price_and_date_extent(spark, d):
+    priced = stockout.with_price(_filled(spark, d, DENSE))
+    return rounded(cluster.extent(priced, ["price", "date"]))
+
+
 def price_vectors(spark, d):
     v = cluster.with_price_vector(cluster.sku_dimension(_filled(spark, d)))
     return v.select("sku", F.posexplode("price_vector").alias("cell", "weight")).where("weight > 0").withColumn("weight", near("weight", 6))
@@ -236,7 +257,8 @@ def stacked_levels(spark, d):
 
 
 def without_single_children(spark, d):
-    return rounded(hierarchy.drop_single_child(_stacked(spark, d)).select("level", "series_id", "date", "units", "count"))
+    sold = keep(_clustered(spark, d).where("units > 0"), "clustered")
+    return rounded(hierarchy.drop_single_child(hierarchy.stack(sold, kept={"cluster": [], "license": []})).select("level", "series_id", "date", "units", "count"))
 
 
 def one_level(spark, d):
@@ -263,9 +285,14 @@ def lag_correlations(spark, d):
     return rounded(features.lag_correlations(_lagged(spark, d), [1, 2, 3]))
 
 
+def _long(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Lag features as rows (keys, name, value), as which of them there are depends on the data."""
+    names = [c for c in df.columns if c.startswith("lag_") or c.startswith("sales_roll_")]
+    return rounded(reshape.lengthen(df, keys, names, "name", "value").where("value is not null"))
+
+
 def chosen_lag_features(spark, d):
-    rows = _timed(spark, d)
-    return rounded(features.lag_features(rows, 6, 0.02))
+    return _long(features.lag_features(_timed(spark, d), 6, 0.02), ["series_id", "date"])
 
 
 def interest_index(spark, d):
@@ -287,7 +314,7 @@ def title_attributes(spark, d):
 def enriched_series(spark, d):
     dims = [enrich.interest(src.interest_by_type(spark, d)), enrich.title_features(src.titles_by_type(spark, d), names=["North Co.", "South Co."])]
     got = enrich.release_age(enrich.enrich(_rolled(spark, d), dims), ["PROMO", "SMALL"])
-    return rounded(got.select("sku", "platform", "date", "moviemeter_average", "run_time", "production_company_north_co", "months_from_release", "months_from_release_promo", "months_from_release_small"))
+    return rounded(got.select("sku", "platform", "date", "moviemeter_average", "run_time", "north_co", "months_from_release", "months_from_release_promo", "months_from_release_small"))
 
 
 def train_rows(spark, d):
@@ -300,6 +327,18 @@ def inference_rows(spark, d):
     return rounded(got.select("level", "series_id", "date", "units", "price"))
 
 
+def inference_rows_default(spark, d):
+    got = model.prepare(_stacked(spark, d), oracle.CUTOFF, ["sku", "supplier", "cluster"], "inference")
+    return rounded(got.select("level", "series_id", "date", "units", "sku", "cluster", "price"))
+
+
+def finite_ratios(spark, d):
+    """Ratios of tax and discount as a source may deliver them, with infinities."""
+    inf = F.when(F.col("l_discount") == 0, float("inf")).when(F.col("l_tax") == 0, float("-inf")).otherwise(F.try_divide("l_tax", "l_discount"))
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", inf.alias("ratio"))
+    return rounded(model.without_infinities(rows))
+
+
 def fixed_prices(spark, d):
     return rounded(model.fixed_price(_stacked(spark, d)))
 
@@ -356,36 +395,79 @@ def key_suffix(spark, d):
     return spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", S.last_token(F.col("n_name")).alias("suffix"))
 
 
+def _fitted(spark: SparkSession, d: str) -> DataFrame:
+    return stockout.poisson_effects(stockout.with_platform_months(stockout.with_price(_filled(spark, d, DENSE))))[0]
+
+
 def poisson_fit(spark, d):
-    rows = stockout.with_platform_months(stockout.with_price(_filled(spark, d, DENSE)))
-    return stockout.poisson_effects(rows)[0].select("sku_platform", "date", "units", near("pred").alias("pred"))
+    return _fitted(spark, d).select("sku_platform", "date", "units", near("pred").alias("pred"))
+
+
+def poisson_series_totals(spark, d):
+    """By the score equation of its effect, a series' predictions add up to its units."""
+    return rounded(_fitted(spark, d).where("pred is not null").groupBy("sku_platform").agg(F.sum("pred").alias("units"), F.count(F.lit(1)).alias("n")), 3)
+
+
+def poisson_slope_scores(spark, d):
+    """By the score equations of the slopes, residuals are orthogonal to the covariates, centred within a series."""
+    rows = keep(_fitted(spark, d).where("pred is not null"), "fitted")
+    out = None
+    for c in ("price", "platform_monthly_sales"):
+        mean = rows.groupBy("sku_platform").agg(F.avg(c).alias("m"))
+        x = F.col(c) - F.col("m")
+        one = rows.join(mean, "sku_platform").agg(F.lit(c).alias("covariate"), F.count(F.lit(1)).alias("n"), (F.abs(F.sum((F.col("units") - F.col("pred")) * x)) / F.sum(F.col("units") * F.abs(x)) < 1e-6).alias("holds"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def reconciled_conditions(spark, d):
+    """Of the forecasts without negatives: whether every license and month meets the optimality conditions, and its bottom total to add up."""
+    _, tree, dense = _bottom_tree(_forecast(spark, d))
+    # halves of the base, and less where it is small, so that some months need the condition
+    shifted = keep(dense.withColumn("units", F.when(F.col("level") == "bottom", F.col("units") - 3).otherwise(F.col("units") / 2)), "dense")
+    own = keep(reconcile.nonnegative_bottom(shifted, tree), "reconciled")
+    g = reconcile.gaps(shifted, tree).select("license", "cluster", "date", "f_c", "f_l", "n_c", "n_l")
+    keys = ["license", "cluster", "date"]
+    b_c = own.groupBy(*keys).agg(F.sum("reconciled").alias("r_c"))
+    b_l = own.groupBy("license", "date").agg(F.sum("reconciled").alias("r_l"))
+    slope = F.col("reconciled") - F.col("units") - (F.col("f_c") - F.col("r_c")) / F.col("n_c") - (F.col("f_l") - F.col("r_l")) / F.col("n_l")
+    ok = (F.col("reconciled") >= 0) & F.when(F.col("reconciled") > 0, F.abs(slope) < 1e-6).otherwise(slope > -1e-6)
+    return own.join(g, keys).join(b_c, keys).join(b_l, ["license", "date"]).groupBy("license", "date").agg(F.count(F.lit(1)).alias("n_series"), F.every(ok).alias("holds"))
 
 
 def product_clusters(spark, d):
-    return cluster.categorize(_filled(spark, d, DENSE), 20, labels=DENSE.labels, synonyms=DENSE.synonyms).select("sku", "product", "cluster").distinct()
+    return cluster.categorize(_filled(spark, d, DENSE), DENSE.clusters, labels=DENSE.labels, synonyms=DENSE.synonyms).select("sku", "product", "cluster").distinct()
 
 
 def preprocess_job(spark, d):
     return jobs.preprocess(src.sales_by_supplier(spark, d), DENSE)
 
 
+def _features(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.build_features(keep(_stacked(spark, d), "stacked"), src.interest_by_type(spark, d), src.titles_by_type(spark, d), DENSE)
+
+
 def feature_job(spark, d):
-    return jobs.build_features(_stacked(spark, d), src.interest_by_type(spark, d), src.titles_by_type(spark, d), DENSE, lags=[1, 2], trends=[("lag_1", "lag_2")], companies=["North Co."])
+    return rounded(_features(spark, d).select("level", "series_id", "date", "cont_sales_id", "month_sin", "months_on_shelf", "sales_roll_3", "moviemeter_average", "run_time", "months_from_release_asia"))
+
+
+def feature_job_lags(spark, d):
+    return _long(_features(spark, d), ["level", "series_id", "date"])
 
 
 def modelling_job(spark, d):
-    table = keep(feature_job(spark, d), "features")
+    table = keep(_features(spark, d), "features")
     return jobs.reconcile_forecasts(jobs.forecast(table, jobs.train(table, DENSE), DENSE), DENSE)
 
 
 QUERIES = [
     level_rollup_license, sales_lines, platform_filter, monthly_rollup, product_ranges, product_platform_pairs, calendar_spine, calendar_spine_by_key, panel_completed, panel_filled,
-    null_counts, license_rules, product_labels, ascii_fold, sku_dimension, repeated_skus, significant_above, significant_exact, pareto_report, running_unit_share, price_range, price_vectors,
+    null_counts, license_rules, product_labels, ascii_fold, sku_dimension, repeated_skus, significant_above, significant_exact, significant_exact_no_hit, pareto_report, pareto_report_no_hit, price_and_date_extent, running_unit_share, price_range, price_vectors,
     cluster_split, weighted_cost, stockout_price, platform_months, stockout_seeds, stockout_labels, stockout_counts, fit_report, in_stock_rows, hierarchy_edges, rollup_cluster, rollup_by_edges,
     mean_cost_by_parent, single_valued_attributes, stacked_levels, without_single_children, one_level, month_runs, time_features, valid_lags, lag_features, lag_correlations, chosen_lag_features,
-    interest_index, interest_index_months_only, title_companies, title_attributes, enriched_series, train_rows, inference_rows, fixed_prices, forecast_features, child_counts, single_children,
+    interest_index, interest_index_months_only, title_companies, title_attributes, enriched_series, train_rows, inference_rows, inference_rows_default, finite_ratios, fixed_prices, forecast_features, child_counts, single_children,
     restored_forecast, densified_forecast, bottom_up_totals, reconciled_unconstrained, reconciled_forecast, reconciled_bottom_up, monthly_units_wide, monthly_units_long, key_suffix,
-    poisson_fit, product_clusters, preprocess_job, feature_job, modelling_job,
+    poisson_fit, poisson_series_totals, poisson_slope_scores, reconciled_conditions, product_clusters, preprocess_job, feature_job, feature_job_lags, modelling_job,
 ]
 
 

@@ -68,6 +68,7 @@ class Params:
     trend_windows: tuple[int, ...] = (3, 6)
     important_licenses: tuple[str, ...] = ("MINECRAFT", "SUPER MARIO")
     min_titles: int = 2
+    title_companies: tuple[str, ...] | None = ("universal_pictures", "warner_bros")
     cutoff: str = "2025-01-01"
     tree_depth: int = 8
     tree_step: float = 0.05
