@@ -44,7 +44,7 @@ WIDTH, BANDS, ROWS, BITS = 5, 32, 4, 4
 PERCENT = 75
 SLACK = 0.2
 CHUNK, PARTNERS = 512, 1_024
-HEAVY_ROWS = 256  # rows with texts or sets that Python gets at once
+HEAVY_ROWS, TEXT_ROWS = 256, 2_000  # rows with two texts or a set, and with a text, that Python gets at once
 _U = np.uint64
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 
@@ -332,7 +332,7 @@ def ties(rows: DataFrame, nodes: DataFrame) -> DataFrame | None:
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document row."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
-    rows = store.keep(docs.mapInArrow(sketch, SKETCH).withColumn("row", F.monotonically_increasing_id()), "nd-sketch")
+    rows = store.keep(docs.mapInArrow(sketch, SKETCH).withColumn("row", F.monotonically_increasing_id()), "nd-sketch", TEXT_ROWS)
     some = rows.where("n > 0 and doc_id is not null")
     # one node per distinct set, known by the row that stands for it; the empty set is no node
     sets = ["p1", "p2"]

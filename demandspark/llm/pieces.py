@@ -8,7 +8,7 @@ shorter one; when none is left, mark the position as failed in a bitfield and st
 
 Merging never crosses the border of a *unit*: a run of spaces with the characters up to the next space, as long as
 no piece holds a space after another character, which the vocabulary is checked for. Units repeat, so each Python
-worker keeps the encodings of up to ``cache_units`` of them. Texts are never cut.
+task keeps the encodings of up to ``cache_units`` of them, and gives their memory back at its end. Texts are never cut.
 
 Edge cases: null text counts as empty; an empty text has no piece, only the end id; characters outside the
 vocabulary become their UTF-8 byte pieces (or the unknown id if the model has none); repeated rows are encoded
@@ -238,7 +238,7 @@ _CODECS: dict[int, Codec] = {}
 
 
 def codec(vocabulary: Vocabulary) -> Codec:
-    """This Python worker's codec of a vocabulary; made once, so that later tasks find a filled cache."""
+    """This Python worker's codec of a vocabulary; made once."""
     key = hash(vocabulary)
     if key not in _CODECS:
         _CODECS.clear()
@@ -246,13 +246,23 @@ def codec(vocabulary: Vocabulary) -> Codec:
     return _CODECS[key]
 
 
+def forgetting(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, and at their end no encodings kept: an idle worker holds the vocabulary alone."""
+    try:
+        yield from batches
+    finally:
+        c.units.clear()
+        c.stems.clear()
+        c.pairs.clear()
+
+
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, ids array) of every whole text, with an end id."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary.value)
-        for b in batches:
+        for b in forgetting(c, batches):
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 ids = [c.encode(t) for t in part.column("text").to_pylist()]
@@ -267,7 +277,7 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary.value)
-        for b in batches:
+        for b in forgetting(c, batches):
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 n, ids, texts = zip(*map(c.digest, part.column("text").to_pylist()), strict=True)

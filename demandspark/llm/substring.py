@@ -39,6 +39,7 @@ PERIOD = 31
 #: The perfect difference set modulo 31.
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
+TEXT_ROWS = 2_000  # rows with a text that Python gets at once
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
 
@@ -113,10 +114,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = printed(docs.where("doc_id is not null and text is not null").select("doc_id", "text"))
     found = texts.mapInArrow(anchors, "anchor long, doc_id long, print long")
     ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")]
-    shared = store.keep(found.groupBy("anchor").agg(*ends).where("lo < hi").select("anchor", "rows"), "sd-shared")
+    shared = store.keep(found.groupBy("anchor").agg(*ends).where("lo < hi").select("anchor", "rows"), "sd-shared", TEXT_ROWS)
     mine = skew.look_up(found, shared.select("anchor"), ["anchor"], skew.hot_of(shared, ["anchor"]), "left_semi")
-    mine = store.keep(mine.groupBy("doc_id", "print").agg(F.collect_set("anchor").alias("shared")), "sd-anchors")
-    seen = store.keep(texts.join(mine, ["doc_id", "print"]).mapInArrow(windows, "h1 long, h2 long, doc_id long, print long"), "sd-windows")
+    mine = store.keep(mine.groupBy("doc_id", "print").agg(F.collect_set("anchor").alias("shared")), "sd-anchors", TEXT_ROWS)
+    seen = store.keep(texts.join(mine, ["doc_id", "print"]).mapInArrow(windows, "h1 long, h2 long, doc_id long, print long"), "sd-windows", TEXT_ROWS)
     store.drop(shared, mine)
     keys = ["h1", "more"]
     more = F.shiftright("h2", 32).alias("more")
