@@ -38,7 +38,6 @@ from demandspark.llm import skew, store
 PERIOD, BLOCK_BYTES, POWER = 1_024, 16_384, 0.8
 #: Weights are whole parts of this: exact but for a unit in 2**37 slots, with products in 64 bits up to 2**25 periods.
 PARTS_BITS = 38
-BUCKET_ROWS = 20_000
 SOURCE = ["_null", "_name"]
 
 
@@ -125,7 +124,7 @@ def before(rows: DataFrame, group: list[str], bucket: str, order: list[str], nam
     keys = [*group, bucket]
     own = F.coalesce(F.sum("size").over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     w = (W.partitionBy(*group) if group else W.partitionBy(F.lit(0))).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    # a row per bucket: a group's own ones at most 1/BUCKET_ROWS of its rows, or some 256 for each doubling of a position
+    # a row per bucket: as many as a source's rows have a square root, or some 256 for each doubling of a position
     totals = rows.groupBy(*keys).agg(F.sum("size").alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(w), F.lit(0))).drop("_sum")
     return rows.withColumn("_own", own).join(totals, keys).withColumn(name, F.col("_own") + F.col("_base")).drop("_own", "_base", bucket)
 
@@ -162,7 +161,7 @@ def place(rows: DataFrame, whole: DataFrame, weights: dict | None = None, period
     parts = parts_of([*([] if rest.w is None else [rest.w]), *(r.weight for r in own)])
     first = int(rest.w is not None)
     streams = spark.createDataFrame([(r["_null"], r["_name"], i + first) for i, r in enumerate(own)] or [], "_null boolean, _name string, _stream int")
-    table = store.keep(goal.join(F.broadcast(streams), SOURCE, "left").select(*SOURCE, "weight", F.coalesce("_stream", F.when(F.col("weight") > 0, 0), F.lit(-1)).alias("stream"), F.ceil(F.col("rows") / BUCKET_ROWS).alias("_buckets")), "mx-streams")
+    table = store.keep(goal.join(F.broadcast(streams), SOURCE, "left").select(*SOURCE, "weight", F.coalesce("_stream", F.when(F.col("weight") > 0, 0), F.lit(-1)).alias("stream"), F.ceil(F.sqrt("rows")).cast("long").alias("_buckets")), "mx-streams")
     hot = skew.hot_of(goal, SOURCE)
 
     def dealt(some: DataFrame) -> DataFrame:
