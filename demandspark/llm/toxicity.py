@@ -180,38 +180,44 @@ class Tagger:
             at = to
         return out
 
-    def sums(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: log-odds of the two largest marginals, log of 1 + the sum of marginals, log of 1 + words, and 1."""
-        rows, owner = [], []
+    def read(self, texts: list[str | None]) -> list[tuple[int, int, str, np.ndarray]]:
+        """(number of the text, offset, line, P(toxic) of its words) of every line with a word."""
+        where, rows = [], []
         for i, t in enumerate(texts):
-            found = [x for x in map(WORD.findall, (t or "").split("\n")) if x]
-            rows += found
-            owner += [i] * len(found)
-        most, second, total, n = (np.zeros(len(texts)) for _ in range(4))
-        for i, p in zip(owner, self.lines(rows), strict=True):
+            base = 0
+            for line in (t or "").split("\n"):
+                if found := WORD.findall(line):
+                    where.append((i, base, line))
+                    rows.append(found)
+                base += len(line) + 1
+        return [(*w, p) for w, p in zip(where, self.lines(rows), strict=True)]
+
+    def sums(self, n_texts: int, read: list[tuple[int, int, str, np.ndarray]]) -> np.ndarray:
+        """Per text: log-odds of the two largest marginals, log of 1 + the sum of marginals, log of 1 + words, and 1."""
+        most, second, total, n = (np.zeros(n_texts) for _ in range(4))
+        for i, _, _, p in read:
             top = np.sort(np.r_[p, most[i], second[i]])[-2:] if len(p) < 4 else np.sort(np.r_[np.partition(p, -2)[-2:], most[i], second[i]])[-2:]
             second[i], most[i] = top
             total[i] += p.sum()
             n[i] += len(p)
         odds = lambda p: np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4)))
-        return np.column_stack([odds(most), odds(second), np.log1p(total), np.log1p(n), np.ones(len(texts))])
+        return np.column_stack([odds(most), odds(second), np.log1p(total), np.log1p(n), np.ones(n_texts)])
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.sums(texts) @ self.chain.curve, -40, 40)))
+    def inputs(self, texts: list[str | None]) -> np.ndarray:
+        return self.sums(len(texts), self.read(texts))
 
-    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
-        """Score of every text, and its offending words."""
-        x = self.sums(texts)
-        return 1 / (1 + np.exp(-np.clip(x @ self.chain.curve, -40, 40))), [self.spans(t) if top >= 0 else [] for t, top in zip(texts, x[:, 0], strict=True)]
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        return self.judge(texts)[0]
 
-    def spans(self, text: str | None, least: float = 0.5) -> list[tuple[int, int, float]]:
-        """(start, end, P(toxic)) of offending words, in code points."""
-        found, base = [], 0
-        for line in (text or "").split("\n"):
-            found.append([(base + m.start(), base + m.end(), m[0]) for m in WORD.finditer(line)])
-            base += len(line) + 1
-        tagged = self.lines([[w for _, _, w in line] for line in found])
-        return [(a, z, float(q)) for line, p in zip(found, tagged, strict=True) for (a, z, _), q in zip(line, p, strict=True) if q >= least]
+    def judge(self, texts: list[str | None], least: float = 0.5) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+        """Score of every text, and its offending words as (start, end, P(toxic)), in code points."""
+        read = self.read(texts)
+        score = 1 / (1 + np.exp(-np.clip(self.sums(len(texts), read) @ self.chain.curve, -40, 40)))
+        found: list[list[tuple[int, int, float]]] = [[] for _ in texts]
+        for i, base, line, p in read:
+            if p.max() >= least:
+                found[i] += [(base + m.start(), base + m.end(), float(q)) for m, q in zip(WORD.finditer(line), p, strict=True) if q >= least]
+        return score, found
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1e-2) -> np.ndarray:
@@ -293,7 +299,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 s = b.slice(at, 200)
-                x = tagger.sums(s.column("text").to_pylist())
+                x = tagger.inputs(s.column("text").to_pylist())
                 yield pa.record_batch([pa.array(list(x), pa.list_(pa.float64())), s.column("toxic")], ["x", "toxic"])
 
     got = sample.mapInArrow(sums, "x array<double>, toxic int").toArrow()
