@@ -160,6 +160,28 @@ def test_sharding(docs, rows):
     assert sharding.shard(docs.limit(0), 7).count() == 0
 
 
+def test_sharding_cuts_fewer_links(spark):
+    """Cut links (pairs of equal texts in two shards) by brute force: far fewer than under a hash, and none if classes fit."""
+    r = random.Random(12)
+    texts = [f"t{k}" for k, n in enumerate((90, 60, 40, 25, 9, 9, 5, 3, 2, 2)) for _ in range(n)] + [f"alone {i}" for i in range(155)]
+    r.shuffle(texts)
+    docs = spark.createDataFrame([(i if i % 50 else None, t, "x", 1) for i, t in enumerate(texts)] + [(5, None, "x", 1), (5, "", "x", 1), (6, "", "x", 1)], "doc_id long, text string, shard string, k1 int")
+    got = sharding.shard(docs, 8).collect()
+    assert len(got) == len(texts) + 3 and all(r.law == "rows" and r.grown_shard is None for r in got)
+    n = [sum(x.shard == s for x in got) for s in range(8)]
+    assert max(n) - min(n) <= 1 and {(x.shard, x.slot) for x in got} == {(s, k) for s in range(8) for k in range(n[s])}
+    by_crc = {zlib.crc32(t.encode()): t for t in texts}
+
+    def cut(where):
+        return sum(a[0] == b[0] and a[1] != b[1] for k, a in enumerate(where) for b in where[:k])
+
+    mine = [(by_crc[x.text_crc32], x.shard) for x in got if by_crc.get(x.text_crc32, "a").startswith("t")]
+    hashed = [(t, r.randrange(8)) for t, _ in mine]
+    # the two largest classes do not fit a shard of some 50 rows: their pairs over two shards must be cut
+    least = 50 * 40 + 50 * 10
+    assert 0.95 * least <= cut(mine) < 1.1 * least < cut(hashed) / 2
+
+
 def deviation(rows, streams):
     """Largest distance, over all prefixes of slots, between units of a stream and its target."""
     at, worst = dict.fromkeys(streams, 0), 0.0
