@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandspark.functions import scalars as S
+from demandspark.sources.scratch import keep
 
 
 def series_window():
@@ -45,7 +46,8 @@ def poisson_effects(df: DataFrame, covariates: tuple[str, ...] = ("price", "plat
     scale = np.array([stats[f"s_{c}"] or 1.0 for c in covariates])
     x = [(F.col(c) - float(m)) / float(s) for c, m, s in zip(covariates, center, scale, strict=True)]
     k = len(covariates)
-    base = whole.select("sku_platform", F.col("units").alias("y"), *(e.alias(f"x{i}") for i, e in enumerate(x))).repartition("sku_platform").persist()
+    # written first: what a lost executor held in memory is read again, not worked out from the sale lines
+    base = keep(whole.select("sku_platform", F.col("units").alias("y"), *(e.alias(f"x{i}") for i, e in enumerate(x))), "poisson").repartition("sku_platform").persist()
 
     def moments(beta: np.ndarray):
         eta = sum((F.col(f"x{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0))
