@@ -5,8 +5,8 @@ label. The class prior is estimated first: of a classifier of positives against
 the two samples' upper score tails. Then a small network minimises the non-negative unbiased risk
 ``prior * E_p[loss(+)] + max(0, E_u[loss(-)] - prior * E_p[loss(-)])`` on inputs that are read off the text alone.
 
-Learning uses at most ``max_positives`` and ``max_unlabelled`` rows, the first by a hash of doc_id; their inputs
-(a few dozen numbers each) go to the driver, no text does. Every document is scored over its whole text.
+Learning uses at most ``max_positives`` and ``max_unlabelled`` documents, the first by a hash of doc_id, one text of each;
+their inputs (a few dozen numbers each) go to the driver, no text does. Every document is scored over its whole text.
 
 Edge cases: null text counts as empty and is scored; null labels teach nothing; without positives or unlabelled
 rows every score is the prior 0.5; repeated rows are scored alike; tables may be empty; other columns are ignored.
@@ -138,7 +138,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_positives: i
     """Fit on bounded samples of the learning folds; ``held_out`` is a condition on doc_id."""
     known = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("lo")).where(~held_out & (F.col("lo") == 1))
     first = lambda rows, n: rows.select("doc_id", F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(n)
-    ids = docs.where(~held_out & F.col("doc_id").isNotNull()).select("doc_id")
+    # several times as many as needed are told apart, not all ids of the corpus
+    near = int(min(1.0, 4 * max_unlabelled / max(1, docs.count())) * 1_000_003)
+    ids = docs.where(~held_out & F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < near)).select("doc_id").distinct()
     chosen = first(known, max_positives).select("doc_id", F.lit(1).alias("is_p")).unionAll(first(ids, max_unlabelled).select("doc_id", F.lit(0).alias("is_p")))
     chosen = chosen.groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.min("is_p").alias("is_u"))
 
@@ -146,10 +148,13 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_positives: i
         for b in batches:
             for s in slices(b):
                 x = inputs(s.column("text"))
-                yield pa.record_batch([s.column("is_p"), s.column("is_u"), pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))], ["is_p", "is_u", "x"])
+                yield pa.record_batch([s.column("doc_id"), s.column("print"), s.column("is_p"), s.column("is_u"), pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))], ["doc_id", "print", "is_p", "is_u", "x"])
 
     # at most max_positives + max_unlabelled ids of 16 bytes: bounded, so broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "is_p", "is_u").mapInArrow(run, "is_p int, is_u int, x array<float>").toArrow()
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("print")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.mapInArrow(run, "doc_id long, print long, is_p int, is_u int, x array<float>")
+    # a row per chosen id, however many rows have it
+    rows = rows.groupBy("doc_id").agg(F.max("is_p").alias("is_p"), F.max("is_u").alias("is_u"), F.min_by("x", "print").alias("x")).toArrow().sort_by("doc_id")
     if not rows.num_rows:
         return None
     x = np.array(rows.column("x").to_pylist(), dtype=np.float64)

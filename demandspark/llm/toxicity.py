@@ -8,7 +8,7 @@ then tagged with forward-backward marginals; a logistic curve over the document'
 gives the score, and words over one half give the offending offsets.
 
 Learning uses a bounded sample of labelled rows, by parameters: at most ``max_docs`` toxic and twice as many clean
-documents, the ``max_parts`` parts of words that most toxic ones have as possible markers, and ``max_lines`` lines, chosen
+documents, one text of each, the ``max_parts`` parts of words that most toxic ones have as possible markers, and ``max_lines`` lines, chosen
 by hash, up to ``max_words`` words; lines of over ``SPAN`` words are learned in overlapping parts, each a line of its own
 here. The sample is written once and read by all steps of learning. Scoring reads whole texts and whole lines.
 
@@ -238,7 +238,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, max_docs: int =
     first = lambda which, n: known.where(F.col("lo") == which).select("doc_id", F.col("lo").alias("toxic"), F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(n).drop("_at")
     chosen = first(1, max_docs).unionAll(first(0, 2 * max_docs))
     # at most 3 * max_docs ids: bounded, so broadcast
-    sample = store.keep(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "tx-sample")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # one text of each chosen id, however many rows have it
+    sample = store.keep(sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic"), "tx-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
