@@ -68,7 +68,7 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of each text that hold one of its shared anchors; ``h2`` has 32 more bits of the hash and the position."""
+    """Distinct windows of each text that hold one of its shared anchors; ``h2`` has 32 more bits of the hash and the first position."""
     for b in batches:
         for s in slices(b):
             w = Words(s.column("text"))
@@ -98,6 +98,12 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = first[held[first]]
             if len(first):
                 a = rolling(g, first, first + WINDOW, SOUND).view(np.int64)
+                # a window that a text repeats, once: ``kept_words`` finds the others
+                order = np.lexsort((first, a, owner[first]))
+                t, x = owner[first][order], a[order]
+                new = np.ones(len(t), dtype=bool)
+                new[1:] = (t[1:] != t[:-1]) | (x[1:] != x[:-1])
+                first, a = first[order][new], x[new]
                 c = rolling(h, first, first + WINDOW, FAST) >> np.uint64(32) << np.uint64(32)
                 c = (c | (first - w.first[owner[first]]).astype(np.uint64)).view(np.int64)
                 rows = pa.array(owner[first])
@@ -110,7 +116,10 @@ def printed(docs: DataFrame, name: str = "print") -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, print, starts): first words, from 0, of the windows that also start in an earlier document; a written table."""
+    """(doc_id, print, starts): first words, from 0, of the windows that also start in an earlier document; a written table.
+
+    Of a window that a text repeats, only the first start is told.
+    """
     texts = printed(docs.where("doc_id is not null and text is not null").select("doc_id", "text"))
     found = texts.mapInArrow(anchors, "anchor long, doc_id long, print long")
     ends = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")]
@@ -129,14 +138,21 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def kept_words(w: Words, starts: list) -> np.ndarray:
-    """Which words of the slice stay."""
+    """Which words of the slice stay; a window goes wherever its text repeats it."""
     mark = np.zeros(len(w.start) + 1, dtype=np.int64)
-    for i, s in enumerate(starts):
-        if s is not None and len(s):
-            at = w.first[i] + np.asarray(s)
-            at = at[at + WINDOW <= w.first[i + 1]]
-            np.add.at(mark, at, 1)
-            np.add.at(mark, at + WINDOW, -1)
+    at = [w.first[i] + np.asarray(s) for i, s in enumerate(starts) if s is not None and len(s)]
+    if at:
+        at, owner, first = np.concatenate(at), w.text_of(), w.windows(WINDOW)
+        h = rolling(w.hashes(SOUND), first, first + WINDOW, SOUND)
+        own = np.isin(first, at)
+        # windows equal to a marked one of the same text, by rank of (text, hash)
+        order = np.lexsort((h, owner[first]))
+        t, x = owner[first][order], h[order]
+        rank = np.empty(len(first), dtype=np.int64)
+        rank[order] = np.cumsum(np.r_[True, (t[1:] != t[:-1]) | (x[1:] != x[:-1])])
+        gone = first[np.isin(rank, rank[own])]
+        np.add.at(mark, gone, 1)
+        np.add.at(mark, gone + WINDOW, -1)
     return np.cumsum(mark[:-1]) == 0
 
 

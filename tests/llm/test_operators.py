@@ -33,6 +33,7 @@ def rows():
     texts[5], texts[30] = texts[30], texts[5]
     texts += [" ".join(say(30) + passage + say(30)) for _ in range(6)] + ["dup line\n" * 40] * 3 + [" ".join(say(9000))]
     texts += [" ".join(say(r.randrange(1, 200))) for _ in range(20)] + [texts[-1], texts[-2]]
+    texts += ["over and " * 90, "x " * 30 + "over and " * 70 + " ".join(say(60)) + " over and" * 40, " ".join([*passage, *say(5), *passage])]
     return [(i, t, "en" if i % 3 else None, "hot" if i % 2 else f"s{i % 5}" if i % 7 else None, 1, "x") for i, t in enumerate(texts)]
 
 
