@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import html, mixing, neardup, neighbours, pieces, quality, rules, sharding, substring, toxicity
+from demandspark.llm import html, mixing, neardup, negatives, neighbours, phrases, pieces, quality, rules, sharding, substring, tokens, toxicity
 
 #: Folder of the public tokenizers' files; a parameter, as the files are never part of this repository.
 TOKENIZERS = "TOKENIZER_DIR"
@@ -65,10 +65,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_sharding, op2_quality, op3_substring, op4_html, op5_sentencepiece, op6_minhash, op7_mixing, op8_neighbours, op9_rules, op10_toxicity]
+    found = [op1_sharding, op2_quality, op3_substring, op4_html, op5_sentencepiece, op6_minhash, op7_mixing, op8_neighbours, op9_rules, op10_toxicity, op11_phrases, op12_negatives, op13_tokens]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring": substring.oracle(), "op9_rules": rules.oracle()}
+    return {"op3_substring": substring.oracle(), "op9_rules": rules.oracle(), "op11_phrases": phrases.oracle(), "op12_negatives": negatives.oracle()}
