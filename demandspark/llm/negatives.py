@@ -73,11 +73,9 @@ class Packed:
             return out
         half = 1 << (self.bits - 1)
         base = sum(half << (self.bits * f) for f in range(self.fields))
-        if self.exact:
-            # a sum of products of integers that a double holds, in any order
-            rest = (anchors.astype(np.float64) @ self.wide.T).astype(np.int64) + base
-        else:
-            rest = anchors.astype(object) @ self.wide.T + base
+        anchors = anchors if self.exact else anchors.astype(object)
+        # of doubles: a sum of products that are integers below 2 ** 53, exact in any order
+        rest = (anchors.astype(self.wide.dtype) @ self.wide.T).astype(out.dtype) + base
         shift = self.bias * anchors.sum(axis=1)[:, None]
         for f in range(self.fields):
             field = (rest & ((1 << self.bits) - 1)) - half

@@ -190,6 +190,11 @@ def phrase(words: list[Column]) -> Column:
     return F.concat_ws(" ", *words)
 
 
+def score_of() -> Column:
+    """floor(2000000 * a / (l + r)) of three counts, exactly."""
+    return F.expr("cast(2000000 * cast(a as decimal(27, 0)) div (cast(l as decimal(27, 0)) + cast(r as decimal(27, 0))) as long)")
+
+
 def collocations(docs: DataFrame, least: int = 30, top: int = 2_000, inside_percent: int = 80) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of 2 to 4 words, from ``least`` occurrences on."""
     docs = docs.select("text", F.col("lang").cast("string").alias("lang")).where("text is not null")
@@ -210,8 +215,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2_000, inside_perc
     sized = skew.look_up(parts, known, ["lang", "part"], popular)
     of = lambda side: F.max(F.when(F.col("side") == side, F.col("f")))
     scored = sized.groupBy("lang", "phrase", "a", "cut").agg(of("l").alias("l"), of("r").alias("r"))
-    score = F.expr("cast(2000000 * cast(a as decimal(27, 0)) div (cast(l as decimal(27, 0)) + cast(r as decimal(27, 0))) as long)")
-    lowest = scored.withColumn("score", score).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("_m"))
+    lowest = scored.withColumn("score", score_of()).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("_m"))
 
     # what a longer candidate covers: its parts of two words and more
     spans = [(i, m) for m in range(2, ORDER) for i in range(1, ORDER - m + 2)]
