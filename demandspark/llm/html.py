@@ -1,15 +1,20 @@
 """Main text of HTML pages by the maximum-scoring subsequence.
 
 A page is a sequence of tokens: words and tags. A tag weighs against the main text; a word weighs by the innermost block
-element that it stands in, and by the class and id names of the elements around it. Weights are log-odds of being inside
-against outside the main text, learnt from labelled pages: those whose markup says where the article is (one
-``<article>`` or ``<main>`` element). Kadane's linear scan finds the contiguous region of largest total weight, whose
-text is the main text. Elements inside the region whose own name or class name weighs clearly against it (under ``OUT``)
-are left out.
+element that it stands in (words of links outside paragraphs by themselves). Weights are log-odds of being inside against
+outside the main text, learnt from labelled pages: those whose markup says where the article is (one ``<article>`` or
+``<main>`` element). Kadane's linear scan finds the contiguous region of largest total weight, whose text is the main text.
 
-Weights are fitted on a bounded sample of pages (``max_pages``, chosen by hash) and smoothed towards prior weights: by
-element names, and for class names all of whose parts are usual names of page furniture (``ad-slot`` is one,
-``related-work`` is not). So pages without such markup, and tables without any such page, are handled too.
+Page furniture is told by the names of elements and classes, and is left out of the region's text. It weighs once for
+each of its elements, whatever is in it: little inside an article or amid other text, as an aside, an advert or a table of
+contents stands between two parts of one text; more where an element of its kind ends the page's text (``nav``, ``footer``
+and the like). So what it holds teaches nothing about lists, tables and links elsewhere, and a list or table that no
+labelled article has keeps its prior weight, under which its words outweigh its tags.
+
+Weights are fitted on a bounded sample of pages (``max_pages``, chosen by hash, one page of each chosen page_id) and smoothed
+towards prior weights: by element names, and for class names all of whose parts are usual names of page furniture (``ad-slot``
+is one, ``related-work`` is not). So pages without such markup, and tables without any such page, have weights too; there,
+text outside the article that stands in neither furniture nor links is not told from the article's.
 
 The scan over the markup is linear in the page: a tag ends at its ``>``, quotes are heeded until one stays open.
 
@@ -37,14 +42,18 @@ NEUTRAL = "area bar block body bottom box btn button container content field for
 BLOCK = "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 TEXTUAL = "p h1 h2 h3 h4 h5 h6 blockquote pre article main section"
+LISTED = "caption dd details dl dt figcaption figure li ol summary table tbody td tfoot th thead tr ul"
+CLOSING = "nav header footer form menu dialog"
 
-RAW_SET, APART_SET, FURNITURE_SET, NEUTRAL_SET, BLOCK_SET, VOID_SET, TEXT_SET = (frozenset(x.split()) for x in (RAW, APART, FURNITURE, NEUTRAL, BLOCK, VOID, TEXTUAL))
+RAW_SET, APART_SET, FURNITURE_SET, NEUTRAL_SET, BLOCK_SET, VOID_SET, TEXT_SET, LIST_SET, CLOSING_SET = (frozenset(x.split()) for x in (RAW, APART, FURNITURE, NEUTRAL, BLOCK, VOID, TEXTUAL, LISTED, CLOSING))
 START = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
 QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 NAMED = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
 PART = re.compile(r"[a-z]+")
 PRIOR, OUT = 20.0, -1.5
-NAMES_READ = 16  # names of one element; the rest of a longer list says no more
+#: Largest weight of a word and of a tag, so that no element decides alone; what furniture weighs within a text, and where it ends one.
+MOST_WORD, MOST_TAG, WITHIN, ENDING = 4.0, 1.5, 1.0, 4.0
+LINK = ".link"
 
 
 def is_furniture(name: str) -> bool:
@@ -59,15 +68,16 @@ def prior(key: str) -> float:
     if kind == "#":
         return -3.0 if name in APART_SET or is_furniture(name) else 0.0
     if kind == ".":
-        return -2.0 if name in APART_SET or name in ("li", "option") else 1.0 if name in TEXT_SET else 0.3
-    return -6.0 if name in APART_SET else -0.5 if name in TEXT_SET or name == "br" else -1.5
+        return -0.5 if key == LINK else 1.0 if name in TEXT_SET else 0.5 if name in LIST_SET else 0.3
+    return -0.05 if name in LIST_SET else -0.1 if name not in BLOCK_SET else -0.3 if name in TEXT_SET or name == "br" else -0.5
 
 
 class Page:
     """Tokens of a page in order.
 
     ``items`` are (word or None, key, sign, depth in an article, glue): ``sign`` is the number of the innermost element
-    with names, an index into ``signs``; ``glue`` tells a word that follows the one before without a break.
+    with names, an index into ``signs``; ``glue`` tells a word that follows the one before without a break. The tags of an
+    element bear its own sign.
     """
 
     def __init__(self, html: str | None):
@@ -116,7 +126,8 @@ class Page:
             if m[1]:
                 self._close(name)
                 continue
-            self._tag(name)
+            if name in VOID_SET or name in RAW_SET or rest.endswith("/"):
+                self._tag(name, self._sign())
             if name in RAW_SET and not rest.endswith("/"):
                 skip = re.compile(rf"</{name}\s*>", re.I).search(html, at)
                 at = text = skip.end() if skip else end
@@ -131,7 +142,7 @@ class Page:
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
             self._close(name)
         article = name in ("article", "main")
-        names = [] if article or name in ("html", "body") else [w for q in NAMED.findall(rest) for w in "".join(q).lower().split()[:NAMES_READ]]
+        names = [] if article or name in ("html", "body") else [w for q in NAMED.findall(rest) for w in "".join(q).lower().split()]
         # the header of an article is part of it
         if name in APART_SET and not (name == "header" and self._depth):
             names.append(name)
@@ -144,26 +155,30 @@ class Page:
         self._open[name] += 1
         self._depth += article
         self.articles += article and self._depth == 1
+        self._tag(name, around)
 
     def _close(self, name: str) -> None:
         if not self._open[name]:
             return
         while True:
-            got = self._stack.pop()[0]
+            got, _, sign = self._stack.pop()
+            self._tag(got, sign)
             self._open[got] -= 1
             self._depth -= got in ("article", "main")
-            self._tag(got)
             if got == name:
                 return
 
-    def _tag(self, name: str) -> None:
-        self.items.append((None, "<" + name, self._stack[-1][2] if self._stack else 0, self._depth, False))
+    def _sign(self) -> int:
+        return self._stack[-1][2] if self._stack else 0
+
+    def _tag(self, name: str, sign: int) -> None:
+        self.items.append((None, "<" + name, sign, self._depth, False))
 
     def _words(self, raw: str) -> None:
         text = unescape(raw) if "&" in raw else raw
         _, block, sign = self._stack[-1] if self._stack else ("", "", 0)
         self._space |= text[:1].isspace()
-        key = "." + block
+        key = LINK if self._open["a"] and block not in TEXT_SET else "." + block
         for w in text.split():
             self.items.append((w, key, sign, self._depth, not self._space))
             self._space = True
@@ -180,13 +195,14 @@ def furniture(page: Page) -> list[bool]:
 
 
 def count(page: Page) -> tuple[Counter, Counter]:
-    """Tokens by key, inside and outside the article of a labelled page; furniture in it counts as outside."""
+    """Tokens by key, inside and outside the article of a labelled page. Tokens of furniture count for the names of it only."""
     good, bad = Counter(), Counter()
     off = furniture(page)
     words: Counter = Counter()
     for word, key, sign, depth, _ in page.items:
         inside = depth > 0 and not off[sign]
-        (good if inside else bad)[key] += 1
+        if not off[sign]:
+            (good if inside else bad)[key] += 1
         if word is not None:
             words[sign, inside] += 1
     # a name gets all words in its element, so those of inner elements are handed outwards
@@ -202,7 +218,7 @@ def count(page: Page) -> tuple[Counter, Counter]:
 
 def learn(pages: DataFrame, max_pages: int = 5_000) -> dict[str, float]:
     """Weight of every key met in the sampled pages with exactly one article element."""
-    chosen = pages.select("page_id", F.xxhash64("page_id").alias("_at")).orderBy("_at", "page_id").limit(max_pages).select("page_id").distinct()
+    chosen = pages.select("page_id").where("page_id is not null").distinct().select("page_id", F.xxhash64("page_id").alias("_at")).orderBy("_at", "page_id").limit(max_pages).select("page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad = Counter(), Counter()
@@ -216,29 +232,40 @@ def learn(pages: DataFrame, max_pages: int = 5_000) -> dict[str, float]:
         keys = sorted({*good, *bad})
         yield pa.record_batch([pa.array(keys, pa.string()), pa.array([good[k] for k in keys], pa.int64()), pa.array([bad[k] for k in keys], pa.int64())], ["key", "good", "bad"])
 
-    # at most max_pages ids: bounded, so broadcast; the keys are those of so many pages
-    counted = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").mapInArrow(run, "key string, good long, bad long")
+    # at most max_pages ids: bounded, so broadcast; one page of each, and the keys are those of so many pages
+    sample = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    counted = sample.mapInArrow(run, "key string, good long, bad long")
     rows = counted.groupBy("key").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
     return weights_of({r.key: (r.good, r.bad) for r in rows})
 
 
 def weights_of(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Smoothed log-odds; a tag never counts for the main text, as the method has it."""
+    """Smoothed log-odds within bounds; a tag never counts for the main text, as the method has it."""
     out = {}
     for key, (good, bad) in counts.items():
         p = 1 / (1 + np.exp(-prior(key)))
         w = float(np.log((good + PRIOR * p) / (bad + PRIOR * (1 - p))))
-        out[key] = min(w, -0.05) if key[0] == "<" else w
+        out[key] = min(max(w, -MOST_TAG), -0.05) if key[0] == "<" else min(max(w, -MOST_WORD), MOST_WORD)
     return out
 
 
 def scored(page: Page, weights: dict[str, float]) -> tuple[list[float], list[float]]:
     """Weight of every token, and by sign the lowest weight of the names around (0 if none counts against)."""
     known = lambda key: weights[key] if key in weights else prior(key)
-    low: list[float] = []
-    for around, names in page.signs:
+    low, root = [], []  # by sign; root is the outermost furniture element around
+    for s, (around, names) in enumerate(page.signs):
         low.append(min([low[around] if low else 0.0, *(known("#" + n) for n in names)]))
-    return [known(key) + (low[sign] if word is not None else 0.0) for word, key, sign, _, _ in page.items], low
+        root.append(-1 if low[s] >= OUT else root[around] if s and root[around] >= 0 else s)
+    scores, last = [], -1
+    for word, key, sign, depth, _ in page.items:
+        at = root[sign]
+        if at < 0:
+            scores.append(known(key) + (low[sign] if word is not None else 0.0))
+        else:
+            ends = depth == 0 and not CLOSING_SET.isdisjoint(page.signs[at][1])
+            scores.append(0.0 if at == last else -ENDING if ends else -WITHIN)
+        last = at
+    return scores, low
 
 
 def region(scores: list[float]) -> tuple[int, int]:

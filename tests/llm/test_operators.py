@@ -523,3 +523,44 @@ def test_neighbours_keep_double_precision(spark):
     rows = [(20, [1.0, 0.0], "a"), (1, [1.0, 1e39], "a"), (2, [1e-50, 0.0], "a"), (3, [0.05, 0.0], "a"), (4, [0.0, 1.0], "a"), (3, [0.01, 0.0], "b")]
     assert near_lists(spark, rows, "double") == {20: [(1, 1.0), (3, 0.05), (3, 0.01), (2, 1e-50), (4, 0.0)]}
     assert near_lists(spark, [], "double") == {}
+
+
+RICH = {
+    "<h1>Title here</h1><p>intro words one two three</p><ul><li>first item</li><li>second item</li></ul><p>closing words a b c</p>": "Title here intro words one two three first item second item closing words a b c",
+    "<h2>T</h2><table><tr><td>a</td><td>b</td></tr></table><p>one two</p><blockquote>quoted words here</blockquote>": "T a b one two quoted words here",
+    "<h1>Head line</h1><p>first words of it</p><aside>apart from it</aside><p>and on</p><div class='ad banner'>buy now</div><p>to the end</p>": "Head line first words of it and on to the end",
+    "<h1>Plants</h1><dl><dt>moss</dt><dd>is green</dd></dl><ol>" + "<li>one of many</li>" * 80 + "</ol><p>done</p><figure><img src=x><figcaption>a leaf</figcaption></figure>": "Plants moss is green " + "one of many " * 80 + "done a leaf",
+    "<p>see <a href=1>the first</a> and <a href=2>the second</a> of them</p><ul><li>with <a href=3>a link</a> in it</li></ul><aside><a href=4>top</a></aside><p>last words</p>": "see the first and the second of them with a link in it last words",
+}
+AROUND = "<html><head><title>no</title></head><body><header><div>Site name</div></header><nav><ul>" + "<li><a href=x>Menu entry</a></li>" * 12 + "</ul></nav><div class=ad>Buy this</div>{}<div id=comments><p>I do not agree at all with you</p></div><ul><li><a href=1>Older post</a></li><li><a href=2>Newer post</a></li></ul><footer><p>All rights reserved by us</p></footer></body></html>"
+
+
+@pytest.mark.parametrize("learnt", [True, False])
+def test_html_keeps_lists_tables_quotes_and_text_around_asides(spark, learnt):
+    """In an unnamed element, with weights of pages that have headings and paragraphs alone, and with none."""
+    weights = html.learn(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")) if learnt else {}
+    for body, want in RICH.items():
+        assert html.main_text(AROUND.format(f"<div>{body}</div>"), weights) == want
+        assert html.main_text(AROUND.format(f"<article>{body}</article>"), weights) == want
+
+
+def test_html_articles_rewritten_with_lists_and_tables(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = html.learn(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    kinds = [("<ul><li>", "</li></ul>"), ("<table><tr><td>", "</td></tr></table>"), ("<blockquote>", "</blockquote>"), ("<aside>apart</aside><p>", "</p>")]
+    for r in pages.collect():
+        n = iter(range(10**6))
+        part = re.search("<article>(.*?)</article>", r.html, re.S)[1]
+        part = re.sub("<p>([^<]*)</p>", lambda m: kinds[next(n) % 4][0] + m[1] + kinds[(next(n) - 1) % 4][1] if m[1] else "", part)
+        changed = r.html[: r.html.index("<article>")] + f"<div>{part}</div>" + r.html[r.html.index("</article>") + 10 :]
+        want = " ".join(unescape(re.sub("<[^>]*>", "", re.sub("</?(?:p|h1|br|ul|li|table|tr|td|blockquote)[^>]*>", " ", re.sub("<aside>.*?</aside>", " ", part)))).split())
+        assert html.main_text(changed, weights) == want
+
+
+def test_html_learns_from_one_page_of_an_id(spark, monkeypatch):
+    rows = [(1, f"<article><p>{'w ' * k}</p></article>") for k in range(1, 50)] * 3 + [(2, "<main><h1>x</h1></main>"), (None, "<article><p>y</p></article>")]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    seen = []
+    monkeypatch.setattr(html, "weights_of", lambda counts: seen.append(counts) or {})
+    html.learn(df)
+    assert seen[0][".p"] == (1, 0) and seen[0][".h1"] == (1, 0)
