@@ -1,20 +1,22 @@
 """Phrases whose words stand together oftener than apart, by marginalising the counts of the longest windows.
 
-Counting phrases of 1 to 4 words by exploding each text four times makes four times the rows. Here each word makes one
+Counting phrases of 1 to 4 words by exploding each text four times moves four times the rows. Here each word makes one
 row at most: its window of itself and the three words behind it (four lead columns w1 to w4), padded where the piece
 ends. Only these longest windows are counted; ROLLUP over (lang, w1, w2, w3, w4) then sums them over ever shorter prefixes,
 and as each occurrence of a phrase is the prefix of exactly one window, the sum at a prefix is the phrase's count. The
 level of lang alone is the number of words.
 
-A phrase is wanted only from ``least`` occurrences on, and no phrase is more frequent than a pair of words, or a word, in it. So a
-first pass counts words and pairs in arrays of fixed size by hash, each task's counters cut at ``least`` (a sum of cut
-counters reaches ``least`` exactly if the true one does); a window is padded where its next pair, and emptied where its
-word, falls into a counter under ``least``. Collisions keep windows that could have been cut, never the other way round,
-so counts of all phrases from ``least`` on are exact. With many more words than counters fewer windows are cut and more rows move;
-the result is the same.
+A phrase is wanted only from ``least`` occurrences on, and none is more frequent than a word, or a shorter phrase, in it. So
+windows are shortened before they are summed, without changing the count of any phrase that is wanted:
 
-Counts of cut windows are added up within a slice of texts, where words are numbered by Arrow's dictionary; no equality
-is decided by a hash.
+1. Words are counted by hash, and those under ``least`` end a window. The others are told to the tasks as a bitmap of fixed size;
+   colliding hashes keep windows that could have been cut, never the other way round.
+2. Windows move once, to the task of their first two words, where sums over their first 2, 3 and 4 words are exact; what is
+   under ``least`` is padding from there on. So few rows are left for ROLLUP, whose shorter prefixes sum exactly what they did.
+
+Pairs of two words that each hold over 1/``SHARE`` of all words are dealt by their third word too (their first two words
+are then never cut off), and words alone by slices, so that no task gets a frequent one's rows. Windows are added up
+within a slice of texts, where words are numbered by Arrow's dictionary; no equality is decided by a hash.
 
 Edge cases: null texts count as empty ones; a null lang is ``und``; repeated rows, and rows with null or repeated doc_ids,
 count each; phrases never cross a separator; ties in score are broken by count, then by the bytes of the phrase; products
@@ -37,16 +39,18 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES = 1 << 22
-#: Numbers of counters: of words, and of pairs of neighbours. 20 MB of a task, 2.6 MB as bits for each executor, whatever the table.
-WORD_COUNTERS, PAIR_COUNTERS, SEGMENT = 1 << 22, 1 << 24, 1 << 16
-SALTS = 64
+SLICE_BYTES = 1 << 21
+#: Bits of the bitmap of frequent words: 8 MB, whatever the table.
+BITS = 1 << 26
+#: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
+SHARE, SALTS = 1_000, 64
 
 _U = np.uint64
 _SEPARATES = np.zeros(256, dtype=bool)
 _SEPARATES[SEPARATORS] = True
 _BREAKS = _SEPARATES.copy()
 _BREAKS[[9, 32]] = True
+_BIT = (1 << np.arange(8)).astype(np.uint8)
 
 
 class Slice:
@@ -74,17 +78,13 @@ class Slice:
         # a text without separators ends without one, so its number is compared too
         self.joined[:-1] = (piece[1:] == piece[:-1]) & (doc[1:] == doc[:-1])
         langs = batch.column("lang").cast(pa.large_string()).fill_null("und").dictionary_encode()
+        self.langs = langs.dictionary
         lang = langs.indices.to_numpy(zero_copy_only=False)[doc] if self.n else np.zeros(0, dtype=np.int64)
         # words of each language apart
-        pair, self.code = np.unique(lang.astype(np.int64) * max(1, len(names)) + coded.indices.to_numpy(zero_copy_only=False), return_inverse=True)
-        self.words = names.take(pa.array(pair % max(1, len(names))))
-        self.langs = langs.dictionary.take(pa.array(pair // max(1, len(names))))
-        self.hashes = T.mix(hashes(self.words) + T.mix(hashes(self.langs)) * _U(3))
-
-    def pairs(self) -> np.ndarray:
-        """Hash of each word and the next one."""
-        h = self.hashes[self.code]
-        return T.mix(h[:-1] * _U(0x9E3779B97F4A7C15) + h[1:])
+        size = max(1, len(names))
+        pair, self.code = np.unique(lang.astype(np.int64) * size + coded.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+        self.words, self.lang = names.take(pa.array(pair % size)), pair // size  # by code
+        self.hashes = T.mix(hashes(self.words) + T.mix(hashes(self.langs))[self.lang] * _U(3)).view(np.int64)
 
 
 def hashes(words: pa.Array) -> np.ndarray:
@@ -100,58 +100,36 @@ def joined_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
                 yield got
 
 
-def cut_add(counters: np.ndarray, at: np.ndarray, least: int) -> None:
-    """Adds one for each place, up to ``least``."""
-    place, n = np.unique(at, return_counts=True)
-    counters[place] = np.minimum(counters[place] + n, least)
-
-
-def sketch(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the counters of words and of pairs: whether ``least`` may be reached. Their number is fixed, so they come to the driver."""
-    kind = np.uint8 if least < 256 else np.uint32
+def frequent(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bitmap of the hashes of words of at least ``least`` occurrences, hashes of words with over 1/SHARE of all)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = np.zeros(WORD_COUNTERS, dtype=kind), np.zeros(PAIR_COUNTERS, dtype=kind)
         for s in joined_slices(batches):
-            cut_add(words, (s.hashes % _U(WORD_COUNTERS))[s.code], least)
-            cut_add(pairs, s.pairs()[s.joined[:-1]] % _U(PAIR_COUNTERS), least)
-        for first, part in ((0, words), (WORD_COUNTERS // SEGMENT, pairs)):
-            for k in range(len(part) // SEGMENT):
-                own = part[k * SEGMENT : (k + 1) * SEGMENT]
-                if own.any():
-                    packed = pa.compress(own.tobytes(), codec="zstd", asbytes=True)
-                    yield pa.record_batch([pa.array([first + k], pa.int32()), pa.array([packed], pa.binary())], ["segment", "counters"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, packed in zip(b.column("segment").to_pylist(), b.column("counters").to_pylist(), strict=True):
-                own = np.frombuffer(pa.decompress(packed, decompressed_size=SEGMENT * np.dtype(kind).itemsize, codec="zstd"), dtype=kind)
-                total[k] = np.minimum(total.get(k, 0) + own.astype(np.int64), least)
-        for k, t in total.items():
-            yield pa.record_batch([pa.array([k], pa.int32()), pa.array([np.packbits(t >= least).tobytes()], pa.binary())], ["segment", "bits"])
-
-    parts = docs.mapInArrow(count, "segment int, counters binary").repartition("segment").mapInArrow(add, "segment int, bits binary")
-    bits = np.zeros((WORD_COUNTERS + PAIR_COUNTERS) // 8, dtype=np.uint8)
-    for r in parts.collect():  # at most 320 rows of 8 KB
-        bits[r.segment * SEGMENT // 8 : (r.segment + 1) * SEGMENT // 8] = np.frombuffer(r.bits, dtype=np.uint8)
-    return bits[: WORD_COUNTERS // 8], bits[WORD_COUNTERS // 8 :]
-
-
-def is_set(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> _U(3)] >> (_U(7) - (at & _U(7))).astype(np.uint8)) & 1 > 0
+            yield pa.record_batch([pa.array(s.hashes), pa.array(np.bincount(s.code, minlength=len(s.hashes)))], ["h", "n"])
+
+    counted = store.keep(docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "ph-words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot = counted.where(F.col("n") * SHARE > total).select("h").toArrow().column("h").to_numpy()  # fewer than SHARE
+    at = F.col("h").bitwiseAND(F.lit(BITS - 1)) + 1
+    maps = counted.where(F.col("n") >= least).groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in maps.collect():  # at most 2,048 rows of 4 KB
+        bits[(r.part - 1) * 4096 : r.part * 4096] = np.frombuffer(r.bits, dtype=np.uint8)
+    store.drop(counted)
+    return bits, np.sort(hot)
 
 
 def windows(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, w1, w2, w3, w4, n): padded longest windows, added up within slices of texts. Padding is an empty word."""
-    bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, least))
+    """(lang, w1, w2, w3, w4, salt, n): padded longest windows, added up within slices of texts. Padding is an empty word."""
+    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_bits, pair_bits = bits.value
-        for s in joined_slices(batches):
-            may = is_set(word_bits, s.hashes % _U(WORD_COUNTERS))[s.code]
+        bits, hot = known.value
+        for number, s in enumerate(joined_slices(batches)):
+            at = s.hashes & np.int64(BITS - 1)
+            may = ((bits[at >> 3] & _BIT[at & 7]) > 0)[s.code]
             goes_on = np.zeros(s.n, dtype=bool)
-            goes_on[:-1] = s.joined[:-1] & may[:-1] & may[1:] & is_set(pair_bits, s.pairs() % _U(PAIR_COUNTERS))
+            goes_on[:-1] = s.joined[:-1] & may[:-1] & may[1:]
             # code + 1 of the words of a window, 0 for padding; two of them make one number, so equality is exact
             codes = np.zeros((ORDER, s.n), dtype=np.int64)
             codes[0] = np.where(may, s.code + 1, 0)
@@ -161,18 +139,34 @@ def windows(docs: DataFrame, least: int) -> DataFrame:
                 alive[s.n - k :] = False
                 codes[k, : s.n - k] = np.where(alive[: s.n - k], codes[0, k:], 0)
             size = np.int64(len(s.words) + 1)
-            langs, lang = np.unique(np.array(s.langs.to_pylist(), dtype=object), return_inverse=True)
-            halves = []
-            for a, b in ((codes[0], codes[1]), (codes[2], codes[3])):
-                halves.append(np.unique(a * size + b, return_inverse=True))
+            one, first = np.unique(codes[0] * size + codes[1], return_inverse=True)
+            two, rest = np.unique(codes[2] * size + codes[3], return_inverse=True)
             # a window that is padding alone counts for its language
-            whole = (lang[s.code] * np.int64(len(halves[0][0])) + halves[0][1]) * np.int64(len(halves[1][0])) + halves[1][1]
-            found, at, n = np.unique(whole, return_index=True, return_counts=True)
+            whole = (s.lang[s.code] * np.int64(len(one)) + first) * np.int64(len(two)) + rest
+            _, at, n = np.unique(whole, return_index=True, return_counts=True)
+            codes, lang = codes[:, at], s.lang[s.code[at]]
+            common = np.r_[False, np.isin(s.hashes, hot)]
+            by = np.r_[np.int64(0), s.hashes]
+            salt = np.where(codes[1] == 0, 1 + number % SALTS, np.where(common[codes[0]] & common[codes[1]], 1 + by[codes[2]] % SALTS, 0))
             names = pa.concat_arrays([pa.array([""], pa.large_string()), s.words])
-            columns = [pa.array(langs[lang[s.code[at]]], pa.string()), *(names.take(pa.array(codes[k, at])).cast(pa.string()) for k in range(ORDER)), pa.array(n, pa.int64())]
-            yield pa.record_batch(columns, ["lang", *WORDS, "n"])
+            columns = [s.langs.take(pa.array(lang)).cast(pa.string()), *(names.take(pa.array(c)).cast(pa.string()) for c in codes), pa.array(salt, pa.int32()), pa.array(n, pa.int64())]
+            yield pa.record_batch(columns, ["lang", *WORDS, "salt", "n"])
+
+    return docs.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", salt int, n long")
+
+
+def shortened(found: DataFrame, least: int) -> DataFrame:
+    """Windows with padding in place of what makes their first 2, 3 or 4 words less frequent than ``least``; one exchange and one sort."""
+    keys, more = ["w1", "lang", "w2", "salt"], ["w3", "w4"]
+
+    def over(k: int) -> Column:
+        # whole partitions, but in one order for all, so one sort serves them
+        w = W.partitionBy(*keys, *more[: k - 2])
+        return F.sum("n").over((w.orderBy(*more[k - 2 :]) if k < ORDER else w).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
 
-    return docs.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long")
+    sums = found.repartition(*keys).withColumns({f"_f{k}": over(k) for k in range(2, ORDER + 1)})
+    cut = lambda c, enough: F.when(enough, F.col(c)).otherwise("").alias(c)
+    return sums.select("lang", "w1", cut("w2", (F.col("_f2") >= least) | (F.col("salt") > 0)), cut("w3", F.col("_f3") >= least), cut("w4", F.col("_f4") >= least), "n")
 
 
 def counts(docs: DataFrame, least: int) -> DataFrame:
@@ -180,7 +174,8 @@ def counts(docs: DataFrame, least: int) -> DataFrame:
 
     Rows of ROLLUP that end in padding repeat the row of the shorter prefix; the condition goes below the aggregation.
     """
-    rolled = windows(docs, least).rollup("lang", *WORDS).agg(F.sum("n").alias("f"))
+    few = shortened(windows(docs, least), least).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
+    rolled = few.rollup("lang", *WORDS).agg(F.sum("n").alias("f"))
     last = F.coalesce(*reversed([F.col(w) for w in WORDS]))
     return rolled.where("lang is not null").where(last.isNull() | (last != "")).where((F.col("f") >= least) | F.col("w1").isNull())
 

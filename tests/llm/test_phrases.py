@@ -62,15 +62,23 @@ def test_equals_counting_all_ngrams(spark, rows):
     assert phrases.collocations(docs.limit(0)).collect() == []
 
 
-def test_colliding_counters_change_no_result(spark, rows, monkeypatch):
-    """One counter for all words and pairs: nothing is cut off before it is counted."""
+def test_counts_hold_whatever_is_cut_or_dealt_out(spark, rows, monkeypatch):
+    """All words colliding with frequent ones; all words common, so that each pair is dealt out; small slices."""
     docs = spark.createDataFrame(rows[:80], FORM)
     want = brute(rows[:80], 10)
-    bits = np.full(phrases.WORD_COUNTERS // 8, 255, dtype=np.uint8), np.full(phrases.PAIR_COUNTERS // 8, 255, dtype=np.uint8)
-    monkeypatch.setattr(phrases, "sketch", lambda docs, least: bits)
+    hashes = np.unique(np.concatenate([s.hashes for s in phrases.joined_slices(docs.select("text", "lang").toArrow().to_batches())]))
+    bits, hot = phrases.frequent(docs.select("text", "lang"), 40)
+    assert 0 < np.unpackbits(bits).sum() < len(hashes) and 0 < len(hot) < 1000
+    monkeypatch.setattr(phrases, "frequent", lambda docs, least: (np.full(phrases.BITS // 8, 255, dtype=np.uint8), hashes))
     assert got(phrases.collocations(docs, least=10)) == want
 
 
+def test_windows_move_once_and_are_sorted_once(spark, rows):
+    docs = spark.createDataFrame(rows[:20], FORM).select("text", "lang")
+    plan = phrases.shortened(phrases.windows(docs, 30), 30)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and plan.count("Window [") == 3
+
+
 def test_scores_of_counts_beyond_64_bits(spark):
     """The products of the score need over 64 bits for counts from 5e12 on."""
     from pyspark.sql import functions as F
