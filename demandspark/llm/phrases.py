@@ -11,12 +11,15 @@ windows are shortened before they are summed, without changing the count of any
 
 1. Words are counted by hash, and those under ``least`` end a window. The others are told to the tasks as a bitmap of fixed size;
    colliding hashes keep windows that could have been cut, never the other way round.
-2. Windows move once, to the task of their first two words, where sums over their first 2, 3 and 4 words are exact; what is
-   under ``least`` is padding from there on. So few rows are left for ROLLUP, whose shorter prefixes sum exactly what they did.
+2. Windows move once, to a part of the table by their first two words, where sums over their first 2, 3 and 4 words are
+   exact; what is under ``least`` is padding from there on. So few rows are left for ROLLUP, whose shorter prefixes sum
+   exactly what they did.
 
-Pairs of two words that each hold over 1/``SHARE`` of all words are dealt by their third word too (their first two words
-are then never cut off), and words alone by slices, so that no task gets a frequent one's rows. Windows are added up
-within a slice of texts, where words are numbered by Arrow's dictionary; no equality is decided by a hash.
+There are as many parts as keep each at about ``PART_WORDS`` words, whatever the table. As most windows occur once, a window
+costs what its row costs: so a slice of texts sends each part one row with all its windows, as numbers into a list of the slice's words,
+compressed. Pairs of two words that each hold over 1/``SHARE`` of all words are dealt by their third word too (their first
+two words are then never cut off), and words alone by slices, so that no part gets a frequent one's rows. Windows are
+added up within a slice, where words are numbered by Arrow's dictionary; no equality is decided by a hash.
 
 Edge cases: null texts count as empty ones; a null lang is ``und``; repeated rows, and rows with null or repeated doc_ids,
 count each; phrases never cross a separator; ties in score are broken by count, then by the bytes of the phrase; products
@@ -25,6 +28,7 @@ are decimals of 38 digits; with fewer phrases than ``top`` all are given; an emp
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +43,7 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES = 1 << 21
+SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 19
 #: Bits of the bitmap of frequent words: 8 MB, whatever the table.
 BITS = 1 << 26
 #: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
@@ -100,8 +104,8 @@ def joined_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
                 yield got
 
 
-def frequent(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bitmap of the hashes of words of at least ``least`` occurrences, hashes of words with over 1/SHARE of all)."""
+def frequent(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(bitmap of the hashes of words of at least ``least`` occurrences, hashes of words with over 1/SHARE of all, number of words)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in joined_slices(batches):
@@ -116,57 +120,117 @@ def frequent(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     for r in maps.collect():  # at most 2,048 rows of 4 KB
         bits[(r.part - 1) * 4096 : r.part * 4096] = np.frombuffer(r.bits, dtype=np.uint8)
     store.drop(counted)
-    return bits, np.sort(hot)
-
+    return bits, np.sort(hot), total
+
+
+class Windows:
+    """Padded longest windows of a part of a slice: ``codes`` (4 by windows) into ``words``, each with its language; 0 is padding."""
+
+    def __init__(self, words: list[str], langs: list[str], codes: np.ndarray, n: np.ndarray, dealt: np.ndarray):
+        self.words, self.langs, self.codes, self.n, self.dealt = words, langs, codes, n, dealt
+
+    def pack(self) -> bytes:
+        names = json.dumps([self.words, self.langs]).encode()
+        head = np.array([len(names), len(self.n)], dtype=np.int64)
+        raw = b"".join([head.tobytes(), names, self.codes.astype(np.uint32).tobytes(), self.n.astype(np.int64).tobytes(), self.dealt.astype(np.uint8).tobytes()])
+        return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+    @staticmethod
+    def unpack(packed: bytes) -> Windows:
+        raw = pa.decompress(packed[8:], decompressed_size=int(np.frombuffer(packed[:8], dtype=np.int64)[0]), codec="zstd").to_pybytes()
+        size, m = (int(x) for x in np.frombuffer(raw, dtype=np.int64, count=2))
+        at = 16 + size
+        codes = np.frombuffer(raw, dtype=np.uint32, count=ORDER * m, offset=at).reshape(ORDER, m).astype(np.int64)
+        n = np.frombuffer(raw, dtype=np.int64, count=m, offset=at + 4 * ORDER * m)
+        return Windows(*json.loads(raw[16:at]), codes, n, np.frombuffer(raw, dtype=np.uint8, count=m, offset=at + (4 * ORDER + 8) * m))
+
+
+def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, Windows]]:
+    """The slice's windows by part."""
+    at = s.hashes & np.int64(BITS - 1)
+    may = ((bits[at >> 3] & _BIT[at & 7]) > 0)[s.code]
+    goes_on = np.zeros(s.n, dtype=bool)
+    goes_on[:-1] = s.joined[:-1] & may[:-1] & may[1:]
+    # code + 1 of the words of a window, 0 for padding; behind the words stands an empty one of each language, for words that are cut
+    empty = len(s.hashes) + s.lang[s.code]
+    codes = np.zeros((ORDER, s.n), dtype=np.int64)
+    codes[0] = np.where(may, s.code, empty) + 1
+    alive = np.ones(s.n, dtype=bool)
+    for k in range(1, ORDER):
+        alive[: s.n - k + 1] &= goes_on[k - 1 :]
+        alive[s.n - k :] = False
+        codes[k, : s.n - k] = np.where(alive[: s.n - k], codes[0, k:], 0)
+    size = np.int64(len(s.hashes) + len(s.langs) + 1)
+    # two of them make one number, so equality is exact
+    rest, last = np.unique(codes[2] * size + codes[3], return_inverse=True)
+    first, of = np.unique(codes[0] * size + codes[1], return_inverse=True)
+    _, at, n = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_counts=True)
+    codes = codes[:, at]
+    by = np.r_[np.int64(0), s.hashes, np.zeros(len(s.langs), dtype=np.int64)]
+    common = np.isin(by, hot)
+    dealt = common[codes[0]] & common[codes[1]] & (codes[1] > 0)
+    salt = np.where(codes[1] == 0, number % SALTS, np.where(dealt, by[codes[2]] % SALTS, 0)).astype(_U)
+    part = (T.mix(by[codes[0]].view(_U) * _U(0x9E3779B97F4A7C15) + by[codes[1]].view(_U) * _U(3) + salt) % _U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    codes, n, dealt, part = codes[:, order], n[order], dealt[order], part[order]
+    words = pa.concat_arrays([s.words.cast(pa.string()), pa.array([""] * len(s.langs), pa.string())])
+    langs = np.r_[s.lang, np.arange(len(s.langs))]
+    borders = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+    for a, b in zip(borders, borders[1:], strict=False):
+        used, own = np.unique(codes[:, a:b], return_inverse=True)
+        pads = int(used[0] == 0)
+        used = used[pads:] - 1
+        yield int(part[a]), Windows(words.take(pa.array(used)).to_pylist(), s.langs.take(pa.array(langs[used])).to_pylist(), own.reshape(ORDER, b - a) + 1 - pads, n[a:b], dealt[a:b])
+
+
+def shortened(found: list[Windows], least: int) -> pa.RecordBatch:
+    """(lang, w1, w2, w3, w4, n) of a part, with padding in place of what makes the first 2, 3 or 4 words less frequent than ``least``."""
+    names: dict[tuple[str, str], int] = {}
+    codes = np.concatenate([np.array([0, *(names.setdefault(x, len(names) + 1) for x in zip(w.langs, w.words, strict=True))], dtype=np.int64)[w.codes] for w in found], axis=1)
+    n, dealt = (np.concatenate([getattr(w, c) for w in found]) for c in ("n", "dealt"))
+    size = np.int64(len(names) + 1)
+    prefix = codes[0]
+    for k in range(1, ORDER):
+        _, prefix = np.unique(prefix * size + codes[k], return_inverse=True)
+        enough = np.bincount(prefix, weights=n)[prefix] >= least  # sums below 2 ** 53
+        keeps = enough | (dealt > 0) if k == 1 else enough
+        codes[k:, ~keeps] = 0
+    first, of = np.unique(codes[0] * size + codes[1], return_inverse=True)
+    rest, last = np.unique(codes[2] * size + codes[3], return_inverse=True)
+    _, at, where = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_inverse=True)
+    total = np.zeros(len(at), dtype=np.int64)
+    np.add.at(total, where, n)
+    words = pa.array(["", *(w for _, w in names)], pa.string())
+    langs = pa.array(["", *(lang for lang, _ in names)], pa.string())
+    return pa.record_batch([langs.take(pa.array(codes[0, at])), *(words.take(pa.array(c[at])) for c in codes), pa.array(total)], ["lang", *WORDS, "n"])
+
+
+def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFrame:
+    """(lang, w1, w2, w3, w4, n): padded longest windows, shortened to what is frequent and added up within parts. Padding is an empty word."""
+    spark = docs.sparkSession
+    bits, hot, total = frequent(docs, least)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_words))
+    known = spark.sparkContext.broadcast((bits, hot))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, s in enumerate(joined_slices(batches)):
+            own = [(part, w.pack()) for part, w in cut_windows(s, number, *known.value, parts)]
+            yield pa.record_batch([pa.array([x for x, _ in own], pa.int32()), pa.array([x for _, x in own], pa.binary())], ["part", "windows"])
 
-def windows(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, w1, w2, w3, w4, salt, n): padded longest windows, added up within slices of texts. Padding is an empty word."""
-    known = docs.sparkSession.sparkContext.broadcast(frequent(docs, least))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for part, packed in zip(b.column("part").to_pylist(), b.column("windows").to_pylist(), strict=True):
+                if part != now and held:
+                    yield shortened(held, least)
+                    held = []
+                now = part
+                held.append(Windows.unpack(packed))
+        if held:
+            yield shortened(held, least)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, hot = known.value
-        for number, s in enumerate(joined_slices(batches)):
-            at = s.hashes & np.int64(BITS - 1)
-            may = ((bits[at >> 3] & _BIT[at & 7]) > 0)[s.code]
-            goes_on = np.zeros(s.n, dtype=bool)
-            goes_on[:-1] = s.joined[:-1] & may[:-1] & may[1:]
-            # code + 1 of the words of a window, 0 for padding; two of them make one number, so equality is exact
-            codes = np.zeros((ORDER, s.n), dtype=np.int64)
-            codes[0] = np.where(may, s.code + 1, 0)
-            alive = np.ones(s.n, dtype=bool)
-            for k in range(1, ORDER):
-                alive[: s.n - k + 1] &= goes_on[k - 1 :]
-                alive[s.n - k :] = False
-                codes[k, : s.n - k] = np.where(alive[: s.n - k], codes[0, k:], 0)
-            size = np.int64(len(s.words) + 1)
-            one, first = np.unique(codes[0] * size + codes[1], return_inverse=True)
-            two, rest = np.unique(codes[2] * size + codes[3], return_inverse=True)
-            # a window that is padding alone counts for its language
-            whole = (s.lang[s.code] * np.int64(len(one)) + first) * np.int64(len(two)) + rest
-            _, at, n = np.unique(whole, return_index=True, return_counts=True)
-            codes, lang = codes[:, at], s.lang[s.code[at]]
-            common = np.r_[False, np.isin(s.hashes, hot)]
-            by = np.r_[np.int64(0), s.hashes]
-            salt = np.where(codes[1] == 0, 1 + number % SALTS, np.where(common[codes[0]] & common[codes[1]], 1 + by[codes[2]] % SALTS, 0))
-            names = pa.concat_arrays([pa.array([""], pa.large_string()), s.words])
-            columns = [s.langs.take(pa.array(lang)).cast(pa.string()), *(names.take(pa.array(c)).cast(pa.string()) for c in codes), pa.array(salt, pa.int32()), pa.array(n, pa.int64())]
-            yield pa.record_batch(columns, ["lang", *WORDS, "salt", "n"])
-
-    return docs.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", salt int, n long")
-
-
-def shortened(found: DataFrame, least: int) -> DataFrame:
-    """Windows with padding in place of what makes their first 2, 3 or 4 words less frequent than ``least``; one exchange and one sort."""
-    keys, more = ["w1", "lang", "w2", "salt"], ["w3", "w4"]
-
-    def over(k: int) -> Column:
-        # whole partitions, but in one order for all, so one sort serves them
-        w = W.partitionBy(*keys, *more[: k - 2])
-        return F.sum("n").over((w.orderBy(*more[k - 2 :]) if k < ORDER else w).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-
-    sums = found.repartition(*keys).withColumns({f"_f{k}": over(k) for k in range(2, ORDER + 1)})
-    cut = lambda c, enough: F.when(enough, F.col(c)).otherwise("").alias(c)
-    return sums.select("lang", "w1", cut("w2", (F.col("_f2") >= least) | (F.col("salt") > 0)), cut("w3", F.col("_f3") >= least), cut("w4", F.col("_f4") >= least), "n")
+    dealt = docs.mapInArrow(deal, "part int, windows binary").repartition(parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(add, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long")
 
 
 def counts(docs: DataFrame, least: int) -> DataFrame:
@@ -174,8 +238,7 @@ def counts(docs: DataFrame, least: int) -> DataFrame:
 
     Rows of ROLLUP that end in padding repeat the row of the shorter prefix; the condition goes below the aggregation.
     """
-    few = shortened(windows(docs, least), least).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
-    rolled = few.rollup("lang", *WORDS).agg(F.sum("n").alias("f"))
+    rolled = windows(docs, least).rollup("lang", *WORDS).agg(F.sum("n").alias("f"))
     last = F.coalesce(*reversed([F.col(w) for w in WORDS]))
     return rolled.where("lang is not null").where(last.isNull() | (last != "")).where((F.col("f") >= least) | F.col("w1").isNull())
 

@@ -11,17 +11,23 @@ from demandspark.llm import phrases
 FORM = "doc_id long, text string, lang string, phrase string"
 
 
-def brute(rows, least=30, top=2000, inside=80):
-    f, n = Counter(), Counter()
+def counted(rows):
+    f = Counter()
     for _, text, lang, *_ in rows:
         lang = "und" if lang is None else lang
         for piece in re.split("[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
             w = re.findall("[^\x20\x09]+", piece)
-            n[lang] += len(w)
             for i in range(len(w)):
                 for k in range(1, 5):
                     if i + k <= len(w):
                         f[lang, tuple(w[i : i + k])] += 1
+    return f
+
+
+def brute(rows, least=30, top=2000, inside=80):
+    f, n = counted(rows), Counter()
+    for (lang, w), a in f.items():
+        n[lang] += a * (len(w) == 1)
     found = {x: a for x, a in f.items() if len(x[1]) > 1 and a >= least}
     longer = defaultdict(int)
     for (lang, w), a in found.items():
@@ -67,16 +73,18 @@ def test_counts_hold_whatever_is_cut_or_dealt_out(spark, rows, monkeypatch):
     docs = spark.createDataFrame(rows[:80], FORM)
     want = brute(rows[:80], 10)
     hashes = np.unique(np.concatenate([s.hashes for s in phrases.joined_slices(docs.select("text", "lang").toArrow().to_batches())]))
-    bits, hot = phrases.frequent(docs.select("text", "lang"), 40)
-    assert 0 < np.unpackbits(bits).sum() < len(hashes) and 0 < len(hot) < 1000
-    monkeypatch.setattr(phrases, "frequent", lambda docs, least: (np.full(phrases.BITS // 8, 255, dtype=np.uint8), hashes))
+    bits, hot, total = phrases.frequent(docs.select("text", "lang"), 40)
+    assert 0 < np.unpackbits(bits).sum() < len(hashes) and 0 < len(hot) < 1000 and total == sum(n for (_, w), n in counted(rows[:80]).items() if len(w) == 1)
+    monkeypatch.setattr(phrases, "frequent", lambda docs, least: (np.full(phrases.BITS // 8, 255, dtype=np.uint8), hashes, 10**7))
     assert got(phrases.collocations(docs, least=10)) == want
 
 
-def test_windows_move_once_and_are_sorted_once(spark, rows):
-    docs = spark.createDataFrame(rows[:20], FORM).select("text", "lang")
-    plan = phrases.shortened(phrases.windows(docs, 30), 30)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and plan.count("Window [") == 3
+def test_packed_windows_come_back_as_they_were():
+    r = np.random.default_rng(1)
+    for m in (0, 1, 500):
+        w = phrases.Windows(["ab", "", "漢字", "x\x00y"], ["en", "u\tnd", "", "\n"], r.integers(0, 5, (4, m)), r.integers(1, 10**12, m), r.integers(0, 2, m))
+        got = phrases.Windows.unpack(w.pack())
+        assert (got.words, got.langs) == (w.words, w.langs) and (got.codes == w.codes).all() and (got.n == w.n).all() and (got.dealt == w.dealt).all()
 
 
 def test_scores_of_counts_beyond_64_bits(spark):
