@@ -28,11 +28,11 @@ are decimals of 38 digits; with fewer phrases than ``top`` all are given; an emp
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 19
+SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 21
 #: Bits of the bitmap of frequent words: 8 MB, whatever the table.
 BITS = 1 << 26
 #: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
@@ -124,25 +124,38 @@ def frequent(docs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 class Windows:
-    """Padded longest windows of a part of a slice: ``codes`` (4 by windows) into ``words``, each with its language; 0 is padding."""
+    """Padded longest windows of a part of a slice: ``codes`` (4 by windows, from 1, the first ascending) into ``keys``, 0 for padding.
 
-    def __init__(self, words: list[str], langs: list[str], codes: np.ndarray, n: np.ndarray, dealt: np.ndarray):
-        self.words, self.langs, self.codes, self.n, self.dealt = words, langs, codes, n, dealt
+    A key is a word, a tab, which no word holds, and its language.
+    """
+
+    def __init__(self, keys: pa.LargeStringArray, codes: np.ndarray, n: np.ndarray, dealt: np.ndarray):
+        self.keys, self.codes, self.n, self.dealt = keys, codes, n, dealt
 
     def pack(self) -> bytes:
-        names = json.dumps([self.words, self.langs]).encode()
-        head = np.array([len(names), len(self.n)], dtype=np.int64)
-        raw = b"".join([head.tobytes(), names, self.codes.astype(np.uint32).tobytes(), self.n.astype(np.int64).tobytes(), self.dealt.astype(np.uint8).tobytes()])
+        offsets, data = T.buffers(self.keys)
+        codes = self.codes.astype(np.uint16 if len(self.keys) < 1 << 16 else np.uint32)
+        codes[0, 1:] -= codes[0, :-1].copy()  # small differences take little room
+        head = np.array([len(self.keys), len(self.n), len(data), codes.itemsize], dtype=np.int64)
+        raw = b"".join(x.tobytes() for x in (head, np.diff(offsets).astype(np.uint32), data, codes, self.n.astype(np.int64), self.dealt.astype(np.uint8)))
         return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
     @staticmethod
     def unpack(packed: bytes) -> Windows:
-        raw = pa.decompress(packed[8:], decompressed_size=int(np.frombuffer(packed[:8], dtype=np.int64)[0]), codec="zstd").to_pybytes()
-        size, m = (int(x) for x in np.frombuffer(raw, dtype=np.int64, count=2))
-        at = 16 + size
-        codes = np.frombuffer(raw, dtype=np.uint32, count=ORDER * m, offset=at).reshape(ORDER, m).astype(np.int64)
-        n = np.frombuffer(raw, dtype=np.int64, count=m, offset=at + 4 * ORDER * m)
-        return Windows(*json.loads(raw[16:at]), codes, n, np.frombuffer(raw, dtype=np.uint8, count=m, offset=at + (4 * ORDER + 8) * m))
+        raw = pa.decompress(packed[8:], decompressed_size=int(np.frombuffer(packed[:8], dtype=np.int64)[0]), codec="zstd")
+        k, m, size, width = (int(x) for x in np.frombuffer(raw, dtype=np.int64, count=4))
+        at = 32
+
+        def take(kind, count: int) -> np.ndarray:
+            nonlocal at
+            at += count * np.dtype(kind).itemsize
+            return np.frombuffer(raw, dtype=kind, count=count, offset=at - count * np.dtype(kind).itemsize)
+
+        offsets = np.r_[np.int64(0), np.cumsum(take(np.uint32, k), dtype=np.int64)]
+        keys = pa.LargeStringArray.from_buffers(k, pa.py_buffer(offsets), pa.py_buffer(take(np.uint8, size)))
+        codes = take(np.uint16 if width == 2 else np.uint32, ORDER * m).reshape(ORDER, m).astype(np.int64)
+        codes[0] = np.cumsum(codes[0])
+        return Windows(keys, codes, take(np.int64, m), take(np.uint8, m))
 
 
 def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, Windows]]:
@@ -173,22 +186,27 @@ def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts:
     part = (T.mix(by[codes[0]].view(_U) * _U(0x9E3779B97F4A7C15) + by[codes[1]].view(_U) * _U(3) + salt) % _U(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     codes, n, dealt, part = codes[:, order], n[order], dealt[order], part[order]
-    words = pa.concat_arrays([s.words.cast(pa.string()), pa.array([""] * len(s.langs), pa.string())])
-    langs = np.r_[s.lang, np.arange(len(s.langs))]
+    langs = s.langs.take(pa.array(np.r_[s.lang, np.arange(len(s.langs))]))
+    words = pa.concat_arrays([s.words, pa.array([""] * len(s.langs), pa.large_string())])
+    keys = pc.binary_join_element_wise(words, langs, pa.scalar("\t", pa.large_string()))
     borders = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+    place = np.zeros(len(keys) + 1, dtype=np.int64)
     for a, b in zip(borders, borders[1:], strict=False):
-        used, own = np.unique(codes[:, a:b], return_inverse=True)
-        pads = int(used[0] == 0)
-        used = used[pads:] - 1
-        yield int(part[a]), Windows(words.take(pa.array(used)).to_pylist(), s.langs.take(pa.array(langs[used])).to_pylist(), own.reshape(ORDER, b - a) + 1 - pads, n[a:b], dealt[a:b])
+        own = codes[:, a:b]
+        used = np.flatnonzero(np.bincount(own.ravel(), minlength=len(place))[1:]) + 1
+        place[used] = np.arange(1, len(used) + 1)  # in the same order
+        yield int(part[a]), Windows(keys.take(pa.array(used - 1)), place[own], n[a:b], dealt[a:b])
 
 
 def shortened(found: list[Windows], least: int) -> pa.RecordBatch:
     """(lang, w1, w2, w3, w4, n) of a part, with padding in place of what makes the first 2, 3 or 4 words less frequent than ``least``."""
-    names: dict[tuple[str, str], int] = {}
-    codes = np.concatenate([np.array([0, *(names.setdefault(x, len(names) + 1) for x in zip(w.langs, w.words, strict=True))], dtype=np.int64)[w.codes] for w in found], axis=1)
+    keys = pa.chunked_array([w.keys for w in found]).combine_chunks().dictionary_encode()
+    known = keys.dictionary
+    place = keys.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    starts = np.cumsum([0, *(len(w.keys) for w in found)])
+    codes = np.concatenate([np.r_[np.int64(0), place[a : a + len(w.keys)]][w.codes] for a, w in zip(starts, found, strict=False)], axis=1)
     n, dealt = (np.concatenate([getattr(w, c) for w in found]) for c in ("n", "dealt"))
-    size = np.int64(len(names) + 1)
+    size = np.int64(len(known) + 1)
     prefix = codes[0]
     for k in range(1, ORDER):
         _, prefix = np.unique(prefix * size + codes[k], return_inverse=True)
@@ -200,9 +218,9 @@ def shortened(found: list[Windows], least: int) -> pa.RecordBatch:
     _, at, where = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_inverse=True)
     total = np.zeros(len(at), dtype=np.int64)
     np.add.at(total, where, n)
-    words = pa.array(["", *(w for _, w in names)], pa.string())
-    langs = pa.array(["", *(lang for lang, _ in names)], pa.string())
-    return pa.record_batch([langs.take(pa.array(codes[0, at])), *(words.take(pa.array(c[at])) for c in codes), pa.array(total)], ["lang", *WORDS, "n"])
+    parts = pc.split_pattern(known, "\t", max_splits=1)
+    words, langs = (pa.concat_arrays([pa.array([""], pa.large_string()), pc.list_element(parts, k)]) for k in (0, 1))
+    return pa.record_batch([langs.take(pa.array(codes[0, at])).cast(pa.string()), *(words.take(pa.array(c[at])).cast(pa.string()) for c in codes), pa.array(total)], ["lang", *WORDS, "n"])
 
 
 def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from demandspark.llm import phrases
 
@@ -54,14 +55,14 @@ def rows():
     joints = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", " ; ", "\x0b", "\r\n", "!?"]
     fixed = ["once upon a time", "New York city hall", "a a a a a a", "b a b a b"]
     say = lambda n: "".join(x for _ in range(n) for x in ((r.choice(fixed) if r.random() < 0.2 else r.choice(words)), r.choice(joints)))
-    out = [(i, say(r.randrange(1, 90)), r.choice(["en", "en", "de", None, "und"]), "x") for i in range(220)]
+    out = [(i, say(r.randrange(1, 90)), r.choice(["en", "en", "de", None, "und", "t\tab"]), "x") for i in range(220)]
     return out + [(None, None, "en", "x"), (1, "", None, "x"), (1, "same text here " * 40, "fr", "x"), (1, "same text here " * 40, "fr", "x"), (2, "w1" * 50_000, "de", "x"), (3, " ".join(["very long text of one piece"] * 4000), "es", "x"), (4, ".,;", "it", "x")]
 
 
 def test_equals_counting_all_ngrams(spark, rows):
     docs = spark.createDataFrame(rows, FORM).repartition(3)
     want = brute(rows)
-    assert {x[0] for x in want} == {"en", "de", "und", "fr", "es"} and any(len(x[2].split()) == 4 for x in want)
+    assert {x[0] for x in want} == {"en", "de", "und", "fr", "es", "t\tab"} and any(len(x[2].split()) == 4 for x in want)
     assert got(phrases.collocations(docs)) == want
     assert got(phrases.collocations(docs, least=5, top=7, inside_percent=60)) == brute(rows, 5, 7, 60)
     assert got(phrases.collocations(docs, least=300)) == brute(rows, 300)
@@ -81,10 +82,12 @@ def test_counts_hold_whatever_is_cut_or_dealt_out(spark, rows, monkeypatch):
 
 def test_packed_windows_come_back_as_they_were():
     r = np.random.default_rng(1)
-    for m in (0, 1, 500):
-        w = phrases.Windows(["ab", "", "漢字", "x\x00y"], ["en", "u\tnd", "", "\n"], r.integers(0, 5, (4, m)), r.integers(1, 10**12, m), r.integers(0, 2, m))
+    for m, k in ((0, 4), (1, 4), (500, 4), (500, 1 << 17)):
+        codes = r.integers(0, k + 1, (4, m))
+        codes[0].sort()
+        w = phrases.Windows(pa.array([f"漢字{i}\ten" for i in range(k)], pa.large_string()), codes, r.integers(1, 10**12, m), r.integers(0, 2, m))
         got = phrases.Windows.unpack(w.pack())
-        assert (got.words, got.langs) == (w.words, w.langs) and (got.codes == w.codes).all() and (got.n == w.n).all() and (got.dealt == w.dealt).all()
+        assert got.keys.equals(w.keys) and (got.codes == w.codes).all() and (got.n == w.n).all() and (got.dealt == w.dealt).all()
 
 
 def test_scores_of_counts_beyond_64_bits(spark):
