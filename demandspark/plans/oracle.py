@@ -97,6 +97,39 @@ named as (select {keys}, 'lag_' || k as name, value from each join kept using (k
 select {keys}, name, round(value + 1e-9, 4) + 0.0 as value from named where value is not null"""
 
 
+_DEEP = f""", deep as (select sku || '_' || platform as series_id, date, units / 2 as units, sku, license || '/' || supplier as grp, license from a_rolled where date >= date '{CUTOFF}' and units > 0),
+""" + ",\n".join(f"deep_{x} as (select '{x}' as level, {x} as series_id, date, case when count(*) = 1 then max(units) else sum(units) * {t} end as units from deep group by {x}, date)" for x, t in (("sku", 1.1), ("grp", 1.2), ("license", 0.9))) + """,
+deep_some as (select 'bottom' as level, series_id, date, units from deep union all from deep_sku union all from deep_grp union all from deep_license),
+deep_dense as (select level, series_id, date, coalesce(units, 0) as units from (select distinct level, series_id from deep_some) cross join (select distinct date from deep) left join deep_some using (level, series_id, date)),
+deep_tree as (select distinct series_id, sku, grp, license from deep),
+deep_nodes as (select 'bottom' as level, series_id, 1.0::double as size from deep_tree union all select 'sku', sku, count(*) from deep_tree group by sku union all select 'grp', grp, count(*) from deep_tree group by grp union all select 'license', license, count(*) from deep_tree group by license)"""
+
+
+def _two_passes(spread: str) -> str:
+    """Least squares over the three levels, by one aggregation a level upwards and one join a level downwards; ``spread`` gives (level, series_id, v)."""
+    out, keys, last = f"""{_DEEP}, spread as ({spread}),
+up0 as (select t.*, date, units, units as m, v as r from deep_dense d join deep_tree t using (series_id) join spread s on s.level = 'bottom' and s.series_id = d.series_id where d.level = 'bottom')""", ["sku", "grp", "license"], "up0"
+    for i, x in enumerate(keys, 1):
+        own = ", ".join(keys[i - 1 :])
+        out += f""",
+sum{i} as (select {own}, date, sum(m) as bm, sum(r) as br from {last} group by {own}, date),
+gain{i} as (select a.*, case when d.units is null then 0 else coalesce(br / nullif(br + v, 0), 0) end as k, coalesce(d.units, 0) as f from sum{i} a left join deep_dense d on d.level = '{x}' and d.series_id = a.{x} and d.date = a.date left join spread s on s.level = '{x}' and s.series_id = a.{x}),
+up{i} as (select {own}, date, bm, br, bm + k * (f - bm) as m, br * (1 - k) as r from gain{i})"""
+        last = f"up{i}"
+    out += ", down3 as (select *, m as s from up3)"
+    for i in (2, 1, 0):
+        on = ", ".join([*keys[i:], "date"])
+        out += f", down{i} as (select u.*, u.m + u.r * coalesce((p.s - p.bm) / nullif(p.br, 0), 0) as s from up{i} u join down{i + 1} p using ({on}))"
+    return out + "\nselect series_id, date, round(units + 1e-9, 4) as units, round(s + 1e-9, 4) + 0.0 as reconciled from down0"
+
+
+_SPREAD = f"""with months as (select sku || '_' || platform as series_id, date, units, sku, license || '/' || supplier as grp, license from a_rolled where date < date '{CUTOFF}'),
+  known as (select level, series_id, var_pop(units) as v from (select level, series_id, date, sum(units) as units from (
+    select 'bottom' as level, series_id, date, units from months union all select 'sku', sku, date, units from months union all select 'grp', grp, date, units from months union all select 'license', license, date, units from months) group by all) group by all),
+  usual as (select level, avg(v) as u from known group by level)
+  select n.level, n.series_id, coalesce(v, u, 1.0) as v from deep_nodes n left join known using (level, series_id) left join usual on usual.level = n.level"""
+
+
 def _cased(column: str, pairs) -> str:
     return " ".join(f"when {column} = '{a}' then '{b}'" for a, b in pairs)
 
@@ -195,6 +228,9 @@ def statements() -> dict[str, str]:
         "bottom_up_totals": "select e.level, parent_id as series_id, date, sum(round_even(units, 0)) as units from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",
         "reconciled_unconstrained": f"select series_id, date, {r4('units', 'reconciled')} from rec",
         "reconciled_conditions": "select license, date, count(*) as n_series, true as holds from dense join tree using (series_id) where level = 'bottom' group by all",
+        "reconciled_three_levels": _two_passes("select level, series_id, size as v from deep_nodes"),
+        "reconciled_by_variance": _two_passes(_SPREAD),
+        "reconciled_three_levels_conditions": _DEEP + " select license, date, count(*) as n_series, true as holds from deep_dense join deep_tree using (series_id) where level = 'bottom' group by all",
         "poisson_series_totals": "select sku_platform, round(sum(units) + 1e-9, 3) as units, count(*) as n from priced where price is not null group by sku_platform",
         "poisson_slope_scores": "select unnest(['price', 'platform_monthly_sales']) as covariate, count(*) as n, true as holds from priced where price is not null",
         "reconciled_bottom_up": "select parent_id as series_id, strftime(date, '%Y-%m-%d') as date, sum(round_even(units, 0)) as base, sum(round_even(units, 0)) as reconciled, e.level from fedges e join dense d on d.level = 'bottom' and d.series_id = child_id group by all",

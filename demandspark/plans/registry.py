@@ -383,6 +383,57 @@ def reconciled_bottom_up(spark, d):
     return reconcile.reconcile(_forecast(spark, d), method="bottom_up")
 
 
+DEEP = ["sku", "grp", "license"]
+
+
+def _deep(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stand-in forecasts of series beneath skus, groups of license and supplier, and licenses, in every month; the tree; the history."""
+    rows = _rolled(spark, d).select(S.series_key(F.col("sku"), F.col("platform")).alias("series_id"), "date", "units", "sku", F.concat("license", F.lit("/"), "supplier").alias("grp"), "license")
+    rows = keep(rows, "deep")
+    bottom = rows.where(F.col("date") >= F.lit(oracle.CUTOFF)).where("units > 0").withColumn("units", F.col("units") / 2)
+    out = bottom.select(F.lit("bottom").alias("level"), "series_id", "date", "units", F.lit(1).cast("long").alias("count"), *DEEP)
+    for level, times in zip(DEEP, (1.1, 1.2, 0.9), strict=True):
+        up = bottom.groupBy(F.col(level).alias("series_id"), "date").agg((F.sum("units") * times).alias("units"), F.count(F.lit(1)).alias("count")).withColumn("level", F.lit(level))
+        out = out.unionByName(up, allowMissingColumns=True)
+    fcst = keep(hierarchy.drop_single_child(out), "forecast")
+    dense = keep(reconcile.densify(reconcile.restore(fcst, DEEP)), "dense")
+    return dense, reconcile.path_of(fcst.where("level = 'bottom'"), DEEP), rows.where(F.col("date") < F.lit(oracle.CUTOFF))
+
+
+def reconciled_three_levels(spark, d):
+    dense, tree, _ = _deep(spark, d)
+    return rounded(reconcile.least_squares(dense, tree, DEEP).select("series_id", "date", "units", "reconciled"))
+
+
+def _deep_variances(history: DataFrame) -> DataFrame:
+    """Stand-in for error variances: those of the nodes' units in the months before the cutoff."""
+    months = history.select(F.lit("bottom").alias("level"), "series_id", "date", "units")
+    for level in DEEP:
+        months = months.unionByName(history.select(F.lit(level).alias("level"), F.col(level).alias("series_id"), "date", "units"))
+    return months.groupBy("level", "series_id", "date").agg(F.sum("units").alias("units")).groupBy("level", "series_id").agg(F.var_pop("units").alias("variance"))
+
+
+def reconciled_by_variance(spark, d):
+    dense, tree, history = _deep(spark, d)
+    return rounded(reconcile.least_squares(dense, tree, DEEP, _deep_variances(history)).select("series_id", "date", "units", "reconciled"))
+
+
+def reconciled_three_levels_conditions(spark, d):
+    """Of the forecasts of three levels without negatives: whether every license and month meets the optimality conditions."""
+    dense, tree, _ = _deep(spark, d)
+    shifted = keep(dense.withColumn("units", F.when(F.col("level") == "bottom", F.col("units") - 3).otherwise(F.col("units") / 3)), "dense")
+    own = keep(reconcile.least_squares(shifted, tree, DEEP, nonnegative=True), "reconciled")
+    slope = F.col("reconciled") - F.col("units")
+    rows = own
+    sizes = reconcile.structural(tree, DEEP)
+    for level in DEEP:
+        total = own.groupBy(level, "date").agg(F.sum("reconciled").alias(f"s_{level}"))
+        rows = rows.join(total, [level, "date"]).join(reconcile.opinions(shifted, sizes, level).select(level, "date", F.col("f").alias(f"f_{level}"), F.col("v").alias(f"v_{level}")), [level, "date"], "left")
+        slope = slope + F.coalesce((F.col(f"s_{level}") - F.col(f"f_{level}")) / F.col(f"v_{level}"), F.lit(0.0))
+    ok = (F.col("reconciled") >= 0) & F.when(F.col("reconciled") > 0, F.abs(slope) < 1e-6).otherwise(slope > -1e-6)
+    return rows.groupBy("license", "date").agg(F.count(F.lit(1)).alias("n_series"), F.every(ok).alias("holds"))
+
+
 def monthly_units_wide(spark, d):
     return rounded(reshape.widen(_rolled(spark, d), ["license"], F.month("date"), range(1, 13), "units", "m"))
 
@@ -466,7 +517,7 @@ QUERIES = [
     cluster_split, weighted_cost, stockout_price, platform_months, stockout_seeds, stockout_labels, stockout_counts, fit_report, in_stock_rows, hierarchy_edges, rollup_cluster, rollup_by_edges,
     mean_cost_by_parent, single_valued_attributes, stacked_levels, without_single_children, one_level, month_runs, time_features, valid_lags, lag_features, lag_correlations, chosen_lag_features,
     interest_index, interest_index_months_only, title_companies, title_attributes, enriched_series, train_rows, inference_rows, inference_rows_default, finite_ratios, fixed_prices, forecast_features, child_counts, single_children,
-    restored_forecast, densified_forecast, bottom_up_totals, reconciled_unconstrained, reconciled_forecast, reconciled_bottom_up, monthly_units_wide, monthly_units_long, key_suffix,
+    restored_forecast, densified_forecast, bottom_up_totals, reconciled_unconstrained, reconciled_forecast, reconciled_bottom_up, reconciled_three_levels, reconciled_by_variance, reconciled_three_levels_conditions, monthly_units_wide, monthly_units_long, key_suffix,
     poisson_fit, poisson_series_totals, poisson_slope_scores, reconciled_conditions, product_clusters, preprocess_job, feature_job, feature_job_lags, modelling_job,
 ]
 

@@ -73,6 +73,7 @@ class Params:
     tree_depth: int = 8
     tree_step: float = 0.05
     tree_rounds: int = 40
+    reconciliation: str = "wls_struct"
     excluded_features: tuple[str, ...] = ("date", "description", "units", "sales", "year", "sku_platform", "series_id", "cont_sales_id", "level")
     categorical: tuple[str, ...] = ("sku", "sku_platform", "supplier", "license", "platform", "product", "cluster", "level", "series_id", "title_tatus", "title_type", "production_company")
     license_rules: tuple[tuple[str, str, str], ...] = LICENSE_RULES

@@ -4,8 +4,10 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from demandspark.functions import joins
 from demandspark.functions import scalars as S
 from demandspark.operators import cluster, enrich, features, hierarchy, panel, reconcile, rules, stockout
+from demandspark.sources.scratch import keep
 from pyspark.sql import functions as F
 
 LINES = "sku string, description string, supplier string, license string, platform string, month_name string, year int, units double, sales double, cost double"
@@ -170,6 +172,13 @@ def test_hierarchy_and_clusters(spark):
     out = hierarchy.stack(df, ("license",), categories=("supplier",))
     up = out.where("level = 'license'").collect()
     assert len(up) == 1 and (up[0].units, up[0].sales, up[0]["count"], up[0].cost, up[0].supplier) == (3.0, 2.0, 2, 5.0, None)
+    deep = hierarchy.stack(df.withColumn("product", F.lit("p")), ("cluster", "license"), categories=("supplier", "license", "product"))
+    rows = {(r.level, r.series_id): r for r in deep.collect()}
+    assert deep.columns[:8] == df.columns and set(rows) == {("bottom", "a_X"), ("bottom", "b_X"), ("bottom", "c_X"), ("cluster", "0"), ("license", "L")}
+    assert (rows["cluster", "0"].license, rows["cluster", "0"].cluster, rows["cluster", "0"].supplier, rows["license", "L"].cluster, rows["license", "L"]["product"]) == ("L", 0, None, None, "p")
+    kept = keep(df, "levels")
+    plan = hierarchy.stack(kept, ("cluster", "license"), categories=("supplier",), kept={"cluster": [], "license": []})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange") == 2 and "Join" not in plan
     split = cluster.split_clusters(spark.createDataFrame([(1, "L", "p"), (0, "L", "p"), (0, "K", "p"), (0, None, "p")], "raw_cluster int, license string, product string"))
     assert sorted((r.raw_cluster, r.license or "", r.cluster) for r in split.collect()) == [(0, "", None), (0, "K", 0), (0, "L", 1), (1, "L", 2)]
 
@@ -180,3 +189,118 @@ def test_interest(spark):
     assert got["L"].moviemeter_average == 6.5 and got["L"].moviemeter_trend_3 == (11 + 12 + 6.5) / 6 and got["Z"].moviemeter_trend_3 is None
     with pytest.raises(ValueError):
         enrich.interest(df.select("license", "m1", "m2"))
+
+
+def dense_solution(paths, base, upper, variance):
+    """Least squares over all nodes by one dense system; a missing forecast has no row."""
+    rows, y, w = [np.eye(len(paths))[i] for i in range(len(paths))], list(base), [1 / variance["bottom", s] for s, *_ in paths]
+    for (level, node), f in upper.items():
+        at = [k for k, n in enumerate(level.split("|")) if n][0]
+        rows.append(np.array([float(p[at] == node) for p in paths]))
+        y.append(f)
+        w.append(1 / variance[level, node])
+    s, w = np.array(rows), np.diag(w)
+    return np.linalg.solve(s.T @ w @ s, s.T @ w @ np.array(y)), s, w, np.array(y)
+
+
+def deep_forecast(spark, r, depth, missing=0):
+    """A random tree of ``depth`` levels above the bottom, with forecasts of two months; (rows, paths, base, upper) by month."""
+    parents = [f"p{k}" for k in range(1, depth + 1)]
+    sizes = [24, 9, 4, 2][:depth]
+    above = [r.integers(0, sizes[k + 1], sizes[k]) for k in range(depth - 1)]
+    paths = []
+    for i in range(60):
+        node = [int(r.integers(0, sizes[0]))]
+        for a in above:
+            node.append(int(a[node[-1]]))
+        paths.append((f"s{i}", *(f"{p}-{n}" for p, n in zip(parents, node, strict=True))))
+    days = [dt.date(2021, 1, 1), dt.date(2021, 2, 1)]
+    rows, base, upper = [], {}, {}
+    for d in days:
+        base[d] = r.normal(3, 6, 60)
+        rows += [("bottom", p[0], d, float(x), 1, *p[1:]) for p, x in zip(paths, base[d], strict=True)]
+        upper[d] = {}
+        for k, p in enumerate(parents, 1):
+            for node in sorted({x[k] for x in paths})[missing:]:
+                f = float(r.normal(20 * k, 25))
+                upper[d]["|" * k + p, node] = f
+                rows.append((p, node, d, f, 9, *[None] * depth))
+    form = "level string, series_id string, date date, units double, count long, " + ", ".join(f"{p} string" for p in parents)
+    return spark.createDataFrame(rows, form), parents, paths, base, upper
+
+
+@pytest.mark.parametrize("depth", [1, 3, 4])
+def test_any_depth_equals_a_dense_solution(spark, depth):
+    r = np.random.default_rng(depth)
+    f, parents, paths, base, upper = deep_forecast(spark, r, depth)
+    nodes = [("bottom", p[0]) for p in paths] + sorted({(lv, n) for u in upper.values() for lv, n in u})
+    own = {x: float(r.uniform(0.2, 5)) for x in nodes}
+    size = {x: float(sum(x[1] in p for p in paths)) for x in nodes}
+    tree = reconcile.path_of(f.where("level = 'bottom'"), parents)
+    table = spark.createDataFrame([(lv.strip("|"), n, v) for (lv, n), v in own.items()], "level string, series_id string, variance double")
+    for variance, given in ((size, None), (own, table)):
+        got = {(x.series_id, x.date): x.reconciled for x in reconcile.least_squares(f, tree, parents, given).collect()}
+        for d in base:
+            want = dense_solution(paths, base[d], upper[d], variance)[0]
+            assert np.allclose([got[p[0], d] for p in paths], want)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_no_negatives_at_any_depth(spark, depth):
+    """The optimality conditions of the dense problem: slope 0 above 0, and none that would gain by leaving 0."""
+    r = np.random.default_rng(10 + depth)
+    f, parents, paths, base, upper = deep_forecast(spark, r, depth)
+    nodes = [("bottom", p[0]) for p in paths] + sorted({(lv, n) for u in upper.values() for lv, n in u})
+    own = {x: float(r.uniform(0.2, 5)) for x in nodes}
+    table = spark.createDataFrame([(lv.strip("|"), n, v) for (lv, n), v in own.items()], "level string, series_id string, variance double")
+    tree = reconcile.path_of(f.where("level = 'bottom'"), parents)
+    got = {(x.series_id, x.date): x.reconciled for x in reconcile.least_squares(f, tree, parents, table, nonnegative=True).collect()}
+    assert any(v == 0 for v in got.values())
+    for d in base:
+        _, s, w, y = dense_solution(paths, base[d], upper[d], own)
+        b = np.array([got[p[0], d] for p in paths])
+        slope = s.T @ w @ (s @ b - y)
+        assert b.min() >= 0 and np.abs(slope[b > 0]).max(initial=0) < 1e-7 and slope[b == 0].min(initial=0) > -1e-7
+
+
+def test_nodes_of_variance_zero_without_forecasts_or_parents(spark):
+    """Series a, b under P and c under Q; a is certain, P is certain; Q has no forecast of its own."""
+    day = dt.date(2021, 1, 1)
+    rows = [("bottom", "a", day, 4.0, 1, "P"), ("bottom", "b", day, 3.0, 1, "P"), ("bottom", "c", day, -2.0, 1, "Q"), ("p", "P", day, 10.0, 2, None)]
+    f = spark.createDataFrame(rows, "level string, series_id string, date date, units double, count long, p string")
+    tree = reconcile.path_of(f.where("level = 'bottom'"), ["p"])
+    v = spark.createDataFrame([("bottom", "a", 0.0), ("bottom", "b", 2.0), ("p", "P", 0.0)], "level string, series_id string, variance double")
+    solve = lambda *a, **k: {x.series_id: x.reconciled for x in reconcile.least_squares(f, tree, ["p"], *a, **k).collect()}
+    assert solve(v) == {"a": 4.0, "b": 6.0, "c": -2.0}
+    assert solve(v, nonnegative=True) == {"a": 4.0, "b": 6.0, "c": 0.0}
+    both = spark.createDataFrame([("bottom", "a", 0.0), ("bottom", "b", 0.0), ("p", "P", 0.0)], "level string, series_id string, variance double")
+    assert solve(both) == {"a": 4.0, "b": 3.0, "c": -2.0}
+    low = f.withColumn("units", F.when(F.col("level") == "p", -1.0).otherwise(F.col("units")))
+    got = {x.series_id: x.reconciled for x in reconcile.least_squares(low, tree, ["p"], v, nonnegative=True).collect()}
+    assert got == {"a": 4.0, "b": 0.0, "c": 0.0}
+    for bad in ([("bottom", "a", day, 1.0, 1, "P"), ("bottom", "a", day, 1.0, 1, "Q")], [("bottom", "a", day, 1.0, 1, None)]):
+        with pytest.raises(ValueError, match="not a tree"):
+            reconcile.path_of(spark.createDataFrame(bad, f.schema), ["p"])
+    with pytest.raises(ValueError, match="unknown method"):
+        reconcile.reconcile(f, ["p"], "other")
+    with pytest.raises(ValueError, match="wls_var"):
+        reconcile.reconcile(f, ["p"], "wls_var")
+
+
+def test_look_ups_and_running_sums_of_hot_keys(spark):
+    r = np.random.default_rng(4)
+    keys = np.where(r.random(3000) < 0.5, 7, r.integers(0, 900, 3000))
+    rows = spark.createDataFrame([(int(k) if i % 97 else None, i) for i, k in enumerate(keys)], "k long, i long")
+    table = keep(spark.createDataFrame([(k, k * 10) for k in range(0, 900, 2)], "k long, x long"), "table")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = sorted(map(tuple, rows.join(table, "k", how).collect()), key=str)
+        for most in (10_000, 5):
+            assert sorted(map(tuple, joins.look_up(rows, table, ["k"], how, most).collect()), key=str) == want
+    plan = joins.look_up(rows, table, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    lines = spark.createDataFrame([(int(k % 3), float(x), i) for i, (k, x) in enumerate(zip(keys, r.random(3000), strict=True))], "g int, x double, i int")
+    total, want = {}, {}
+    for g, x, i in sorted(map(tuple, lines.collect()), key=lambda z: (z[0], z[1], z[2])):
+        total[g] = want[i] = total.get(g, 0.0) + x
+    got = {z.i: z.s for z in joins.running_sums(lines, ["g"], ["x", "i"], {"x": "s"}).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
