@@ -43,7 +43,7 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 21
+SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 22
 #: Bits of the bitmap of frequent words: 8 MB, whatever the table.
 BITS = 1 << 26
 #: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
@@ -138,7 +138,7 @@ class Windows:
         codes[0, 1:] -= codes[0, :-1].copy()  # small differences take little room
         head = np.array([len(self.keys), len(self.n), len(data), codes.itemsize], dtype=np.int64)
         raw = b"".join(x.tobytes() for x in (head, np.diff(offsets).astype(np.uint32), data, codes, self.n.astype(np.int64), self.dealt.astype(np.uint8)))
-        return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+        return np.int64(len(raw)).tobytes() + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
     @staticmethod
     def unpack(packed: bytes) -> Windows:
@@ -153,7 +153,7 @@ class Windows:
 
         offsets = np.r_[np.int64(0), np.cumsum(take(np.uint32, k), dtype=np.int64)]
         keys = pa.LargeStringArray.from_buffers(k, pa.py_buffer(offsets), pa.py_buffer(take(np.uint8, size)))
-        codes = take(np.uint16 if width == 2 else np.uint32, ORDER * m).reshape(ORDER, m).astype(np.int64)
+        codes = take(np.uint16 if width == 2 else np.uint32, ORDER * m).reshape(ORDER, m).astype(np.int32)
         codes[0] = np.cumsum(codes[0])
         return Windows(keys, codes, take(np.int64, m), take(np.uint8, m))
 
@@ -198,23 +198,26 @@ def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts:
         yield int(part[a]), Windows(keys.take(pa.array(used - 1)), place[own], n[a:b], dealt[a:b])
 
 
-def shortened(found: list[Windows], least: int) -> pa.RecordBatch:
+def shortened(packed: list[bytes], least: int) -> pa.RecordBatch:
     """(lang, w1, w2, w3, w4, n) of a part, with padding in place of what makes the first 2, 3 or 4 words less frequent than ``least``."""
-    keys = pa.chunked_array([w.keys for w in found]).combine_chunks().dictionary_encode()
-    known = keys.dictionary
-    place = keys.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    starts = np.cumsum([0, *(len(w.keys) for w in found)])
-    codes = np.concatenate([np.r_[np.int64(0), place[a : a + len(w.keys)]][w.codes] for a, w in zip(starts, found, strict=False)], axis=1)
+    found = [Windows.unpack(x) for x in packed]
     n, dealt = (np.concatenate([getattr(w, c) for w in found]) for c in ("n", "dealt"))
+    keys = pa.chunked_array([w.keys for w in found]).combine_chunks().dictionary_encode()
+    known, place = keys.dictionary, keys.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
+    codes, key, at = np.empty((ORDER, len(n)), dtype=np.int32), 0, 0
+    for w in found:
+        codes[:, at : at + len(w.n)] = np.r_[np.int32(0), place[key : key + len(w.keys)]][w.codes]
+        key, at = key + len(w.keys), at + len(w.n)
+    del found, keys, place
     size = np.int64(len(known) + 1)
     prefix = codes[0]
     for k in range(1, ORDER):
-        _, prefix = np.unique(prefix * size + codes[k], return_inverse=True)
+        _, prefix = np.unique(prefix.astype(np.int64) * size + codes[k], return_inverse=True)
         enough = np.bincount(prefix, weights=n)[prefix] >= least  # sums below 2 ** 53
         keeps = enough | (dealt > 0) if k == 1 else enough
         codes[k:, ~keeps] = 0
-    first, of = np.unique(codes[0] * size + codes[1], return_inverse=True)
-    rest, last = np.unique(codes[2] * size + codes[3], return_inverse=True)
+    first, of = np.unique(codes[0].astype(np.int64) * size + codes[1], return_inverse=True)
+    rest, last = np.unique(codes[2].astype(np.int64) * size + codes[3], return_inverse=True)
     _, at, where = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_inverse=True)
     total = np.zeros(len(at), dtype=np.int64)
     np.add.at(total, where, n)
@@ -227,7 +230,7 @@ def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFr
     """(lang, w1, w2, w3, w4, n): padded longest windows, shortened to what is frequent and added up within parts. Padding is an empty word."""
     spark = docs.sparkSession
     bits, hot, total = frequent(docs, least)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_words))
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-total // part_words))
     known = spark.sparkContext.broadcast((bits, hot))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +246,7 @@ def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFr
                     yield shortened(held, least)
                     held = []
                 now = part
-                held.append(Windows.unpack(packed))
+                held.append(packed)
         if held:
             yield shortened(held, least)
 
