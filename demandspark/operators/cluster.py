@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.ml import Pipeline
@@ -79,12 +80,15 @@ def split_clusters(df: DataFrame, column: str = "raw_cluster", by: Iterable[str]
 
 
 def categorize(panel: DataFrame, clusters: int = 200, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25), labels=None, synonyms=None, seed: int = 0) -> DataFrame:
-    """The panel with product and cluster of every sku."""
+    """The panel with product and cluster of every sku; warns if there are fewer skus than clusters, of which each then is one."""
     dimension = one_row_per_sku(sku_dimension(panel))
     labelled = rules.with_product(dimension, labels, synonyms) if labels else rules.with_product(dimension)
     v = vectors(labelled, cell, neighbours, weights).persist()
     try:
-        model = KMeans(k=max(2, min(clusters, v.count())), seed=seed, featuresCol="features", predictionCol="raw_cluster").fit(v)
+        found = v.count()
+        if found < clusters:
+            warnings.warn(f"{found} products make no {clusters} clusters", RuntimeWarning, stacklevel=2)
+        model = KMeans(k=max(2, min(clusters, found)), seed=seed, featuresCol="features", predictionCol="raw_cluster").fit(v)
     finally:
         v.unpersist()
     found = split_clusters(model.transform(v).select("sku", "license", "product", "raw_cluster")).select("sku", "product", "cluster")

@@ -91,16 +91,24 @@ def fill(panel: DataFrame) -> DataFrame:
     return filled.withColumn("cost", F.coalesce("cost", mean))
 
 
+def null_numbers(columns: Iterable[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+
+
 def nulls(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row: how many nulls each column has."""
-    return df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
+    return df.agg(*null_numbers(columns))
 
 
-def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """The same rows, or ValueError if a required column has nulls. Runs one small job."""
-    found = nulls(df, columns).first().asDict()
+def without_nulls(found: dict[str, int]) -> None:
+    """ValueError if a required column has nulls."""
     if bad := {k: v for k, v in found.items() if v}:
         raise ValueError(f"nulls in required columns: {bad}")
+
+
+def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The same rows, or ValueError if a required column has nulls. Runs one small job; jobs observe the nulls on a write instead."""
+    without_nulls(nulls(df, columns).first().asDict())
     return df
 
 

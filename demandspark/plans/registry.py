@@ -277,6 +277,12 @@ def valid_lags(spark, d):
     return features.valid_lags(_timed(spark, d), 6)
 
 
+def valid_lags_of_gaps(spark, d):
+    """Runs in which some months have no units."""
+    rows = _timed(spark, d).withColumn("units", F.when(F.col("units") % 3 != 0, F.col("units")))
+    return features.valid_lags(rows, 6)
+
+
 def lag_features(spark, d):
     return rounded(_lagged(spark, d).select("series_id", "date", "lag_1", "lag_2", "lag_3", "sales_roll_3", "lag_1_over_lag_2", "lag_1_over_lag_3"))
 
@@ -487,7 +493,24 @@ def reconciled_conditions(spark, d):
 
 
 def product_clusters(spark, d):
-    return cluster.categorize(_filled(spark, d, DENSE), DENSE.clusters, labels=DENSE.labels, synonyms=DENSE.synonyms).select("sku", "product", "cluster").distinct()
+    return cluster.categorize(_filled(spark, d), PART.clusters, labels=PART.labels, synonyms=PART.synonyms).select("sku", "product", "cluster").distinct()
+
+
+def product_cluster_rules(spark, d):
+    """Of the products' clusters (1,905 skus at sf0.01): ids dense from 0, one license and product in each, no sku without one."""
+    got = cluster.categorize(_filled(spark, d), PART.clusters, labels=PART.labels, synonyms=PART.synonyms).select("sku", "license", "product", "cluster").distinct()
+    per = keep(got, "clusters").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("license", "product").alias("kinds"))
+    dense = (F.count(F.lit(1)) == F.max("cluster") + 1) & (F.min("cluster") == 0)
+    return per.agg(F.sum("n").alias("n_skus"), dense.alias("dense"), F.every(F.col("kinds") == 1).alias("one_license_and_product"), F.every(F.col("cluster").isNotNull()).alias("all_clustered"))
+
+
+def preprocess_job_rules(spark, d):
+    """Of the job's panel: every level has the bottom's total, its keys are there, and a series has one row a month."""
+    rows = keep(preprocess_job(spark, d), "preprocessed")
+    total = rows.where("level = 'bottom'").agg(F.sum("units").alias("_all"))
+    per = rows.groupBy("level", "series_id", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("units").alias("units"))
+    by = per.groupBy("level").agg(F.sum("units").alias("units"), F.every(F.col("series_id").isNotNull() & F.col("date").isNotNull()).alias("whole_keys"), (F.max("n") == 1).alias("one_row_a_month"))
+    return by.join(F.broadcast(total)).select("level", (F.abs(F.col("units") - F.col("_all")) < 1e-6).alias("same_total"), "whole_keys", "one_row_a_month")  # one row
 
 
 def preprocess_job(spark, d):
@@ -511,14 +534,23 @@ def modelling_job(spark, d):
     return jobs.reconcile_forecasts(jobs.forecast(table, jobs.train(table, DENSE), DENSE), DENSE)
 
 
+def modelling_job_rules(spark, d):
+    """Of the job's forecasts: the levels add up in each month, none is negative, and none is of a month before the cutoff."""
+    rows = keep(modelling_job(spark, d), "forecasts")
+    total = rows.groupBy("level", "date").agg(F.sum("reconciled").alias("r"), F.sum("base").alias("b"), F.min("reconciled").alias("low"))
+    bottom = total.where("level = 'bottom'").select("date", F.col("r").alias("_r"), F.col("b").alias("_b"))
+    by = total.join(bottom, "date").groupBy("level")
+    return by.agg(F.every((F.col("r") == F.col("_r")) & (F.col("b") == F.col("_b"))).alias("adds_up"), F.every(F.col("low") >= 0).alias("not_negative"), F.every(F.col("date") >= oracle.CUTOFF).alias("after_cutoff"))
+
+
 QUERIES = [
     level_rollup_license, sales_lines, platform_filter, monthly_rollup, product_ranges, product_platform_pairs, calendar_spine, calendar_spine_by_key, panel_completed, panel_filled,
     null_counts, license_rules, product_labels, ascii_fold, sku_dimension, repeated_skus, significant_above, significant_exact, significant_exact_no_hit, pareto_report, pareto_report_no_hit, price_and_date_extent, running_unit_share, price_range, price_vectors,
     cluster_split, weighted_cost, stockout_price, platform_months, stockout_seeds, stockout_labels, stockout_counts, fit_report, in_stock_rows, hierarchy_edges, rollup_cluster, rollup_by_edges,
-    mean_cost_by_parent, single_valued_attributes, stacked_levels, without_single_children, one_level, month_runs, time_features, valid_lags, lag_features, lag_correlations, chosen_lag_features,
+    mean_cost_by_parent, single_valued_attributes, stacked_levels, without_single_children, one_level, month_runs, time_features, valid_lags, valid_lags_of_gaps, lag_features, lag_correlations, chosen_lag_features,
     interest_index, interest_index_months_only, title_companies, title_attributes, enriched_series, train_rows, inference_rows, inference_rows_default, finite_ratios, fixed_prices, forecast_features, child_counts, single_children,
     restored_forecast, densified_forecast, bottom_up_totals, reconciled_unconstrained, reconciled_forecast, reconciled_bottom_up, reconciled_three_levels, reconciled_by_variance, reconciled_three_levels_conditions, monthly_units_wide, monthly_units_long, key_suffix,
-    poisson_fit, poisson_series_totals, poisson_slope_scores, reconciled_conditions, product_clusters, preprocess_job, feature_job, feature_job_lags, modelling_job,
+    poisson_fit, poisson_series_totals, poisson_slope_scores, reconciled_conditions, product_clusters, product_cluster_rules, preprocess_job, preprocess_job_rules, feature_job, feature_job_lags, modelling_job, modelling_job_rules,
 ]
 
 

@@ -12,6 +12,12 @@ SALES = T.StructType([
     T.StructField("year", T.IntegerType()), T.StructField("units", T.DoubleType()), T.StructField("sales", T.DoubleType()), T.StructField("cost", T.DoubleType()),
 ])
 
+# Headings of exported sale sheets, and our names for them.
+HEADINGS = {
+    "Marca": "supplier", "Plataforma": "platform", "sku": "sku", "Descripción": "description", "Categoría": "license",
+    "Mes": "month_name", "Año": "year", "piezas": "units", "Precio venta": "sales", "Costo Alpha": "cost",
+}
+
 PRODUCT_KEYS = ["sku", "description", "supplier", "license"]
 PANEL_KEYS = [*PRODUCT_KEYS, "platform"]
 

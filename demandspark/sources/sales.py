@@ -2,17 +2,60 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandspark.schema import MONTHS, SALES
-
-
-def read_sales(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    """Sale lines by their declared schema; workbooks are exported to one of these forms first."""
-    reader = spark.read.schema(SALES)
-    return reader.option("header", True).csv(path) if form == "csv" else reader.format(form).load(path)
+from demandspark.schema import HEADINGS, MONTHS, SALES
+
+
+def named(raw: DataFrame, headings: dict[str, str] | None = None) -> DataFrame:
+    """The sale columns of a table, found by our name or by heading, whatever their order and case; other columns are left out.
+
+    ValueError if one is missing, or if two columns claim one name.
+    """
+    ours = {x.lower(): y for x, y in (HEADINGS if headings is None else headings).items()} | {f.name.lower(): f.name for f in SALES}
+    found: dict[str, list[str]] = {}
+    for c in raw.columns:
+        if (name := ours.get(c.strip().lower())) is not None:
+            found.setdefault(name, []).append(c)
+    if missing := [f.name for f in SALES if f.name not in found]:
+        raise ValueError(f"columns missing in the sale lines: {missing}")
+    if several := {k: v for k, v in found.items() if len(v) > 1}:
+        raise ValueError(f"several columns for one of the sale lines: {several}")
+    return raw.select(*(F.col(f"`{found[f.name][0]}`").alias(f.name) for f in SALES))
+
+
+def read_sales_checked(spark: SparkSession, path: str, form: str = "parquet", headings: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sale lines, rejected lines as text with ``bad``, the names of columns whose text is no number).
+
+    Columns are bound by heading. CSV files are read as text first; files of one folder must have the same headings in the
+    same order, which is checked. Empty cells are nulls, not bad numbers. NaN is null.
+    """
+    if form == "csv":
+        names = spark.read.option("header", True).csv(path).columns
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    else:
+        raw = spark.read.format(form).load(path)
+    raw = named(raw, headings)
+    typed = {f.name: raw[f.name].try_cast(f.dataType) for f in SALES}
+    numbers = [f.name for f in SALES if not isinstance(f.dataType, T.StringType)]
+    bad = F.array_compact(F.array(*(F.when(raw[c].isNotNull() & typed[c].isNull(), F.lit(c)) for c in numbers)))
+    marked = raw.withColumn("bad", bad)
+    real = {f.name: F.nanvl(typed[f.name], F.lit(None).cast("double")) if isinstance(f.dataType, T.DoubleType) else typed[f.name] for f in SALES}
+    good = marked.where(F.size("bad") == 0).select(*(real[f.name].alias(f.name) for f in SALES))
+    return good, marked.where(F.size("bad") > 0).select(*(F.col(f.name).cast("string").alias(f.name) for f in SALES), "bad")
+
+
+def read_sales(spark: SparkSession, path: str, form: str = "parquet", headings: dict[str, str] | None = None) -> DataFrame:
+    """Sale lines in the declared schema, bound by heading; lines with bad numbers are left out (``read_sales_checked`` has them)."""
+    return read_sales_checked(spark, path, form, headings)[0]
 
 
 def read_interest(spark: SparkSession, path: str) -> DataFrame:
@@ -28,13 +71,42 @@ def read_titles(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
     return got.withColumns({c: F.col(c).try_cast("double") for c in ("budget", "news_articles", "opening_weekend") if c in got.columns})
 
 
-def write_stage(df: DataFrame, path: str) -> None:
-    """Parquet by level, in order of series and month within a file: later jobs read only the levels and series that they need."""
-    df.sortWithinPartitions("level", "series_id", "date").write.mode("overwrite").partitionBy("level").parquet(path)
+STAGE_KEYS, LAYOUT = ["level", "series_id"], "_layout"
+
+
+def write_stage(df: DataFrame, path: str, buckets: int | None = None) -> None:
+    """Parquet in buckets by level and series, in order of month within a file, with its schema beside it.
+
+    Jobs that read it find each series whole in a bucket, so their windows by series need no exchange. The path is overwritten.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{uuid.uuid4().hex}"
+    # one file a bucket, as the exchange deals rows out as the buckets do
+    dealt = df.repartition(n, *STAGE_KEYS)
+    dealt.write.mode("overwrite").bucketBy(n, *STAGE_KEYS).sortBy(*STAGE_KEYS, "date").option("path", path).saveAsTable(name)
+    spark.createDataFrame([(name, n, df.schema.json())], "name string, buckets int, schema string").coalesce(1).write.mode("overwrite").json(f"{path}/{LAYOUT}")
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stage table with its buckets, in this or any later session; ValueError if not all files have the schema that it was written with.
+
+    Spark reads the footers of all files for that; there are as many files as buckets.
+    """
+    row = spark.read.schema("name string, buckets int, schema string").json(f"{path}/{LAYOUT}").first()
+    schema = T.StructType.fromJson(json.loads(row.schema))
+    kinds = lambda s: {f.name: f.dataType.simpleString() for f in s}
+    try:
+        there = kinds(spark.read.option("mergeSchema", True).parquet(path).schema)
+    except (PySparkException, Py4JJavaError) as e:  # files of types that do not go together
+        raise ValueError(f"{path} has another schema than it was written with: {e}") from e
+    if there != kinds(schema):
+        raise ValueError(f"{path} has another schema than it was written with: {sorted(set(there.items()) ^ set(kinds(schema).items()))}")
+    if not spark.catalog.tableExists(row.name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        keys = ", ".join(STAGE_KEYS)
+        spark.sql(f"CREATE TABLE {row.name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}, date) INTO {row.buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(row.name)
 
 
 def write_forecast(df: DataFrame, path: str) -> None:

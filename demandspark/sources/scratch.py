@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Tables kept within the scopes that are open, newest scope last.
 _SCOPES: list[list[DataFrame]] = []
@@ -39,6 +39,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return got
 
 
+def keep_observed(df: DataFrame, name: str, metrics: dict[str, list[Column]], without: Iterable[str] = ()) -> tuple[DataFrame, dict[str, dict]]:
+    """As ``keep``, and for every entry of ``metrics`` its aggregates over the rows, observed on the write; ``without`` are columns not to write."""
+    seen = {k: Observation(k) for k in metrics}
+    rows = df
+    for k, columns in metrics.items():
+        rows = rows.observe(seen[k], *columns)
+    kept = keep(rows.drop(*without), name)
+    # a plan that is known to be empty is not run, so nothing is seen
+    return kept, {k: o.get or df.agg(*metrics[k]).first().asDict() for k, o in seen.items()}
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables that ``keep`` gave and that no later step reads any more."""
     for df in tables:
@@ -50,7 +61,7 @@ def drop(*tables: DataFrame) -> None:
 @contextmanager
 def scope() -> Iterator[None]:
     """Deletes at its end the tables kept within it, for a job whose result is written by then."""
-    _SCOPES.append({})
+    _SCOPES.append([])
     try:
         yield
     finally:

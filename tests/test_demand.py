@@ -76,6 +76,13 @@ def test_runs_and_lags(spark):
     assert [r.cont_sales_id for r in run.orderBy("date").collect()] == [1, 1, 1, 2]
     counted = features.valid_lags(run, 3).first()
     assert (counted.lag_1, counted.lag_2, counted.lag_3, counted.n_rows) == (2, 1, 0, 4)
+    holes = spark.createDataFrame([("bottom", "s", dt.date(2020, m, 1), u) for m, u in ((1, 1.0), (2, None), (3, 2.0), (5, None))], df.schema)
+    assert tuple(features.valid_lags(features.runs(holes), 3).first()) == (1, 1, 0, 4)
+    none = features.lag_features(run.limit(0), 3)
+    assert none.columns == [*run.columns, "sales_roll_3"] and none.count() == 0
+    picked = features.lag_features(run, 3, 0.25)
+    assert picked.columns == [*run.columns, "lag_1", "lag_2", "sales_roll_3", "lag_1_over_lag_2"] or picked.columns == [*run.columns, "lag_1", "lag_2", "sales_roll_3"]
+    assert [r.lag_2 for r in picked.orderBy("date").collect()] == [None, None, 0.0, None]
     got = features.lag_features(run, lags=[1], trends=[]).orderBy("date").collect()
     assert [r.lag_1 for r in got] == [None, 0.0, 1.0, None] and [r.sales_roll_3 for r in got] == [None, 0.0, 0.5, None]
     assert features.choose_trends({"lag_1": 0.1, "lag_2": 0.9, "lag_3": 0.5}) == [("lag_1", "lag_2"), ("lag_2", "lag_3")]

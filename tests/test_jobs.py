@@ -1,10 +1,12 @@
 """Jobs from files to files, with models saved in between, on small made-up shops."""
 
+import dataclasses
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
-from demandspark.operators import model
+from demandspark.operators import features, model
 from demandspark.plans import jobs
 from demandspark.schema import MONTHS, SALES, Params
 from demandspark.sources import sales as files
@@ -76,9 +78,93 @@ def test_categories_do_not_see_their_own_row(spark):
     assert model.attach(new, ["kind"], model.category_means(rows, ["kind"], base), base).first().kind_mean == base
 
 
+def stage(spark):
+    rows = [(level, f"s{k}", dt.date(2020, 1 + m, 1), float(k * m), m % 2) for level in ("bottom", "license") for k in range(7) for m in range(12)]
+    return spark.createDataFrame(rows, "level string, series_id string, date date, units double, sales int").repartition(3)
+
+
 def test_stage_is_in_order(spark, tmp_path):
-    rows = spark.createDataFrame([("bottom", f"s{i % 7}", dt.date(2020, 1 + i % 12, 1)) for i in range(84)], "level string, series_id string, date date").repartition(3)
-    files.write_stage(rows, str(tmp_path / "stage"))
-    for part in (tmp_path / "stage" / "level=bottom").glob("*.parquet"):
-        got = [(r.series_id, r.date) for r in spark.read.parquet(str(part)).collect()]
+    rows = stage(spark)
+    files.write_stage(rows, str(tmp_path / "stage"), buckets=5)
+    parts = list((tmp_path / "stage").glob("*.parquet"))
+    assert 0 < len(parts) <= 5
+    where = {}
+    for part in parts:
+        got = [(r.level, r.series_id, r.date) for r in spark.read.parquet(str(part)).collect()]
         assert got == sorted(got)
+        for x in {r[:2] for r in got}:
+            assert where.setdefault(x, part) == part
+    back = files.read_stage(spark, str(tmp_path / "stage"))
+    assert back.schema == rows.schema and back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
+def test_stages_are_read_without_exchanges_by_series(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    files.write_stage(stage(spark), path, buckets=5)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    for again in (False, True):
+        if again:  # as in a later session, which does not know the table
+            for t in spark.catalog.listTables():
+                if t.name.startswith("stage_"):
+                    spark.sql(f"DROP TABLE {t.name}")
+        rows = files.read_stage(spark, path)
+        timed = features.time_features(features.runs(features.date_parts(rows)))
+        assert exchanges(timed) == exchanges(features.lag_features(timed, lags=[1, 2], trends=[("lag_1", "lag_2")])) == 0
+        assert exchanges(model.prepare(timed, "2020-06-01", ["level"], "train")) == exchanges(model.prepare(timed, "2020-06-01", ["level"], "inference")) == 0
+    # files of another schema, as by a writer that does not know the layout
+    for other in (spark.range(3), spark.sql("select 'x' as units")):
+        files.write_stage(stage(spark), path, buckets=5)
+        other.write.mode("append").parquet(path)
+        with pytest.raises(ValueError, match="another schema"):
+            files.read_stage(spark, path)
+    files.write_stage(stage(spark).withColumn("more", F.lit(1)), path)
+    assert "more" in files.read_stage(spark, path).columns
+
+
+def test_sales_are_bound_by_heading(spark, tmp_path):
+    def write(name, *lines):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    ours = write("a.csv", "year,sku,units,extra,platform,supplier,license,description,month_name,sales,cost", "2020,7,3,zz,X,s,L,d,enero,30,4", "two,8,3,zz,X,s,L,d,enero,30,4", "2021,9,,zz,X,s,L,d,mayo,1e2,n/a")
+    theirs = write("b.csv", "Categoría,Costo Alpha,Precio venta,piezas,Año,Mes,Plataforma,Marca,Descripción, SKU ", "L,4,30,3,2020,enero,X,s,d,7")
+    want = ("7", "d", "s", "L", "X", "enero", 2020, 3.0, 30.0, 4.0)
+    assert [tuple(r) for r in files.read_sales(spark, ours, "csv").collect()] == [want]
+    assert [tuple(r) for r in files.read_sales(spark, theirs, "csv").collect()] == [want]
+    bad = {r.sku: (r.bad, r.year, r.cost) for r in files.read_sales_checked(spark, ours, "csv")[1].collect()}
+    assert bad == {"8": (["year"], "two", "4"), "9": (["cost"], "2021", "n/a")}
+    with pytest.raises(ValueError, match="missing.*units"):
+        files.read_sales(spark, write("c.csv", "sku,platform,supplier,license,description,month_name,year,sales,cost", "7,X,s,L,d,enero,2020,1,1"), "csv")
+    with pytest.raises(ValueError, match="several"):
+        files.read_sales(spark, write("d.csv", "sku,Marca,platform,supplier,license,description,month_name,year,sales,cost,units", "7,s,X,s,L,d,enero,2020,1,1,1"), "csv")
+    # numbers as text, NaN and an extra column in a Parquet file
+    spark.sql("select 'x' as extra, cast('nan' as double) as cost, 30 as sales, '3' as units, 2020L as year, 'enero' as month_name, 'X' as platform, 'L' as license, 's' as supplier, 'd' as description, 7 as sku").write.parquet(f"{tmp_path}/p")
+    assert [tuple(r) for r in files.read_sales(spark, f"{tmp_path}/p").collect()] == [(*want[:-1], None)]
+
+
+def test_jobs_leave_no_tables_and_report_what_they_saw(spark, inputs, tmp_path):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    report = jobs.run_preprocess(spark, f"{inputs}/sales_csv", str(tmp_path / "panel"), P, "csv", str(tmp_path / "rejected"))
+    assert set(os.listdir(folder)) == before
+    assert report["fit"]["rmse"] > 0 and report["stockouts"]["n_rows"] == report["fit"]["n_rows"] == 24 * 24 * 2
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 0
+
+
+def test_forecasts_weighed_by_error_variances(spark, inputs, tmp_path):
+    p = dataclasses.replace(P, reconciliation="wls_var")
+    jobs.run_forecast(spark, f"{inputs}/features", f"{inputs}/models", str(tmp_path / "forecast"), p)
+    got = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "forecast"))
+    sums = {(r.level, str(r.date)): r.total for r in got.groupBy("level", "date").agg(F.sum("reconciled").alias("total")).collect()}
+    assert all(sums["bottom", d] == sums["cluster", d] == sums["license", d] >= 0 for _, d in sums)
+    seen = jobs.error_variances({n: model.load_level(spark, f"{inputs}/models/{n}") for n in ("bottom", "cluster", "license")})
+    assert {r.level for r in seen.where("variance >= 0").collect()} == {"bottom", "cluster", "license"}
+
+
+def test_large_categories_are_looked_up_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"s{i}", dt.date(2020, 1, 1), f"k{i % 9}", "b" if i % 2 else None, float(i)) for i in range(90)], "series_id string, date date, kind string, other string, units double")
+    want = sorted(map(tuple, model.encode_training(rows, ["kind", "other"], 1.0).collect()), key=str)
+    plan = model.encode_training(rows, ["kind", "other"], 1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    monkeypatch.setattr(model, "MOST_VALUES", 3)
+    assert sorted(map(tuple, model.encode_training(rows, ["kind", "other"], 1.0).collect()), key=str) == want
