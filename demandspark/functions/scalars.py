@@ -1,24 +1,39 @@
-"""Scalar expressions: all are Catalyst expressions but ``fold_ascii``, which is one Arrow function."""
+"""Scalar expressions, all of Catalyst's own."""
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from demandspark.schema import LABELS, MONTHS, SYNONYMS
 
 
-def _fold(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.lower()).encode("ascii", "ignore").decode())
+@lru_cache(maxsize=1)
+def _decompositions() -> tuple[str, str, dict[str, str]]:
+    """(characters, the one ASCII character that each is compatible with, characters that decompose into several), of all of Unicode."""
+    one, several = {}, {}
+    for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x30000))):
+        plain = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+        if plain:
+            (one if len(plain) == 1 else several)[c] = plain
+    return "".join(one), "".join(one.values()), several
 
 
 def fold_ascii(text: Column | str) -> Column:
-    """Lower case, compatibility-decomposed, without anything that is not ASCII."""
-    return F.pandas_udf(_fold, "string")(text)
+    """Lower case, compatibility-decomposed, without anything that is not ASCII.
+
+    Combining marks are no ASCII and stand apart once decomposed, so each character folds by itself: one by ``translate``, the few that
+    decompose into several (a ligature, a fraction) by replacing, in the texts that have one. Texts of ASCII alone are only lowered.
+    """
+    characters, plain, several = _decompositions()
+    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    pairs = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(p).alias("p")) for c, p in several.items()))
+    spread = F.when(low.rlike(f"[{''.join(several)}]"), F.aggregate(pairs, low, lambda t, x: F.replace(t, x["c"], x["p"]))).otherwise(low)
+    return F.when(low.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spread, characters, plain), r"[^\x00-\x7F]+", "")).otherwise(low)
 
 
 def month_start(month_name: Column, year: Column) -> Column:

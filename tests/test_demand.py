@@ -1,6 +1,7 @@
 """Operators on hand-made rows, with expected values worked out by hand."""
 
 import datetime as dt
+import unicodedata
 
 import numpy as np
 import pytest
@@ -69,6 +70,16 @@ def test_rules_and_scalars(spark):
     assert (row.a.year, row.b.year, row.c, row.d) == (1985, 2012, 7.5, None)
 
 
+def test_folding_equals_the_standard_library(spark):
+    """Each assigned character of the planes in use, in a text of its own, and texts of several; without a Python node."""
+    fold = lambda x: None if x is None else unicodedata.normalize("NFKD", x.lower()).encode("ascii", "ignore").decode()
+    texts = [f"a{chr(c)}B" for c in (*range(0x20, 0xD800), *range(0xE000, 0x20000)) if unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    texts += [None, "", "Ñandú ½ ﬁn… №5 ＡＢＣ 𝔸𝕓 ㎏", "e\u0301 \u0130stanbul Łódź ß Ǆ \U0001f100"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.fold_ascii("t").alias("f"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [(r.t, r.f) for r in df.collect() if r.f != fold(r.t)] == []
+
+
 def test_runs_and_lags(spark):
     days = [dt.date(2019, 11, 1), dt.date(2019, 12, 1), dt.date(2020, 1, 1), dt.date(2020, 3, 1)]
     df = spark.createDataFrame([("bottom", "s", d, float(i)) for i, d in enumerate(days)], "level string, series_id string, date date, units double")
@@ -311,3 +322,13 @@ def test_look_ups_and_running_sums_of_hot_keys(spark):
         total[g] = want[i] = total.get(g, 0.0) + x
     got = {z.i: z.s for z in joins.running_sums(lines, ["g"], ["x", "i"], {"x": "s"}).collect()}
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_enrichment_wants_one_row_for_a_key(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "license string, i int")
+    dim = spark.createDataFrame([("a", 1.0), (None, 2.0)], "license string, x double")
+    assert sorted((r.i, r.x) for r in enrich.enrich(rows, [dim]).collect()) == [(1, 1.0), (2, 1.0), (3, None), (4, None)]
+    twice = dim.union(dim)
+    with pytest.raises(ValueError, match="several rows for license"):
+        enrich.enrich(rows, [twice])
+    assert enrich.enrich(rows, [twice], unique=False).count() == 6
