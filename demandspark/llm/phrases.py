@@ -43,7 +43,7 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES, PART_WORDS = 1 << 22, 1 << 22
+SLICE_BYTES, PART_WORDS = 1 << 22, 3 << 20
 #: Bits of the bitmap of frequent words: 8 MB, whatever the table.
 BITS = 1 << 26
 #: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
@@ -137,7 +137,7 @@ class Windows:
         codes = self.codes.astype(np.uint16 if len(self.keys) < 1 << 16 else np.uint32)
         codes[0, 1:] -= codes[0, :-1].copy()  # small differences take little room
         head = np.array([len(self.keys), len(self.n), len(data), codes.itemsize], dtype=np.int64)
-        raw = b"".join(x.tobytes() for x in (head, np.diff(offsets).astype(np.uint32), data, codes, self.n.astype(np.int64), self.dealt.astype(np.uint8)))
+        raw = b"".join(x.tobytes() for x in (head, np.diff(offsets).astype(np.uint32), data, codes, self.n.astype(np.uint32), self.dealt.astype(np.uint8)))
         return np.int64(len(raw)).tobytes() + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
     @staticmethod
@@ -153,9 +153,10 @@ class Windows:
 
         offsets = np.r_[np.int64(0), np.cumsum(take(np.uint32, k), dtype=np.int64)]
         keys = pa.LargeStringArray.from_buffers(k, pa.py_buffer(offsets), pa.py_buffer(take(np.uint8, size)))
-        codes = take(np.uint16 if width == 2 else np.uint32, ORDER * m).reshape(ORDER, m).astype(np.int32)
-        codes[0] = np.cumsum(codes[0])
-        return Windows(keys, codes, take(np.int64, m), take(np.uint8, m))
+        codes = take(np.uint16 if width == 2 else np.uint32, ORDER * m).reshape(ORDER, m).copy()
+        codes[0] = np.cumsum(codes[0], dtype=codes.dtype)
+        # copies, so that what was decompressed is given back
+        return Windows(pa.concat_arrays([keys]), codes, take(np.uint32, m).copy(), take(np.uint8, m).copy())
 
 
 def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, Windows]]:
@@ -206,7 +207,9 @@ def shortened(packed: list[bytes], least: int) -> pa.RecordBatch:
     known, place = keys.dictionary, keys.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
     codes, key, at = np.empty((ORDER, len(n)), dtype=np.int32), 0, 0
     for w in found:
-        codes[:, at : at + len(w.n)] = np.r_[np.int32(0), place[key : key + len(w.keys)]][w.codes]
+        own = np.r_[np.int32(0), place[key : key + len(w.keys)]]
+        for k in range(ORDER):
+            codes[k, at : at + len(w.n)] = own[w.codes[k]]
         key, at = key + len(w.keys), at + len(w.n)
     del found, keys, place
     size = np.int64(len(known) + 1)
