@@ -379,3 +379,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """Documents with one of each class kept: the one of smallest doc_id."""
     out = link(docs).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.where("doc_id is not null").join(out, "doc_id", "left_anti").select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``classes``: all pairs of documents that share a shingle, and what is reachable over their links."""
+    return r"""with recursive words as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0),
+sets as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from starts),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as n from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+reach as (select doc_id, doc_id as y from documents union select r.doc_id, l.y from reach r join links l on l.x = r.y)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id join (select doc_id, min(y) as component_id from reach group by doc_id) c on c.doc_id = d.doc_id"""

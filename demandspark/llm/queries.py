@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring": substring.oracle(), "op9_rules": rules.oracle(), "op11_phrases": phrases.oracle(), "op12_negatives": negatives.oracle()}
+    return {"op3_substring": substring.oracle(), "op6_minhash": neardup.oracle(), "op9_rules": rules.oracle(), "op11_phrases": phrases.oracle(), "op12_negatives": negatives.oracle()}
