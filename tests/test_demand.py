@@ -332,3 +332,25 @@ def test_enrichment_wants_one_row_for_a_key(spark):
     with pytest.raises(ValueError, match="several rows for license"):
         enrich.enrich(rows, [twice])
     assert enrich.enrich(rows, [twice], unique=False).count() == 6
+
+
+def test_stockout_chain_moves_the_panel_once(spark):
+    """Totals of platforms are broadcast; price, effect and labels share one exchange by series."""
+    rows = [("a_X", "X", dt.date(2020, m, 1), float(m % 3), 10.0 * m) for m in range(1, 13)] + [("b_Y", "Y", dt.date(2020, m, 1), 2.0, None) for m in range(1, 7)]
+    df = keep(spark.createDataFrame(rows, "sku_platform string, platform string, date date, units double, sales double"), "panel")
+    exchanges = lambda x: x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    totals = stockout.with_platform_months(df)
+    assert exchanges(totals) == 0 and {(r.platform, r.date.month, r.platform_monthly_sales) for r in totals.collect()} == {(p, d.month, u) for _, p, d, u, _ in rows}
+    priced = stockout.with_price(df)
+    assert exchanges(stockout.label(priced.withColumn("pred", F.lit(1.0)))) == 1
+    got = {(r.sku_platform, r.date.month): r.price for r in priced.collect()}
+    sold = [(u, s) for k, _, _, u, s in rows if k == "a_X" and u]
+    assert got["a_X", 3] == pytest.approx(sum(s for _, s in sold) / sum(u for u, _ in sold)) and got["a_X", 4] == 40.0 and got["b_Y", 1] is None
+
+
+def test_fits_that_do_not_settle_say_so(spark):
+    r = np.random.default_rng(2)
+    rows = [(str(g), float(r.poisson(3 + g)), float(r.normal(10, 2)), float(r.normal(5, 1))) for g in range(4) for _ in range(9)]
+    df = spark.createDataFrame(rows, "sku_platform string, units double, price double, platform_monthly_sales double")
+    with pytest.warns(RuntimeWarning, match="did not settle"):
+        stockout.poisson_effects(df, steps=1)
