@@ -10,6 +10,7 @@ from demandspark.operators import features, model
 from demandspark.plans import jobs
 from demandspark.schema import MONTHS, SALES, Params
 from demandspark.sources import sales as files
+from demandspark.sources.scratch import keep
 from pyspark.sql import functions as F
 
 P = Params(clusters=4, cutoff="2021-07-01", tree_depth=3, tree_rounds=3, min_sku_units=1, max_lag=4, important_licenses=("LB",), labels=("taza", "lampara"), synonyms={"taza": "vaso"}, title_companies=("north_co",))
@@ -168,3 +169,18 @@ def test_large_categories_are_looked_up_alike(spark, monkeypatch):
     assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
     monkeypatch.setattr(model, "MOST_VALUES", 3)
     assert sorted(map(tuple, model.encode_training(rows, ["kind", "other"], 1.0).collect()), key=str) == want
+
+
+def test_jobs_take_other_levels(spark, inputs, tmp_path):
+    """One level, and levels that do not nest."""
+    p = dataclasses.replace(P, levels=("product",), tree_rounds=1, max_lag=2)
+    jobs.run_preprocess(spark, f"{inputs}/sales", str(tmp_path / "panel"), p)
+    table = jobs.build_features(files.read_stage(spark, str(tmp_path / "panel")), files.read_interest(spark, f"{inputs}/interest.csv"), files.read_titles(spark, f"{inputs}/titles.csv"), p)
+    assert {r.level for r in table.select("level").distinct().collect()} == {"bottom", "product"}
+    base = keep(jobs.forecast(table, jobs.train(table, p), p), "base")
+    got = jobs.reconcile_forecasts(base, p)
+    sums = {(r.level, r.date): r.total for r in got.groupBy("level", "date").agg(F.sum("reconciled").alias("total")).collect()}
+    assert {lv for lv, _ in sums} == {"bottom", "product"} and all(sums["bottom", d] == sums["product", d] for _, d in sums)
+    crossed = base.withColumn("shop", F.when(F.col("level") == "bottom", F.substring_index("series_id", "_", -1)))
+    with pytest.raises(ValueError, match="not a tree"):
+        jobs.reconcile_forecasts(crossed, dataclasses.replace(p, levels=("product", "shop")))
