@@ -43,7 +43,7 @@ from demandspark.llm import text as T
 ORDER = 4
 WORDS = [f"w{k}" for k in range(1, ORDER + 1)]
 SEPARATORS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)
-SLICE_BYTES, PART_WORDS = 1 << 22, 3 << 20
+SLICE_BYTES, PART_WORDS, LOTS = 1 << 22, 3 << 20, 8
 #: Bits of the bitmap of frequent words: 8 MB, whatever the table.
 BITS = 1 << 26
 #: Fewer than SHARE words hold over 1/SHARE of all words; a pair of two of them is dealt out SALTS times.
@@ -199,12 +199,12 @@ def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts:
         yield int(part[a]), Windows(keys.take(pa.array(used - 1)), place[own], n[a:b], dealt[a:b])
 
 
-def shortened(packed: list[bytes], least: int) -> pa.RecordBatch:
+def shortened(packed: list[bytes], least: int) -> Iterator[pa.RecordBatch]:
     """(lang, w1, w2, w3, w4, n) of a part, with padding in place of what makes the first 2, 3 or 4 words less frequent than ``least``."""
     found = [Windows.unpack(x) for x in packed]
-    n, dealt = (np.concatenate([getattr(w, c) for w in found]) for c in ("n", "dealt"))
     keys = pa.chunked_array([w.keys for w in found]).combine_chunks().dictionary_encode()
     known, place = keys.dictionary, keys.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
+    n, dealt = (np.concatenate([getattr(w, c) for w in found]) for c in ("n", "dealt"))
     codes, key, at = np.empty((ORDER, len(n)), dtype=np.int32), 0, 0
     for w in found:
         own = np.r_[np.int32(0), place[key : key + len(w.keys)]]
@@ -212,21 +212,31 @@ def shortened(packed: list[bytes], least: int) -> pa.RecordBatch:
             codes[k, at : at + len(w.n)] = own[w.codes[k]]
         key, at = key + len(w.keys), at + len(w.n)
     del found, keys, place
-    size = np.int64(len(known) + 1)
-    prefix = codes[0]
+    parts = pc.split_pattern(known, "\t", max_splits=1)
+    words, langs = (pa.concat_arrays([pa.array([""], pa.large_string()), pc.list_element(parts, k)]) for k in (0, 1))
+    # windows that begin with the same word go together; the lots need not be worked on at once
+    lot = codes[0] % LOTS
+    for k in range(LOTS):
+        own = np.flatnonzero(lot == k)
+        cut, total = summed(codes[:, own], n[own], dealt[own], len(known) + 1, least)
+        yield pa.record_batch([langs.take(pa.array(cut[0])).cast(pa.string()), *(words.take(pa.array(c)).cast(pa.string()) for c in cut), pa.array(total)], ["lang", *WORDS, "n"])
+
+
+def summed(codes: np.ndarray, n: np.ndarray, dealt: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows cut to what is frequent, each once, with their counts."""
+    prefix, weight = codes[0].astype(np.int64), n.astype(np.float64)
     for k in range(1, ORDER):
-        _, prefix = np.unique(prefix.astype(np.int64) * size + codes[k], return_inverse=True)
-        enough = np.bincount(prefix, weights=n)[prefix] >= least  # sums below 2 ** 53
-        keeps = enough | (dealt > 0) if k == 1 else enough
-        codes[k:, ~keeps] = 0
+        prefix *= size
+        prefix += codes[k]
+        prefix = np.unique(prefix, return_inverse=True)[1]
+        rare = (np.bincount(prefix, weights=weight) < least)[prefix]  # sums below 2 ** 53
+        codes[k:, rare & (dealt == 0) if k == 1 else rare] = 0
     first, of = np.unique(codes[0].astype(np.int64) * size + codes[1], return_inverse=True)
     rest, last = np.unique(codes[2].astype(np.int64) * size + codes[3], return_inverse=True)
-    _, at, where = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_inverse=True)
+    _, at, where = np.unique(of * np.int64(max(1, len(rest))) + last, return_index=True, return_inverse=True)
     total = np.zeros(len(at), dtype=np.int64)
     np.add.at(total, where, n)
-    parts = pc.split_pattern(known, "\t", max_splits=1)
-    words, langs = (pa.concat_arrays([pa.array([""], pa.large_string()), pc.list_element(parts, k)]) for k in (0, 1))
-    return pa.record_batch([langs.take(pa.array(codes[0, at])).cast(pa.string()), *(words.take(pa.array(c[at])).cast(pa.string()) for c in codes), pa.array(total)], ["lang", *WORDS, "n"])
+    return codes[:, at], total
 
 
 def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFrame:
@@ -240,18 +250,19 @@ def windows(docs: DataFrame, least: int, part_words: int = PART_WORDS) -> DataFr
         for number, s in enumerate(joined_slices(batches)):
             own = [(part, w.pack()) for part, w in cut_windows(s, number, *known.value, parts)]
             yield pa.record_batch([pa.array([x for x, _ in own], pa.int32()), pa.array([x for _, x in own], pa.binary())], ["part", "windows"])
+        pa.default_memory_pool().release_unused()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for b in batches:
             for part, packed in zip(b.column("part").to_pylist(), b.column("windows").to_pylist(), strict=True):
                 if part != now and held:
-                    yield shortened(held, least)
+                    yield from shortened(held, least)
                     held = []
                 now = part
                 held.append(packed)
         if held:
-            yield shortened(held, least)
+            yield from shortened(held, least)
 
     dealt = docs.mapInArrow(deal, "part int, windows binary").repartition(parts, "part").sortWithinPartitions("part")
     return dealt.mapInArrow(add, "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long")
