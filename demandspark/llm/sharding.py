@@ -5,8 +5,8 @@ alike for the propagation, so its state is a table (text class, shard) -> number
 per document: exact, and small however large a class is. It starts from a hash of doc_id. In each round a part of a
 class moves to the shard where most of its neighbours are, among shards that still have room; arrivals are admitted
 in order, large classes first, up to the room of the shard, the last one in part (capacity quotas). That lowers the
-number of cut links in every move. When nothing moves any more, classes get their places, and documents without links,
-which cut nothing, fill the places left over, so that row counts differ by one at most.
+number of cut links in every move. After ``ROUNDS`` rounds, or when nothing moves any more, classes get their places, and
+documents without links, which cut nothing, fill the places left over, so that row counts differ by one at most.
 
 Only DataFrame functions run: joins, aggregations and windows. Ranks and running sums over large groups are made in
 two levels (within hash buckets, then over the few bucket totals), so no key, not even a text with a third of all
