@@ -75,18 +75,18 @@ class Slice:
         np.cumsum(end - start, out=bounds[1:])
         words = pa.LargeStringArray.from_buffers(self.n, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[word])))
         coded = words.dictionary_encode()
-        names = coded.dictionary
-        doc = np.searchsorted(offsets, start, side="right") - 1
-        piece = np.cumsum(_SEPARATES[data])[start] + doc
+        names, number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        del words, word, opens, closes, edge, coded
+        doc = (np.searchsorted(offsets, start, side="right") - 1).astype(np.int32)
+        piece = np.cumsum(_SEPARATES[data], dtype=np.int32)[start]
         self.joined = np.zeros(self.n, dtype=bool)
-        # a text without separators ends without one, so its number is compared too
         self.joined[:-1] = (piece[1:] == piece[:-1]) & (doc[1:] == doc[:-1])
         langs = batch.column("lang").cast(pa.large_string()).fill_null("und").dictionary_encode()
         self.langs = langs.dictionary
         lang = langs.indices.to_numpy(zero_copy_only=False)[doc] if self.n else np.zeros(0, dtype=np.int64)
         # words of each language apart
         size = max(1, len(names))
-        pair, self.code = np.unique(lang.astype(np.int64) * size + coded.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+        pair, self.code = np.unique(lang.astype(np.int64) * size + number, return_inverse=True)
         self.words, self.lang = names.take(pa.array(pair % size)), pair // size  # by code
         self.hashes = T.mix(hashes(self.words) + T.mix(hashes(self.langs))[self.lang] * _U(3)).view(np.int64)
 
@@ -159,6 +159,11 @@ class Windows:
         return Windows(pa.concat_arrays([keys]), codes, take(np.uint32, m).copy(), take(np.uint8, m).copy())
 
 
+def numbers(values: np.ndarray) -> np.ndarray:
+    """Place of each value among the distinct ones."""
+    return np.unique(values, return_inverse=True)[1]
+
+
 def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts: int) -> Iterator[tuple[int, Windows]]:
     """The slice's windows by part."""
     at = s.hashes & np.int64(BITS - 1)
@@ -167,7 +172,7 @@ def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts:
     goes_on[:-1] = s.joined[:-1] & may[:-1] & may[1:]
     # code + 1 of the words of a window, 0 for padding; behind the words stands an empty one of each language, for words that are cut
     empty = len(s.hashes) + s.lang[s.code]
-    codes = np.zeros((ORDER, s.n), dtype=np.int64)
+    codes = np.zeros((ORDER, s.n), dtype=np.int32)
     codes[0] = np.where(may, s.code, empty) + 1
     alive = np.ones(s.n, dtype=bool)
     for k in range(1, ORDER):
@@ -176,10 +181,14 @@ def cut_windows(s: Slice, number: int, bits: np.ndarray, hot: np.ndarray, parts:
         codes[k, : s.n - k] = np.where(alive[: s.n - k], codes[0, k:], 0)
     size = np.int64(len(s.hashes) + len(s.langs) + 1)
     # two of them make one number, so equality is exact
-    rest, last = np.unique(codes[2] * size + codes[3], return_inverse=True)
-    first, of = np.unique(codes[0] * size + codes[1], return_inverse=True)
-    _, at, n = np.unique(of * np.int64(len(rest)) + last, return_index=True, return_counts=True)
+    whole = numbers(codes[0] * size + codes[1])
+    last = numbers(codes[2] * size + codes[3])
+    whole *= last.max(initial=0) + 1
+    whole += last
+    del last, alive, goes_on, may
+    at, n = np.unique(whole, return_index=True, return_counts=True)[1:]
     codes = codes[:, at]
+    del whole, at
     by = np.r_[np.int64(0), s.hashes, np.zeros(len(s.langs), dtype=np.int64)]
     common = np.isin(by, hot)
     dealt = common[codes[0]] & common[codes[1]] & (codes[1] > 0)
@@ -228,12 +237,11 @@ def summed(codes: np.ndarray, n: np.ndarray, dealt: np.ndarray, size: int, least
     for k in range(1, ORDER):
         prefix *= size
         prefix += codes[k]
-        prefix = np.unique(prefix, return_inverse=True)[1]
+        prefix = numbers(prefix)
         rare = (np.bincount(prefix, weights=weight) < least)[prefix]  # sums below 2 ** 53
         codes[k:, rare & (dealt == 0) if k == 1 else rare] = 0
-    first, of = np.unique(codes[0].astype(np.int64) * size + codes[1], return_inverse=True)
-    rest, last = np.unique(codes[2].astype(np.int64) * size + codes[3], return_inverse=True)
-    _, at, where = np.unique(of * np.int64(max(1, len(rest))) + last, return_index=True, return_inverse=True)
+    whole, last = numbers(codes[0].astype(np.int64) * size + codes[1]), numbers(codes[2].astype(np.int64) * size + codes[3])
+    _, at, where = np.unique(whole * (last.max(initial=0) + 1) + last, return_index=True, return_inverse=True)
     total = np.zeros(len(at), dtype=np.int64)
     np.add.at(total, where, n)
     return codes[:, at], total
