@@ -299,6 +299,8 @@ def test_nodes_of_variance_zero_without_forecasts_or_parents(spark):
     for bad in ([("bottom", "a", day, 1.0, 1, "P"), ("bottom", "a", day, 1.0, 1, "Q")], [("bottom", "a", day, 1.0, 1, None)]):
         with pytest.raises(ValueError, match="not a tree"):
             reconcile.path_of(spark.createDataFrame(bad, f.schema), ["p"])
+    alone = reconcile.least_squares(f, reconcile.path_of(f.where("level = 'bottom'"), []), [], nonnegative=True)
+    assert {x.series_id: x.reconciled for x in alone.collect()} == {"a": 4.0, "b": 3.0, "c": 0.0}
     with pytest.raises(ValueError, match="unknown method"):
         reconcile.reconcile(f, ["p"], "other")
     with pytest.raises(ValueError, match="wls_var"):
