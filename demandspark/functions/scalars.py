@@ -26,14 +26,24 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
 def fold_ascii(text: Column | str) -> Column:
     """Lower case, compatibility-decomposed, without anything that is not ASCII.
 
-    Combining marks are no ASCII and stand apart once decomposed, so each character folds by itself: one by ``translate``, the few that
-    decompose into several (a ligature, a fraction) by replacing, in the texts that have one. Texts of ASCII alone are only lowered.
+    Combining marks are no ASCII and stand apart once decomposed, so each character folds by itself: most by ``translate``; the few that
+    decompose into several (a ligature, a fraction) by replacing those that are among what ``translate`` has left. Texts of ASCII
+    alone are only lowered.
     """
     characters, plain, several = _decompositions()
     low = F.lower(F.col(text) if isinstance(text, str) else text)
     pairs = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(p).alias("p")) for c, p in several.items()))
-    spread = F.when(low.rlike(f"[{''.join(several)}]"), F.aggregate(pairs, low, lambda t, x: F.replace(t, x["c"], x["p"]))).otherwise(low)
-    return F.when(low.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(spread, characters, plain), r"[^\x00-\x7F]+", "")).otherwise(low)
+
+    def once(value: Column, use) -> Column:
+        """``use`` of a value as a variable, which is worked out once and not for each pair."""
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def spread(text: Column, left: Column) -> Column:
+        found = F.filter(pairs, lambda x: F.contains(left, x["c"]))
+        return F.regexp_replace(F.aggregate(found, text, lambda t, x: F.replace(t, x["c"], x["p"])), r"[^\x00-\x7F]+", "")
+
+    folded = once(F.translate(low, characters, plain), lambda t: once(F.regexp_replace(t, r"[\x00-\x7F]+", ""), lambda left: F.when(left == "", t).otherwise(spread(t, left))))
+    return F.when(low.rlike(r"[^\x00-\x7F]"), folded).otherwise(low)
 
 
 def month_start(month_name: Column, year: Column) -> Column:
