@@ -2,13 +2,15 @@
 
 A merge-type model glues the best-scoring adjacent pair again and again. The result is the only sequence of
 pieces in which every piece re-merges to itself and every two neighbours, merged anew from characters, come out
-as the same two pieces. So it can be found from left to right: take the longest piece that starts here (all
-matches of a unit come from one Aho-Corasick pass), keep it if it agrees with the piece before, else try the next
-shorter one; when none is left, mark the position as failed in a bitfield and step back.
+as the same two pieces. So it can be found from left to right: take the longest piece that starts here (a trie finds
+it), keep it if it agrees with the piece before, else try the next shorter one, which a table has for each piece; when
+none is left, mark the position as failed and step back.
 
-Merging never crosses the border of a *unit*: a run of spaces with the characters up to the next space, as long as
+The model writes a space as U+2581 and reads both alike; here both are a space, in texts and in pieces. Merging never
+crosses the border of a *unit*: a run of spaces with the characters up to the next space, as long as
 no piece holds a space after another character, which the vocabulary is checked for. Units repeat, so each Python
-task keeps the encodings of up to ``cache_units`` of them, and gives their memory back at its end. Texts are never cut.
+task keeps the encodings of up to ``cache_units`` of them, and gives their memory back at its end. Which pieces agree
+is kept by the worker for its next tasks. Texts are never cut.
 
 Edge cases: null text counts as empty; an empty text has no piece, only the end id; characters outside the
 vocabulary become their UTF-8 byte pieces (or the unknown id if the model has none); repeated rows are encoded
@@ -18,6 +20,7 @@ alike; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,7 +29,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SPACE = "▁"
+SPACE, OTHER = "▁", "!"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -55,90 +58,98 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, cache_units: int = 600_000):
         self.v, self.cache_units = vocabulary, cache_units
-        self.ids = {p: i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds, strict=True)) if k == "n"}
+        self.pieces = [p.replace(SPACE, " ") for p in vocabulary.pieces]
+        self.ids = {p: i for i, (p, raw, k) in enumerate(zip(self.pieces, vocabulary.pieces, vocabulary.kinds, strict=True)) if k == "n" and " " not in raw}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds, strict=True)) if k == "b"}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.unknown = vocabulary.kinds.index("u")
         self.chars = {p for p in self.ids if len(p) == 1}
         self.inside: set[tuple[str, str]] = set()  # neighbours within some piece; no merge joins any others
         for p in self.ids:
-            if SPACE in p.lstrip(SPACE):
+            if " " in p.lstrip(" "):
                 raise ValueError(f"piece {p!r} has a space after another character")
             if not self.chars.issuperset(p):
                 raise ValueError(f"piece {p!r} has a character that is no piece")
             self.inside.update(zip(p, p[1:], strict=False))
-        self.search = ahocorasick.Automaton()
-        for p, i in self.ids.items():
+        self.rank = {p: vocabulary.scores[i] for p, i in self.ids.items()}
+        self.names, self.sizes = [str(i) for i in range(len(self.pieces))], [len(p) for p in self.pieces]
+        self.trie = ahocorasick.Automaton()
+        self.longest: dict[str, int] = {}  # start of a piece -> longest piece that it begins with
+        self.shorter = [-1] * len(self.pieces)  # piece -> next shorter piece that it begins with
+        for p, i in sorted(self.ids.items(), key=lambda x: len(x[0])):  # shorter pieces first
             if self.remerge(p) == (i,):  # else merging never ends in it
-                self.search.add_word(p, (len(p), i))
-        self.search.make_automaton()
+                self.trie.add_word(p, i)
+                for size in range(1, len(p)):
+                    self.longest.setdefault(p[:size], self.longest.get(p[: size - 1], -1))
+                self.shorter[i] = self.longest.get(p[:-1], -1)
+                self.longest[p] = i
+        self.width = max(map(len, self.longest), default=1)
         self.pairs: dict[int, bool] = {}
         self.stems: dict[str, list[int]] = {}
-        self.units = Units(self)
-        self.shown = [p.replace(SPACE, " ") if k == "n" else "" if k == "c" else " ⁇ " for p, k in zip(vocabulary.pieces, vocabulary.kinds, strict=True)]
+        self.units, self.texts = Units(self), Texts(self)
+        self.shown = [p if k == "n" else "" if k == "c" else " ⁇ " for p, k in zip(self.pieces, vocabulary.kinds, strict=True)]
         breaks = "\n" if "\n" not in self.chars else ""
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}{breaks}]+|{SPACE}+" + ("|\n" if breaks else ""))
+        self.cut = re.compile(f" *[^ {breaks}]+| +" + ("|\n" if breaks else ""))
 
     def remerge(self, text: str) -> tuple[int, ...]:
         """Pieces of a short text by merging its characters, best score first, leftmost on ties."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = self.ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or self.v.scores[i] > best):
-                    best, at = self.v.scores[i], k
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, none = list(text), -math.inf
+        scores = [self.rank.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > none:
+            k = scores.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k:
+                scores[k - 1] = self.rank.get(parts[k - 1] + parts[k], none)
+            if k < len(scores):
+                scores[k] = self.rank.get(parts[k] + parts[k + 1], none)
         return tuple(self.ids[p] for p in parts)
 
     def agree(self, a: int, b: int) -> bool:
         """Whether pieces a and b can stand next to each other: re-merging their characters gives both again."""
-        ok = self.pairs.get(a << 32 | b)
+        key = a * len(self.names) + b
+        ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) >= 500_000:
                 self.pairs.clear()
-            ok = self.pairs[a << 32 | b] = self.remerge(self.v.pieces[a] + self.v.pieces[b]) == (a, b)
+            ok = self.pairs[key] = self.remerge(self.pieces[a] + self.pieces[b]) == (a, b)
         return ok
 
     def backtrack(self, text: str) -> list[int]:
         """Pieces of a text whose characters are all in the vocabulary."""
-        n = len(text)
-        starting: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.search.iter(text):
-            starting[end - match[0] + 1].append(match)
-        failed, pairs = 0, self.pairs
-        out: list[tuple[int, int, int]] = []  # (start, index into starting[start], id)
+        n, width, count = len(text), self.width, len(self.names)
+        reach, longest, shorter, sizes, pairs = self.trie.longest_prefix, self.longest, self.shorter, self.sizes, self.pairs
+        failed = bytearray(n + 1)  # by position
+        out: list[int] = []
         at, last = 0, -1
-        here = starting[0]
-        k = len(here) - 1
+        i = longest[text[: reach(text[:width])]]
         while True:
-            while k >= 0:
-                size, i = here[k]
-                if not failed >> (at + size) & 1 and (last < 0 or (pairs.get(last << 32 | i) if last << 32 | i in pairs else self.agree(last, i))):
-                    break
-                k -= 1
-            if k >= 0:
-                out.append((at, k, i))
-                at += size
-                if at == n:
-                    return [x[2] for x in out]
-                last, here = i, starting[at]
-                k = len(here) - 1
+            while i >= 0:
+                end = at + sizes[i]
+                if not failed[end]:
+                    ok = last < 0 or pairs.get(last * count + i)
+                    if ok or (ok is None and self.agree(last, i)):
+                        break
+                i = shorter[i]
+            if i >= 0:
+                out.append(i)
+                if end == n:
+                    return out
+                at, last = end, i
+                i = longest[text[at : at + reach(text[at : at + width])]]
                 continue
             if not out:
                 raise ValueError(f"no sequence of pieces spells {text!r}")
-            failed |= 1 << at
-            at, k, _ = out.pop()
-            last, here = out[-1][2] if out else -1, starting[at]
-            k -= 1
+            failed[at] = 1
+            i = out.pop()
+            at, last = at - sizes[i], out[-1] if out else -1
+            i = shorter[i]
 
     def stem(self, text: str) -> list[int]:
-        """Ids of characters that may merge with each other, through a cache."""
+        """Ids of characters of the vocabulary that may merge with each other, through a cache."""
         got = self.stems.get(text)
         if got is None:
-            got = self.backtrack(text) if self.chars.issuperset(text) else self.unknown_ids(text)
+            got = self.backtrack(text)
             if len(text) <= 64:
                 if len(self.stems) >= self.cache_units:
                     self.stems.clear()
@@ -159,13 +170,13 @@ class Codec:
         borders = [k for k, pair in enumerate(zip(text, text[1:], strict=False), 1) if pair not in self.inside]
         ids: list[int] = []
         for a, b in zip([0, *borders], [*borders, len(text)], strict=True):
-            got = self.stem(text[a:b])
+            got = self.stem(text[a:b]) if self.chars.issuperset(text[a:b]) else self.unknown_ids(text[a:b])
             ids += got[1:] if got == [self.unknown] == ids[-1:] else got
         return ids
 
     def split(self, text: str) -> list[str]:
         """Units of a text, with the leading space that the model adds."""
-        return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        return self.cut.findall(" " + text.replace(SPACE, " ")) if text else []
 
     def encode(self, text: str | None) -> list[int]:
         """All ids of a text with the end id."""
@@ -198,21 +209,26 @@ class Codec:
         end = str(self.v.end_id)
         if not text:
             return 1, hashlib.sha256(end.encode()).hexdigest(), hashlib.sha256(b"").hexdigest()
-        n, numbers, texts = zip(*map(self.units.__getitem__, self.split(text)), strict=True)
-        plain = "".join(texts)[1:]  # without the space added before the first unit
-        return sum(n) + 1, hashlib.sha256(f"{' '.join(numbers)} {end}".encode()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()
+        units = self.split(text)
+        ids, plain = f"{' '.join(map(self.units.__getitem__, units))} {end}", text.replace(SPACE, " ")
+        if OTHER in ids:
+            ids, plain = ids.replace(OTHER, ""), "".join(map(self.texts.__getitem__, units))[1:]  # without the space added before the first unit
+        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()
 
 
 class Units(dict):
-    """(number of ids, ids as text, decoded text) by unit; starts anew when full."""
+    """Ids as text by unit, with a mark where they decode to anything but the unit; starts anew when full."""
 
     def __init__(self, of: Codec):
         super().__init__()
         self.of = of
 
-    def __missing__(self, unit: str) -> tuple[int, str, str]:
-        ids = self.of.unit(unit)
-        got = len(ids), " ".join([str(i) for i in ids]), self.of.plain(ids)
+    def made(self, unit: str) -> str:
+        ids, names = self.of.unit(unit), self.of.names
+        return " ".join([names[i] for i in ids]) + ("" if self.of.plain(ids) == unit else OTHER)
+
+    def __missing__(self, unit: str) -> str:
+        got = self.made(unit)
         if len(unit) <= 64:
             if len(self) >= self.of.cache_units:
                 self.clear()
@@ -220,6 +236,13 @@ class Units(dict):
         return got
 
 
+class Texts(Units):
+    """Decoded text by unit, for texts with a unit that has the mark."""
+
+    def made(self, unit: str) -> str:
+        return self.of.plain(self.of.unit(unit))
+
+
 def _utf8(raw: bytearray) -> str:
     """UTF-8 bytes as text; each byte that is part of no character gives U+FFFD."""
     out, at = [], 0
@@ -247,13 +270,13 @@ def codec(vocabulary: Vocabulary) -> Codec:
 
 
 def forgetting(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches, and at their end no encodings kept: an idle worker holds the vocabulary alone."""
+    """The batches, and at their end no encodings kept: an idle worker holds the vocabulary, and which pieces agree, alone."""
     try:
         yield from batches
     finally:
         c.units.clear()
+        c.texts.clear()
         c.stems.clear()
-        c.pairs.clear()
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from demandspark.llm.pieces import Codec, Vocabulary, digest_documents, encode_documents
+from demandspark.llm.pieces import Codec, Vocabulary, digest_documents, encode_documents, forgetting
 from demandspark.llm.queries import tokenizer_path
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -53,3 +53,24 @@ def test_query_rows(spark, model):
         assert got[i].decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
     assert {r.doc_id: r.ids for r in encode_documents(docs, PATH).collect()}[2] == [*model.encode("same text"), 2]
     assert digest_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_next_task_of_a_worker_merges_no_pair_again():
+    c, texts, merged = Codec(Vocabulary.load(PATH)), ["the thatndea onentiontion hablees", "Attireheerstsh nd lytionat edhain"], []
+    merge = c.remerge
+    c.remerge = lambda text: merged.append(text) or merge(text)
+    first = [c.digest(t) for b in forgetting(c, iter([texts])) for t in b]
+    assert merged and not c.units and not c.stems
+    merged.clear()
+    assert [c.digest(t) for b in forgetting(c, iter([texts])) for t in b] == first
+    assert not merged
+
+
+def test_units_that_decode_to_other_text():
+    """Without byte pieces an unknown character is shown by a sign; with a piece that holds a plain space, no text matches that."""
+    c = Codec(Vocabulary(("<unk>", "</s>", "a", "b", "▁", "ab", "▁a", " b"), (0.0, 0.0, -3.0, -4.0, -5.0, -1.0, -2.0, 0.0), "ucnnnnnn", 1))
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for text, ids, shown in (("ab b", [4, 5, 4, 3, 1], "ab b"), ("a▁b", [6, 4, 3, 1], "a b"), ("aé ab", [6, 0, 4, 5, 1], "a ⁇  ab"), ("éé a", [4, 0, 6, 1], " ⁇  a")):
+        for _ in range(2):
+            assert c.encode(text) == ids and c.decode(ids) == shown
+            assert c.digest(text) == (len(ids), digest(" ".join(map(str, ids))), digest(shown))
