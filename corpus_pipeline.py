@@ -7,7 +7,8 @@ written and read again as the next one's docs. All but the last return the colum
 2. near_dedup: of each class of near-duplicates the document of smallest doc_id stays.
 3. substring: words of windows of 50 words that an earlier document has are cut out; a document left empty goes.
 4. mixing: all documents stay, in the order of the mix over the files.
-5. pieces: number of ids, and digests of ids and of decoded text.
+5. pieces: number of ids, and digests of ids and of decoded text, row by row in the order of the mix: the order in which
+   to train, for any length of a run in the mix's proportions as long as all sources last.
 
 Edge cases, at every stage: null, empty and very long texts are read whole; a null text is scored as an empty one, has
 no near-duplicate, loses no words and gives the end id alone. Rows of null doc_ids go only where the classifier rejects
@@ -40,7 +41,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.digest_documents(docs, tokenizer_path("piece_bpe_32k.model"))
+    return pieces.digest_in_order(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
 STAGES = [

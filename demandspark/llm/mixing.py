@@ -212,5 +212,5 @@ def blend(docs: DataFrame, **options) -> DataFrame:
     row = store.fresh("_row", ["doc_id", "source", "size", "print"])
     got = place(rows, sized(docs, F.struct("*").alias(row)), **options)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.asc_nulls_last("slot"), "doc_id"]
+    order = [F.asc_nulls_last("slot"), "doc_id", F.xxhash64(f"{row}.text")]
     return got.repartitionByRange(n, *order).sortWithinPartitions(*order).select(f"{row}.*")

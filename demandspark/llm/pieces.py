@@ -28,6 +28,9 @@ from dataclasses import dataclass
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from demandspark.llm import store
 
 SPACE, OTHER = "▁", "!"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -294,8 +297,8 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
-    """Per document the number of ids, and digests of the ids and of the text decoded from them."""
+def digest_documents(docs: DataFrame, model_path: str, *others: str) -> DataFrame:
+    """Per document the number of ids, and digests of the ids and of the text decoded from them; after that, the columns ``others``."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,6 +307,18 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 n, ids, texts = zip(*map(c.digest, part.column("text").to_pylist()), strict=True)
-                yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                yield pa.record_batch([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts), *map(part.column, others)], [*names, *others])
+
+    schema = T.StructType.fromDDL(SCHEMA)
+    names = schema.names
+    return docs.select("doc_id", "text", *others).mapInArrow(run, T.StructType([*schema, *(docs.schema[c] for c in others)]))
+
+
+def digest_in_order(docs: DataFrame, model_path: str) -> DataFrame:
+    """``digest_documents`` of a written table, with its rows in the order in which they stand in the table's files.
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    The digests are sorted, not the texts; they are written first, as a sort reads its rows twice.
+    """
+    at = store.fresh("_at", docs.columns)
+    got = store.keep(digest_documents(store.numbered(docs, at), model_path, at), "pc-digests")
+    return got.orderBy(at).drop(at)

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from demandspark.llm.pieces import Codec, Vocabulary, digest_documents, encode_documents, forgetting
+from demandspark.llm.pieces import Codec, Vocabulary, digest_documents, digest_in_order, encode_documents, forgetting
 from demandspark.llm.queries import tokenizer_path
 
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -74,3 +74,18 @@ def test_units_that_decode_to_other_text():
         for _ in range(2):
             assert c.encode(text) == ids and c.decode(ids) == shown
             assert c.digest(text) == (len(ids), digest(" ".join(map(str, ids))), digest(shown))
+
+
+def test_digests_in_the_order_of_the_files(spark, model, tmp_path):
+    """The later files are larger, so Spark reads them first; one holds rows in falling order, and one id is null."""
+    rows = [(k if k else None, f"word{k} " * (1 + k * k), k) for k in (3, 2, 1, 0, 4, 5, 6, 7)]
+    for part in range(4):
+        spark.createDataFrame(rows[2 * part : 2 * part + 2], "doc_id long, text string, _at long").coalesce(1).write.parquet(f"{tmp_path}/{part}")
+        (next((tmp_path / str(part)).glob("part-*.parquet"))).rename(tmp_path / f"part-{part * 40000}-x.parquet")
+    docs = spark.read.parquet(*(str(p) for p in tmp_path.glob("part-*.parquet")))
+    got = digest_in_order(docs, PATH)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    want = [(i, len(model.encode(t)) + 1) for i, t, _ in rows]
+    assert [(r.doc_id, r.n_tokens) for r in got.collect()] == want
+    assert [(r.doc_id, r.n_tokens) for r in digest_in_order(spark.createDataFrame(rows, docs.schema), PATH).collect()] == want
+    assert digest_in_order(docs.limit(0), PATH).count() == 0

@@ -138,3 +138,12 @@ def test_pieces_stage_encodes_all_rows(staged):
 
 def test_run_gives_the_rows_of_the_stages(spark, tables, staged):
     assert order(tuple(r) for r in corpus_pipeline.run(spark, tables[0]).collect()) == order(staged["pieces"][1])
+
+
+def test_result_is_in_the_order_of_the_mix(spark, tables, staged):
+    """What mixing decides, the order, is that of the last stage's rows and of the whole run's."""
+    mixed, docs = staged["mixing"][1:]
+    want = [r[0] for r in mixed]
+    assert want != [r[0] for r in staged["mixing"][0]]
+    assert [r.doc_id for r in corpus_pipeline.pieces_stage(spark, docs, tables[0]).collect()] == want
+    assert [r.doc_id for r in corpus_pipeline.run(spark, tables[0]).collect()] == want
