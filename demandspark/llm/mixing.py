@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -129,6 +130,12 @@ def before(rows: DataFrame, group: list[str], bucket: str, order: list[str], nam
     return rows.withColumn("_own", own).join(totals, keys).withColumn(name, F.col("_own") + F.col("_base")).drop("_own", "_base", bucket)
 
 
+def by_source(spark: SparkSession, values: list[tuple], name: str, kind: pa.DataType) -> DataFrame:
+    """(SOURCE, name) of (is null, source, value); made from Arrow, as tuples would go through Python workers, which then stay."""
+    columns = list(zip(*values, strict=True)) or [(), (), ()]
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, (pa.bool_(), pa.string(), kind), strict=True)], [*SOURCE, name]))
+
+
 def targets(rows: DataFrame, weights: dict | None, power: float) -> DataFrame:
     """(SOURCE, bytes, rows, weight): a row per source, weights adding up to 1; a written table."""
     stats = store.keep(named(rows).groupBy(*SOURCE).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")), "mx-sources")
@@ -137,7 +144,7 @@ def targets(rows: DataFrame, weights: dict | None, power: float) -> DataFrame:
     else:
         if any(not math.isfinite(w) or w < 0 for w in weights.values()):
             raise ValueError("weights must be finite and not negative")
-        given = rows.sparkSession.createDataFrame([(s is None, s or "", float(w)) for s, w in weights.items()], "_null boolean, _name string, goal double")
+        given = by_source(rows.sparkSession, [(s is None, s or "", float(w)) for s, w in weights.items()], "goal", pa.float64())
         goal = stats.join(given, SOURCE, "left").withColumn("goal", F.coalesce("goal", F.lit(0.0)))
     total = goal.agg(F.sum("goal")).first()[0]
     if total is not None and not total > 0:
@@ -160,7 +167,7 @@ def place(rows: DataFrame, whole: DataFrame, weights: dict | None = None, period
     # the shared stream comes first: its count of units then never falls
     parts = parts_of([*([] if rest.w is None else [rest.w]), *(r.weight for r in own)])
     first = int(rest.w is not None)
-    streams = spark.createDataFrame([(r["_null"], r["_name"], i + first) for i, r in enumerate(own)] or [], "_null boolean, _name string, _stream int")
+    streams = by_source(spark, [(r["_null"], r["_name"], i + first) for i, r in enumerate(own)], "_stream", pa.int32())
     table = store.keep(goal.join(F.broadcast(streams), SOURCE, "left").select(*SOURCE, "weight", F.coalesce("_stream", F.when(F.col("weight") > 0, 0), F.lit(-1)).alias("stream"), F.ceil(F.sqrt("rows")).cast("long").alias("_buckets")), "mx-streams")
     hot = skew.hot_of(goal, SOURCE)
 

@@ -10,7 +10,7 @@ The model writes a space as U+2581 and reads both alike; here both are a space,
 crosses the border of a *unit*: a run of spaces with the characters up to the next space, as long as
 no piece holds a space after another character, which the vocabulary is checked for. Units repeat, so each Python
 task keeps the encodings of up to ``cache_units`` of them, and gives their memory back at its end. Which pieces agree
-is kept by the worker for its next tasks. Texts are never cut.
+is kept by the worker for its next tasks, packed between them. Texts are never cut.
 
 Edge cases: null text counts as empty; an empty text has no piece, only the end id; characters outside the
 vocabulary become their UTF-8 byte pieces (or the unknown id if the model has none); repeated rows are encoded
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 from demandspark.llm import store
 
 SPACE, OTHER = "▁", "!"
+TEXT_ROWS = 2_000  # rows with a text that Python gets at once
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -59,7 +61,7 @@ class Vocabulary:
 class Codec:
     """Encoder and decoder over one vocabulary, with a bounded cache of encoded units."""
 
-    def __init__(self, vocabulary: Vocabulary, cache_units: int = 600_000):
+    def __init__(self, vocabulary: Vocabulary, cache_units: int = 200_000):
         self.v, self.cache_units = vocabulary, cache_units
         self.pieces = [p.replace(SPACE, " ") for p in vocabulary.pieces]
         self.ids = {p: i for i, (p, raw, k) in enumerate(zip(self.pieces, vocabulary.pieces, vocabulary.kinds, strict=True)) if k == "n" and " " not in raw}
@@ -88,6 +90,7 @@ class Codec:
                 self.longest[p] = i
         self.width = max(map(len, self.longest), default=1)
         self.pairs: dict[int, bool] = {}
+        self.packed = array("q"), b""
         self.stems: dict[str, list[int]] = {}
         self.units, self.texts = Units(self), Texts(self)
         self.shown = [p if k == "n" else "" if k == "c" else " ⁇ " for p, k in zip(self.pieces, vocabulary.kinds, strict=True)]
@@ -148,6 +151,16 @@ class Codec:
             at, last = at - sizes[i], out[-1] if out else -1
             i = shorter[i]
 
+    def recall(self) -> None:
+        """Unpack which pieces agree."""
+        self.pairs.update(zip(self.packed[0], map(bool, self.packed[1]), strict=True))
+
+    def forget(self) -> None:
+        """Empty all caches and pack which pieces agree: small objects that stay among those that go would hold their memory."""
+        self.packed = array("q", self.pairs), bytes(self.pairs.values())
+        for kept in (self.pairs, self.units, self.texts, self.stems):
+            kept.clear()
+
     def stem(self, text: str) -> list[int]:
         """Ids of characters of the vocabulary that may merge with each other, through a cache."""
         got = self.stems.get(text)
@@ -273,13 +286,13 @@ def codec(vocabulary: Vocabulary) -> Codec:
 
 
 def forgetting(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches, and at their end no encodings kept: an idle worker holds the vocabulary, and which pieces agree, alone."""
+    """The batches, and at their end no encodings kept: an idle worker holds the vocabulary, and packed which pieces agree, alone."""
+    c.recall()
     try:
         yield from batches
     finally:
-        c.units.clear()
-        c.texts.clear()
-        c.stems.clear()
+        c.forget()
+        pa.default_memory_pool().release_unused()
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
@@ -320,5 +333,5 @@ def digest_in_order(docs: DataFrame, model_path: str) -> DataFrame:
     The digests are sorted, not the texts; they are written first, as a sort reads its rows twice.
     """
     at = store.fresh("_at", docs.columns)
-    got = store.keep(digest_documents(store.numbered(docs, at), model_path, at), "pc-digests")
+    got = store.keep(digest_documents(store.numbered(docs, at), model_path, at), "pc-digests", TEXT_ROWS)
     return got.orderBy(at).drop(at)

@@ -217,6 +217,17 @@ def test_mixing(spark, docs, rows):
             mixing.mix(docs, bad)
 
 
+def test_mixing_starts_no_python_workers(spark, docs, monkeypatch):
+    """Tuples go through an RDD, whose Python workers of their own stay in the executors' memory."""
+
+    def refuse(*_, **__):
+        raise AssertionError("an RDD of Python objects")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    assert mixing.mix(docs, block_bytes=256).count() == docs.count()
+    assert mixing.mix(docs, {"s1": 2.0, None: 1.0}, block_bytes=256).count() == docs.count()
+
+
 def test_mixing_follows_given_weights_by_bytes(spark):
     r = random.Random(4)
     rows = [(i, "x" * r.randrange(100), r.choice("aaabbc") if i % 40 else None) for i in range(6000)]

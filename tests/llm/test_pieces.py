@@ -66,6 +66,17 @@ def test_next_task_of_a_worker_merges_no_pair_again():
     assert not merged
 
 
+def test_idle_worker_keeps_agreeing_pairs_packed():
+    """Kept as small objects they held on to the memory of the encodings that went."""
+    c, text = Codec(Vocabulary.load(PATH)), "the thatndea onentiontion hablees"
+    first = [c.digest(t) for b in forgetting(c, iter([[text]])) for t in b]
+    assert not c.pairs and len(c.packed[0]) == len(c.packed[1]) > 0
+    batches = forgetting(c, iter([[text]]))
+    known = dict(zip(c.packed[0], map(bool, c.packed[1]), strict=True))
+    assert [c.digest(t) for t in next(batches)] == first and c.pairs == known
+    assert not list(batches) and not c.pairs
+
+
 def test_units_that_decode_to_other_text():
     """Without byte pieces an unknown character is shown by a sign; with a piece that holds a plain space, no text matches that."""
     c = Codec(Vocabulary(("<unk>", "</s>", "a", "b", "▁", "ab", "▁a", " b"), (0.0, 0.0, -3.0, -4.0, -5.0, -1.0, -2.0, 0.0), "ucnnnnnn", 1))
