@@ -345,9 +345,10 @@ def link(docs: DataFrame) -> DataFrame:
     hot = skew.hot_of(sizes, ["bucket"])
     full = store.keep(skew.look_up(banded, sizes.withColumnRenamed("rows", "size"), ["bucket"], hot), "nd-buckets")
     proposed = store.keep(full.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "nd-proposed")
-    # every later pair is among members of these buckets; their texts move once
-    wanted = nodes.join(full.select("node").distinct(), "node", "left_semi").select(F.col("lead").alias("doc_id"), "print", "node")
-    texts = store.keep(docs.join(wanted, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"]).select("node", "text"), "nd-texts")
+    # every later pair is among members of these buckets; their texts move once, and few others do
+    key = ["doc_id", "print"]
+    wanted = store.keep(nodes.join(full.select("node").distinct(), "node", "left_semi").select(F.col("lead").alias("doc_id"), "print", "node"), "nd-wanted")
+    texts = store.keep(skew.may_match(docs, wanted, key, "told").where("told").drop("told").join(wanted, key).dropDuplicates(key).select("node", "text"), "nd-texts")
     maybe = store.keep(hopeful(proposed, nodes), "nd-likely")
     found = store.keep(confirm(maybe, texts), "nd-sure", HEAVY_ROWS)
     store.drop(proposed, maybe)
@@ -377,8 +378,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Documents with one of each class kept: the one of smallest doc_id."""
-    out = link(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.where("doc_id is not null").join(out, "doc_id", "left_anti").select(docs.columns).unionByName(docs.where("doc_id is null"))
+    out = store.keep(link(docs).where("doc_id <> component_id").select("doc_id").distinct(), "nd-out")
+    # only rows that may have to go are shuffled
+    told = store.fresh("_told", docs.columns)
+    rows = skew.may_match(docs, out, ["doc_id"], told)
+    return rows.where(~F.col(told)).select(docs.columns).unionByName(rows.where(told).join(out, "doc_id", "left_anti").select(docs.columns))
 
 
 def oracle() -> str:

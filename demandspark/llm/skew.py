@@ -1,12 +1,16 @@
-"""Joins by keys of which some have very many rows."""
+"""Joins by keys of which some have very many rows, and of wide rows of which few have a match."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.llm import store
+
 #: A key with over 1/SHARE of the rows is hot; so there are fewer than SHARE hot keys, however many rows there are.
 SHARE = 50_000
+#: Bits of the bitmap that tells rows without a match: 4 MB, whatever the table.
+BITS = 1 << 25
 
 
 def hot_of(counted: DataFrame, keys: list[str], rows: str = "rows") -> DataFrame:
@@ -44,3 +48,18 @@ def for_salts(table: DataFrame, hot: DataFrame, key: str, name: str) -> DataFram
 
 def salts_of():
     return F.ceil(F.col("rows") * SHARE / F.col("all_rows")).cast("int")
+
+
+def may_match(rows: DataFrame, table: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``rows`` with a column ``name`` that is false only where ``table`` surely has no such keys.
+
+    Told by a broadcast bitmap of the hashes of the table's keys, so that wide rows without a match need no shuffle; a join
+    decides on the others. With many more keys than BITS nearly all rows are left to the join.
+    """
+    part, bits = (store.fresh(x, rows.columns) for x in ("_part", "_bits"))
+    at = F.pmod(F.xxhash64(*keys), F.lit(BITS)) + 1
+    bit = F.bitmap_bit_position(at).cast("int")
+    maps = table.groupBy(F.bitmap_bucket_number(at).alias(part)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(bits))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    told = F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1, F.lit(False))
+    return rows.withColumn(part, F.bitmap_bucket_number(at)).join(F.broadcast(maps), part, "left").withColumn(name, told).drop(part, bits)

@@ -11,7 +11,7 @@ from math import comb
 
 import numpy as np
 import pytest
-from demandspark.llm import html, mixing, neardup, neighbours, quality, rules, sharding, substring, toxicity
+from demandspark.llm import html, mixing, neardup, neighbours, quality, rules, sharding, skew, substring, toxicity
 from pyspark.sql import functions as F
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -62,6 +62,43 @@ def components(rows):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def shuffled_bytes(spark):
+    """Bytes that all stages of the session have written for shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    none = sc._jvm.java.util.ArrayList()
+    stages = sc._jsc.sc().statusStore().stageList(none, False, False, sc._gateway.new_array(sc._jvm.double, 0), none)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_neardup_shuffles_no_texts_without_a_match(spark):
+    """Whole texts of all rows went through two shuffles and a sort, which filled the executors' memory."""
+    r = random.Random(8)
+    rows = [(i, " ".join("".join(r.choices("abcdefghijklmnop", k=9)) for _ in range(2000))) for i in range(150)]
+    rows += [(1000, rows[0][1] + " more"), (1001, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).persist()
+    assert docs.count() == 152
+    before = shuffled_bytes(spark)
+    got = {x.doc_id for x in neardup.keep_one(docs).collect()}
+    assert got == set(range(150))
+    moved, texts = shuffled_bytes(spark) - before, sum(len(t) for _, t in rows)
+    assert moved < texts / 4, (moved, texts)
+
+
+@pytest.mark.parametrize("bits", [1, 8, 1 << 25])
+def test_rows_that_may_match_include_all_that_do(spark, monkeypatch, bits):
+    """Also with a bitmap that is full, with null keys, and with an empty table."""
+    monkeypatch.setattr(skew, "BITS", bits)
+    rows = spark.createDataFrame([(None, "a"), *((i, "b") for i in range(-500, 500))], "_part long, _bits string")
+    table = spark.range(-600, 600, 7).toDF("_part")
+    told = skew.may_match(rows, table, ["_part"], "told")
+    assert told.columns == ["_part", "_bits", "told"] and told.count() == 1001
+    assert told.where("told").join(table, "_part").count() == rows.join(table, "_part").count() > 0
+    assert not skew.may_match(rows, table.where("false"), ["_part"], "told").where("told").count()
+    if bits > 8:
+        assert told.where("told").count() < 200
+
+
 def test_neardup_equals_brute_force(docs, rows):
     want = components(rows)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.classes(docs).collect()}
