@@ -139,14 +139,25 @@ def row_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
 
 
-def price_vector(price: Column, low: int, cells: int, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25)) -> Column:
-    """Unit vector of price cells: the price's own cell and its neighbours, by falling weights; all 0 without price."""
+def price_cells(price: Column, low: int, cells: int, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25)) -> Column:
+    """Unit vector of price cells as its entries alone, an array of (cell, weight): the price's own cell and its neighbours, by falling weights; empty without price.
+
+    What a price costs does not depend on how many cells there are.
+    """
     weights = list(weights)[: neighbours + 1]
+    reach = len(weights) - 1
+    by_offset = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(weights[abs(k)])).alias("w")) for k in range(-reach, reach + 1)))
     at = F.floor((price - low) / cell).cast("int")
-    by_distance = F.array(*map(F.lit, weights))
-    raw = F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: F.when(F.abs(i - at) < len(weights), F.element_at(by_distance, F.abs(i - at) + 1)).otherwise(0.0))
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(raw, lambda x: x / (norm + 1e-9))
+    own = F.filter(F.transform(by_offset, lambda x: F.struct((at + x["k"]).alias("cell"), x["w"].alias("weight"))), lambda x: x["cell"].between(0, cells - 1))
+    norm = F.sqrt(F.aggregate(own, F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
+    return F.transform(own, lambda x: F.struct(x["cell"].alias("cell"), (x["weight"] / (norm + 1e-9)).alias("weight")))
+
+
+def price_vector(near: Column, cells: int) -> Column:
+    """The entries that ``price_cells`` gives as a vector of all cells; all 0 without price."""
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    whole = F.concat(zeros(F.element_at(near, 1)["cell"]), F.transform(near, lambda x: x["weight"]), zeros(F.lit(cells - 1) - F.element_at(near, -1)["cell"]))
+    return F.when(F.size(near) > 0, whole).otherwise(zeros(F.lit(cells)))
 
 
 def pearson_residual(y: Column, mu: Column) -> Column:

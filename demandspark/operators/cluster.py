@@ -47,9 +47,11 @@ def price_range(dimension: DataFrame, cell: int = 50, neighbours: int = 2) -> Da
     return row.select(((F.col("_lo") - neighbours) * cell).alias("low"), (F.col("_hi") - F.col("_lo") + 2 * neighbours + 1).alias("cells"))
 
 
-def with_price_vector(dimension: DataFrame, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25)) -> DataFrame:
+def with_price_cells(dimension: DataFrame, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25)) -> tuple[DataFrame, int]:
+    """The written dimension with ``price_cells``, its entries in the vector of price cells, and how many cells there are. Runs one small job."""
     row = price_range(dimension, cell, neighbours).first()
-    return dimension.withColumn("price_vector", S.price_vector(F.col("price"), row.low or 0, int(row.cells or 1), cell, neighbours, weights))
+    cells = int(row.cells or 1)
+    return dimension.withColumn("price_cells", S.price_cells(F.col("price"), row.low or 0, cells, cell, neighbours, weights)), cells
 
 
 def vectors(dimension: DataFrame, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25)) -> DataFrame:
@@ -61,7 +63,8 @@ def vectors(dimension: DataFrame, cell: int = 50, neighbours: int = 2, weights:
         OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=coded, dropLast=False),
         VectorAssembler(inputCols=[*coded, "_price"], outputCol="features"),
     ]
-    priced = with_price_vector(dimension, cell, neighbours, weights).withColumn("_price", array_to_vector("price_vector"))
+    priced, cells = with_price_cells(dimension, cell, neighbours, weights)
+    priced = priced.withColumn("_price", array_to_vector(S.price_vector(F.col("price_cells"), cells)))
     return Pipeline(stages=steps).fit(priced).transform(priced).select(*dimension.columns, "features")
 
 

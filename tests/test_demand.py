@@ -8,6 +8,7 @@ import pytest
 from demandspark.functions import joins
 from demandspark.functions import scalars as S
 from demandspark.operators import cluster, enrich, features, hierarchy, panel, reconcile, rules, stockout
+from demandspark.plans import registry
 from demandspark.sources.scratch import keep
 from pyspark.sql import functions as F
 
@@ -356,3 +357,25 @@ def test_fits_that_do_not_settle_say_so(spark):
     df = spark.createDataFrame(rows, "sku_platform string, units double, price double, platform_monthly_sales double")
     with pytest.warns(RuntimeWarning, match="did not settle"):
         stockout.poisson_effects(df, steps=1)
+
+
+def test_price_cells_cost_what_they_hold(spark, tmp_path):
+    """Prices far apart make millions of cells, of which a product has five; the dense vector has the same entries."""
+    day = dt.datetime(2020, 1, 5)
+    sold = [(k, float(u), float(x), 0.0, "A", day if m else None) for k, u, x, m in ((1, 2, 20, 1), (2, 1, 100_000_020, 1), (2, 1, 100_000_020, 1), (3, 0, 70, 1), (4, 1, 10, 0))]
+    spark.createDataFrame(sold, "l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp").where("l_quantity > 0").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, "ring", "Brand#1", "SMALL") for k in range(1, 5)], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.price_vectors(spark, str(tmp_path)).collect()
+    assert sorted((r.sku, r.cell) for r in got) == sorted([*(("1", k) for k in range(5)), *(("2", k) for k in range(2_000_000, 2_000_005))])
+    assert all(r.weight == pytest.approx([0.25, 0.5, 1, 0.5, 0.25][r.cell % 2_000_000] / 1.625**0.5, abs=1e-6) for r in got)
+    # at an end without spare cells, with fewer weights than neighbours, and without price
+    near = lambda price, cells, **more: S.price_cells(F.lit(price).cast("double"), 0, cells, 10, **more)
+    row = spark.range(1).select(S.price_vector(near(5, 4), 4).alias("low"), S.price_vector(near(35, 4, weights=(1.0, 1.0)), 4).alias("high"), S.price_vector(near(None, 3), 3).alias("none")).first()
+    assert row.low == pytest.approx([x / 1.3125**0.5 for x in (1, 0.5, 0.25, 0)]) and row.high == pytest.approx([0, 0, 0.5**0.5, 0.5**0.5]) and row.none == [0, 0, 0]
+
+
+def test_products_need_no_calendar(spark):
+    """The months that the calendar adds change no total of a product."""
+    rolled = panel.dated(panel.monthly(lines(spark, ("X", "enero", 2020, 1.0, 10.0, 2.0), ("X", "mayo", 2020, None, 5.0, None), ("Y", "marzo", 2020, 2.0, None, 1.0))))
+    want = [("1", "d", "s", "L", 15.0, 3.0, 5.0)]
+    assert [tuple(r) for r in cluster.sku_dimension(rolled).collect()] == [tuple(r) for r in cluster.sku_dimension(panel.fill(panel.complete(rolled))).collect()] == want
