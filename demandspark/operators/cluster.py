@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from demandspark.functions import scalars as S
 from demandspark.operators import rules
 from demandspark.schema import PRODUCT_KEYS
+from demandspark.sources.scratch import keep
 
 
 def sku_dimension(panel: DataFrame) -> DataFrame:
@@ -82,17 +83,26 @@ def split_clusters(df: DataFrame, column: str = "raw_cluster", by: Iterable[str]
     return df.join(numbered, keys, "left")
 
 
-def categorize(panel: DataFrame, clusters: int = 200, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25), labels=None, synonyms=None, seed: int = 0) -> DataFrame:
-    """The panel with product and cluster of every sku; warns if there are fewer skus than clusters, of which each then is one."""
-    dimension = one_row_per_sku(sku_dimension(panel))
+def assign(dimension: DataFrame, clusters: int = 200, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25), labels=None, synonyms=None, seed: int = 0) -> DataFrame:
+    """(sku, license, product, cluster) of every product of the dimension; warns if there are fewer skus than clusters, of which each then is one.
+
+    The dimension is written first, as several passes read it, and so are the raw clusters.
+    """
+    dimension = one_row_per_sku(keep(dimension, "dimension"))
     labelled = rules.with_product(dimension, labels, synonyms) if labels else rules.with_product(dimension)
     v = vectors(labelled, cell, neighbours, weights).persist()
     try:
         found = v.count()
         if found < clusters:
-            warnings.warn(f"{found} products make no {clusters} clusters", RuntimeWarning, stacklevel=2)
+            warnings.warn(f"{found} products make no {clusters} clusters", RuntimeWarning, stacklevel=3)
         model = KMeans(k=max(2, min(clusters, found)), seed=seed, featuresCol="features", predictionCol="raw_cluster").fit(v)
+        raw = keep(model.transform(v).select("sku", "license", "product", "raw_cluster"), "raw-clusters")
     finally:
         v.unpersist()
-    found = split_clusters(model.transform(v).select("sku", "license", "product", "raw_cluster")).select("sku", "product", "cluster")
-    return panel.join(found, "sku", "left")
+    return split_clusters(raw).select("sku", "license", "product", "cluster")
+
+
+def categorize(panel: DataFrame, clusters: int = 200, cell: int = 50, neighbours: int = 2, weights: Iterable[float] = (1.0, 0.5, 0.25), labels=None, synonyms=None, seed: int = 0) -> DataFrame:
+    """The panel with product and cluster of every sku."""
+    found = assign(sku_dimension(panel), clusters, cell, neighbours, weights, labels, synonyms, seed)
+    return panel.join(found.drop("license"), "sku", "left")

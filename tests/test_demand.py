@@ -379,3 +379,31 @@ def test_products_need_no_calendar(spark):
     rolled = panel.dated(panel.monthly(lines(spark, ("X", "enero", 2020, 1.0, 10.0, 2.0), ("X", "mayo", 2020, None, 5.0, None), ("Y", "marzo", 2020, 2.0, None, 1.0))))
     want = [("1", "d", "s", "L", 15.0, 3.0, 5.0)]
     assert [tuple(r) for r in cluster.sku_dimension(rolled).collect()] == [tuple(r) for r in cluster.sku_dimension(panel.fill(panel.complete(rolled))).collect()] == want
+
+
+def shop(spark, at, n=40):
+    """Tables of sale lines by part: ``n`` parts of two licenses and two labels, sold in January and in May."""
+    day = lambda m: dt.datetime(2020, m, 5)
+    sold = [(k, 1.0 + k % 3, (1.0 + k % 3) * 100 * (k % 7), 0.0, "A", day(m)) for k in range(n) for m in (1, 5)]
+    spark.createDataFrame(sold, "l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_shipdate timestamp").write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(k, ("hot ring", "old rod")[k % 2], "Brand#1", ("SMALL", "LARGE")[k // 2 % 2]) for k in range(n)], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{at}/part.parquet")
+    return str(at)
+
+
+def test_clusters_are_made_of_products_alone(spark, tmp_path):
+    """Neither the sale lines nor their panel are read again for the result."""
+    with pytest.warns(RuntimeWarning, match="40 products make no 200 clusters"):
+        out = registry.product_clusters(spark, shop(spark, tmp_path))
+    assert not [f for f in out.inputFiles() if "lineitem" in f]
+    got = {r.sku: r for r in out.collect()}
+    assert set(got) == {str(k) for k in range(40)} and {got["0"]["product"], got["1"]["product"]} == {"ring", "bar"}
+    # equal vectors are in one cluster, others of these few in different ones
+    kinds = {}
+    for k in range(40):
+        kinds.setdefault((k % 2, k // 2 % 2, k % 7), set()).add(got[str(k)].cluster)
+    assert all(len(x) == 1 for x in kinds.values()) and {min(x) for x in kinds.values()} == set(range(len(kinds)))
+    rows = spark.createDataFrame([("1", "hot ring", "s", "L", 1.0, 5.0, 1), ("1", "hot ring", "s", "L", 0.0, None, 2), ("2", "rod", "s", "M", 1.0, 500.0, 1), (None, "rod", "s", "M", 1.0, 1.0, 1)], "sku string, description string, supplier string, license string, units double, sales double, i int")
+    with pytest.warns(RuntimeWarning, match="2 products"):
+        back = cluster.categorize(rows, labels=("ring", "rod"))
+    assert back.columns == [*rows.columns, "product", "cluster"] and sorted((r.i, r["product"], r.cluster is None) for r in back.collect() if r.sku) == [(1, "ring", False), (1, "rod", False), (2, "ring", False)]
+    assert [tuple(r)[-2:] for r in back.where("sku is null").collect()] == [(None, None)]
