@@ -11,6 +11,7 @@ from demandspark.plans import jobs
 from demandspark.schema import MONTHS, SALES, Params
 from demandspark.sources import sales as files
 from demandspark.sources.scratch import keep
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 P = Params(clusters=4, cutoff="2021-07-01", tree_depth=3, tree_rounds=3, min_sku_units=1, max_lag=4, important_licenses=("LB",), labels=("taza", "lampara"), synonyms={"taza": "vaso"}, title_companies=("north_co",))
@@ -184,3 +185,22 @@ def test_jobs_take_other_levels(spark, inputs, tmp_path):
     crossed = base.withColumn("shop", F.when(F.col("level") == "bottom", F.substring_index("series_id", "_", -1)))
     with pytest.raises(ValueError, match="not a tree"):
         jobs.reconcile_forecasts(crossed, dataclasses.replace(p, levels=("product", "shop")))
+
+
+def test_training_encodes_once_and_holds_what_varies(spark):
+    """Columns of one value are left out of the bins, which changes no tree; passes over the rows read them as written."""
+    r = np.random.default_rng(3)
+    rows = [("bottom", f"s{i % 9}", dt.date(2020, 1 + i // 9, 1), "ab"[i % 2], float(r.poisson(3 + i % 5)), float(i % 7), 4.0, None, 1) for i in range(108)]
+    df = spark.createDataFrame(rows, "level string, series_id string, date date, kind string, units double, x double, same double, none double, count long")
+    got = model.train_level(df, "bottom", ("date", "units", "series_id", "level"), ("kind",), depth=3, rounds=3)
+    assert got.variances.inputFiles() and all("/encoded-" in f for f in got.variances.inputFiles())
+    assembler, varied, tree = got.model.stages
+    names = [assembler.getInputCols()[k] for k in varied.selectedFeatures]
+    assert {"x_v", "kind_mean_v"} <= set(names) and not {"same_v", "none_v", "none_null", "count_v"} & set(names)
+    data, inputs = model.numbers(model.encode_training(df, ["kind"], got.base), ["x", "same", "none", "count", "kind_mean", "kind_n"])
+    assert inputs == assembler.getInputCols()
+    whole = GBTRegressor(featuresCol="_inputs", labelCol="units", maxDepth=3, stepSize=0.05, maxIter=3, seed=0).fit(assembler.transform(data))
+    want = {(x.series_id, x.date): x.prediction for x in whole.transform(assembler.transform(data)).collect()}
+    assert {(x.series_id, x.date): x.prediction for x in got.model.transform(data).collect()} == pytest.approx(want)
+    one = model.train_level(df.limit(1), "bottom", ("date", "units", "series_id", "level"), ("kind",), depth=3, rounds=3)
+    assert one.model.transform(model.numbers(model.encode_training(df.limit(1), ["kind"], one.base), ["x", "same", "none", "count", "kind_mean", "kind_n"])[0]).first().prediction == one.base
